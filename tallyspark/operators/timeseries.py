@@ -44,7 +44,7 @@ def densify_pad(df: DataFrame, keys: Sequence[str], day: str, business_days: boo
     keys = list(keys)
     w = W.partitionBy(*keys).orderBy(day)
     until = F.coalesce(F.date_sub(F.lead(day).over(w), 1), F.col(day))
-    spread = df.withColumn("_d", F.explode(F.sequence(F.col(day), until)))
+    spread = df.withColumn("_until", until).withColumn("_d", F.explode(F.sequence(F.col(day), F.col("_until")))).drop("_until")
     if not business_days:
         return spread.withColumn(day, F.col("_d")).drop("_d")
     # a weekday calendar starts at the first weekday on or after the first row; weekend rows carry into Monday

@@ -1 +1,218 @@
+"""Customer lifetime queries: orders stand for retail invoices."""
 
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from ..functions import lifetime as L
+from ..operators import clv as C
+from ..operators import lifetime_fit as fit
+from ..sources.tables import invoices, table
+from .registry import query, rnd
+
+# parameters for scoring queries (fixed values)
+MODEL = L.BgNbd(r=2.0, alpha=400.0, a=0.8, b=2.5)
+SPEND = L.GammaGamma(p=6.25, q=3.74, v=15.44)
+
+D = "(SELECT o_custkey AS customer, CAST(o_orderdate AS DATE) AS day, sum(o_totalprice) AS amt, count(*) AS lines FROM orders GROUP BY 1, 2)"
+END = "(SELECT CAST(max(o_orderdate) AS DATE) FROM orders)"
+RFT = f"""(SELECT customer, CAST(count(*) - 1 AS FLOAT) AS frequency, CAST(max(day) - min(day) AS FLOAT) AS recency, CAST({END} - min(day) AS FLOAT) AS "T",
+      CASE WHEN count(*) = 1 THEN 0.0::DOUBLE ELSE (sum(amt) - arg_min(amt, day)) / (count(*) - 1) END AS monetary_value FROM {D} WHERE customer IS NOT NULL GROUP BY customer)"""
+FIRST = f"(SELECT customer, min(day) AS first_day FROM {D} GROUP BY 1)"
+
+
+def holdout_sql(h=90, holdout_value="avg(amt)"):
+    return f"""(SELECT d.customer, CAST(count(*) FILTER (day < {END} - {h}) - 1 AS FLOAT) AS frequency_cal,
+      CAST(max(day) FILTER (day < {END} - {h}) - any_value(first_day) AS FLOAT) AS recency_cal, CAST({END} - {h} - any_value(first_day) AS FLOAT) AS "T_cal",
+      coalesce(sum(amt) FILTER (day < {END} - {h} AND day > first_day) / nullif(count(*) FILTER (day < {END} - {h} AND day > first_day), 0), 0.0) AS monetary_value_cal,
+      CAST(count(*) FILTER (day >= {END} - {h}) AS FLOAT) AS frequency_holdout,
+      coalesce({holdout_value} FILTER (day >= {END} - {h}), 0.0) AS monetary_value_holdout, CAST({h} AS FLOAT) AS duration_holdout
+      FROM {D} d JOIN {FIRST} f ON d.customer = f.customer GROUP BY d.customer HAVING count(*) FILTER (day < {END} - {h}) > 0)"""
+
+
+def rft(spark, sf, amount="SalesAmount"):
+    return C.rft_summary(invoices(spark, sf), "CustomerID", "InvoiceDate", amount).withColumnRenamed("CustomerID", "customer")
+
+
+def holdout(spark, sf, amount="SalesAmount", raw_lines=False, days=90):
+    return C.rft_holdout(invoices(spark, sf), "CustomerID", "InvoiceDate", days, amount, raw_lines).withColumnRenamed("CustomerID", "customer")
+
+
+@query("m1_rft_summary", f'SELECT customer, frequency, recency, "T" FROM {RFT}')
+def m1(spark, sf):
+    return rft(spark, sf, None)
+
+
+@query("m2_rft_with_value", f'SELECT customer, frequency, recency, "T", round(monetary_value, 6) + 0.0 AS monetary_value FROM {RFT}')
+def m2(spark, sf):
+    return rft(spark, sf).withColumn("monetary_value", rnd("monetary_value", 6))
+
+
+@query("m3_calibration_holdout", f'SELECT customer, frequency_cal, recency_cal, "T_cal", frequency_holdout, duration_holdout FROM {holdout_sql()}')
+def m3(spark, sf):
+    return holdout(spark, sf, None)
+
+
+HOLDOUT_OUT = """customer, frequency_cal, recency_cal, "T_cal", round(monetary_value_cal, 6) + 0.0 AS monetary_value_cal, frequency_holdout,
+      round(monetary_value_holdout, 6) + 0.0 AS monetary_value_holdout, duration_holdout"""
+
+
+@query("m4_calibration_holdout_value", f"SELECT {HOLDOUT_OUT} FROM {holdout_sql()}")
+def m4(spark, sf):
+    return _rounded(holdout(spark, sf))
+
+
+def _rounded(df):
+    return df.withColumns({c: rnd(c, 6) for c in ("monetary_value_cal", "monetary_value_holdout")})
+
+
+@query("m5_holdout_value_of_lines", f"""
+    SELECT h.customer, frequency_cal, recency_cal, "T_cal", round(monetary_value_cal, 6) + 0.0 AS monetary_value_cal, frequency_holdout,
+      round(coalesce(v, 0.0), 6) + 0.0 AS monetary_value_holdout, duration_holdout
+    FROM {holdout_sql()} h LEFT JOIN (SELECT o_custkey, avg(o_totalprice) AS v FROM orders WHERE CAST(o_orderdate AS DATE) >= {END} - 90 GROUP BY 1) r ON h.customer = r.o_custkey""")
+def m5(spark, sf):
+    return _rounded(holdout(spark, sf, raw_lines=True))
+
+
+@query("m6_repeat_buyers", f'SELECT customer, frequency, recency, "T" FROM {RFT} WHERE frequency > 0 AND monetary_value > 0')
+def m6(spark, sf):
+    return C.repeat_buyers(rft(spark, sf), "frequency", "monetary_value").drop("monetary_value")
+
+
+@query("m7_frequency_value_correlation", f"SELECT round(corr(frequency, monetary_value), 6) + 0.0 AS r FROM {RFT} WHERE frequency > 0 AND monetary_value > 0")
+def m7(spark, sf):
+    return C.repeat_buyers(rft(spark, sf), "frequency", "monetary_value").agg(rnd(F.corr(F.col("frequency").cast("double"), "monetary_value"), 6).alias("r"))
+
+
+def _fit_frame(spark, model, values):
+    return spark.createDataFrame([(model, name, float(v)) for name, v in values.items()], "model STRING, parameter STRING, value DOUBLE")
+
+
+@query("m8_fit_bgnbd")
+def m8(spark, sf):
+    return _fit_frame(spark, "bgnbd", fit.fit_bgnbd(fit.lifetime_cells(rft(spark, sf, None)), l2=0.001))
+
+
+@query("m9_fit_pareto")
+def m9(spark, sf):
+    return _fit_frame(spark, "pareto", fit.fit_pareto(fit.lifetime_cells(rft(spark, sf, None)), l2=0.001))
+
+
+ALIVE = f"""CASE WHEN frequency > 0 THEN 1 / (1 + {MODEL.a} / ({MODEL.b} + frequency::DOUBLE - 1)
+      * pow(({MODEL.alpha} + "T"::DOUBLE) / ({MODEL.alpha} + recency::DOUBLE), {MODEL.r} + frequency::DOUBLE)) ELSE 1.0::DOUBLE END"""
+
+
+def series_sql(t, x='frequency::DOUBLE', age='"T"::DOUBLE'):
+    a, b, c, z = f"({MODEL.r} + {x})", f"({MODEL.b} + {x})", f"({MODEL.a} + {MODEL.b} + {x} - 1)", f"(({t}) / ({MODEL.alpha} + {age} + ({t})))"
+    term = f"exp(lgamma({a} + k) - lgamma({a}) + lgamma({b} + k) - lgamma({b}) - lgamma({c} + k) + lgamma({c}) - lgamma(k + 1) + k * ln({z}))"
+    return f"list_sum(list_transform(range(0, 200), lambda k: {term}))"
+
+
+def expected_sql(t, alive=ALIVE, x='frequency::DOUBLE', age='"T"::DOUBLE'):
+    shrink = f"pow(({MODEL.alpha} + {age}) / ({MODEL.alpha} + {age} + ({t})), {MODEL.r} + {x})"
+    return f"(({MODEL.a} + {MODEL.b} + {x} - 1) / ({MODEL.a} - 1) * (1 - {shrink} * {series_sql(t, x, age)}) * ({alive}))"
+
+
+@query("m10_probability_alive", f"SELECT customer, round({ALIVE}, 8) + 0.0 AS prob_alive FROM {RFT}")
+def m10(spark, sf):
+    return rft(spark, sf, None).select("customer", rnd(L.p_alive("frequency", "recency", "T", MODEL), 8).alias("prob_alive"))
+
+
+@query("m11_expected_purchases", "SELECT customer, " + ", ".join(f"round({expected_sql(float(t))}, 7) + 0.0 AS purchases_{t}" for t in (15, 30, 45)) + f" FROM {RFT}")
+def m11(spark, sf):
+    return rft(spark, sf, None).select("customer", *[rnd(L.expected_purchases(t, "frequency", "recency", "T", MODEL), 7).alias(f"purchases_{t}") for t in (15, 30, 45)])
+
+
+@query("m12_fit_gammagamma")
+def m12(spark, sf):
+    metrics = C.repeat_buyers(rft(spark, sf), "frequency", "monetary_value")
+    return _fit_frame(spark, "gammagamma", fit.fit_gammagamma(fit.spend_cells(metrics)))
+
+
+SPEND_SQL = f"({SPEND.p} * ({SPEND.v} + frequency::DOUBLE * monetary_value) / ({SPEND.p} * frequency::DOUBLE + {SPEND.q} - 1))"
+
+
+@query("m13_expected_spend", f"SELECT customer, round({SPEND_SQL}, 5) + 0.0 AS spend FROM {RFT} WHERE frequency > 0 AND monetary_value > 0")
+def m13(spark, sf):
+    m = C.repeat_buyers(rft(spark, sf), "frequency", "monetary_value")
+    return m.select("customer", rnd(L.expected_spend("frequency", "monetary_value", SPEND), 5).alias("spend"))
+
+
+CLV_SQL = f"""
+    WITH m AS (SELECT * FROM {RFT} WHERE frequency > 0 AND monetary_value > 0),
+      e AS (SELECT customer, i, {expected_sql('30.0 * i')} AS e FROM m, range(1, 13) t(i)),
+      f AS (SELECT customer, i, e - coalesce(lag(e) OVER (PARTITION BY customer ORDER BY i), 0) AS d FROM e)
+    SELECT customer, round(any_value({SPEND_SQL}) * sum(d / pow(1.01, i)), 3) + 0.0 AS clv FROM f JOIN m USING (customer) GROUP BY customer"""
+
+
+@query("m14_customer_lifetime_value", CLV_SQL)
+def m14(spark, sf):
+    m = C.repeat_buyers(rft(spark, sf), "frequency", "monetary_value")
+    return m.select("customer", rnd(L.lifetime_value("frequency", "recency", "T", "monetary_value", MODEL, SPEND), 3).alias("clv"))
+
+
+@query("m15_model_search")
+def m15(spark, sf):
+    search = fit.search_lifetime_model(holdout(spark, sf, None), 90.0, trials=8)
+    return search.select("trial", "model", "l2", "mse")
+
+
+def _evaluation_sql(by):
+    alive = ALIVE.replace("frequency", "frequency_cal").replace("recency", "recency_cal").replace('"T"', '"T_cal"')
+    e = expected_sql(90.0, alive, "frequency_cal::DOUBLE", '"T_cal"::DOUBLE')
+    return f"""SELECT k AS {by}, round(avg(y), 6) + 0.0 AS actual, round(avg(p), 6) + 0.0 AS predicted, CAST(count(*) AS BIGINT) AS customers FROM (
+      SELECT {'"T_cal" - recency_cal' if by == 'time_since_last_purchase' else by} AS k, frequency_holdout::DOUBLE AS y, {e} AS p FROM {holdout_sql()}) GROUP BY k"""
+
+
+for _by in ("frequency_cal", "recency_cal", "time_since_last_purchase"):
+    query(f"m16_holdout_by_{_by}", _evaluation_sql(_by))(
+        lambda spark, sf, by=_by: C.holdout_evaluation(holdout(spark, sf, None), MODEL, by, 90)
+        .select(by, rnd("actual", 6).alias("actual"), rnd("predicted", 6).alias("predicted"), "customers")
+    )
+
+
+@query("m17_score_matrices", f"""
+    WITH b AS (SELECT CAST(max(frequency) AS INTEGER) AS fx, CAST(max("T") AS INTEGER) AS tx FROM {RFT}),
+      g AS (SELECT f AS frequency, r AS recency, tx AS "T" FROM b, range(0, (SELECT fx + 1 FROM b)) a(f), range(0, (SELECT tx + 1 FROM b)) c(r))
+    SELECT CAST(frequency AS INTEGER) AS frequency, CAST(recency AS INTEGER) AS recency, round({ALIVE}, 7) + 0.0 AS prob_alive,
+      round({expected_sql(30.0)}, 7) + 0.0 AS expected FROM g""")
+def m17(spark, sf):
+    return C.score_matrices(rft(spark, sf, None), MODEL).withColumns({c: rnd(c, 7) for c in ("prob_alive", "expected")})
+
+
+@query("m18_alive_history", f"""
+    WITH d AS (SELECT DISTINCT o_custkey AS customer, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_custkey = 100),
+      c AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM d), {END}, INTERVAL 1 DAY)) AS DATE) AS "on"),
+      s AS (SELECT "on", count(*) - 1 AS frequency, (max(day) - min(day))::DOUBLE AS recency, ("on" - min(day))::DOUBLE AS "T" FROM c JOIN d ON d.day <= c."on" GROUP BY 1)
+    SELECT CAST(100 AS BIGINT) AS customer, "on" AS day, CAST(frequency AS INTEGER) AS frequency, round({ALIVE}, 8) + 0.0 AS prob_alive FROM s""")
+def m18(spark, sf):
+    # the end of the data set comes from all rows, the history from one customer's rows
+    rows = invoices(spark, sf).select(F.when(F.col("CustomerID") == 100, F.col("CustomerID")).alias("customer"), "InvoiceDate")
+    return C.alive_history(rows, "customer", "InvoiceDate", MODEL).withColumn("prob_alive", rnd("prob_alive", 8))
+
+
+@query("m19_engagement_scores", "SELECT customer, round(" + ALIVE + ", 7) + 0.0 AS alive, " + ", ".join(f"round({expected_sql(float(t))}, 7) + 0.0 AS next_{t}" for t in (15, 30, 45)) + f" FROM {RFT}")
+def m19(spark, sf):
+    scored = rft(spark, sf, None).select("customer", C.engagement_scores("frequency", "recency", "T", MODEL).alias("s"))
+    return scored.select("customer", *[rnd(F.col("s")[i], 7).alias(n) for i, n in enumerate(("alive", "next_15", "next_30", "next_45"))])
+
+
+@query("j4_registered_scoring_function", "SELECT customer, " + ", ".join(f"round({expected_sql(float(t))}, 7) + 0.0 AS next_{t}" for t in (15, 30, 45)) + f" FROM {RFT}")
+def j4(spark, sf):
+    theta = (MODEL.r, MODEL.alpha, MODEL.a, MODEL.b)
+
+    def next_purchases(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for x, tx, t in batches:
+            d = {"x": x.to_numpy("float64"), "tx": tx.to_numpy("float64"), "t": t.to_numpy("float64")}
+            yield pd.Series(list(np.stack([fit.bgnbd_expected(theta, d, h) for h in (15.0, 30.0, 45.0)], axis=1)))
+
+    spark.udf.register("next_purchases", F.pandas_udf(next_purchases, "array<double>"))
+    return spark.sql(
+        """SELECT customer, round(p[0], 7) + 0.0D AS next_15, round(p[1], 7) + 0.0D AS next_30, round(p[2], 7) + 0.0D AS next_45
+           FROM (SELECT customer, next_purchases(frequency, recency, T) AS p FROM {metrics})""",
+        metrics=rft(spark, sf, None),
+    )

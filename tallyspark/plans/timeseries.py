@@ -27,14 +27,14 @@ def e2(spark, sf):
 
 def _rolling_sql(rows):
     return f"""
-    SELECT symbol, date, CASE WHEN count(close) OVER w = {rows} THEN round(avg(close) OVER w, 4) + 0.0 END AS smooth FROM {PRICES}
+    SELECT symbol, date, CASE WHEN count(close) OVER w = {rows} THEN round(avg(close) OVER w, 5) + 0.0 END AS smooth FROM {PRICES}
     WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"""
 
 
 for _rows in (7, 30):
     query(f"e3_rolling_mean_{_rows}", _rolling_sql(_rows))(
         lambda spark, sf, rows=_rows: TS.rolling_mean(prices(spark, sf), "symbol", "date", "close", rows, "smooth")
-        .select("symbol", "date", rnd("smooth").alias("smooth"))
+        .select("symbol", "date", rnd("smooth", 5).alias("smooth"))
     )
 
 

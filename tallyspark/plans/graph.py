@@ -1 +1,135 @@
+"""Company graph queries over co-mentions of suppliers in orders."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import graph as G
+from ..operators import news as N
+from ..session import materialize
+from ..sources.tables import news
+from .news import SCORES, scores
+from .registry import query, rnd
+
+# bindings (fixed values): suppliers that stand for blocked names and for landmarks, and the edge threshold
+BLOCKED = [3, 4]
+LANDMARKS = [1, 7, 12]
+MIN_WEIGHT = 24
+
+EDGES = f"""(SELECT a.o AS src, b.o AS dst, CAST(sum(a.c * b.c) AS BIGINT) AS relationship FROM
+      (SELECT l_orderkey AS u, l_suppkey AS o, count(*) AS c FROM lineitem WHERE l_suppkey NOT IN (3, 4) GROUP BY 1, 2) a JOIN
+      (SELECT l_orderkey AS u, l_suppkey AS o, count(*) AS c FROM lineitem WHERE l_suppkey NOT IN (3, 4) GROUP BY 1, 2) b ON a.u = b.u AND a.o <> b.o
+      GROUP BY 1, 2 HAVING sum(a.c * b.c) > {MIN_WEIGHT})"""
+
+
+def edges(spark, sf):
+    return materialize(G.co_mentions(news(spark, sf), MIN_WEIGHT, BLOCKED), "edges")
+
+
+def landmarks(spark, e):
+    return G.landmarks_in(e.select(F.col("src").alias("id")).distinct(), LANDMARKS)
+
+
+@query("o5_co_mention_edges", f"SELECT * FROM {EDGES}")
+def o5(spark, sf):
+    return G.co_mentions(news(spark, sf), MIN_WEIGHT, BLOCKED)
+
+
+@query("o5_all_pairs", EDGES.replace(f"HAVING sum(a.c * b.c) > {MIN_WEIGHT}", "")[1:-1])
+def o5_all(spark, sf):
+    return G.co_mentions(news(spark, sf), 0, BLOCKED)
+
+
+@query("o6_vertices", f"SELECT DISTINCT organisation AS id FROM {SCORES}")
+def o6(spark, sf):
+    return G.vertices(scores(spark, sf))
+
+
+@query("o6_edges_between_vertices", f"SELECT * FROM {EDGES} WHERE src IN (SELECT organisation FROM {SCORES}) AND dst IN (SELECT organisation FROM {SCORES})")
+def o6_edges(spark, sf):
+    return G.between(edges(spark, sf), materialize(G.vertices(scores(spark, sf)), "vertices"))
+
+
+@query("o7_landmarks_present", f"SELECT DISTINCT src AS id FROM {EDGES} WHERE src IN (1, 7, 12)")
+def o7(spark, sf):
+    return landmarks(spark, G.co_mentions(news(spark, sf), MIN_WEIGHT, BLOCKED))
+
+
+HOPS = f"""WITH RECURSIVE e AS MATERIALIZED (SELECT src, dst FROM {EDGES}),
+      h AS (SELECT DISTINCT src AS id, src AS landmark, 0 AS distance FROM e WHERE src IN (1, 7, 12)
+        UNION SELECT e.src, h.landmark, h.distance + 1 FROM h JOIN e ON e.dst = h.id WHERE h.distance < 8),
+      d AS (SELECT id, landmark, CAST(min(distance) AS INTEGER) AS distance FROM h GROUP BY 1, 2)"""
+
+
+@query("o8_hop_distances", f"{HOPS} SELECT * FROM d")
+def o8(spark, sf):
+    e = edges(spark, sf)
+    return G.hop_distances(e, landmarks(spark, e))
+
+
+@query("o9_within_two_hops", f"{HOPS}, k AS (SELECT DISTINCT id FROM d WHERE distance <= 2) SELECT src, dst FROM e WHERE src IN (SELECT id FROM k) AND dst IN (SELECT id FROM k)")
+def o9(spark, sf):
+    e = edges(spark, sf)
+    return G.within_hops(e, landmarks(spark, e), 2)[1].select("src", "dst")
+
+
+def _rank_sql(rounds):
+    steps = [f"r0 AS (SELECT DISTINCT src AS id, src AS landmark, 1.0::DOUBLE AS rank FROM e WHERE src IN (1, 7, 12))", "g AS (SELECT src, count(*) AS n FROM e GROUP BY 1)"]
+    for i in range(1, rounds + 1):
+        steps.append(f"""r{i} AS (SELECT id, landmark, sum(rank) AS rank FROM (SELECT e.dst AS id, r.landmark, 0.85 * r.rank / g.n AS rank FROM r{i - 1} r JOIN e ON e.src = r.id JOIN g ON g.src = r.id
+        UNION ALL SELECT id, landmark, 0.15 FROM r0) GROUP BY 1, 2)""")
+    return f"WITH e AS MATERIALIZED (SELECT src, dst FROM {EDGES}), " + ", ".join(steps) + f", i AS (SELECT landmark AS organisation, id AS connection, rank / sum(rank) OVER (PARTITION BY landmark) AS importance FROM r{rounds})"
+
+
+ROUNDS = 4
+
+
+def importance(spark, e):
+    return G.personalised_ranks(e, landmarks(spark, e), iterations=ROUNDS)
+
+
+@query("o10_personalised_ranks", f"{_rank_sql(ROUNDS)} SELECT organisation, connection, round(importance, 9) + 0.0 AS importance FROM i")
+def o10(spark, sf):
+    return importance(spark, edges(spark, sf)).withColumn("importance", rnd("importance", 9))
+
+
+@query("o10_converged_ranks", f"""{_rank_sql(40)} SELECT organisation, CAST(count(*) AS BIGINT) AS connections, round(max(importance), 4) + 0.0 AS top, round(sum(importance), 6) + 0.0 AS total FROM i GROUP BY 1""")
+def o10_converged(spark, sf):
+    e = edges(spark, sf)
+    r = G.personalised_ranks(e, landmarks(spark, e), iterations=100, tolerance=1e-7, cut_every=8)
+    return r.groupBy("organisation").agg(F.count("*").alias("connections"), rnd(F.max("importance"), 4).alias("top"), rnd(F.sum("importance"), 6).alias("total"))
+
+
+@query("o11_landmark_importance", f"{_rank_sql(ROUNDS)} SELECT connection, round(importance, 9) + 0.0 AS importance FROM i WHERE organisation = 7 AND connection <> 7 ORDER BY i.importance DESC, connection LIMIT 20")
+def o11(spark, sf):
+    i = importance(spark, edges(spark, sf)).where("organisation = 7 AND connection <> 7")
+    return i.orderBy(F.desc(F.round("importance", 12)), "connection").limit(20).select("connection", rnd("importance", 9).alias("importance"))
+
+
+CONTRIB = f"{_rank_sql(ROUNDS)}, c AS (SELECT i.organisation, i.connection, s.theme, s.esg, i.importance FROM i JOIN {SCORES} s ON s.organisation = i.connection)"
+
+
+def contributions(spark, sf):
+    return N.contributions(scores(spark, sf), importance(spark, edges(spark, sf)))
+
+
+@query("o12_contributions", f"{CONTRIB} SELECT organisation, connection, theme, round(esg, 9) + 0.0 AS esg, round(importance, 9) + 0.0 AS importance FROM c")
+def o12(spark, sf):
+    return contributions(spark, sf).withColumns({c: rnd(c, 9) for c in ("esg", "importance")})
+
+
+@query("o13_propagated_scores", f"{CONTRIB} SELECT organisation, theme, round(sum(esg * importance) / sum(importance), 9) + 0.0 AS esg FROM c GROUP BY 1, 2")
+def o13(spark, sf):
+    return N.propagated_scores(contributions(spark, sf)).withColumn("esg", rnd("esg", 9))
+
+
+@query("o14_detractors", f"{CONTRIB} SELECT connection, round(importance, 9) + 0.0 AS importance, round(esg, 9) + 0.0 AS esg FROM c WHERE organisation = 7 AND theme = 'R' AND esg < (SELECT esg FROM c WHERE organisation = 7 AND connection = 7 AND theme = 'R')")
+def o14(spark, sf):
+    contrib = materialize(contributions(spark, sf), "contributions")
+    return N.detractors(contrib, 7, "R").withColumns({c: rnd(c, 9) for c in ("esg", "importance")})
+
+
+@query("o15_graph_size", f"SELECT CAST(count(DISTINCT src) AS BIGINT) AS vertices, CAST(count(*) AS BIGINT) AS edges FROM {EDGES}")
+def o15(spark, sf):
+    e = edges(spark, sf)
+    return G.size_report(e.select(F.col("src").alias("id")).distinct(), e)

@@ -19,13 +19,12 @@ CLEANING_STEPS = [
     ("dots", r"\.+", "."),
 ]
 
-# Java's \s also lacks nothing the rest needs, but its trim() is wider; keep to the same white space everywhere
 WHITE = " \t\n\r\u000b\u000c"
 
 
 def clean_step(text: Column | str, name: str) -> Column:
     pattern, replacement = next((p, r) for n, p, r in CLEANING_STEPS if n == name)
-    return F.regexp_replace(as_col(text), pattern, replacement)
+    return F.regexp_replace(as_col(text), "(?d)" + pattern, replacement)  # only a line feed ends a line
 
 
 def strip(text: Column) -> Column:
@@ -47,7 +46,8 @@ def join_broken_lines(text: Column | str, dash_continues: bool = False) -> Colum
     """
     stop = r"(?<=\.)\n(?![ \-])" if dash_continues else r"(?<=\.)\n(?! )"
     paragraphs = F.split(as_col(text), stop)
-    return F.transform(paragraphs, lambda p: F.concat(F.lit(" "), F.regexp_replace(p, r"\n", " ")))
+    # the first line is joined to an empty start, which leaves a space before it
+    return F.transform(paragraphs, lambda p, i: F.concat(F.when(i == 0, " ").otherwise(""), F.regexp_replace(p, r"\n", " ")))
 
 
 def sentences(text: Column | str) -> Column:
@@ -65,6 +65,19 @@ def statements(text: Column | str, dash_continues: bool = False) -> Column:
     return F.flatten(F.transform(F.transform(lines, clean_paragraph), sentences))
 
 
+# Words without topic content; report words first, then common English words
+DOMAIN_STOP_WORDS = [
+    "plc", "group", "target", "track", "capital", "holding", "report", "annual", "esg", "bank", "csr", "environment", "social", "governance", "corporate",
+    "responsibility", "million", "billion",
+]
+COMMON_STOP_WORDS = [
+    "the", "and", "for", "that", "this", "with", "from", "have", "has", "had", "was", "were", "are", "been", "being", "not", "but", "you", "your", "our",
+    "ours", "their", "them", "they", "there", "these", "those", "its", "his", "her", "she", "him", "who", "whom", "which", "what", "when", "where", "why",
+    "how", "all", "any", "both", "each", "few", "more", "most", "other", "some", "such", "nor", "only", "own", "same", "than", "too", "very", "can", "will",
+    "just", "should", "would", "could", "into", "over", "under", "again", "then", "once", "here", "about", "against", "between", "through", "during", "before",
+    "after", "above", "below", "out", "off", "down", "because", "until", "while", "also",
+]
+
 # Suffix rules of the light stemmer, longest first. An approximation of a full stemmer.
 SUFFIXES = ["ational", "ization", "fulness", "ousness", "iveness", "ations", "ments", "ement", "ation", "ingly", "edly", "ness", "ment", "ings", "ies", "ing", "ers", "est", "ful", "ous", "ive", "ed", "er", "ly", "es", "s"]
 

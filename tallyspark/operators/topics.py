@@ -4,12 +4,116 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.clustering import LDA
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import text as X
+from .quantiles import exact_quantiles, min_max_scale
+from .relational import distinct_values
+
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """First n rows per key. Spark keeps n rows per key in each map task before the shuffle (window group limit)."""
     ranked = df.withColumn("_rk", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("_rk") <= n).drop("_rk")
+
+
+def extract_statements(docs: DataFrame, text: str, dash_continues: bool = False, min_length: int = 50) -> DataFrame:
+    """One row per sentence longer than ``min_length``, in place of the text column."""
+    rest = [c for c in docs.columns if c != text]
+    exploded = docs.where(F.col(text).isNotNull()).select(*rest, F.explode(X.statements(text, dash_continues)).alias("statement"))
+    return exploded.where(F.length("statement") > min_length)
+
+
+def stop_words(companies: DataFrame, company: str, base: Sequence[str] = X.COMMON_STOP_WORDS, domain: Sequence[str] = X.DOMAIN_STOP_WORDS) -> DataFrame:
+    """Distinct words to ignore: common words, domain words and the words of company names."""
+    fixed = companies.sparkSession.createDataFrame([(w,) for w in [*base, *domain]], "word STRING")
+    names = companies.select(company).distinct().select(F.explode(F.split(F.lower(company), " ")).alias("word"))
+    return fixed.union(names).where("word <> ''").distinct()
+
+
+def term_counts(docs: DataFrame, tokens: str, keys: Sequence[str] = (), stops: DataFrame | None = None) -> DataFrame:
+    """(keys…, term, n). Terms are counted before stop words are taken out, so the anti join sees few rows."""
+    counts = docs.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
+    return counts if stops is None else counts.join(stops.select(F.col("word").alias("term")), "term", "left_anti")
+
+
+def vectorise(docs: DataFrame, tokens: str, vocabulary: int = 1 << 16, min_docs: int = 1) -> tuple[CountVectorizerModel, DataFrame]:
+    model = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=vocabulary, minDF=min_docs).fit(docs)
+    return model, model.transform(docs)
+
+
+def fit_topics(vectors: DataFrame, k: int = 9, seed: int = 42, decay: float = 0.3, iterations: int = 10):
+    """Online LDA."""
+    return LDA(k=k, optimizer="online", seed=seed, learningDecay=decay, maxIter=iterations, featuresCol="features").fit(vectors)
+
+
+def principal_topic(distributed: DataFrame, column: str = "topicDistribution") -> DataFrame:
+    """Most likely topic of each row (0-based) and its probability."""
+    p = vector_to_array(column)
+    return distributed.withColumn("_p", p).withColumns({
+        "probability": F.array_max("_p"), "topic": (F.array_position("_p", F.array_max("_p")) - 1).cast("int"),
+    }).drop("_p", column)
+
+
+def focus_counts(rows: DataFrame, company: str, topic: str, topics: Sequence | None = None, probability: str | None = None, threshold: float = 0.5) -> DataFrame:
+    """Company × topic counts of rows with a clear topic; 0 where there is none."""
+    clear = rows if probability is None else rows.where(F.col(probability) > threshold)
+    topics = distinct_values(clear, topic) if topics is None else topics
+    return clear.groupBy(company).pivot(topic, list(topics)).count().fillna(0)
+
+
+def focus_scaled(counts: DataFrame, company: str) -> DataFrame:
+    return min_max_scale(counts, [c for c in counts.columns if c != company])
+
+
+def industry_deciles(counts: DataFrame, topics: Sequence[str]) -> DataFrame:
+    """(topic, prob, value): deciles over companies of each topic's count."""
+    return exact_quantiles(counts, topics, [round(0.1 * i, 1) for i in range(1, 10)]).withColumnRenamed("column", "topic")
+
+
+def focus_score(company_counts: DataFrame, deciles: DataFrame, topic: str = "topic", n: str = "n") -> DataFrame:
+    """100 · the last decile whose threshold is below the count, as a whole number; 10 if there is none.
+
+    ``company_counts`` has (…, topic, n). The deciles are nine rows per topic, folded into one array before the join.
+    """
+    steps = deciles.groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("prob", "value"))).alias("_steps"))  # nine entries
+    joined = company_counts.join(steps, company_counts[topic] == steps["topic"]).drop(steps["topic"])
+    last = F.array_max(F.transform(F.filter("_steps", lambda s: s["value"] < F.col(n)), lambda s: s["prob"]))
+    return joined.withColumn("score", F.floor(F.round(100 * F.coalesce(last, F.lit(0.1)), 6)).cast("int")).drop("_steps")
+
+
+def topic_terms(model, vectoriser: CountVectorizerModel, n: int = 200) -> DataFrame:
+    """(topic, term, weight) of the n heaviest terms per topic."""
+    described = model.describeTopics(n).select("topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("t"))
+    words = F.array(*[F.lit(w) for w in vectoriser.vocabulary])
+    if len(vectoriser.vocabulary) > 5000:  # too long for one literal: join instead
+        table = described.sparkSession.createDataFrame(list(enumerate(vectoriser.vocabulary)), "termIndices INT, term STRING")
+        return described.select("topic", "t.*").join(table, "termIndices").select("topic", "term", F.col("termWeights").alias("weight"))
+    return described.select("topic", F.get(words, F.col("t.termIndices")).alias("term"), F.col("t.termWeights").alias("weight"))
+
+
+def topic_distances(weights: DataFrame, topic: str, term: str, weight: str, topics: Sequence) -> DataFrame:
+    """Jensen-Shannon distance (square root of the divergence, natural log) of each pair of topics.
+
+    Each term brings its weights in all topics as one row; pairs of the few topics are built inside the row, so
+    the only shuffle is by term.
+    """
+    topics = list(topics)
+    totals = weights.groupBy(topic).agg(F.sum(weight).alias("_sum"))
+    shares = weights.join(totals, topic).select(topic, term, (F.col(weight) / F.col("_sum")).alias("_p"))
+    wide = shares.groupBy(term).agg(*[F.coalesce(F.sum(F.when(F.col(topic) == t, F.col("_p"))), F.lit(0.0)).alias(f"p{i}") for i, t in enumerate(topics)])
+
+    def part(a: Column, b: Column) -> Column:
+        m = (a + b) / 2
+        half = lambda v: F.when(v > 0, v * F.ln(v / m)).otherwise(0.0)
+        return (half(a) + half(b)) / 2
+
+    pairs = [(i, j) for i in range(len(topics)) for j in range(i + 1, len(topics))]
+    sums = wide.agg(*[F.sum(part(F.col(f"p{i}"), F.col(f"p{j}"))).alias(f"d{i}_{j}") for i, j in pairs])
+    rows = F.array(*[F.struct(F.lit(topics[i]).alias("x"), F.lit(topics[j]).alias("y"), F.sqrt(F.greatest(F.col(f"d{i}_{j}"), F.lit(0.0))).alias("distance")) for i, j in pairs])
+    return sums.select(F.explode(rows).alias("r")).select("r.*")

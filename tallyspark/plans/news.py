@@ -14,10 +14,10 @@ PART_THEMES = {"red": "E", "hot": "E", "small": "G", "blue": "G", "widget": "S",
 PART_ALIASES = {"tiny things": ["small", "brand#1"], "heat": ["hot"], "bolts": ["blue bolt"]}
 
 
-def part_articles(spark, sf):
-    """part as news bronze: two organisations per article, themes, two places, a tone."""
+def articles_of(part):
+    """part, as a table or a stream, in the shape of news bronze: two organisations, themes, two places, a tone."""
     code = lambda c: F.struct(c.cast("string").alias("countryCode"))
-    return table(spark, sf, "part").select(
+    return part.select(
         F.lit("2024-01-01").cast("date").alias("publishDate"), F.array("p_name", "p_brand").alias("organisations"), F.col("p_partkey").alias("documentIdentifier"),
         F.transform(F.split("p_name", " "), lambda w: F.concat(w, F.lit("_TOPIC"))).alias("themes"),
         F.array(code(F.col("p_size")), code(F.col("p_size") % 25)).alias("locations"), F.struct(F.col("p_retailprice").alias("tone")).alias("tone"),
@@ -34,7 +34,7 @@ def part_articles(spark, sf):
     FROM o""")
 def o1(spark, sf):
     codes = {str(i): f"C{i}" for i in range(3, 8)}
-    m = N.enrich(part_articles(spark, sf), PART_ALIASES, codes, PART_THEMES)
+    m = N.enrich(articles_of(table(spark, sf, "part")), PART_ALIASES, codes, PART_THEMES)
     return m.select(
         "organisation", "url", F.array_join(F.array_sort("themes"), ",").alias("themes"), "tone", F.array_join(F.array_sort("countries"), ",").alias("countries")
     )

@@ -9,7 +9,7 @@ from ..session import scratch
 from ..sources.incremental import file_stream
 from ..sources.tables import stream_table, table
 from ..streaming import medallion as M
-from .news import PART_ALIASES, PART_THEMES
+from .news import PART_ALIASES, PART_THEMES, articles_of
 from .registry import ORACLES, query, rnd
 
 LATE = "31 days"  # the events span a month and are not in time order
@@ -103,13 +103,7 @@ def i8(spark, sf):
 @query("i9_stream_enrichment", ORACLES.get("o1_enriched_mentions"))
 def i9(spark, sf):
     path = scratch(spark, "silver")
-    code = lambda c: F.struct(c.cast("string").alias("countryCode"))
-    articles = stream_table(spark, sf, "part").select(
-        F.lit("2024-01-01").cast("date").alias("publishDate"), F.array("p_name", "p_brand").alias("organisations"), F.col("p_partkey").alias("documentIdentifier"),
-        F.transform(F.split("p_name", " "), lambda w: F.concat(w, F.lit("_TOPIC"))).alias("themes"),
-        F.array(code(F.col("p_size")), code(F.col("p_size") % 25)).alias("locations"), F.struct(F.col("p_retailprice").alias("tone")).alias("tone"),
-    )
-    silver = N.enrich(articles, PART_ALIASES, {str(i): f"C{i}" for i in range(3, 8)}, PART_THEMES)
+    silver = N.enrich(articles_of(stream_table(spark, sf, "part")), PART_ALIASES, {str(i): f"C{i}" for i in range(3, 8)}, PART_THEMES)
     M.drain(M.append_sink(silver, scratch(spark, "progress")), path)
     return spark.read.parquet(path).select(
         "organisation", "url", F.array_join(F.array_sort("themes"), ",").alias("themes"), "tone", F.array_join(F.array_sort("countries"), ",").alias("countries")

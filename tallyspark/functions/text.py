@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,10 +33,28 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(WHITE))
 
 
-def clean_paragraph(text: Column | str) -> Column:
-    out = strip(clean_step(text, CLEANING_STEPS[0][0]))
+# A text without these cannot change in the step, which spares most paragraphs the costly patterns
+STEP_NEEDS = {
+    "split_word": lambda t: t.contains("-"),
+    "urls": lambda t: t.rlike(r"\.[a-zA-Z]{2}"),
+    "dots": lambda t: t.contains(".."),
+}
+
+
+def _clean_where(paragraphs: Column, name: str, need: Callable[[Column], Column]) -> Column:
+    return F.transform(paragraphs, lambda t: F.when(need(t), clean_step(t, name)).otherwise(t))
+
+
+def clean_paragraphs(paragraphs: Column) -> Column:
+    """All cleaning steps on each element.
+
+    One transform per step: its lambda variable is computed once, where nested CASE branches would repeat the
+    steps before them.
+    """
+    out = F.transform(paragraphs, lambda t: strip(clean_step(t, CLEANING_STEPS[0][0])))
     for name, _, _ in CLEANING_STEPS[1:]:
-        out = clean_step(out, name)
+        need = STEP_NEEDS.get(name, lambda t: F.lit(True))
+        out = _clean_where(out, name, need)
     return out
 
 
@@ -62,7 +82,7 @@ def sentences(text: Column | str) -> Column:
 def statements(text: Column | str, dash_continues: bool = False) -> Column:
     """ASCII filter, line joining, cleaning, sentence split; an array of sentences."""
     lines = join_broken_lines(printable_ascii(text), dash_continues)
-    return F.flatten(F.transform(F.transform(lines, clean_paragraph), sentences))
+    return F.flatten(F.transform(clean_paragraphs(lines), sentences))
 
 
 # Words without topic content; report words first, then common English words

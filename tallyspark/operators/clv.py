@@ -92,7 +92,7 @@ def score(metrics: DataFrame, m: L.BgNbd, g: L.GammaGamma, months: int = 12, dis
 
 def engagement_scores(x: Column | str, tx: Column | str, T: Column | str, m: L.BgNbd, horizons: Sequence[int] = (15, 30, 45)) -> Column:
     """[P(alive), expected purchases in each horizon] as one array."""
-    return F.array(L.p_alive(x, tx, T, m), *[L.expected_purchases(h, x, tx, T, m) for h in horizons])
+    return F.concat(F.array(L.p_alive(x, tx, T, m)), L.expected_purchases_at(horizons, x, tx, T, m))
 
 
 def holdout_evaluation(metrics: DataFrame, m: L.BgNbd, by: str, days: int) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,30 +56,31 @@ def fit_series(days: np.ndarray, y: np.ndarray, future: np.ndarray) -> dict[str,
     return {"yhat": yhat, "yhat_upper": yhat + 1.96 * spread * trend_f, "yhat_lower": yhat - 1.96 * spread * trend_f, "trend": trend_f, "weekly": weekly, "yearly": yearly}
 
 
-def _forecaster(keys: Sequence[str], horizon: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def run(history: pd.DataFrame) -> pd.DataFrame:
-        history = history.sort_values("ds")
-        ds = pd.to_datetime(history["ds"])
-        days = ds.to_numpy().astype("datetime64[D]").astype(np.int64).astype(float)
+def _forecaster(keys: Sequence[str], horizon: int) -> Callable[[pa.Table], pa.Table]:
+    def run(history: pa.Table) -> pa.Table:
+        days, y = history["day"].to_numpy().astype(float), history["y"].to_numpy()
+        order = np.argsort(days)
+        days, y = days[order], y[order]
         future = np.concatenate([days, days[-1] + np.arange(1, horizon + 1)])
-        out = pd.DataFrame(fit_series(days, history["y"].to_numpy(dtype=float), future))
-        out["ds"] = future.astype(np.int64).astype("datetime64[D]").astype("datetime64[ns]")
-        out["ds"] = out["ds"].dt.date
-        out["y"] = np.concatenate([history["y"].to_numpy(dtype=float), np.full(horizon, np.nan)])
-        for k in keys:
-            out[k] = history[k].iloc[0]
-        return out[["ds", *keys, "y", "yhat", "yhat_upper", "yhat_lower", "trend", "weekly", "yearly"]]
+        fitted = fit_series(days, y, future)
+        actual = pa.array(np.concatenate([y, np.zeros(horizon)]), mask=np.arange(len(future)) >= len(days))
+        names = pa.table({k: pa.repeat(history[k][0], len(future)) for k in keys})
+        out = {"day": pa.array(future.astype(np.int32)), **{k: names[k] for k in keys}, "y": actual}
+        return pa.table({**out, **{c: pa.array(v) for c, v in fitted.items()}})
 
     return run
 
 
 def forecast_groups(history: DataFrame, keys: Sequence[str], horizon: int = 90) -> DataFrame:
-    """Forecast every series: its history days and ``horizon`` days after; y is NULL in the future."""
-    fields = [T.StructField("ds", T.DateType()), *[history.schema[k] for k in keys]]
-    fields += [T.StructField(c, T.DoubleType()) for c in ("y", "yhat", "yhat_upper", "yhat_lower", "trend", "weekly", "yearly")]
-    grouped = by_key(history.select(*keys, "ds", "y"), *keys).groupBy(*keys)
-    out = grouped.applyInPandas(_forecaster(keys, horizon), T.StructType(fields))
-    return out.withColumn("y", F.nanvl("y", F.lit(None).cast("double")))
+    """Forecast every series: its history days and ``horizon`` days after; y is NULL in the future.
+
+    Groups travel as Arrow tables; with many short series building a pandas frame per group would cost more than the fit.
+    """
+    outputs = ("y", "yhat", "yhat_upper", "yhat_lower", "trend", "weekly", "yearly")
+    fields = [T.StructField("day", T.IntegerType()), *[history.schema[k] for k in keys], *[T.StructField(c, T.DoubleType()) for c in outputs]]
+    series = by_key(history.select(*keys, F.unix_date("ds").alias("day"), "y"), *keys)
+    out = series.groupBy(*keys).applyInArrow(_forecaster(keys, horizon), T.StructType(fields))
+    return out.select(F.date_from_unix_date("day").alias("ds"), *keys, *outputs)
 
 
 def components(forecast: DataFrame, keys: Sequence[str]) -> DataFrame:

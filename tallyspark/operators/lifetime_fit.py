@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lifetime import hyp2f1
+
 PARAMETERS = {"bgnbd": ("r", "alpha", "a", "b"), "pareto": ("r", "alpha", "s", "beta"), "gammagamma": ("p", "q", "v")}
 INPUTS = {"bgnbd": ("x", "tx", "t"), "pareto": ("x", "tx", "t"), "gammagamma": ("x", "m")}
 
@@ -30,17 +32,6 @@ def lgamma(z: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * log(2 * np.pi) + series - shift
 
 
-def hyp2f1(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """Gauss series for 0 <= z < 1, summed until the terms no longer matter."""
-    term = np.ones(np.broadcast_shapes(np.shape(a), np.shape(b), np.shape(c), np.shape(z)))
-    total, k = term.copy(), 0
-    while np.any(np.abs(term) > 1e-13 * np.abs(total)):
-        term = term * ((a + k) * (b + k) / ((c + k) * (k + 1.0)) * z)
-        total = total + term
-        k += 1
-    return total
-
-
 def bgnbd_loglik(theta: Sequence[float], d: dict[str, np.ndarray]) -> np.ndarray:
     r, alpha, a, b = theta
     x, tx, t = d["x"], d["tx"], d["t"]

@@ -167,5 +167,9 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int
 
 
 def by_key(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
-    """Hash repartition ahead of grouped work, so that the groups need no further shuffle."""
-    return df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
+    """Hash repartition ahead of grouped work, so that the groups need no further shuffle.
+
+    The number of partitions is given explicitly, because the adaptive planner would merge partitions by their
+    bytes while grouped Python work is bound by CPU.
+    """
+    return df.repartition(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

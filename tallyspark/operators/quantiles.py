@@ -1,8 +1,9 @@
 """Exact quantiles, quantile labels, histograms, scaling.
 
 Spark's ``percentile`` keeps every distinct value of a group in one task's memory. Here the values are counted
-first, spread over buckets cut at approximate quantiles, and only the buckets that hold a wanted rank are ranked.
-The answer is exact whatever the quality of the cuts.
+first and cut into ranges just below and above each wanted quantile, as an approximate sketch places it. Range
+sizes are counted exactly, and only the ranges that hold a wanted rank, a few in ten thousand of all values, are
+ranked. The answer is exact whatever the quality of the cuts.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (), halvings: int = 9) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:
     """Linearly interpolated quantiles. One row (keys…, column, prob, value) per key, column and probability."""
     group = [*keys, "column"]
     tall = df.select(
@@ -22,15 +23,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns])).alias("_kv"),
     ).select(*keys, "_kv.*").where("value IS NOT NULL")
     counts = tall.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n"))
-    buckets = 2**halvings
-    cuts = [i / buckets for i in range(1, buckets)]
-    edges = tall.groupBy(*group).agg(F.percentile_approx("value", cuts, 10_000).alias("edges"), F.count(F.lit(1)).alias("total"))
+    cuts = sorted({min(max(p + e, 0.0), 1.0) for p in probs for e in (-2 / accuracy, 2 / accuracy)})
+    halvings = len(cuts).bit_length()
+    edges = tall.groupBy(*group).agg(F.percentile_approx("value", cuts, accuracy).alias("edges"), F.count(F.lit(1)).alias("total"))
     edges = edges.withColumn("edges", F.array_distinct("edges"))
     placed = _join_group(counts, edges, group, small=not keys)
     placed = placed.withColumn("bucket", _edges_below("edges", "value", halvings))
 
     totals = placed.groupBy(*group, "bucket").agg(F.sum("n").alias("rows"), F.first("total").alias("total"))
-    by_bucket = W.partitionBy(*group).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)  # at most `buckets` rows
+    by_bucket = W.partitionBy(*group).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)  # one row per range
     offsets = totals.withColumn("offset", F.coalesce(F.sum("rows").over(by_bucket), F.lit(0)))
     wanted = F.array(*[F.lit(float(p)) for p in probs])
 

@@ -124,7 +124,9 @@ def m10(spark, sf):
 
 @query("m11_expected_purchases", "SELECT customer, " + ", ".join(f"round({expected_sql(float(t))}, 7) + 0.0 AS purchases_{t}" for t in (15, 30, 45)) + f" FROM {RFT}")
 def m11(spark, sf):
-    return rft(spark, sf, None).select("customer", *[rnd(L.expected_purchases(t, "frequency", "recency", "T", MODEL), 7).alias(f"purchases_{t}") for t in (15, 30, 45)])
+    days = (15, 30, 45)
+    e = rft(spark, sf, None).select("customer", L.expected_purchases_at(days, "frequency", "recency", "T", MODEL).alias("e"))
+    return e.select("customer", *[rnd(F.col("e")[i], 7).alias(f"purchases_{t}") for i, t in enumerate(days)])
 
 
 @query("m12_fit_gammagamma")

@@ -74,7 +74,9 @@ def n5(spark, sf):
 
 def _vectors(spark, sf):
     lemmas = statements(spark, sf).select("doc_id", "source", F.split(X.lemma("statement"), " ").alias("tokens"))
-    return Z.vectorise(materialize(lemmas, "lemmas"), "tokens", vocabulary=20_000, min_docs=2)
+    # training goes over these rows many times, so they are spread evenly once
+    even = lemmas.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return Z.vectorise(materialize(even, "lemmas"), "tokens", vocabulary=20_000, min_docs=2)
 
 
 def _topics(spark, sf):

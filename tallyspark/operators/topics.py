@@ -37,8 +37,12 @@ def stop_words(companies: DataFrame, company: str, base: Sequence[str] = X.COMMO
 
 
 def term_counts(docs: DataFrame, tokens: str, keys: Sequence[str] = (), stops: DataFrame | None = None) -> DataFrame:
-    """(keys…, term, n). Terms are counted before stop words are taken out, so the anti join sees few rows."""
-    counts = docs.select(*keys, F.explode(tokens).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
+    """(keys…, term, n). Terms are counted before stop words are taken out, so the anti join sees few rows.
+
+    The outer explode keeps the planner from adding a size filter that would tokenise each text a second time.
+    """
+    terms = docs.select(*keys, F.explode_outer(tokens).alias("term")).where("term IS NOT NULL")
+    counts = terms.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
     return counts if stops is None else counts.join(stops.select(F.col("word").alias("term")), "term", "left_anti")
 
 

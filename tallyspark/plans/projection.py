@@ -203,7 +203,7 @@ WORDS = """SELECT lang, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS
 def words(spark, sf):
     """(lang, term) for every run of plain letters in every document."""
     docs = table(spark, sf, "documents")
-    return docs.select("lang", F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("term")).where("length(term) > 0")
+    return docs.select("lang", F.explode_outer(F.split(F.lower("text"), "[^a-z]+")).alias("term")).where("length(term) > 0")
 
 
 @query("f4_top_terms_per_group", f"""

@@ -217,15 +217,26 @@ STARTS = {"bgnbd": (1.0, 1.0, 0.5, 2.0), "pareto": (1.0, 1.0, 0.5, 2.0)}
 TIME_UNITS = {"bgnbd": (False, True, False, False), "pareto": (False, True, False, True)}
 
 
+CELLS_PER_TASK = 4000
+
+
+def _kept(cells: DataFrame, top: str) -> tuple[DataFrame, DataFrame, float]:
+    """Cache the cells; give (cache, the same in as many partitions as their number is worth, mean or maximum)."""
+    cache = cells.persist()
+    value = F.max("t") if top == "t" else F.sum(F.col("m") * F.col("n")) / F.sum("n")
+    size, found = cache.agg(F.count(F.lit(1)), value).first()
+    return cache, cache.coalesce(max(1, -(-size // CELLS_PER_TASK))), float(found or 1.0)
+
+
 def fit_lifetime(cells: DataFrame, plan: Sequence[tuple[str, float]], steps: int = 25) -> list[list[float]]:
     """Parameters for each (model, l2) in ``plan``, in days."""
-    top = cells.agg(F.max("t")).first()[0] or 1.0
+    cache, kept, top = _kept(cells, "t")
     scale = 10.0 / top
-    scaled = cells.withColumns({"tx": F.col("tx") * scale, "t": F.col("t") * scale}).persist()
     try:
+        scaled = kept.withColumns({"tx": F.col("tx") * scale, "t": F.col("t") * scale})
         fitted = fit_all(scaled, [(m, STARTS[m], l2) for m, l2 in plan], steps)
     finally:
-        scaled.unpersist()
+        cache.unpersist()
     return [[v / scale if timed else v for v, timed in zip(p, TIME_UNITS[m])] for (m, _), p in zip(plan, fitted)]
 
 
@@ -238,13 +249,12 @@ def fit_pareto(cells: DataFrame, l2: float = 0.0) -> dict[str, float]:
 
 
 def fit_gammagamma(cells: DataFrame, l2: float = 0.0) -> dict[str, float]:
-    """The scale v starts near the mean spend, which only the data know."""
-    mean = cells.agg((F.sum(F.col("m") * F.col("n")) / F.sum("n")).alias("m")).first()["m"]
-    kept = cells.persist()
+    """The scale v starts at the mean spend, which only the data know."""
+    cache, kept, mean = _kept(cells, "m")
     try:
         return dict(zip(PARAMETERS["gammagamma"], fit_all(kept, [("gammagamma", (2.0, 3.0, mean), l2)])[0]))
     finally:
-        kept.unpersist()
+        cache.unpersist()
 
 
 def holdout_losses(holdout: DataFrame, fitted: Sequence[tuple[str, Sequence[float]]], days: float) -> DataFrame:

@@ -1,0 +1,15 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from tallyspark.session import build_session
+
+    session = build_session("local[4]", shuffle_partitions=4)
+    yield session
+    session.stop()

@@ -34,9 +34,9 @@ from .registry import query
 
 WINDOW, GRAM = 100, 32
 SEGMENT = 1 << 19
-TASK_FRAGMENTS = 600_000
-HOT_FRAGMENTS = 8192
-CHUNK_BYTES = 3 << 20
+TASK_FRAGMENTS = 300_000
+HOT_FRAGMENTS = 1024
+CHUNK_BYTES = 1 << 20
 NULL_ID = -(1 << 63)
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)

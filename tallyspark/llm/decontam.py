@@ -5,8 +5,9 @@ class in windows of three blocks of U/2 shingles, so every stretch as long as an
 item in a window is never tiny, however long the document. Each of `hashes` MinHash values is a band of its own: an item of
 which 0.8 stands in a window shares a value with a chance of 0.25 or more each, so 32 miss it once in 10,000 cases.
 
-Window values first pass a Bloom filter of fixed size over the items' values, then meet them in a join; every candidate
-pair is verified on the whole document: the share of the item's distinct shingles that occur in it.
+Window values first pass a Bloom filter of fixed size over the items' values; documents with a value that passes send those
+values and their distinct shingles on, all others nothing, so texts are read once and never shuffled. The values meet the
+items' in a join and every candidate pair is verified on the whole document: the share of the item's distinct shingles in it.
 
 Defined cases: null texts count as empty and hold nothing; items without a word are found nowhere; an item under five words
 is one shingle and found only in equal documents; null ids are carried along; rows that repeat id and text count once; rows
@@ -32,7 +33,7 @@ from .words import mix, shingle_hashes, word_hashes
 
 SHINGLE, THRESHOLD, HASHES = 5, 0.8, 32
 SMALLEST_CLASS = 8
-FILTER_BITS = 1 << 25
+FILTER_BITS, PROBES = 1 << 25, 2
 SLICE_BYTES = 1 << 20
 
 
@@ -75,7 +76,7 @@ def _item_rows(batches: Iterator[pa.RecordBatch], shingle: int, hashes: int) ->
 
 
 def _window_keys(batches: Iterator[pa.RecordBatch], shingle: int, hashes: int, classes: list[int], bits: Broadcast) -> Iterator[pa.RecordBatch]:
-    """(doc, digest, key) of window values that pass the filter."""
+    """Documents with window values that pass the filter: id, digest, keys, all distinct shingles."""
     factors, words = _factors(hashes), bits.value
     for batch in cut(batches, "text", SLICE_BYTES):
         values, ends = shingle_hashes(*word_hashes(*byte_view(batch.column(2))), shingle)
@@ -102,8 +103,10 @@ def _window_keys(batches: Iterator[pa.RecordBatch], shingle: int, hashes: int, c
                         has = np.flatnonzero(left > step)
                         window[has] = np.minimum(window[has], at[has + step])
                     key = band_key(window, band, size)
-                    spot = key.view(np.uint64) & np.uint64(FILTER_BITS - 1)
-                    hit = np.flatnonzero(words[(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8) & 1)
+                    hit = np.arange(len(key))
+                    for probe in range(PROBES):
+                        spot = key[hit] >> (25 * probe) & (FILTER_BITS - 1)
+                        hit = hit[np.flatnonzero(words[spot >> 3] >> (spot & 7).astype(np.uint8) & 1)]
                     out_row.append(owner[hit])
                     out_key.append(key[hit])
                 if size >= classes[-1]:
@@ -115,25 +118,11 @@ def _window_keys(batches: Iterator[pa.RecordBatch], shingle: int, hashes: int, c
                 at, first = np.minimum.reduceat(at, heads), above
         row, key = np.concatenate(out_row), np.concatenate(out_key)
         if len(row):
-            pairs = np.unique(np.stack((row, key)), axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(pairs[0])), batch.column(1).take(pa.array(pairs[0])), pa.array(pairs[1])], ["id", "digest", "key"])
-
-
-def _verify(batches: Iterator[pa.RecordBatch], shingle: int, threshold: float) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "digest", "item_id", "n_item_shingles", "n_shared", "containment"]
-    for batch in cut(batches, "text", SLICE_BYTES):
-        shingles, ends = shingle_hashes(*word_hashes(*byte_view(batch.column(2))), shingle)
-        keep, size, shared = [], [], []
-        for row, own in enumerate(batch.column(4).to_pylist()):
-            own = np.array(own, np.int64)
-            both = int(np.isin(own, shingles[ends[row] : ends[row + 1]].view(np.int64)).sum())
-            if both >= threshold * len(own):
-                keep.append(row)
-                size.append(len(own))
-                shared.append(both)
-        take = pa.array(keep, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(take), batch.column(1).take(take), batch.column(3).take(take), pa.array(size, pa.int64()), pa.array(shared, pa.int64()), pa.array([b / a for a, b in zip(size, shared)], pa.float64())], names)
+            row, key = np.unique(np.stack((row, key)), axis=1)
+            head = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+            own = pa.array(row[head])
+            sets = [np.unique(values[ends[r] : ends[r + 1]]).view(np.int64) for r in row[head]]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), pa.array(np.split(key, head[1:]), pa.list_(pa.int64())), pa.array(sets, pa.list_(pa.int64()))], ["id", "digest", "keys", "own"])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, hashes: int = HASHES) -> DataFrame:
@@ -146,21 +135,24 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     if not classes:
         return spark.createDataFrame([], schema)
     keys = made.select("item_id", "item_digest", F.explode("keys").alias("key")).distinct()
-    spot = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1))
-    set_bits = keys.groupBy(F.shiftright(spot, 3).alias("octet")).agg(F.bit_or(F.pow(F.lit(2), spot.bitwiseAND(F.lit(7))).cast("int")).alias("bits"))
+    spots = keys.select(F.explode(F.array(*(F.shiftright("key", 25 * k).bitwiseAND(F.lit(FILTER_BITS - 1)) for k in range(PROBES)))).alias("spot"))
+    set_bits = spots.groupBy(F.shiftright("spot", 3).alias("octet")).agg(F.bit_or(F.pow(F.lit(2), F.col("spot").bitwiseAND(F.lit(7))).cast("int")).alias("bits"))
     words = np.zeros(FILTER_BITS // 8, np.uint8)  # at most so many rows come to the driver, whatever the number of items
     filled = set_bits.toArrow()
     words[filled.column("octet").to_numpy()] = filled.column("bits").to_numpy().astype(np.uint8)
     bits = spark.sparkContext.broadcast(words)
     rows = rows_of(docs, "doc_id")
-    found = rows.mapInArrow(partial(_window_keys, shingle=shingle, hashes=hashes, classes=classes, bits=bits), "id long, digest long, key long")
-    pairs = found.join(keys, "key").select("id", "digest", "item_id", "item_digest").distinct()
-    # eqNullSafe keeps null ids
-    full = pairs.join(made.select(F.col("item_id").alias("i"), F.col("item_digest").alias("d"), "shingles"), F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_digest") == F.col("d")))
-    full = materialize(full.select(F.col("id").alias("doc"), F.col("digest").alias("of"), "item_id", "shingles"), "decontam-candidates")
-    texts = rows.dropDuplicates(["id", "digest"]) if docs.groupBy("doc_id").count().where("count > 1").limit(1).count() else rows
-    joined = texts.join(full, texts["id"].eqNullSafe(full["doc"]) & (texts["digest"] == full["of"])).select("id", "digest", "text", "item_id", "shingles")
-    return joined.mapInArrow(partial(_verify, shingle=shingle, threshold=threshold), schema)
+    hits = rows.mapInArrow(partial(_window_keys, shingle=shingle, hashes=hashes, classes=classes, bits=bits), "id long, digest long, keys array<bigint>, own array<bigint>")
+    hits = materialize(hits, "decontam-hits")
+    pairs = hits.select("id", "digest", F.explode("keys").alias("key")).join(keys, "key").select("id", "digest", "item_id", "item_digest").distinct()
+    # null ids are values too
+    items_of = made.select(F.col("item_id").alias("i"), F.col("item_digest").alias("d"), "shingles")
+    full = pairs.join(items_of, F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_digest") == F.col("d"))).select(F.col("id").alias("doc"), F.col("digest").alias("of"), "item_id", "shingles")
+    own = hits.dropDuplicates(["id", "digest"]).select("id", "digest", "own")
+    n, shared = F.size("shingles").cast("long"), F.size(F.array_intersect("own", "shingles")).cast("long")
+    joined = own.join(full, own["id"].eqNullSafe(full["doc"]) & (own["digest"] == full["of"]))
+    counted = joined.select(F.col("id").alias("doc_id"), "digest", "item_id", n.alias("n_item_shingles"), shared.alias("n_shared"))
+    return counted.where(F.col("n_shared") >= threshold * F.col("n_item_shingles")).withColumn("containment", F.col("n_shared") / F.col("n_item_shingles"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

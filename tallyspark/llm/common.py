@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.session import materialize
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -14,12 +14,19 @@ from tallyspark.session import materialize
 BATCH_BYTES = 1 << 20
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are long: fewer rows in an Arrow batch keep tasks small. Changes no result."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text (null: empty), so no further column of the input can clash."""
+    short_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 

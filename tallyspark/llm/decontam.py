@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.session import materialize
 
-from .common import byte_view, cut, table, text_digest
+from .common import byte_view, cut, short_batches, table, text_digest
 from .registry import query
 from .words import mix, shingle_hashes, word_hashes
 
@@ -51,6 +51,7 @@ def band_key(value: np.ndarray, band: int, size: int) -> np.ndarray:
 
 
 def rows_of(table_: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+    short_batches(table_.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     return table_.select(F.col(id_col).cast("long").alias("id"), text_digest(F.col(text_col)).alias("digest"), F.lower(text).alias("text"))
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.session import materialize
 
-from .common import byte_view, cut, table
+from .common import byte_view, cut, short_batches, table
 from .registry import query
 
 GRAM, SHARE = 4, 0.4
@@ -122,6 +122,7 @@ class Filters:
 
 def learn(docs: DataFrame, train_rows: Column, bits: int = CELL_BITS, hashes: int = HASHES, share: float = SHARE) -> Filters | None:
     """Filters from all training rows of `docs` (text, lang)."""
+    short_batches(docs.sparkSession)
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(train_rows).select(F.lower("text").alias("text"), F.col("lang").cast("string").alias("lang"))
     counts = materialize(rows.mapInArrow(_count, "lang string, gram long, number long").groupBy("gram", "lang").agg(F.sum("number").alias("number")), "langid-counts")
     totals = {r["lang"]: r["total"] for r in counts.groupBy("lang").agg(F.sum("number").alias("total")).collect()}

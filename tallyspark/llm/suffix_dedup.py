@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.session import materialize
 
-from .common import byte_view, cut, ranges, table, text_digest
+from .common import byte_view, cut, ranges, short_batches, table, text_digest
 from .registry import query
 
 WINDOW, GRAM = 100, 32
@@ -46,6 +46,7 @@ PLACE = np.dtype([("doc", "<i8"), ("digest", "<i8"), ("start", "<i8")])
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc (rank of the document), digest and text. The digest is 0 unless some id is repeated, which only ids are read for."""
+    short_batches(docs.sparkSession)
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc")
     repeated = docs.groupBy(doc).count().where("count > 1").limit(1).count()
     digest = text_digest(F.col(text_col)) if repeated else F.lit(0).cast("long")

@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 
 from tallyspark.session import materialize
 
-from .common import byte_view, cut, table
+from .common import byte_view, cut, short_batches, table
 from .registry import query
 from .words import word_hashes
 
-BUCKET_BITS = 22
+BUCKET_BITS = 21
 #: Documents the corpus prior counts for, and the least prior count of a bucket.
 PRIOR, FLOOR = 200.0, 0.1
 SHRINK, DRIFT = 3.0, 0.1
@@ -234,6 +234,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[floa
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: Column, fit_rows: int = FIT_ROWS) -> Weights:
     """`train_rows`: a condition on the label rows' `id`."""
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     marked = labels.select(F.col("doc_id").cast("long").alias("id"), "toxic").where("id IS NOT NULL AND toxic IN (0, 1)").where(train_rows)
     marked = materialize(marked, "toxicity-labels")

@@ -37,23 +37,27 @@ def _ridge(a: np.ndarray, b: np.ndarray, weight: float = 0.1) -> np.ndarray:
     return np.linalg.solve(a.T @ a + weight * np.eye(a.shape[1]), a.T @ b)
 
 
-def fit_series(days: np.ndarray, y: np.ndarray, future: np.ndarray) -> dict[str, np.ndarray]:
-    """Decompose one series and extend it. ``days`` and ``future`` count days since the epoch."""
+def fit_series(days: np.ndarray, y: np.ndarray, future: np.ndarray, yearly: bool = True) -> dict[str, np.ndarray]:
+    """Decompose one series and extend it. ``days`` and ``future`` count days since the epoch.
+
+    Seasonal parts are shares of the trend; where the trend crosses zero the share is taken of a small level of its sign.
+    """
     origin, length = days[0], max(days[-1] - days[0], 1)
     t, tf = (days - origin) / length, (future - origin) / length
-    line = np.polyfit(t, y, 1) if len(days) > 2 else np.array([0.0, y.mean()])
-    level = max(abs(y).mean() * 1e-3, 1e-9)
-    trend, trend_f = np.maximum(np.polyval(line, t), level), np.maximum(np.polyval(line, tf), level)
+    line = np.polyfit(t, y, 1) if len(days) > 1 else np.array([0.0, y.mean()])
+    level = max(abs(y).mean() * 0.05, 1e-9)
+    trend, trend_f = np.polyval(line, t), np.polyval(line, tf)
+    scale, scale_f = (np.where(x < 0, -1, 1) * np.maximum(np.abs(x), level) for x in (trend, trend_f))
     parts, widths = [_fourier(days, 7.0, WEEKLY_TERMS)], [2 * WEEKLY_TERMS]
-    if length >= 730:  # two years of history before a yearly shape is told from the trend
+    if yearly:
         parts.append(_fourier(days, 365.25, YEARLY_TERMS))
         widths.append(2 * YEARLY_TERMS)
-    beta = _ridge(np.hstack(parts), y / trend - 1)
+    beta = _ridge(np.hstack(parts), (y - trend) / scale)
     weekly = _fourier(future, 7.0, WEEKLY_TERMS) @ beta[: widths[0]]
-    yearly = _fourier(future, 365.25, YEARLY_TERMS) @ beta[widths[0] :] if len(widths) > 1 else np.zeros(len(future))
-    spread = float(np.std(y / trend - 1 - np.hstack(parts) @ beta))
-    yhat = trend_f * (1 + weekly + yearly)
-    return {"yhat": yhat, "yhat_upper": yhat + 1.96 * spread * trend_f, "yhat_lower": yhat - 1.96 * spread * trend_f, "trend": trend_f, "weekly": weekly, "yearly": yearly}
+    annual = _fourier(future, 365.25, YEARLY_TERMS) @ beta[widths[0] :] if len(widths) > 1 else np.zeros(len(future))
+    spread = float(np.std((y - trend) / scale - np.hstack(parts) @ beta))
+    yhat = trend_f + scale_f * (weekly + annual)
+    return {"yhat": yhat, "yhat_upper": yhat + 1.96 * spread * np.abs(scale_f), "yhat_lower": yhat - 1.96 * spread * np.abs(scale_f), "trend": trend_f, "weekly": weekly, "yearly": annual}
 
 
 def _forecaster(keys: Sequence[str], horizon: int) -> Callable[[pa.Table], pa.Table]:

@@ -130,9 +130,17 @@ def append_enforced(table: DataFrame, incoming: DataFrame, path: str) -> None:
 
 
 def append_evolving(df: DataFrame, path: str) -> DataFrame:
-    """Append with new columns; rows from before read NULL there."""
+    """Append with new columns; rows from before read NULL there. The table's columns come first, in their order, then the new ones.
+
+    An existing column may not change its type.
+    """
+    table = df.sparkSession.read.option("mergeSchema", True).parquet(path).schema
+    have = {f.name: f.dataType for f in table}
+    changed = [x for x in schema_differences(table, df.schema) if x.startswith("column ")]
+    if changed:
+        raise SchemaMismatch(changed)
     df.write.mode("append").parquet(path)
-    return df.sparkSession.read.option("mergeSchema", True).parquet(path)
+    return df.sparkSession.read.schema(T.StructType([*table, *(f for f in df.schema if f.name not in have)])).parquet(path)
 
 
 def compact(spark, path: str, out: str, target_bytes: int = 256 * 1024 * 1024) -> DataFrame:

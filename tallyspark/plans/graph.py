@@ -35,11 +35,6 @@ def o5(spark, sf):
     return G.co_mentions(news(spark, sf), MIN_WEIGHT, BLOCKED)
 
 
-@query("o5_all_pairs", EDGES.replace(f"HAVING sum(a.c * b.c) > {MIN_WEIGHT}", "")[1:-1])
-def o5_all(spark, sf):
-    return G.co_mentions(news(spark, sf), 0, BLOCKED)
-
-
 @query("o6_vertices", f"SELECT DISTINCT organisation AS id FROM {SCORES}")
 def o6(spark, sf):
     return G.vertices(scores(spark, sf))

@@ -150,22 +150,6 @@ def a13(spark, sf):
     )
 
 
-@query("a14_generated_loans")
-def a14(spark, sf):
-    return with_random_loan_columns(table(spark, sf, "orders").select(F.col("o_orderkey").alias("loan_id"), F.col("o_orderdate").alias("timestamp")))
-
-
-def with_random_loan_columns(base, seed: int = 7):
-    """Random measures on existing ids: amounts, a random state out of a list."""
-    from ..functions.scalars import random_choice
-
-    return (
-        base.withColumn("funded_amnt", (F.rand(seed) * 10000 + 5000).cast("int"))
-        .withColumn("paid_amnt", F.col("funded_amnt") - F.rand(seed + 1) * 2000)
-        .withColumn("addr_state", random_choice(["CA", "WA", "TX", "OR"], seed + 2))
-    )
-
-
 @query("a15_folder_stream", "SELECT event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 2) + 0.0 AS total FROM events GROUP BY event_type")
 def a15(spark, sf):
     source, target = scratch(spark, "landing"), scratch(spark, "target")

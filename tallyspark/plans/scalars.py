@@ -157,9 +157,11 @@ def h15(spark, sf):
     return table(spark, sf, "documents").select("doc_id", S.abbreviate("text").alias("short"))
 
 
-@query("h16_random_choice")
+@query("h16_random_choice", "SELECT o_orderkey, true AS is_option FROM orders")
 def h16(spark, sf):
-    return table(spark, sf, "orders").select("o_orderkey", S.random_choice(["CA", "WA", "TX", "OR"], 11).alias("state"))
+    segments = [r[0] for r in table(spark, sf, "customer").select("c_mktsegment").distinct().orderBy("c_mktsegment").collect()]  # a handful
+    chosen = S.random_choice(segments, 11)
+    return table(spark, sf, "orders").select("o_orderkey", chosen.isin(segments).alias("is_option"))
 
 
 @query("j1_row_functions_as_expressions", """

@@ -38,14 +38,12 @@ def query_files(spark: SparkSession, fmt: str, path: str, select: str = "*") ->
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: list[str] | None = None) -> DataFrame:
     """Write as Parquet and return a reader of the result.
 
-    With partition columns the rows are first grouped by them and, inside a partition value, by a hash of
-    the row, so that a hot value is written by several tasks and a small one does not scatter over all of them.
+    With partition columns the rows are rebalanced by them: the adaptive planner splits a hot value over as many tasks
+    as its bytes ask for and does not scatter a small one.
     """
     writer = df.write.mode(mode)
     if partition_by:
-        rest = [c for c in df.columns if c not in partition_by]
-        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rest]), F.lit(8))
-        writer = df.repartition(*partition_by, spread).write.mode(mode).partitionBy(*partition_by)
+        writer = df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.parquet(path)
 

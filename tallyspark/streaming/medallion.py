@@ -84,14 +84,3 @@ def replace_sink(stream: DataFrame, path: str, checkpoint: str, sort_by: Sequenc
         (batch.orderBy(*sort_by) if sort_by else batch).write.mode("overwrite").parquet(path)
 
     return stream.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(replace)
-
-
-def generated_loans(spark: SparkSession, rows_per_second: int = 500, seed: int = 1) -> DataFrame:
-    """Unbounded synthetic loans from the rate source."""
-    from ..functions.scalars import random_choice
-
-    rate = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
-    return rate.select(
-        F.col("value").alias("loan_id"), "timestamp", (F.rand(seed) * 10000 + 5000).cast("int").alias("funded_amnt"),
-        (F.rand(seed + 1) * 2000).alias("paid_amnt"), random_choice(["CA", "WA", "TX", "OR"], seed + 2).alias("addr_state"),
-    )

@@ -82,3 +82,10 @@ def test_trees_learn_and_importance_finds_the_signal(spark):
     out = I.what_if(model, df.withColumn("g", F.lit(1)), ["a", "b"], "a", [1.0, 9.0], "g", [1]).orderBy("a").collect()
     assert out[0]["1"] < out[1]["1"]
     assert I.score_unseen(model, df.where("id < 10"), df.where("id >= 590"), ["a", "b"], "y", ["id"]).groupBy("predicted").count().count() == 2
+
+
+def test_falling_and_negative_series_keep_their_trend():
+    days = np.arange(18000.0, 18100.0)
+    for y in (50 - np.arange(100.0), -5 - 0.1 * np.arange(100.0)):
+        got = P.fit_series(days, y, days)
+        assert np.abs(got["yhat"] - y).max() < 1e-6

@@ -66,8 +66,3 @@ def test_bronze_to_silver(spark):
     raw = spark.createDataFrame([(bytearray(b'{"browser": "Firefox", "k": 3}'), dt.datetime(2024, 1, 2, 3))], "data BINARY, at TIMESTAMP")
     silver = S.bronze_to_silver(S.raw_to_bronze(raw, "data", "at"), "browser STRING, k INT", ["browser"]).first()
     assert silver["browserCleaned"] == "firefox" and silver["k"] == 3 and silver["arrivalDate"] == dt.date(2024, 1, 2)
-
-
-def test_rate_source_columns(spark):
-    loans = S.generated_loans(spark, 10)
-    assert loans.isStreaming and loans.columns == ["loan_id", "timestamp", "funded_amnt", "paid_amnt", "addr_state"]

@@ -1,5 +1,8 @@
 """Toxicity: maximum-scoring segment search over token log-odds with Dirichlet priors, extreme-value calibrated.
 
+Training rows. The classifier learns from at most `LABEL_ROWS` labelled training rows, the first by a hash of their id, so
+they reach every task as a broadcast of bounded size and no text is shuffled. With fewer such rows all are used.
+
 Counting. One pass over all documents gives each token bucket its count in the whole corpus (the Dirichlet prior) and the
 number of toxic and clean training documents it occurs in. A token's weight is its posterior log-odds, drawn to zero by
 `shrink` standard deviations, so rare tokens weigh nothing. Buckets are a fixed-size hash of words.
@@ -9,7 +12,7 @@ positive score open or join one, so the scan visits those and reads the rest fro
 
 Calibration. Best segment scores of texts without toxic passages follow an extreme-value law whose rate solves
 sum p * exp(rate * score) = 1 over the corpus. A text's features are the excess of its best segment, the sum of the
-excesses of all significant segments (E-value below 1) and their number; a logistic fit on at most `FIT_ROWS` labelled
+excesses of all significant segments (E-value below 1) and their number; a logistic fit on one in `CALIBRATION` of the
 training rows turns them into a probability.
 
 Defined cases: null text counts as empty and gets the score of a text without any segment; rows with a null id or a null
@@ -39,7 +42,8 @@ BUCKET_BITS = 21
 #: Documents the corpus prior counts for, and the least prior count of a bucket.
 PRIOR, FLOOR = 200.0, 0.1
 SHRINK, DRIFT = 3.0, 0.1
-FIT_ROWS = 50_000
+#: Most labelled rows the classifier learns from.
+LABEL_ROWS = 20_000
 #: One training document in so many calibrates, by a hash of its id; the weights it is scored with for that come from the others.
 CALIBRATION = 4
 COUNTS = ["n_all", "toxic_fit", "clean_fit", "toxic_cal", "clean_cal"]
@@ -168,11 +172,11 @@ def calibrates(doc_id: Column) -> Column:
 
 
 def count_tokens(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Counts per bucket over all documents. `docs`: id, text; `labels`: id, toxic (training rows only)."""
+    """Counts per bucket over all documents. `docs`: id, text; `labels`: id, toxic (the bounded training rows only)."""
     cal = calibrates(F.col("id"))
     kinds = {"toxic_fit": ~cal & (F.col("toxic") == 1), "clean_fit": ~cal & (F.col("toxic") == 0), "toxic_cal": cal & (F.col("toxic") == 1), "clean_cal": cal & (F.col("toxic") == 0)}
     marks = labels.groupBy("id").agg(*(F.count_if(c).alias(name) for name, c in kinds.items()))
-    joined = docs.join(marks, "id", "left").select(F.lower("text").alias("text"), *(F.coalesce(name, F.lit(0)).alias(name) for name in kinds))
+    joined = docs.join(F.broadcast(marks), "id", "left").select(F.lower("text").alias("text"), *(F.coalesce(name, F.lit(0)).alias(name) for name in kinds))
     counts = joined.mapInArrow(_counts, ", ".join(["bucket long", *(f"{c} long" for c in COUNTS)]))
     return materialize(counts.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in COUNTS)), "toxicity-counts")
 
@@ -232,20 +236,19 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[floa
     return tuple(float(b) for b in beta)
 
 
-def train(docs: DataFrame, labels: DataFrame, train_rows: Column, fit_rows: int = FIT_ROWS) -> Weights:
-    """`train_rows`: a condition on the label rows' `id`."""
+def train(docs: DataFrame, labels: DataFrame, train_rows: Column, label_rows: int = LABEL_ROWS) -> Weights:
+    """`train_rows`: a condition on the label rows' `id`; at most `label_rows` of those that meet it are learned from."""
     short_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     marked = labels.select(F.col("doc_id").cast("long").alias("id"), "toxic").where("id IS NOT NULL AND toxic IN (0, 1)").where(train_rows)
-    marked = materialize(marked, "toxicity-labels")
+    marked = materialize(marked.orderBy(F.xxhash64("id", F.lit(1)), "id", "toxic").limit(label_rows), "toxicity-labels")
     counts = count_tokens(rows, marked)
     cal = calibrates(F.col("id"))
     known = marked.agg(*(F.count_if((F.col("toxic") == t) & c) for c in (~cal, cal) for t in (1, 0))).first()
     part = learn_weights(counts, F.col("toxic_fit"), F.col("clean_fit"), known[0], known[1])
     weights = learn_weights(counts, F.col("toxic_fit") + F.col("toxic_cal"), F.col("clean_fit") + F.col("clean_cal"), known[0] + known[2], known[1] + known[3])
     shared = docs.sparkSession.sparkContext.broadcast(part)
-    sample = marked.where(cal).orderBy(F.xxhash64("id", F.lit(1)), "id", "toxic").limit(fit_rows)
-    scored = rows.join(sample, "id").select("toxic", feature_column(F.col("text"), shared).alias("f")).select("toxic", "f.*").toArrow()
+    scored = rows.join(F.broadcast(marked.where(cal)), "id").select("toxic", feature_column(F.col("text"), shared).alias("f")).select("toxic", "f.*").toArrow()
     x, y = np.column_stack([scored.column(c).to_numpy() for c in ("best", "total", "number")]), scored.column("toxic").to_numpy().astype(float)
     if 0 < y.sum() < len(y):
         weights.fit = fit_logistic(x, y)

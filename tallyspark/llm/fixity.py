@@ -6,8 +6,9 @@ that differ; in the ranges it ends at, records are compared one by one. Each nod
 range at most as many records as bytes fit it, so no group grows with the archive.
 
 Defined cases: null bytes count as empty; null archives and ids are values of their own; an archive that only one replica has
-is missing or extra with all its records; repeated records stand at their own offsets; empty replicas have no records and no
-roots, and two empty ones agree.
+is missing or extra with all its records; repeated records stand at their own offsets, empty ones at that of the record behind
+them; another id at an offset is one record missing and one extra; repeats of one id at one offset are reported in one row;
+empty replicas have no records and no roots, and two empty ones agree.
 """
 
 from __future__ import annotations
@@ -95,11 +96,14 @@ def audit(ours: DataFrame, theirs: DataFrame, range_bytes: int = RANGE_BYTES, fa
     wanted = open_nodes.select(F.col("archive").alias("__a"), F.col("node").alias("__n"))
     near = [x.join(wanted, F.col("archive").eqNullSafe(F.col("__a")) & (F.floor(F.col("offset") / range_bytes) == F.col("__n")), "left_semi") for x in (ours, theirs)]
     sides = near[0].withColumn("side", F.lit(0)).unionByName(near[1].withColumn("side", F.lit(1)))
-    record = F.struct("record_id", "n_bytes", "digest")
-    met = sides.groupBy("archive", "offset").agg(F.max(F.when(F.col("side") == 0, record)).alias("ours"), F.max(F.when(F.col("side") == 1, record)).alias("theirs"))
-    status = F.when(F.col("theirs").isNull(), "missing").when(F.col("ours").isNull(), "extra").when(~F.col("ours").eqNullSafe(F.col("theirs")), "changed")
-    found = met.withColumn("status", status).where("status IS NOT NULL").withColumn("record", F.coalesce("ours", "theirs"))
-    return found.select("archive", "offset", F.col("record.record_id").alias("record_id"), F.col("record.n_bytes").alias("n_bytes"), "status")
+    # empty records share the offset of the one behind them: at most one at an offset has bytes, so least, greatest and number tell all
+    record = F.struct("n_bytes", "digest")
+    sums = [f(F.when(F.col("side") == side, x)).alias(f"{name}{side}") for side in (0, 1) for name, f, x in (("least", F.min, record), ("most", F.max, record), ("copies", F.count, F.lit(1)))]
+    met = sides.groupBy("archive", "offset", "record_id").agg(*sums)
+    same = F.col("least0").eqNullSafe(F.col("least1")) & F.col("most0").eqNullSafe(F.col("most1")) & (F.col("copies0") == F.col("copies1"))
+    status = F.when(F.col("copies1") == 0, "missing").when(F.col("copies0") == 0, "extra").when(~same, "changed")
+    found = met.withColumn("status", status).where("status IS NOT NULL").withColumn("record", F.coalesce("most0", "most1"))
+    return found.select("archive", "offset", "record_id", F.col("record.n_bytes").alias("n_bytes"), "status")
 
 
 #: The replica of the query: a copy of the pages' records with damage by the hash of the id, and the first page of each 4,096th

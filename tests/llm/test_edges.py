@@ -1,6 +1,9 @@
-"""Nulls, empty texts, repeated rows and empty tables."""
+"""Nulls, empty texts, repeated rows, empty tables and clashing column names."""
 
-from tallyspark.llm import decontam, langid, line_dedup, page_text
+import numpy as np
+from pyspark.sql import functions as F
+
+from tallyspark.llm import decontam, fixity, langid, line_dedup, neighbours, page_text, toxicity
 
 
 def test_lines(spark):
@@ -32,3 +35,69 @@ def test_languages_without_training_rows(spark):
     assert langid.learn(docs, docs["doc_id"] > 0) is None
     lang, score = langid.predict(docs, None)
     assert {(r["lang_pred"], r["score"]) for r in docs.select(lang, score).collect()} == {("und", 0.0)}
+
+
+def test_languages(spark):
+    rows = [(i, "the weather is fine and the water is cold", "en") for i in range(5)] + [(i, "das wetter ist heute sehr kalt und nass", "de") for i in range(5, 9)]
+    rows += [(20, "das wetter ist kalt", None), (21, None, "en"), (22, "", None), (23, "12 34 !", None), (None, "the water is fine", None), (24, "zzzz qqqq", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("x"))
+    lang, score = langid.predict(docs, langid.learn(docs, F.coalesce(docs["doc_id"] < 20, F.lit(True))))
+    got = {r["doc_id"]: (r["lang_pred"], r["s"]) for r in docs.select("doc_id", lang, score.alias("s")).collect()}
+    assert got[20][0] == "de" and got[None][0] == "en" and got[21] == got[22] == got[23] == ("und", 0.0) and got[24] == ("en", 0.0)
+    empty = docs.limit(0)
+    assert langid.learn(empty, F.lit(True)) is None
+
+
+def test_links_defined_cases(spark):
+    nan = float("nan")
+    rows = [(1, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (3, [0.999, 0.01], 0), (4, [1.0, 0.0], 1), (5, [0.0, 0.0], 0), (6, None, 0), (7, [1.0, 0.0], None), (8, [1.0, None], 0)]
+    rows += [(9, [nan, 0.0], 0), (10, [1.0, 0.0, 0.0], 0), (None, [0.0, 1.0], 0)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("node", F.lit("x"))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in neighbours.near_duplicates(vectors).collect()}
+    assert got == {1: (2, 1, True), 2: (2, 1, False), 3: (2, 1, False), None: (0, None, True), **{i: (0, i, True) for i in range(4, 11)}}
+    assert neighbours.near_duplicates(vectors.limit(0)).count() == 0
+
+
+def test_links_against_all_pairs(spark):
+    rng = np.random.default_rng(1)
+    middles = rng.normal(size=(8, 16))
+    points = (middles[rng.integers(0, 8, 200)] + rng.normal(size=(200, 16)) * 0.1).astype(np.float32)
+    points[:40] = points[0]
+    vectors = spark.createDataFrame([(i, p.tolist(), i % 2) for i, p in enumerate(points)], "vec_id long, embedding array<float>, label int")
+    unit = points.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.98) & (np.arange(200)[:, None] % 2 == np.arange(200) % 2)
+    got = {r["vec_id"]: r["n_links"] for r in neighbours.near_duplicates(vectors).collect()}
+    assert [got[i] for i in range(200)] == (near.sum(1) - 1).tolist() and near.sum() > 200
+
+
+def test_toxicity_defined_cases(spark):
+    bad, good = "vile hateful slur spat at them", "calm and friendly note for you"
+    rows = [(i, bad if i % 2 else good) for i in range(200)] + [(None, bad), (1000, None), (1001, ""), (7, bad)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("toxic", F.lit("x")).withColumn("id", F.lit("y"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(None, 1), (4, None), (5, 1)], "doc_id long, toxic int")
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted([str(i) for i in range(0, 200, 2)] + ["1000", "1001"])
+    assert toxicity.drop_toxic(docs.limit(0), labels).count() == 0
+    weights = toxicity.train(docs, labels.limit(0), F.col("id") >= 0)
+    scores = docs.select(toxicity.toxic_scores(docs, weights).alias("s")).distinct().collect()
+    assert [r["s"] for r in scores] == [0.5]
+    few = toxicity.train(docs, labels, F.col("id") >= 0, label_rows=40)
+    assert {r["s"] > 0.5 for r in docs.where(docs["text"] == bad).select(toxicity.toxic_scores(docs, few).alias("s")).collect()} == {True}
+
+
+def test_fixity_defined_cases(spark):
+    rows = [("a", i, bytes([65 + i]) * (10 * i)) for i in range(8)] + [("a", None, b"n"), (None, 1, b"x"), (None, 2, None), (None, 2, None), (None, 3, b"zz"), ("b", 1, b"r"), ("b", 1, b"r")]
+    records = spark.createDataFrame(rows, "archive string, record_id long, bytes binary").withColumn("offset", F.lit("x"))
+    ours = fixity.lay_out(records.drop("offset"))
+    small = {"range_bytes": 32, "fanout": 2}
+    assert fixity.audit(ours, ours, **small).count() == 0
+    assert fixity.audit(ours.limit(0), ours.limit(0), **small).count() == 0
+    hit = F.coalesce((F.col("archive") == "a") & (F.col("record_id") == 3), F.lit(False))
+    lost = F.coalesce(((F.col("archive") == "a") & (F.col("record_id") == 6)) | (F.col("archive") == "b"), F.lit(False)) | (F.col("archive").isNull() & F.coalesce(F.col("record_id") == 2, F.lit(False)))
+    theirs = ours.withColumn("digest", F.when(hit, "other").otherwise(F.col("digest"))).where(~lost)
+    theirs = theirs.unionByName(ours.where(F.coalesce(F.col("archive") == "b", F.lit(False))).withColumn("archive", F.lit("new")))
+    got = sorted((str(r["archive"]), r["record_id"], r["n_bytes"], r["status"]) for r in fixity.audit(ours, theirs, **small).collect())
+    # the two empty records share an offset and an id
+    assert got == sorted([("a", 3, 30, "changed"), ("a", 6, 60, "missing"), ("b", 1, 1, "missing"), ("b", 1, 1, "missing"), ("None", 2, 0, "missing"), ("new", 1, 1, "extra"), ("new", 1, 1, "extra")])

@@ -102,15 +102,17 @@ COMMON_STOP_WORDS = [
 SUFFIXES = ["ational", "ization", "fulness", "ousness", "iveness", "ations", "ments", "ement", "ation", "ingly", "edly", "ness", "ment", "ings", "ies", "ing", "ers", "est", "ful", "ous", "ive", "ed", "er", "ly", "es", "s"]
 
 
-def tokens(text: Column | str) -> Column:
-    """Lower-case runs of letters, 2 to 15 long."""
-    words = F.split(F.lower(as_col(text)), "[^a-z]+")
-    return F.filter(words, lambda w: F.length(w).between(2, 15))
+def tokens(text: Column | str, min_length: int = 1, max_length: int | None = None) -> Column:
+    """Lower-case runs of letters of any alphabet; length limits only on request."""
+    words = F.split(F.lower(as_col(text)), r"[^\p{L}]+")
+    if max_length is not None:
+        return F.filter(words, lambda w: F.length(w).between(min_length, max_length))
+    return F.filter(words, lambda w: F.length(w) >= min_length)
 
 
 def stem(word: Column) -> Column:
     """Drop the longest known suffix that leaves at least three letters."""
-    return F.regexp_replace(word, "^([a-z]{3,}?)(" + "|".join(SUFFIXES) + ")$", "$1")
+    return F.regexp_replace(word, r"^(\p{L}{3,}?)(" + "|".join(SUFFIXES) + ")$", "$1")
 
 
 def lemma(text: Column | str, min_length: int = 4) -> Column:

@@ -6,6 +6,7 @@ short. The driver sees one number per round.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -42,6 +43,23 @@ def co_mentions(mentions: DataFrame, min_weight: int, blocked: Sequence = (), ur
     return pairs.select(F.explode(both).alias("e"), "relationship").select("e.src", "e.dst", "relationship")
 
 
+def usual_weight(mentions: DataFrame, blocked: Sequence = (), deviations: float = 1.4, url: str = "url", organisation: str = "organisation") -> int:
+    """Whole part of the mean weight over all pairs of organisations plus so many of its square roots.
+
+    An edge threshold that follows the data. The sum over pairs is (all mentions)² less the squares of each
+    organisation's own, article by article, so no pair is built.
+    """
+    named = mentions.select(F.col(url).alias("url"), F.col(organisation).alias("org")).where(F.col("org").isNotNull())
+    if blocked:
+        named = named.where(~F.col("org").isin(list(blocked)))
+    counts = named.groupBy("url", "org").agg(F.count(F.lit(1)).alias("c"))
+    articles = counts.groupBy("url").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("w"))
+    total = articles.agg(F.sum("w")).first()[0] or 0
+    n = named.agg(F.countDistinct("org")).first()[0]
+    mean = total / (n * (n - 1)) if n > 1 else 0.0
+    return math.floor(mean + deviations * math.sqrt(mean))
+
+
 def vertices(scores: DataFrame) -> DataFrame:
     return scores.select(F.col("organisation").alias("id")).distinct()
 
@@ -106,7 +124,10 @@ def personalised_ranks(
     start = materialize(start, "landmarks")
     ranks, before, done = start.withColumn("rank", F.lit(1.0)), None, 0
     while done < iterations:
-        for _ in range(min(cut_every, iterations - done)):
+        steps = min(cut_every, iterations - done)
+        for step in range(steps):
+            if tolerance is not None and step == steps - 1 and step:
+                ranks = materialize(ranks, "ranks")  # read twice: by the round and by its difference
             before = ranks
             spread = ranks.join(hubs, "id", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
             sent = spread.withColumnRenamed("id", "src").join(links, ["src", "part"]).select(

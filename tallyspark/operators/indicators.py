@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import value_or_display, year_range
+from ..session import materialize
 from .relational import sweep
 
 # Fixed values of the indicator rules
@@ -80,7 +81,7 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def fit_trees(df: DataFrame, features: Sequence[str], label: str, validation: Column, seed: int = 42, **params) -> GBTRegressionModel:
     """Boosted trees; rows with ``validation`` true are held out and stop the boosting."""
-    options = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.2, "subsamplingRate": 0.8, **params}
+    options = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.2, "subsamplingRate": 1.0, **params}
     data = assemble(df, features).withColumn("_held_out", validation).select("features", F.col(label).cast("double").alias("label"), "_held_out")
     return GBTRegressor(featuresCol="features", labelCol="label", validationIndicatorCol="_held_out", seed=seed, **options).fit(data)
 
@@ -107,15 +108,25 @@ def search_trees(df: DataFrame, features: Sequence[str], label: str, trials: int
 def permutation_importance(model, df: DataFrame, features: Sequence[str], label: str, seed: int = 7) -> DataFrame:
     """(feature, rise): growth of the squared error when a feature takes the value of some other row.
 
-    The values are shuffled by pairing each row with another one through a hash order within hash buckets, all
-    features in one pass over the data; the model runs on each variant.
+    Rows get positions 0 to n - 1 in an arbitrary order: their place within a written part plus the number of rows in
+    the parts before. Position p takes its values from position p + s of the ring, with s between 1 and n - 1, so no row
+    keeps its own; equal rows hold different positions. ``seed`` chooses the order and s. With one row the rise is 0.
     """
-    from pyspark.sql import Window as W
-
     base = df.select(*[F.col(f).cast("double").alias(f) for f in features], F.col(label).cast("double").alias("_y"))
-    base = base.withColumn("_h", F.xxhash64(F.lit(seed), *features)).withColumn("_b", F.pmod("_h", F.lit(4096)))
-    w = W.partitionBy("_b").orderBy("_h", "_y")
-    other = base.withColumns({f"_o_{f}": F.coalesce(F.lag(f).over(w), F.last(f).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))) for f in features})
+    # parts by a hash of the whole row and a number within its input part, which spreads equal rows
+    spread = base.withColumn("_k", F.xxhash64(F.lit(seed), *features, "_y", F.monotonically_increasing_id()))
+    spread = materialize(spread.repartition("_k").sortWithinPartitions("_k").drop("_k").withColumn("_id", F.monotonically_increasing_id()), "permuted")
+    # the part number is the upper 31 bits of the id, the place within the part the lower 33
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = [(r["part"], r["n"]) for r in spread.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()]  # one row per task
+    total, before = 0, {}
+    for number, n in sizes:
+        before[number], total = total, total + n
+    offsets = df.sparkSession.createDataFrame(list(before.items()), "_part LONG, _before LONG")
+    shift = int(np.random.default_rng(seed).integers(1, total)) if total > 1 else 0
+    placed = spread.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn("_p", F.col("_before") + place)
+    values = placed.select(F.pmod(F.col("_p") - shift, F.lit(max(total, 1))).alias("_p"), *[F.col(f).alias(f"_o_{f}") for f in features])
+    other = placed.join(values, "_p")
     variants = [F.struct(F.lit("").alias("feature"), *[F.col(f) for f in features])]
     variants += [F.struct(F.lit(v).alias("feature"), *[F.col(f"_o_{f}" if f == v else f).alias(f) for f in features]) for v in features]
     rows = other.select("_y", F.explode(F.array(*variants)).alias("v")).select("_y", "v.*")

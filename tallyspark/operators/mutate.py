@@ -35,7 +35,14 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     for k in keys:
         condition = condition & (F.col(f"_s_{k}") == F.col(f"_c_{k}"))
     tagged = tagged.join(counts, condition, "left")
-    joined = target.withColumn("_in_target", F.lit(True)).join(tagged, _on(target, tagged, keys, "_s_"), "full")
+    # rows with a NULL key have no match and stay out of the full join, where they would all meet in one task
+    whole, source_whole = F.lit(True), F.lit(True)
+    for k in keys:
+        whole, source_whole = whole & F.col(k).isNotNull(), source_whole & F.col(f"_s_{k}").isNotNull()
+    marked, keyed = target.withColumn("_in_target", F.lit(True)), tagged.where(source_whole)
+    matched = marked.where(whole)
+    joined = matched.join(keyed, _on(matched, keyed, keys, "_s_"), "full")
+    joined = joined.unionByName(marked.where(~whole), allowMissingColumns=True).unionByName(tagged.where(~source_whole), allowMissingColumns=True)
     twice = F.col("_in_target") & F.coalesce(F.col("_copies") > 1, F.lit(False))
     from_source = F.when(twice, F.raise_error(F.lit("merge: several source rows match one target row"))).otherwise(F.coalesce("_in_source", F.lit(False)))
     out = [F.when(F.col("_use"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in source.columns else F.col(c) for c in target.columns]

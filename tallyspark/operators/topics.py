@@ -46,14 +46,23 @@ def term_counts(docs: DataFrame, tokens: str, keys: Sequence[str] = (), stops: D
     return counts if stops is None else counts.join(stops.select(F.col("word").alias("term")), "term", "left_anti")
 
 
-def vectorise(docs: DataFrame, tokens: str, vocabulary: int = 1 << 16, min_docs: int = 1) -> tuple[CountVectorizerModel, DataFrame]:
-    model = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=vocabulary, minDF=min_docs).fit(docs)
+def vectorise(docs: DataFrame, tokens: str, stops: DataFrame | None = None, largest: int = 1 << 22) -> tuple[CountVectorizerModel, DataFrame]:
+    """Term count vectors over every term that is not in ``stops``; terms are ordered by count.
+
+    The model keeps its vocabulary on the driver, so more than ``largest`` terms are an error; none is cut. Vectors
+    of rows without any term are empty.
+    """
+    terms = term_counts(docs, tokens, stops=stops).orderBy(F.desc("n"), "term").select("term").limit(largest + 1).toPandas()["term"]
+    if len(terms) > largest:
+        raise ValueError(f"more than {largest} distinct terms")
+    model = CountVectorizerModel.from_vocabulary(list(terms) or [""], inputCol=tokens, outputCol="features")
     return model, model.transform(docs)
 
 
-def fit_topics(vectors: DataFrame, k: int = 9, seed: int = 42, decay: float = 0.3, iterations: int = 10):
-    """Online LDA."""
-    return LDA(k=k, optimizer="online", seed=seed, learningDecay=decay, maxIter=iterations, featuresCol="features").fit(vectors)
+def fit_topics(vectors: DataFrame, k: int = 9, seed: int = 42, decay: float = 0.3, share: float = 0.5, iterations: int = 20):
+    """Online LDA; ``share`` of the rows per step times ``iterations`` is the number of passes over the data, ten by default."""
+    lda = LDA(k=k, optimizer="online", seed=seed, learningDecay=decay, subsamplingRate=share, maxIter=iterations, featuresCol="features")
+    return lda.fit(vectors)
 
 
 def principal_topic(distributed: DataFrame, column: str = "topicDistribution") -> DataFrame:
@@ -94,11 +103,8 @@ def focus_score(company_counts: DataFrame, deciles: DataFrame, topic: str = "top
 def topic_terms(model, vectoriser: CountVectorizerModel, n: int = 200) -> DataFrame:
     """(topic, term, weight) of the n heaviest terms per topic."""
     described = model.describeTopics(n).select("topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("t"))
-    words = F.array(*[F.lit(w) for w in vectoriser.vocabulary])
-    if len(vectoriser.vocabulary) > 5000:  # too long for one literal: join instead
-        table = described.sparkSession.createDataFrame(list(enumerate(vectoriser.vocabulary)), "termIndices INT, term STRING")
-        return described.select("topic", "t.*").join(table, "termIndices").select("topic", "term", F.col("termWeights").alias("weight"))
-    return described.select("topic", F.get(words, F.col("t.termIndices")).alias("term"), F.col("t.termWeights").alias("weight"))
+    table = described.sparkSession.createDataFrame(list(enumerate(vectoriser.vocabulary)), "termIndices INT, term STRING")
+    return described.select("topic", "t.*").join(table, "termIndices").select("topic", "term", F.col("termWeights").alias("weight"))
 
 
 def topic_distances(weights: DataFrame, topic: str, term: str, weight: str, topics: Sequence) -> DataFrame:

@@ -11,19 +11,26 @@ from ..sources.tables import news
 from .news import SCORES, scores
 from .registry import query, rnd
 
-# bindings (fixed values): suppliers that stand for blocked names and for landmarks, and the edge threshold
+# bindings (fixed values): suppliers that stand for blocked names and for landmarks
 BLOCKED = [3, 4]
 LANDMARKS = [1, 7, 12]
-MIN_WEIGHT = 24
+
+COUNTS = "(SELECT l_orderkey AS u, l_suppkey AS o, count(*) AS c FROM lineitem WHERE l_suppkey NOT IN (3, 4) GROUP BY 1, 2)"
+MIN_WEIGHT = f"""(SELECT floor(m + 1.4::DOUBLE * sqrt(m)) FROM (SELECT CAST(w AS DOUBLE) / (n * (n - 1)) AS m FROM
+      (SELECT sum(w) AS w FROM (SELECT sum(c) * sum(c) - sum(c * c) AS w FROM {COUNTS} GROUP BY u)), (SELECT count(DISTINCT l_suppkey) AS n FROM lineitem WHERE l_suppkey NOT IN (3, 4))))"""
 
 EDGES = f"""(SELECT a.o AS src, b.o AS dst, CAST(sum(a.c * b.c) AS BIGINT) AS relationship FROM
-      (SELECT l_orderkey AS u, l_suppkey AS o, count(*) AS c FROM lineitem WHERE l_suppkey NOT IN (3, 4) GROUP BY 1, 2) a JOIN
-      (SELECT l_orderkey AS u, l_suppkey AS o, count(*) AS c FROM lineitem WHERE l_suppkey NOT IN (3, 4) GROUP BY 1, 2) b ON a.u = b.u AND a.o <> b.o
+      {COUNTS} a JOIN {COUNTS} b ON a.u = b.u AND a.o <> b.o
       GROUP BY 1, 2 HAVING sum(a.c * b.c) > {MIN_WEIGHT})"""
 
 
+def co_mentions(spark, sf):
+    mentions = news(spark, sf)
+    return G.co_mentions(mentions, G.usual_weight(mentions, BLOCKED), BLOCKED)
+
+
 def edges(spark, sf):
-    return materialize(G.co_mentions(news(spark, sf), MIN_WEIGHT, BLOCKED), "edges")
+    return materialize(co_mentions(spark, sf), "edges")
 
 
 def landmarks(spark, e):
@@ -32,7 +39,7 @@ def landmarks(spark, e):
 
 @query("o5_co_mention_edges", f"SELECT * FROM {EDGES}")
 def o5(spark, sf):
-    return G.co_mentions(news(spark, sf), MIN_WEIGHT, BLOCKED)
+    return co_mentions(spark, sf)
 
 
 @query("o6_vertices", f"SELECT DISTINCT organisation AS id FROM {SCORES}")
@@ -47,7 +54,7 @@ def o6_edges(spark, sf):
 
 @query("o7_landmarks_present", f"SELECT DISTINCT src AS id FROM {EDGES} WHERE src IN (1, 7, 12)")
 def o7(spark, sf):
-    return landmarks(spark, G.co_mentions(news(spark, sf), MIN_WEIGHT, BLOCKED))
+    return landmarks(spark, co_mentions(spark, sf))
 
 
 HOPS = f"""WITH RECURSIVE e AS MATERIALIZED (SELECT src, dst FROM {EDGES}),

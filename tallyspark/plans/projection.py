@@ -197,13 +197,13 @@ def f3_abs(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", "s_acctbal").orderBy(F.desc(F.abs("s_acctbal")), "s_suppkey").limit(10)
 
 
-WORDS = """SELECT lang, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS term FROM documents"""
+WORDS = r"""SELECT lang, unnest(regexp_split_to_array(lower(text), '[^\p{L}]+')) AS term FROM documents"""
 
 
 def words(spark, sf):
     """(lang, term) for every run of plain letters in every document."""
     docs = table(spark, sf, "documents")
-    return docs.select("lang", F.explode_outer(F.split(F.lower("text"), "[^a-z]+")).alias("term")).where("length(term) > 0")
+    return docs.select("lang", F.explode_outer(F.split(F.lower("text"), r"[^\p{L}]+")).alias("term")).where("length(term) > 0")
 
 
 @query("f4_top_terms_per_group", f"""

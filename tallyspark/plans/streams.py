@@ -12,8 +12,6 @@ from ..streaming import medallion as M
 from .news import PART_ALIASES, PART_THEMES, articles_of
 from .registry import ORACLES, query, rnd
 
-LATE = "31 days"  # the events span a month and are not in time order
-
 
 def _bronze(spark, sf):
     """Run events through the bronze append and return the folder."""
@@ -63,18 +61,18 @@ def i5(spark, sf):
     path = scratch(spark, "counts")
     counts = stream_table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"))
     M.drain(M.replace_sink(counts, path, scratch(spark, "progress"), [F.desc("n")]))
-    return spark.read.parquet(path)
+    return M.replaced(spark, path)
 
 
 @query("i6_tumbling_counts", "SELECT time_bucket(INTERVAL 10 SECOND, ts) AS \"window\", event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2")
 def i6(spark, sf):
-    events = M.event_time(stream_table(spark, sf, "events"), "ts", LATE)
+    events = M.event_time(stream_table(spark, sf, "events"), "ts")
     return _upserted(spark, M.windowed(events, "ts", "10 seconds", ["event_type"], n=F.count("*")), ["window", "event_type"])
 
 
 def _upserted(spark, stream, keys):
     log = scratch(spark, "log")
-    M.drain(M.upsert_sink(stream, log, scratch(spark, "progress"), keys, mode="update"))
+    M.drain(M.upsert_sink(stream, log, scratch(spark, "progress"), keys, [F.col(k) for k in keys], mode="update"))  # an update holds a key once
     rows = M.current_rows(spark, log, keys)
     return rows.withColumn("window", F.col("window").cast("timestamp_ntz")) if "window" in rows.columns else rows
 
@@ -83,7 +81,7 @@ def _upserted(spark, stream, keys):
     SELECT date_trunc('hour', ts) AS "window", user_id, round(avg(value), 9) + 0.0 AS value, CAST(max(CAST(json_extract(props, '$.k') AS INTEGER)) AS INTEGER) AS k,
       arg_max(event_type, ts) AS last_type FROM events GROUP BY 1, 2""")
 def i7(spark, sf):
-    events = M.event_time(stream_table(spark, sf, "events"), "ts", LATE).withColumn("k", F.from_json("props", "k INT")["k"])
+    events = M.event_time(stream_table(spark, sf, "events"), "ts").withColumn("k", F.from_json("props", "k INT")["k"])
     means = M.windowed(events, "ts", "1 hour", ["user_id"], value=F.avg("value"), k=F.max("k"), last_type=F.max_by("event_type", "ts"))
     return _upserted(spark, means, ["window", "user_id"]).withColumn("value", rnd("value", 9))
 
@@ -130,16 +128,18 @@ def i11(spark, sf):
     # an update rewrites whole files: changed rows come again together with unchanged ones
     rows.withColumn("value", F.when(F.col("event_type") == "click", F.col("value") * 2).otherwise(F.col("value"))).coalesce(1).write.mode("append").parquet(source)
     stream = file_stream(spark, source, "parquet", rows.schema, files_per_trigger=1)
-    M.drain(M.upsert_sink(stream, log, scratch(spark, "progress"), ["event_id"]))
+    M.drain(M.upsert_sink(stream, log, scratch(spark, "progress"), ["event_id"], [F.col("value")]))
     return M.current_rows(spark, log, ["event_id"]).drop("event_type")
 
 
-@query("i13_closed_windows_only")
+@query("i13_closed_windows_only", """
+    SELECT date_trunc('hour', ts) AS "window", event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2
+    HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
 def i13(spark, sf):
     path = scratch(spark, "closed")
     events = M.event_time(stream_table(spark, sf, "events"), "ts", "1 hour")
     M.drain(M.append_sink(M.windowed(events, "ts", "1 hour", ["event_type"], n=F.count("*")), scratch(spark, "progress")), path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).withColumn("window", F.col("window").cast("timestamp_ntz"))
 
 
 @query("c7_stream_static_join", "SELECT event_id, c_mktsegment, value FROM events JOIN customer ON user_id = c_custkey")
@@ -157,7 +157,7 @@ def c7(spark, sf):
 def c8(spark, sf):
     def side(kind, prefix):
         rows = stream_table(spark, sf, "events").where(F.col("event_type") == kind)
-        timed = M.event_time(rows, "ts", LATE).withColumnRenamed("ts", f"{prefix}_ts")
+        timed = M.event_time(rows, "ts").withColumnRenamed("ts", f"{prefix}_ts")
         return timed.select(F.col("event_id").alias(f"{prefix}_id"), F.col("user_id").alias(f"{prefix}_user"), F.col("value").alias(f"{prefix}_value"), f"{prefix}_ts", F.to_date(f"{prefix}_ts").alias(f"{prefix}_date")).withColumn(f"{prefix}_window", F.date_trunc("hour", f"{prefix}_ts"))
 
     c, p = side("click", "c"), side("purchase", "p")

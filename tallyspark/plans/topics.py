@@ -47,8 +47,8 @@ for _dash, _name in ((False, "n1_statements"), (True, "n2_statements_dash_contin
     )
 
 
-WORDS_SQL = "list_filter(regexp_split_to_array(lower({0}), '[^a-z]+'), lambda w: length(w) BETWEEN 2 AND 15)"
-STEM_SQL = "regexp_replace(w, '^([a-z]{3,}?)(" + "|".join(X.SUFFIXES) + ")$', '\\1')"
+WORDS_SQL = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}]+'), lambda w: length(w) >= 1)"
+STEM_SQL = r"regexp_replace(w, '^(\p{L}{3,}?)(" + "|".join(X.SUFFIXES) + ")$', '\\1')"
 
 
 @query("n3_lemmas", f"""
@@ -72,17 +72,29 @@ def n5(spark, sf):
     return Z.term_counts(docs, "tokens", stops=Z.stop_words(docs, "source"))
 
 
+#: A statement enters the topic model with a lemma longer than this (fixed value).
+LEMMA_CHARS = 100
+
+
 def _vectors(spark, sf):
-    lemmas = statements(spark, sf).select("doc_id", "source", F.split(X.lemma("statement"), " ").alias("tokens"))
-    # training goes over these rows many times, so they are spread evenly once
-    even = lemmas.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return Z.vectorise(materialize(even, "lemmas"), "tokens", vocabulary=20_000, min_docs=2)
+    lemmas = statements(spark, sf).select("doc_id", "source", X.lemma("statement").alias("lemma")).where(F.length("lemma") > LEMMA_CHARS)
+    stops = Z.stop_words(table(spark, sf, "documents"), "source")
+    # training goes over these rows many times, so they are written once
+    rows = materialize(lemmas.select("doc_id", "source", F.split("lemma", " ").alias("tokens")), "lemmas")
+    return Z.vectorise(rows, "tokens", stops.select(X.stem(F.col("word")).alias("word")))
+
+
+#: Models of this session by application and data folder: the topic queries share one fit.
+_FITTED: dict[tuple[str, str], tuple] = {}
 
 
 def _topics(spark, sf):
-    vectoriser, vectors = _vectors(spark, sf)
-    model = Z.fit_topics(vectors)
-    return vectoriser, model, model.transform(vectors)
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        vectoriser, vectors = _vectors(spark, sf)
+        model = Z.fit_topics(vectors)
+        _FITTED[key] = vectoriser, model, materialize(model.transform(vectors).select("doc_id", "source", "topicDistribution"), "topics")
+    return _FITTED[key]
 
 
 @query("n6_topic_model")
@@ -96,11 +108,11 @@ def n7(spark, sf):
     return Z.principal_topic(_topics(spark, sf)[2].select("doc_id", "source", "topicDistribution"))
 
 
-FOCUS_SQL = "(SELECT source, " + ", ".join(f"CAST(count(*) FILTER (lang = '{t}') AS BIGINT) AS {t}" for t in LANGS) + " FROM documents WHERE n_chars > 500 GROUP BY source)"
+FOCUS_SQL = "(SELECT source, " + ", ".join(f"CAST(count(*) FILTER (lang = '{t}') AS BIGINT) AS {t}" for t in LANGS) + " FROM documents GROUP BY source)"
 
 
 def focus(spark, sf):
-    docs = table(spark, sf, "documents").where("n_chars > 500").select("source", "lang")
+    docs = table(spark, sf, "documents").select("source", "lang")
     return Z.focus_counts(docs, "source", "lang", LANGS)
 
 

@@ -59,11 +59,11 @@ def windowed(stream: DataFrame, column: str, width: str, keys: Sequence[str], **
     return grouped.agg(*[m.alias(name) for name, m in measures.items()]).select(F.col("_w.start").alias("window"), *keys, *measures)
 
 
-def upsert_sink(stream: DataFrame, log: str, checkpoint: str, keys: Sequence[str], order: Sequence[Column] = (), mode: str = "append") -> DataStreamWriter:
+def upsert_sink(stream: DataFrame, log: str, checkpoint: str, keys: Sequence[str], order: Sequence[Column], mode: str = "append") -> DataStreamWriter:
     """Keep one row per key of each micro-batch (the last by ``order``) and add it to the change log."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = keep_one(batch, list(keys), list(order)) if order else batch.dropDuplicates(list(keys))
+        rows = keep_one(batch, list(keys), list(order))
         rows.withColumn("op", F.lit("U")).write.mode("overwrite").parquet(f"{log}/version={batch_id}")
 
     return stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(merge)
@@ -78,9 +78,15 @@ def current_rows(spark: SparkSession, log: str, keys: Sequence[str]) -> DataFram
 
 
 def replace_sink(stream: DataFrame, path: str, checkpoint: str, sort_by: Sequence[Column] = ()) -> DataStreamWriter:
-    """Complete mode: each batch replaces the small result table."""
+    """Complete mode: each batch writes the whole small result into a folder of its own; ``replaced`` reads the newest."""
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        (batch.orderBy(*sort_by) if sort_by else batch).write.mode("overwrite").parquet(path)
+        (batch.orderBy(*sort_by) if sort_by else batch).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
 
     return stream.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(replace)
+
+
+def replaced(spark: SparkSession, path: str) -> DataFrame:
+    """The last result a ``replace_sink`` has written; a batch that failed half way leaves the one before in place."""
+    versions = spark.read.parquet(path)
+    return versions.where(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version")

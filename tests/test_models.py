@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallyspark.functions import text as X
@@ -82,6 +83,25 @@ def test_trees_learn_and_importance_finds_the_signal(spark):
     out = I.what_if(model, df.withColumn("g", F.lit(1)), ["a", "b"], "a", [1.0, 9.0], "g", [1]).orderBy("a").collect()
     assert out[0]["1"] < out[1]["1"]
     assert I.score_unseen(model, df.where("id < 10"), df.where("id >= 590"), ["a", "b"], "y", ["id"]).groupBy("predicted").count().count() == 2
+    twins = df.select(F.lit(1.0).alias("a"), F.col("b"), (F.col("id") % 2).cast("double").alias("y"))
+    assert all(abs(r["rise"]) < 1e-9 for r in I.permutation_importance(Sum(), twins.limit(1), ["a", "b"], "y").collect())
+
+
+class Sum:
+    """Stands for a fitted model: predicts twice the first feature."""
+
+    def transform(self, frame):
+        return frame.withColumn("prediction", 2 * vector_to_array("features")[0])
+
+
+def test_importance_of_a_linear_model(spark):
+    # every row takes another one's value: the mean rise is 2 * variance * slope squared
+    df = spark.range(4000).select(F.rand(3).alias("a"), F.lit(5.0).alias("b")).withColumn("y", 2 * F.col("a")).cache()
+    rise = {r["feature"]: r["rise"] for r in I.permutation_importance(Sum(), df, ["a", "b"], "y").collect()}
+    assert rise["b"] == 0 and rise["a"] == pytest.approx(2 * 4 / 12, rel=0.1)
+    # two kinds of rows, equal ones next to each other or not: each row takes its value from another row
+    two = spark.range(2).select(F.col("id").cast("double").alias("a"), F.lit(1.0).alias("b")).withColumn("y", 2 * F.col("a"))
+    assert {r["feature"]: r["rise"] for r in I.permutation_importance(Sum(), two, ["a", "b"], "y").collect()} == {"a": 4.0, "b": 0.0}
 
 
 def test_falling_and_negative_series_keep_their_trend():

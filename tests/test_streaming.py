@@ -39,7 +39,7 @@ def test_windowed_stream_equals_batch(spark):
         put(spark, source, [("a", f"2024-01-0{day}T00:10", 1.0 * day), ("a", f"2024-01-0{day}T00:50", 3.0), ("b", f"2024-01-0{day}T05:00", 2.0), ("a", "2024-01-01T00:20", 8.0)])
     stream = S.event_time(file_stream(spark, source, "parquet", SCHEMA, 1), "ts", "7 days")
     means = S.windowed(stream, "ts", "1 hour", ["device"], v=F.avg("v"), n=F.count("*"))
-    S.drain(S.upsert_sink(means, log, scratch(spark, "progress"), ["window", "device"], mode="update"))
+    S.drain(S.upsert_sink(means, log, scratch(spark, "progress"), ["window", "device"], [F.col("window")], mode="update"))
     batch = S.windowed(spark.read.parquet(source), "ts", "1 hour", ["device"], v=F.avg("v"), n=F.count("*"))
     assert rows(S.current_rows(spark, log, ["window", "device"])) == rows(batch)
 

@@ -19,8 +19,6 @@ REQUIRED_CLASS = "G"
 BLOCKED = ["united states", "european union", "reuters"]
 BLOCKED_MEDIA = ["united states", "european union", "reuters", "twitter", "facebook", "thomson reuters", "associated press", "new york times", "bloomberg"]
 
-MAX_COUNTRIES = 1000
-
 
 def canonical(name: Column, aliases: Mapping[str, Sequence[str]]) -> Column:
     """Canonical name if the name starts with one of its aliases, else the name; works on streams.
@@ -36,13 +34,6 @@ def canonical(name: Column, aliases: Mapping[str, Sequence[str]]) -> Column:
     return out
 
 
-def country_map(codes: DataFrame, key: str, value: str) -> DataFrame:
-    """One row with the code dictionary as a map; countries are few, and more than expected is an error."""
-    entries = F.collect_list(F.struct(F.col(key), F.col(value)))
-    m = codes.where(F.col(key).isNotNull()).agg(entries.alias("e"))
-    return m.select(F.when(F.size("e") > MAX_COUNTRIES, F.raise_error(F.lit("too many country codes"))).otherwise(F.map_from_entries("e")).alias("m"))
-
-
 def enrich(news: DataFrame, aliases: Mapping[str, Sequence[str]], codes: Mapping[str, str], themes: Mapping[str, str] = THEME_CLASSES, required: str = REQUIRED_CLASS) -> DataFrame:
     """Bronze news (publishDate, organisations, documentIdentifier, themes, locations, tone) to one row per mention.
 

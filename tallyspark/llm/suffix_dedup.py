@@ -8,7 +8,9 @@ are joined to one text per chunk, whose Burrows-Wheeler transform is expanded br
 0, 1, 2, ... are extended backwards, which sets common prefixes by increasing value and stops at `window`. Boundaries still
 unset then hold windows that agree in full.
 
-An anchor with more than `hot_fragments` different fragments is not gathered: its windows are dealt out by their own digest.
+An anchor with more than `hot_fragments` different fragments is not gathered. Its fragments are cut by the place of the anchor
+in the window, into stretches of 16 places, and each part is named by the bytes that all windows at these places share; parts
+are thinned like fragments, and names that are still hot are cut again, to 4 places and to one, where the name is the window.
 
 Defined cases: null text counts as empty; a null id ranks before all others; rows that repeat id and text are one document
 given twice and return equal rows; rows that repeat only the id rank by the digest of their text; texts under `window` bytes
@@ -36,6 +38,7 @@ WINDOW, GRAM = 100, 32
 SEGMENT = 1 << 19
 TASK_FRAGMENTS = 300_000
 HOT_FRAGMENTS = 1024
+SPLITS = (16, 4, 1)
 CHUNK_BYTES = 1 << 20
 NULL_ID = -(1 << 63)
 
@@ -317,13 +320,30 @@ def _slices(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:4]), pa.array(out[4], pa.binary())], ["anchor", "doc", "digest", "start", "bytes"])
 
 
-def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+_PARTS = "anchor long, fragment long, doc long, digest long, start long, number long, bytes binary"
+
+
+def _split(batches: Iterator[pa.RecordBatch], window: int, gram: int, block: int) -> Iterator[pa.RecordBatch]:
+    """Parts of fragments with the anchor at `block` neighbouring places of the window, named by the bytes these windows share.
+
+    The shared bytes lie in each window at these places, so equal windows go to equal names.
+    """
+    names, top = [c.split()[0] for c in _PARTS.split(", ")], (1 << 64) - 1
     for batch in batches:
-        for doc, digest, start, data in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
-            hashes = [xxhash.xxh3_128_intdigest(data[i : i + window]) for i in range(len(data) - window + 1)]
-            n, top = len(hashes), (1 << 64) - 1
-            k0, k1 = (np.array(x, np.uint64).view(np.int64) for x in ([h >> 64 for h in hashes], [h & top for h in hashes]))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k0, k1, np.full(n, doc), np.full(n, digest), np.arange(start, start + n))], ["k0", "k1", "doc", "digest", "start"])
+        keys, fragments, *rest = out = [[] for _ in names]
+        for anchor, doc, digest, start, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            number = len(data) - window + 1
+            at = int((gram_hashes(np.frombuffer(data[:window], np.uint8), gram) >> np.uint64(24)).argmin())  # as in segment_fragments
+            for k in range((at - number + 1) // block, at // block + 1):
+                near, far = at - k * block, at - (k + 1) * block + 1  # latest and earliest window
+                first, last = max(0, far), min(number - 1, near)
+                part = data[first : last + window]
+                keys.append(xxhash.xxh3_64_intdigest(data[near : far + window], (anchor * 131 + k * block) & top))
+                fragments.append(xxhash.xxh3_64_intdigest(part))
+                for column, value in zip(rest, (doc, digest, start + first, last - first + 1, part)):
+                    column.append(value)
+        hashes = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in out[:2]]
+        yield pa.RecordBatch.from_arrays([*hashes, *(pa.array(c, pa.int64()) for c in out[2:6]), pa.array(out[6], pa.binary())], names)
 
 
 def removed_windows(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, hot_fragments: int = HOT_FRAGMENTS) -> DataFrame:
@@ -338,19 +358,28 @@ def removed_windows(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, hot
     texts = rows.join(wanted, ["doc", "digest"]).select("doc", "digest", "text", "wanted")
     # rows that repeat id and text bring the same fragment twice
     pieces = texts.mapInArrow(partial(_slices, window=window), "anchor long, doc long, digest long, start long, bytes binary")
-    hot = compared.where("kind = 1").groupBy("anchor").count().where(F.col("count") > hot_fragments).select("anchor")
     pieces = materialize(pieces, "suffix-pieces")
-    some_hot = hot.limit(1).count()
-    calm = pieces.join(hot, "anchor", "left_anti") if some_hot else pieces
+    hot = compared.where("kind = 1").groupBy("anchor").count().where(F.col("count") > hot_fragments).select("anchor")
+    calm = pieces
+    if some_hot := hot.limit(1).count():
+        calm = pieces.join(hot, "anchor", "left_anti")
+    for block in SPLITS:
+        if not some_hot:
+            break
+        cut_up = partial(_split, window=window, gram=gram, block=block)
+        parts = materialize(pieces.join(hot, "anchor", "left_semi").select("anchor", "doc", "digest", "start", "bytes").mapInArrow(cut_up, _PARTS), "suffix-parts")
+        first = parts.groupBy("anchor", "fragment").agg(F.min(F.struct("doc", "digest", "start", "bytes")).alias("first"))
+        first = materialize(first.select("anchor", "fragment", "first.*"), "suffix-first")
+        place = F.struct(*(first[c].alias(c) for c in ("doc", "digest", "start")))
+        later = parts.join(first.select("anchor", "fragment", place.alias("first")), ["anchor", "fragment"]).where(F.struct("doc", "digest", "start") > F.col("first"))
+        removed = removed.unionByName(later.select("doc", "digest", "start", "number"))
+        counts = materialize(first.groupBy("anchor").count().where("count > 1"), "suffix-counts")
+        pieces = first.drop("fragment")
+        hot = counts.where(F.col("count") > (hot_fragments if block > 1 else (1 << 62))).select("anchor")
+        calm = calm.unionByName(pieces.join(counts.join(hot, "anchor", "left_anti"), "anchor", "left_semi"))
+        some_hot = hot.limit(1).count()
     expanded = calm.repartition("anchor").sortWithinPartitions("anchor", "doc", "digest", "start").mapInArrow(partial(_expand, window=window, most=CHUNK_BYTES), runs_schema)
-    out = removed.unionByName(expanded)
-    if some_hot:
-        windows = pieces.join(hot, "anchor", "left_semi").select("anchor", "doc", "digest", "start", "bytes").mapInArrow(partial(_windows, window=window), "k0 long, k1 long, doc long, digest long, start long")
-        windows = materialize(windows, "suffix-windows")
-        place = F.struct("doc", "digest", "start")
-        first = windows.groupBy("k0", "k1").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("k0", "k1", "first")
-        out = out.unionByName(windows.join(first, ["k0", "k1"]).where(place > F.col("first")).select("doc", "digest", "start", F.lit(1).cast("long").alias("number")))
-    return out
+    return removed.unionByName(expanded)
 
 
 def _spans(starts: list[int], numbers: list[int], window: int) -> list[tuple[int, int]]:

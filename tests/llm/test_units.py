@@ -96,7 +96,7 @@ def nasty_texts(seed=5, n=60):
     return texts + ["", "a" * 500, texts[0]]
 
 
-@pytest.mark.parametrize("hot", [8192, 3])
+@pytest.mark.parametrize("hot", [8192, 3, 1])
 def test_repeats_against_brute_force(spark, hot):
     texts = nasty_texts()
     rows = [(i, t) for i, t in enumerate(texts)]

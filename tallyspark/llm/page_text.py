@@ -1,24 +1,26 @@
 """HTML extraction: nearest-URL page differencing.
 
 Every page is cut into text lines, one per block. Pages of a host are put in order of their URL path and each is paired with
-the neighbour that shares the longer path prefix. The lines of both are aligned by a longest common subsequence, and lines
-they share are deleted: what sites repeat from page to page is no main text. Markup that says what a block is comes first:
-navigation, adverts, forms, comments and the like are never main text, and where a page marks its article or main part, only
-that part can be, and its paragraphs, headings, lists and tables stay even if a neighbour repeats them (copies of an article
-share all of it).
+the neighbour of another article that shares the longer path prefix. The lines of both are aligned by a longest common
+subsequence, and lines they share are deleted, inside a marked article too: what sites repeat from page to page is no main
+text. A neighbour that shares most of a page is a copy of it (print or feed address, repeated page) and is passed over; a page
+that has only copies keeps all its lines. Markup that says what a block is comes first: navigation, adverts, forms, comments
+and the like are never main text, and where a page marks its article or main part, only that part can be.
 
-Neighbours are found from light rows in bounded stretches of one global order, so a host of any size is spread over tasks.
+Neighbours are found from light rows in even ranges of one global order, so a host of any size is spread over tasks.
 
 Defined cases: null html gives an empty text; a page without neighbour on its host keeps all its lines; null urls count as
-one host with an empty path; rows that repeat id, url and html return equal rows; empty tables return no rows.
+one host with an empty path; rows that repeat url and html get equal texts; empty tables return no rows.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +32,8 @@ from tallyspark.session import materialize
 from .common import cut, table
 from .registry import query
 
-KEPT, SHARED, NEVER = 0, 1, 2  # kinds of lines: main text as marked, main text unless shared, no main text
-STRETCH = 4096
+SAME = 0.5  # a neighbour that shares at most this part of the lines or letters is another article
+COPY = 0.9  # one that shares this part of the letters is a copy and never deletes a line
 
 _SILENT = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|$)|<[!?][^>]*>", re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>")
@@ -47,7 +49,6 @@ ROLES = frozenset(
     "alert popup modal overlay comment comments reply replies respond disqus share sharing social related recommended breadcrumb breadcrumbs pagination pager subscribe subscription newsletter "
     "signup login search form widget toolbar skip complementary contentinfo search copyright".split()
 )
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption".split())
 
 
 def _is_part(name: str, attributes: str) -> bool:
@@ -58,16 +59,15 @@ def _is_part(name: str, attributes: str) -> bool:
     return any(word.lower() in ROLES for m in _NAMES.finditer(attributes) for word in _WORD.findall(m[1] or m[2] or m[3] or ""))
 
 
-def lines_of(page: str) -> tuple[list[str], list[int]]:
-    """Text and kind of each block, in page order; blocks without text are left out."""
+def lines_of(page: str) -> tuple[list[str], list[bool]]:
+    """Text of each block in page order, and whether it can be main text; blocks without text are left out."""
     page = _SILENT.sub("", page)
     texts: list[str] = []
-    kinds: list[int] = []
+    able: list[bool] = []
     block: list[str] = []
     skip: list[str] = []  # open elements from the first that is no main text on
     mains = 0  # open article or main elements
     marked = False
-    prose: list[str] = []
     where: list[bool] = []  # is the line inside article or main
     at = 0
 
@@ -76,7 +76,7 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
         block.clear()
         if text:
             texts.append(text)
-            kinds.append(NEVER if skip else KEPT if prose else SHARED)
+            able.append(not skip)
             where.append(mains > 0)
 
     for tag in _TAG.finditer(page):
@@ -102,31 +102,17 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
                 continue
             if name in ("article", "main"):
                 mains = max(0, mains - 1)
-                prose.clear()
-            elif name in prose:
-                while prose.pop() != name:
-                    pass
         elif part:
             skip.append(name)
         elif name in ("article", "main"):
             mains += 1
             marked = True
-            prose.clear()
-        elif name in PROSE:
-            if name in ("p", "li", "dt", "dd") or name[0] == "h":  # these end an open one of their kind
-                while prose and prose[-1] in ("p", name):
-                    prose.pop()
-            prose.append(name)
-        elif name == "div" and prose == ["p"]:
-            prose.clear()
     if at < len(page):
         block.append(page[at:])
     close()
     if marked:
-        kinds = [kind if inside else NEVER for kind, inside in zip(kinds, where)]
-    else:  # nothing says which part is the article: whatever is not shared
-        kinds = [NEVER if kind == NEVER else SHARED for kind in kinds]
-    return texts, kinds
+        able = [a and inside for a, inside in zip(able, where)]
+    return texts, able
 
 
 def shared_lines(own: list[int], other: list[int]) -> list[int]:
@@ -152,75 +138,132 @@ def shared_lines(own: list[int], other: list[int]) -> list[int]:
     return out[::-1]
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digest and length of each line of a page, and whether it can be main text."""
     for batch in cut(batches, "html"):
-        texts, kinds, hashes = [], [], []
-        for page in batch.column(batch.schema.get_field_index("html")).to_pylist():
-            t, k = lines_of(page or "")
-            texts.append(t)
-            kinds.append(k)
-            hashes.append([xxhash.xxh64_intdigest(x) >> 1 for x in t])
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.list_(pa.string())), pa.array(kinds, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64()))], ["page_id", "url", "key", "texts", "kinds", "hashes"])
+        rows = [lines_of(page or "") for page in batch.column(1).to_pylist()]
+        hashes = [[xxhash.xxh64_intdigest(x) >> 1 for x in texts] for texts, _ in rows]
+        columns = [_doc_digests(hashes, [able for _, able in rows]), pa.array(hashes, pa.list_(pa.int64())), pa.array([a for _, a in rows], pa.list_(pa.bool_()))]
+        columns += [pa.array([[len(x) for x in texts] for texts, _ in rows], pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["url", "page", "hashes", "able", "sizes"])
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines themselves, with the digest that `_lines` gives the page."""
+    for batch in cut(batches, "html"):
+        rows = [lines_of(page or "") for page in batch.column(2).to_pylist()]
+        digests = _doc_digests([[xxhash.xxh64_intdigest(x) >> 1 for x in texts] for texts, _ in rows], [able for _, able in rows])
+        kept = pa.array([[x if a else None for x, a in zip(*row)] for row in rows], pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), digests, kept], ["page_id", "url", "page", "texts"])
+
+
+def _doc_digests(hashes: list[list[int]], able: list[list[bool]]) -> pa.Array:
+    return pa.array([xxhash.xxh64_intdigest(np.array(h, np.int64).tobytes() + np.array(a, np.bool_).tobytes()) >> 1 for h, a in zip(hashes, able)], pa.int64())
+
+
+def deleted_lines(own: list[int], able: list[bool], sizes: list[int], others: list[list[int]]) -> list[int]:
+    """Positions of the lines that go; `others` are the lines of neighbouring pages, the nearest first.
+
+    The nearest of another article is aligned. If all share most, as short pages under a long menu do, it is the one that
+    shares the fewest letters, unless that is a copy as well: the article of a copy is no template.
+    """
+    lines, letters = sum(able), sum(n for n, a in zip(sizes, able) if a)
+    chosen, least = None, COPY
+    for other in others:
+        left = Counter(other)
+        n = size = 0
+        for x, a, length in zip(own, able, sizes):
+            if a and left[x] > 0:
+                left[x] -= 1
+                n, size = n + 1, size + length
+        if min(n / lines, size / letters) <= SAME:
+            chosen = other
+            break
+        if size / letters < least:
+            chosen, least = other, size / letters
+    return [i for i in shared_lines(own, chosen) if able[i]] if chosen is not None else []
 
 
 def _deleted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        gone = [shared_lines(own, other) for own, other in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], ["key", "shared"])
-
-
-def nearest_pages(keys: DataFrame) -> DataFrame:
-    """(key, near): the neighbour in order of (host, path) whose path shares the longer prefix; rows (host, path, key) are unique."""
-    order = ["host", "path", "key"]
-    placed = materialize(keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "pages-order")
-    part = F.shiftright("at", 33)
-    sizes = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}  # one per task
-    if not sizes:
-        return placed.select("key", F.col("key").alias("near"))
-    first, offsets = 0, {}
-    for k in sorted(sizes):
-        offsets[k], first = first, first + sizes[k]
-    offset = F.create_map(*(F.lit(x) for pair in offsets.items() for x in pair))
-    ranked = placed.withColumn("rank", F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + offset[part])
-    home, spot = F.floor(F.col("rank") / STRETCH), F.col("rank") % STRETCH
-    # edge rows also stand in the next stretch, so each row sees both neighbours in its own
-    homes = F.when(spot == 0, F.array(home, home - 1)).when(spot == STRETCH - 1, F.array(home, home + 1)).otherwise(F.array(home))
-    spread = ranked.withColumn("home", home).withColumn("stretch", F.explode(homes))
-    by = Window.partitionBy("stretch").orderBy("rank")
-    sides = spread.select("*", *(f("host").over(by).alias(f"{n}_host") for f, n in ((F.lag, "p"), (F.lead, "n"))), *(f(c).over(by).alias(f"{n}_{c}") for f, n in ((F.lag, "p"), (F.lead, "n")) for c in ("path", "key")))
-    own = sides.where(F.col("stretch") == F.col("home"))
-
-    def shared(side: str):
-        pieces = F.zip_with(F.split("path", "/"), F.split(f"{side}_path", "/"), lambda a, b: F.coalesce(a == b, F.lit(False)))
+        own, able, sizes, others = (batch.column(i).to_pylist() for i in range(1, 5))
+        gone = [deleted_lines(o, a, s, [x["hashes"] for x in sorted(near, key=lambda x: (-x["prefix"], x["turn"]))]) for o, a, s, near in zip(own, able, sizes, others)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], ["doc", "shared"])
+
+
+def nearest_pages(pages: DataFrame, keys: Sequence[str] = ("doc",)) -> DataFrame:
+    """(doc, near, prefix, turn): for each key, the pages before and after in order of (host, path) whose key is another one.
+
+    Rows (host, path, doc) are unique; equal keys mean one host. Pages of one key stand in runs of any length: each range of
+    the order finds the page beyond the run within itself, and the first and last run of a range take it from one small row
+    for each range. `prefix` counts the path pieces both pages begin with, `turn` puts the nearer first.
+    """
+    order = ["host", "path", "doc"]
+    me = F.struct("host", "path", "doc", *[k for k in keys if k != "doc"])
+    at = pages.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    placed = materialize(at.withColumn("part", F.shiftright("at", 33)), "pages-order")
+    by = Window.partitionBy("part").orderBy("at")
+    past, ahead = by.rowsBetween(Window.unboundedPreceding, 0), by.rowsBetween(0, Window.unboundedFollowing)
+    beside = placed.withColumn("me", me).select("*", F.lag("me").over(by).alias("p"), F.lead("me").over(by).alias("n"))
+    names = {(side, k): f"{side}_{k}" for k in keys for side in "pn"}
+    found = [F.last(F.when(F.col(f"p.{k}") != F.col(k), F.col("p")), ignorenulls=True).over(past).alias(names["p", k]) for k in keys]
+    found += [F.first(F.when(F.col(f"n.{k}") != F.col(k), F.col("n")), ignorenulls=True).over(ahead).alias(names["n", k]) for k in keys]
+    found = materialize(beside.select("part", "at", "me", *found), "pages-beside")
+    edges = [F.min_by("me", "at").alias("first"), F.max_by("me", "at").alias("last")]
+    edges += [f(names[side, k], "at").alias(names[side, k]) for side, f in (("p", F.max_by), ("n", F.min_by)) for k in keys]
+    parts = found.groupBy("part").agg(*edges).orderBy("part").collect()  # one row per task
+    if not parts:
+        return pages.select("doc", F.col("doc").alias("near"), F.lit(0).alias("prefix"), F.lit(0).alias("turn"))
+    # what stands beyond the run that enters a range, from the range before (after)
+    enters: dict = {r["part"]: {} for r in parts}
+    for side, rows, edge, front in (("p", parts, "last", "first"), ("n", parts[::-1], "first", "last")):
+        for k in keys:
+            for before, now in zip(rows, rows[1:]):
+                # of the range before: beyond its last run, or beyond its one run
+                beyond = before[names[side, k]] or enters[before["part"]].get(names[side, k])
+                enters[now["part"]][names[side, k]] = beyond if before[edge][k] == now[front][k] else before[edge]
+    kind = found.schema["me"].dataType.simpleString()
+    columns = [names[side, k] for k in keys for side in "pn"]
+    table_ = pages.sparkSession.createDataFrame([(part, *[e.get(c) for c in columns]) for part, e in enters.items()], "part long, " + ", ".join(f"e_{c} {kind}" for c in columns))
+    whole = found.join(F.broadcast(table_), "part", "left")
+
+    def near(column: str, turn: int):
+        other = F.coalesce(column, f"e_{column}")
+        pieces = F.zip_with(F.split("me.path", "/"), F.split(other["path"], "/"), lambda a, b: F.coalesce(a == b, F.lit(False)))
         first_other = F.array_position(pieces, False)
-        return F.when(F.col(f"{side}_host") == F.col("host"), F.when(first_other == 0, F.size(pieces)).otherwise(first_other - 1)).otherwise(-1)
+        prefix = F.when(first_other == 0, F.size(pieces)).otherwise(first_other - 1).cast("int")
+        return F.when(other["host"] == F.col("me.host"), F.struct(other["doc"].alias("near"), prefix.alias("prefix"), F.lit(turn).alias("turn")))
 
-    scored = own.select("key", "p_key", "n_key", F.coalesce(shared("p"), F.lit(-1)).alias("p"), F.coalesce(shared("n"), F.lit(-1)).alias("n"))
-    return scored.select("key", F.when((F.col("p") < 0) & (F.col("n") < 0), None).when(F.col("p") >= F.col("n"), F.col("p_key")).otherwise(F.col("n_key")).alias("near")).where("near IS NOT NULL")
+    # a page at several addresses is compared from the first of them
+    sides = whole.select("me", F.filter(F.array(*[near(c, i) for i, c in enumerate(columns)]), lambda x: x.isNotNull()).alias("near"))
+    once = sides.groupBy(F.col("me.doc").alias("doc")).agg(F.min_by("near", F.struct(F.size("near") == 0, "me.path")).alias("near"))
+    pairs = once.select("doc", F.explode("near").alias("x")).select("doc", "x.*")
+    return pairs.where("near <> doc").groupBy("doc", "near").agg(F.max("prefix").alias("prefix"), F.min("turn").alias("turn"))
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url, text, n_chars of every page."""
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    rows = rows.select("page_id", "url", F.xxhash64("page_id", "url", "html").alias("key"), "html")
-    schema = "page_id long, url string, key long, texts array<string>, kinds array<int>, hashes array<bigint>"
-    parsed = materialize(rows.mapInArrow(_parse, schema), "pages-lines")
+def _address(rows: DataFrame) -> DataFrame:
     bare = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "")
     host = F.regexp_replace(F.lower(F.regexp_extract(bare, r"^([^/?#]*)", 1)), r"^www\.", "")
     path = F.regexp_extract(bare, r"^[^/?#]*([^?#]*)", 1)
-    once = parsed.select(host.alias("host"), path.alias("path"), "key").dropDuplicates(["key"])
-    near = nearest_pages(once)
-    # only pages with a line that may go are aligned
-    lines = parsed.select("key", "hashes", "kinds").dropDuplicates(["key"])
-    asked = lines.where(F.array_contains("kinds", SHARED)).select("key", "hashes").join(near, "key")
-    both = asked.join(lines.select(F.col("key").alias("near"), F.col("hashes").alias("other")), "near").select("key", "hashes", "other")
-    gone = materialize(both.mapInArrow(_deleted, "key long, shared array<int>"), "pages-shared")
-    joined = parsed.join(gone, "key", "left")
+    return rows.withColumns({"host": host, "path": path}).withColumn("doc", F.xxhash64("host", "page"))
+
+
+def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    schema = "url string, page long, hashes array<bigint>, able array<boolean>, sizes array<int>"
+    # pages of a host with the same lines are one; texts are cut again at the end and not written
+    parsed = materialize(_address(rows.select("url", "html").mapInArrow(_lines, schema)).where(F.array_contains("able", True)), "pages-lines")
+    lines = parsed.select("doc", "hashes", "able", "sizes").dropDuplicates(["doc"])
+    near = nearest_pages(parsed.select("host", "path", "doc").distinct())
+    others = near.join(lines.select(F.col("doc").alias("near"), "hashes"), "near").groupBy("doc").agg(F.collect_list(F.struct("prefix", "turn", "hashes")).alias("others"))
+    both = lines.join(others, "doc").select("doc", "hashes", "able", "sizes", "others")
+    gone = materialize(both.mapInArrow(_deleted, "doc long, shared array<int>").where(F.size("shared") > 0), "pages-shared")
+    texts = _address(rows.mapInArrow(_texts, "page_id long, url string, page long, texts array<string>"))
+    joined = texts.join(gone, "doc", "left")
     shared = F.coalesce("shared", F.array().cast("array<int>"))
-    numbered = F.transform(F.arrays_zip("texts", "kinds"), lambda x, i: F.struct(x["texts"].alias("text"), x["kinds"].alias("kind"), i.alias("i")))
-    kept = F.filter(numbered, lambda x: (x["kind"] == KEPT) | (x["kind"] == SHARED) & ~F.array_contains(shared, x["i"]))
-    text = F.array_join(F.transform(kept, lambda x: x["text"]), " ")
-    return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    numbered = F.transform("texts", lambda x, i: F.when(~F.array_contains(shared, i), x))
+    return joined.select("page_id", "url", F.array_join(numbered, " ").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
 @query("op5_nearest_page_text")

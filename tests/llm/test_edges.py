@@ -30,6 +30,17 @@ def test_pages(spark):
     assert page_text.main_text(pages.limit(0)).count() == 0
 
 
+def _texts(spark, pages):
+    rows = spark.createDataFrame(pages, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in page_text.main_text(rows).collect()}
+
+
+def test_repeated_lines_inside_articles_go(spark):
+    page = "<nav>Menu</nav><article><h1>Title %d</h1><p>Story %d runs on for a while.</p><p>Get our letter.</p></article>"
+    got = _texts(spark, [(i, f"http://h/news/{i}", page % (i, i)) for i in range(40)] + [(90, "http://h/news/7?print=1", page % (7, 7)), (91, "http://h/news/7", page % (7, 7))])
+    assert got == {i: f"Title {n} Story {n} runs on for a while." for i, n in [*((i, i) for i in range(40)), (90, 7), (91, 7)]}
+
+
 def test_languages_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "abc", None), (2, None, "en")], "doc_id long, text string, lang string")
     assert langid.learn(docs, docs["doc_id"] > 0) is None

@@ -255,7 +255,11 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     # pages of a host with the same lines are one; texts are cut again at the end and not written
     parsed = materialize(_address(rows.select("url", "html").mapInArrow(_lines, schema)).where(F.array_contains("able", True)), "pages-lines")
     lines = parsed.select("doc", "hashes", "able", "sizes").dropDuplicates(["doc"])
-    near = nearest_pages(parsed.select("host", "path", "doc").distinct())
+    # near copies differ in a line or two: they mostly agree in their longest line or in their least digest
+    main = F.filter(F.arrays_zip("hashes", "sizes", "able"), lambda x: x["able"])
+    longest = F.xxhash64("host", F.array_max(F.transform(main, lambda x: F.struct(x["sizes"].alias("n"), x["hashes"].alias("h"))))["h"])
+    least = F.xxhash64("host", F.array_min(F.transform(main, lambda x: x["hashes"])))
+    near = nearest_pages(parsed.select("host", "path", "doc", longest.alias("longest"), least.alias("least")).distinct(), ("doc", "longest", "least"))
     others = near.join(lines.select(F.col("doc").alias("near"), "hashes"), "near").groupBy("doc").agg(F.collect_list(F.struct("prefix", "turn", "hashes")).alias("others"))
     both = lines.join(others, "doc").select("doc", "hashes", "able", "sizes", "others")
     gone = materialize(both.mapInArrow(_deleted, "doc long, shared array<int>").where(F.size("shared") > 0), "pages-shared")

@@ -41,6 +41,24 @@ def test_repeated_lines_inside_articles_go(spark):
     assert got == {i: f"Title {n} Story {n} runs on for a while." for i, n in [*((i, i) for i in range(40)), (90, 7), (91, 7)]}
 
 
+def test_copies_keep_their_article(spark):
+    story = "".join(f"<div>Part {j} of story %d is told here.</div>" for j in range(4))
+    page = "<body><div>Home</div><div>News</div>" + story + "<div>%s</div></body>"
+    pages = [(i, f"http://h/a/{i:02}", page % (*[i] * 4, "Read on")) for i in range(3)]
+    pages += [(10 + i, f"http://h/a/01/amp{i}", page % (*[1] * 4, f"Printed at {i} o'clock")) for i in range(20)]
+    pages += [(40, "http://h/a/01?print=1", pages[1][2]), (41, "http://h/a/01", pages[1][2])]
+    pages += [(50, "http://x/1", "<div>Alone</div><div>here</div>"), (51, "http://x/1?a=b", "<div>Alone</div><div>here</div>")]
+    got = _texts(spark, pages)
+
+    def told(i):
+        return " ".join(f"Part {j} of story {i} is told here." for j in range(4))
+
+    # the page before 2 is an AMP copy of 1, which does not end in "Read on"
+    assert {i: got[i] for i in (0, 1, 2, 40, 41)} == {0: told(0), 1: told(1), 2: told(2) + " Read on", 40: told(1), 41: told(1)}
+    assert all(got[10 + i] == f"{told(1)} Printed at {i} o'clock" for i in range(20))
+    assert got[50] == got[51] == "Alone here"
+
+
 def test_languages_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "abc", None), (2, None, "en")], "doc_id long, text string, lang string")
     assert langid.learn(docs, docs["doc_id"] > 0) is None

@@ -37,9 +37,9 @@ COPY = 0.9  # one that shares this part of the letters is a copy and never delet
 
 _SILENT = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|$)|<[!?][^>]*>", re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>")
-_NAMES = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMES = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
-_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
+_CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
@@ -51,21 +51,55 @@ ROLES = frozenset(
 )
 
 
-def _is_part(name: str, attributes: str) -> bool:
-    if name in PARTS or (attributes and _HIDDEN.search(attributes)):
-        return True
-    if not attributes or name in ("html", "body"):
+# names of two or three words that say the same: site-header, cookie-banner, related-posts ...
+_OF_PAGE = "site page main global top bottom left right primary secondary"
+_BEFORE = {"header": _OF_PAGE, "footer": _OF_PAGE, "sidebar": _OF_PAGE, "masthead": "site page", "nav": _OF_PAGE + " post posts footer header", "navigation": _OF_PAGE + " post posts comment comments", "menu": _OF_PAGE + " nav footer header mobile"}
+_BEFORE |= {"links": "footer nav share social related", "bar": "nav menu side top search cookie share", "banner": "cookie cookies consent ad gdpr promo", "notice": "cookie cookies consent gdpr", "consent": "cookie cookies gdpr"}
+_BEFORE |= {"posts": "related recommended", "articles": "related recommended", "stories": "related recommended", "buttons": "share sharing social", "icons": "share social", "media": "social"}
+_BEFORE |= {"area": "comments comment widget sidebar", "list": "comment comments", "form": "comment search login signup subscribe newsletter contact", "section": "comments", "thread": "disqus", "box": "search ad newsletter", "signup": "newsletter email", "modal": "cookie newsletter", "popup": "newsletter cookie"}
+_BEFORE |= {"container": "ad ads sidebar", "slot": "ad", "unit": "ad", "wrapper": "ad ads sidebar", "block": "ad", "label": "ad", "link": "skip", "widget": "sidebar"}
+COMPOUNDS = frozenset(f"{first}-{last}" for last, firsts in _BEFORE.items() for first in firsts.split()) | {"skip-to-content", "google-ad", "back-to-top", "you-may-also-like", "wp-block-navigation"}
+
+
+def _by_role(name: str, attributes: str) -> bool:
+    """Does a whole class name, id, role or label say that an element is no main text? Article and main always can be."""
+    if not attributes or name in ("html", "body", "article", "main"):
         return False
-    return any(word.lower() in ROLES for m in _NAMES.finditer(attributes) for word in _WORD.findall(m[1] or m[2] or m[3] or ""))
+    for m in _NAMES.finditer(attributes):
+        value = m[2] or m[3] or m[4] or ""
+        for word in ["-".join(value.split())] if m[1].lower() == "aria-label" else value.split():
+            whole = _CAMEL.sub("-", word).lower().replace("_", "-").strip("-")
+            if whole in ROLES or word.lower() in ROLES or re.sub("-+", "-", whole) in COMPOUNDS:
+                return True
+    return False
+
+
+def _by_markup(name: str, attributes: str) -> bool:
+    return name in PARTS or bool(attributes and _HIDDEN.search(attributes))
 
 
 def lines_of(page: str) -> tuple[list[str], list[bool]]:
-    """Text of each block in page order, and whether it can be main text; blocks without text are left out."""
+    """Text of each block in page order, and whether it can be main text; blocks without text are left out.
+
+    An element that only a role word drops is spared if it holds the main part, or if no article would be left.
+    """
     page = _SILENT.sub("", page)
+    texts, able, marked, holds_main, holds_article = _cut(page, frozenset())
+    spared = holds_main if marked else holds_main | holds_article
+    if spared:
+        texts, able, *_ = _cut(page, frozenset(spared))
+    return texts, able
+
+
+def _cut(page: str, spared: frozenset[int]) -> tuple[list[str], list[bool], bool, set[int], set[int]]:
+    """Lines as `lines_of` gives them, whether an article or main part is among them, and the starts of the elements that a
+    role word dropped with a main part or an article inside."""
     texts: list[str] = []
     able: list[bool] = []
     block: list[str] = []
     skip: list[str] = []  # open elements from the first that is no main text on
+    roots: list[int | None] = []  # of these: the start if a role word drops it, None if its markup does, -1 if nothing does
+    holds: dict[str, set[int]] = {"main": set(), "article": set()}
     mains = 0  # open article or main elements
     marked = False
     where: list[bool] = []  # is the line inside article or main
@@ -84,7 +118,9 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
             block.append(page[at : tag.start()])
         at = tag.end()
         ending, name, attributes = tag[1], tag[2].lower(), tag[3]
-        part = not ending and (bool(skip) or _is_part(name, attributes))
+        by_markup = not ending and _by_markup(name, attributes)
+        by_role = not ending and not by_markup and tag.start() not in spared and _by_role(name, attributes)
+        part = not ending and (bool(skip) or by_markup or by_role)
         if name not in INLINE or part != bool(skip):
             close()
         if name in VOID or attributes.endswith("/") and name in INLINE:
@@ -95,15 +131,20 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
                     if name not in INLINE or len(skip) == 1:
                         close()
                     while skip.pop() != name:
-                        pass
+                        roots.pop()
+                    roots.pop()
                 elif name in ("article", "main", "body"):
                     skip.clear()
+                    roots.clear()
                     mains = max(0, mains - (name != "body"))
                 continue
             if name in ("article", "main"):
                 mains = max(0, mains - 1)
         elif part:
             skip.append(name)
+            roots.append(None if by_markup else tag.start() if by_role else -1)
+            if name in holds and None not in roots:
+                holds[name].update(r for r in roots if r != -1)
         elif name in ("article", "main"):
             mains += 1
             marked = True
@@ -112,7 +153,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
     close()
     if marked:
         able = [a and inside for a, inside in zip(able, where)]
-    return texts, able
+    return texts, able, marked, holds["main"], holds["article"]
 
 
 def shared_lines(own: list[int], other: list[int]) -> list[int]:

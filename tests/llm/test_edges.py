@@ -59,6 +59,21 @@ def test_copies_keep_their_article(spark):
     assert got[50] == got[51] == "Alone here"
 
 
+def test_role_words_drop_no_article():
+    def main(page):
+        return " ".join(x for x, able in zip(*page_text.lines_of(page)) if able)
+
+    for tag in ("<article class='post no-sidebar'>", "<main class='has-sidebar'>", "<article class='post comments-open'>", "<main id=search>", "<div id='share-prices'>", "<section id='related-work'>", "<p class='notice-period'>", "<div aria-label='Search results'>"):
+        name = tag[1:].split()[0]
+        assert main(f"<body>{tag}Story</{name}>") == "Story"
+    assert main("<div class='sidebar'><div class=overlay><main>Story</main></div></div><div class='ad'>Buy</div>") == "Story"
+    assert main("<div class='promo'><article>Story<div class='ad'>Buy</div></article></div>") == "Story"
+    assert main("<article>Story</article><div class='comments'><article class='comment'>Me too</article></div>") == "Story"
+    assert main("<footer class='ad'><article>Teaser</article></footer><p>Story") == "Story"
+    for tag in ("class='box ad'", "id=sidebar", "role='navigation'", "class='siteHeader'", "class='site_footer'", "class='cookie-banner'", "class='related-posts'", "id='comments-area'", "aria-label='Main navigation'"):
+        assert main(f"<body><div {tag}>Other</div><div>Story</div>") == "Story"
+
+
 def test_languages_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "abc", None), (2, None, "en")], "doc_id long, text string, lang string")
     assert langid.learn(docs, docs["doc_id"] > 0) is None

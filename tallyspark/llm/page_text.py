@@ -244,11 +244,12 @@ def nearest_pages(pages: DataFrame, keys: Sequence[str] = ("doc",)) -> DataFrame
     at = pages.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
     placed = materialize(at.withColumn("part", F.shiftright("at", 33)), "pages-order")
     by = Window.partitionBy("part").orderBy("at")
-    past, ahead = by.rowsBetween(Window.unboundedPreceding, 0), by.rowsBetween(0, Window.unboundedFollowing)
+    # both frames grow row by row; one up to the end of its range would be read anew for each row
+    past, ahead = (Window.partitionBy("part").orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.asc("at"), F.desc("at")))
     beside = placed.withColumn("me", me).select("*", F.lag("me").over(by).alias("p"), F.lead("me").over(by).alias("n"))
     names = {(side, k): f"{side}_{k}" for k in keys for side in "pn"}
     found = [F.last(F.when(F.col(f"p.{k}") != F.col(k), F.col("p")), ignorenulls=True).over(past).alias(names["p", k]) for k in keys]
-    found += [F.first(F.when(F.col(f"n.{k}") != F.col(k), F.col("n")), ignorenulls=True).over(ahead).alias(names["n", k]) for k in keys]
+    found += [F.last(F.when(F.col(f"n.{k}") != F.col(k), F.col("n")), ignorenulls=True).over(ahead).alias(names["n", k]) for k in keys]
     found = materialize(beside.select("part", "at", "me", *found), "pages-beside")
     edges = [F.min_by("me", "at").alias("first"), F.max_by("me", "at").alias("last")]
     edges += [f(names[side, k], "at").alias(names[side, k]) for side, f in (("p", F.max_by), ("n", F.min_by)) for k in keys]

@@ -5,7 +5,8 @@ phrase. Only these longest windows are counted. ROLLUP then sums them over succe
 all shorter phrases, and of all words of a language, come from the counted windows and no text is cut into n-grams again.
 
 A phrase's parts occur at least as often as the phrase, so one threshold on the counts keeps all that scores and cover rules
-ask for. Windows combine before the shuffle, which tames frequent ones; everything after it works on distinct phrases.
+ask for, and a window can be padded from a pair of words on that is too rare: windows that differ only behind it become one.
+Windows combine before the shuffle, which tames frequent ones; everything after it works on distinct phrases.
 Tops are ranked in `SALTS` parts of a language first, so no task ranks more than `SALTS` times the wished number.
 
 Defined cases: null text counts as empty, null lang as `und` (one language with rows that say `und`); repeated rows count
@@ -22,21 +23,49 @@ from tallyspark.session import materialize
 from .common import table
 from .registry import query
 
-#: One character takes part in one rule: capitals become small, tabs spaces, ends of pieces line feeds.
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-PIECE_ENDS = ".,;:!?\x0b\x0c\r"
+PIECE_END = r"[.,;:!?\x0A-\x0D]"
 LONGEST, LEAST, COVER_PERCENT, TOP, SCALE = 4, 30, 80, 2000, 2_000_000
 SALTS = 32
+MOST_PAIRS = 4_000_000  # rows of 4 bytes that may be broadcast
 
 
-def windows(docs: DataFrame, longest: int = LONGEST, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """lang, w0, w1, ... of the window at every word; null past the end of its piece."""
-    plain = F.translate(F.col(text_col), CAPITALS + "\t" + PIECE_ENDS, SMALL + " " + "\n" * len(PIECE_ENDS))
+def piece_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """lang and words of every piece that has any."""
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
-    pieces = docs.select(lang.alias("lang"), F.explode(F.split(plain, "\n")).alias("piece"))
-    words = pieces.select("lang", F.array_remove(F.split("piece", " "), "").alias("words")).where(F.size("words") > 0)
+    pieces = docs.select(lang.alias("lang"), F.explode(F.split(F.replace(F.col(text_col), F.lit("\t"), F.lit(" ")), PIECE_END)).alias("piece"))
+    # `lower` knows more than A-Z, so it is for pieces of ASCII
+    small = F.when(F.octet_length("piece") == F.length("piece"), F.lower("piece")).otherwise(F.translate("piece", CAPITALS, SMALL))
+    return pieces.select("lang", F.array_remove(F.split(small, " "), "").alias("words")).where(F.size("words") > 0)
+
+
+def windows(pieces: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """lang, w0, w1, ... of the window at every word; null past the end of its piece."""
     leads = [F.col("words")] + [F.slice("words", k + 1, F.size("words")) for k in range(1, longest)]
-    return words.select("lang", F.inline(F.arrays_zip(*[w.alias(f"w{k}") for k, w in enumerate(leads)]))).toDF("lang", *_names(longest))
+    return pieces.select("lang", F.inline(F.arrays_zip(*[w.alias(f"w{k}") for k, w in enumerate(leads)]))).toDF("lang", *_names(longest))
+
+
+def _pair(first: str, second: str) -> Column:
+    return F.hash("lang", first, second)
+
+
+def end_at_rare_pairs(opened: DataFrame, pieces: DataFrame, longest: int, least: int) -> DataFrame:
+    """Windows padded from the first pair of words on that occurs less than `least` times: no phrase with it can be frequent.
+
+    Pairs are counted by a 32-bit hash; pairs that share one only keep a window longer than needed. Beyond `MOST_PAIRS` frequent
+    hashes the windows stay as they are, which gives the same phrases from larger shuffles.
+    """
+    pairs = windows(pieces, 2).where("w1 IS NOT NULL").groupBy(_pair("w0", "w1").alias("pair")).agg(F.count(F.lit(1)).alias("f"))
+    frequent = materialize(pairs.where(F.col("f") >= least).select("pair"), "pairs")
+    if frequent.count() > MOST_PAIRS:
+        return opened
+    names = _names(longest)
+    joined, whole, out = opened, F.lit(True), [F.col("lang"), F.col("w0")]
+    for k in range(1, longest):
+        joined = joined.join(F.broadcast(frequent.withColumnRenamed("pair", f"p{k}")), _pair(names[k - 1], names[k]) == F.col(f"p{k}"), "left")
+        whole = whole & F.col(f"p{k}").isNotNull()
+        out.append(F.when(whole, F.col(names[k])).alias(names[k]))
+    return joined.select(*out)
 
 
 def _names(longest: int) -> list[str]:
@@ -46,7 +75,9 @@ def _names(longest: int) -> list[str]:
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """lang, phrase, size, f of all phrases of 1 to `longest` words that occur `least` times; size 0 holds a language's words."""
     names = _names(longest)
-    counted = windows(docs, longest, text_col, lang_col).groupBy("lang", *names).agg(F.count(F.lit(1)).alias("f"))
+    pieces = piece_words(docs, text_col, lang_col)
+    opened = end_at_rare_pairs(windows(pieces, longest), pieces, longest, least)
+    counted = materialize(opened.groupBy("lang", *names).agg(F.count(F.lit(1)).alias("f")), "windows")
     full = counted.where(F.col(names[-1]).isNotNull() & (F.col("f") >= least)).select("lang", F.concat_ws(" ", *names).alias("phrase"), F.lit(longest).alias("size"), "f")
     prefix = names[:-1]
     held = " + ".join(f"int({w} IS NOT NULL)" for w in prefix)

@@ -8,8 +8,8 @@ A merge can only happen where some piece holds both characters side by side. The
 never happens (before a space mark, beside characters that occur in no longer piece), and chunks between such places are
 encoded on their own, once per task: the ids are those of the whole text, and one long text costs no more than its chunks.
 
-The library itself encodes and decodes the same Arrow batch when `check` is set; `agrees` says whether all ids and the
-decoded text are equal.
+With `check` the library encodes every chunk that is new to a task, Arrow batch by Arrow batch; `agrees` says whether it found
+the same ids for all chunks of a text and the decoded text is the text (space marks read as spaces).
 
 Defined cases: null text counts as empty and has the end id alone; null ids and repeated rows are encoded like other rows;
 empty tables return no rows; other columns are not read. Bytes that are no UTF-8 are read as U+FFFD.
@@ -32,15 +32,15 @@ from .common import cut, documents, table
 from .registry import query
 
 SPACE = "▁"
-LONGEST_KEPT = 64
+LONE = "\n"
 
 codecs.register_error("each_byte", lambda error: ("�", error.start + 1))
 
 
 class MergePieces:
-    """The vocabulary, its agenda, and the ids of chunks met so far (the most recent ones)."""
+    """The vocabulary, its agenda, and the ids of chunks met so far, up to `most` beside those of one batch."""
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = 600_000):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
@@ -68,13 +68,15 @@ class MergePieces:
             elif piece.type == kinds.UNKNOWN:
                 self.surface[i] = model.trainer_spec.unk_surface
         self.chunk = re.compile(self._chunks([p for p in self.ids if len(p) > 1]))
-        self.most, self.new, self.old = most, {}, {}
+        if not self.chunk.fullmatch(LONE):
+            raise ValueError("the character that sets chunks apart must not occur in longer pieces")
+        self.most, self.known, self.wrong = most, {}, set()
 
     @staticmethod
     def _chunks(longer: list[str]) -> str:
         """A pattern that cuts at places where no piece reaches across; a space stands for its mark."""
         if any(SPACE in p.lstrip(SPACE) for p in longer):
-            return r"(?s).+"  # some piece holds a space mark after another character
+            raise ValueError("a piece holds a space mark after another character, so no text can be cut into chunks")
         joined = set("".join(longer))
         lone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined and c != 32)
         return rf" *[^ {lone}]+| +|[{lone}]" if lone else r" *[^ ]+| +"
@@ -82,81 +84,98 @@ class MergePieces:
     def merge(self, chunk: str) -> list[int]:
         """Ids of one chunk, by the agenda."""
         symbols = list(chunk.replace(" ", SPACE))
-        size, order = len(symbols), self.order
-        before, after = list(range(-1, size - 1)), list(range(1, size + 1))
-        agenda: list[tuple[float, int, int, str]] = []
-
-        def propose(left: int, right: int) -> None:
-            piece = symbols[left] + symbols[right]
-            cost = order.get(piece)
-            if cost is not None:
-                heapq.heappush(agenda, (cost, left, right, piece))
-
+        size, cost_of, push, pop = len(symbols), self.order.get, heapq.heappush, heapq.heappop
+        agenda = []  # cost of the piece, place of its left symbol, length of the piece
         for i in range(size - 1):
-            propose(i, i + 1)
-        while agenda:
-            _, left, right, piece = heapq.heappop(agenda)
-            # both symbols must still stand as they did: a merged one is longer, a swallowed one empty
-            if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != len(piece):
-                continue
-            symbols[left], symbols[right] = piece, ""
-            following = after[left] = after[right]
-            if following < size:
-                before[following] = left
-                propose(left, following)
-            if before[left] >= 0:
-                propose(before[left], left)
+            cost = cost_of(symbols[i] + symbols[i + 1])
+            if cost is not None:
+                agenda.append((cost, i, 2))
+        if agenda:
+            heapq.heapify(agenda)
+            before, after = list(range(-1, size - 1)), list(range(1, size + 1))
+            while agenda:
+                _, left, length = pop(agenda)
+                own, right = symbols[left], after[left]
+                # symbols only grow: with one of them merged meanwhile, the pair is longer or gone
+                if not own or right >= size or len(own) + len(symbols[right]) != length:
+                    continue
+                symbols[left] = own = own + symbols[right]
+                symbols[right] = ""
+                following = after[left] = after[right]
+                if following < size:
+                    before[following] = left
+                    cost = cost_of(own + symbols[following])
+                    if cost is not None:
+                        push(agenda, (cost, left, length + len(symbols[following])))
+                first = before[left]
+                if first >= 0:
+                    cost = cost_of(symbols[first] + own)
+                    if cost is not None:
+                        push(agenda, (cost, first, length + len(symbols[first])))
         out: list[int] = []
         for symbol in symbols:
             if symbol:
                 known = self.ids.get(symbol)
-                out.extend([known] if known is not None else [self.byte_ids[b] for b in symbol.encode("utf-8", "replace")])
+                if known is not None:
+                    out.append(known)
+                else:
+                    out += [self.byte_ids[b] for b in symbol.encode("utf-8", "replace")]
         return out
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids, the end id last."""
-        if not text:
-            return self.end.to_bytes(4, "little")
-        chunks = self.chunk.findall(" " + text.replace(SPACE, " "))
-        new = self.new
-        try:
-            found = [new[c] for c in chunks]
-        except KeyError:
-            found = [new[c] if c in new else self._learn(c) for c in chunks]
-        found.append(self.end.to_bytes(4, "little"))
-        return b"".join(found)
-
-    def _learn(self, chunk: str) -> bytes:
-        raw = self.old.get(chunk)
-        if raw is None:
-            raw = np.array(self.merge(chunk), "<i4").tobytes()
-        if len(chunk) <= LONGEST_KEPT:
-            if len(self.new) >= self.most:
-                self.old, self.new = self.new, {}
-            self.new[chunk] = raw
-        return raw
+        return self.encode_batch([text])[0][0]
+
+    def encode_batch(self, texts: list[str], check: bool = False) -> list[tuple[bytes, str, bool | None]]:
+        """Ids as bytes, the text they give, and whether the library agrees (None unless asked), for every text."""
+        split = [self.chunk.findall(" " + text.replace(SPACE, " ")) if text else [] for text in texts]
+        known = self.known
+        unknown = {c for chunks in split for c in chunks if c not in known}
+        if unknown:
+            self._learn(sorted(unknown), check)
+        end = self.end.to_bytes(4, "little")
+        out = []
+        for text, chunks in zip(texts, split):
+            found = list(map(known.__getitem__, chunks))
+            back = "".join([f[1] for f in found])[1:]
+            agrees = (back == text.replace(SPACE, " ") and (not self.wrong or self.wrong.isdisjoint(chunks))) if check else None
+            out.append((b"".join([f[0] for f in found]) + end, back, agrees))
+        if len(known) > self.most:  # only the chunks of the latest batch stay
+            self.known = {c: known[c] for chunks in split for c in chunks} if len(unknown) < self.most // 2 else {}
+        return out
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids: runs of byte pieces are read as UTF-8, each wrong byte is U+FFFD; the leading space goes."""
+    def _learn(self, chunks: list[str], check: bool) -> None:
+        """Ids and text of new chunks; the library encodes each behind a character that merges with nothing."""
+        rows = [self.merge(c) for c in chunks]
+        for chunk, ids in zip(chunks, rows):
+            self.known[chunk] = (np.array(ids, "<i4").tobytes(), self._surface(ids))
+        if check:
+            head = self.library.encode(LONE)
+            self.wrong.update(c for c, ids, theirs in zip(chunks, rows, self.library.encode([LONE + c for c in chunks], num_threads=1)) if theirs != head + ids)
+
+    def _surface(self, ids: list[int]) -> str:
         byte_of, surface = self.byte_of, self.surface
         if byte_of.keys().isdisjoint(ids):
-            text = "".join([surface[i] for i in ids])
-        else:
-            parts: list[str] = []
-            run = bytearray()
-            for i in ids:
-                value = byte_of.get(i)
-                if value is not None:
-                    run.append(value)
-                    continue
-                if run:
-                    parts.append(run.decode("utf-8", "each_byte"))
-                    run.clear()
-                parts.append(surface[i])
-            parts.append(run.decode("utf-8", "each_byte"))
-            text = "".join(parts)
-        first = next((i for i in ids if self.surface[i] or i in byte_of), None)
-        return text[1:] if first is not None and first != self.unknown and surface[first].startswith(" ") else text
+            return "".join([surface[i] for i in ids])
+        parts: list[str] = []
+        run = bytearray()
+        for i in ids:
+            value = byte_of.get(i)
+            if value is not None:
+                run.append(value)
+                continue
+            if run:
+                parts.append(run.decode("utf-8", "each_byte"))
+                run.clear()
+            parts.append(surface[i])
+        parts.append(run.decode("utf-8", "each_byte"))
+        return "".join(parts)
+
+    def decode(self, ids: list[int]) -> str:
+        """The text of ids: runs of byte pieces are read as UTF-8, each wrong byte is U+FFFD; the leading space goes."""
+        text = self._surface(ids)
+        first = next((i for i in ids if self.surface[i] or i in self.byte_of), None)
+        return text[1:] if first is not None and first != self.unknown and self.surface[first].startswith(" ") else text
 
 
 _KNOWN: dict[str, MergePieces] = {}
@@ -171,14 +190,7 @@ def _encode_rows(batches: Iterator[pa.RecordBatch], model: str, check: bool) ->
     pieces = pieces_of(model)
     for batch in cut(batches, "text"):
         texts = [t.decode("utf-8", "replace") for t in batch.column(1).cast(pa.binary()).to_pylist()]
-        found = [pieces.encode(t) for t in texts]
-        rows = [np.frombuffer(raw, "<i4").tolist() for raw in found]
-        decoded = [pieces.decode(row) for row in rows]
-        if check:
-            library = pieces.library
-            same = [row == [*ids, pieces.end] and text == back for row, ids, text, back in zip(rows, library.encode(texts, num_threads=1), decoded, library.decode(rows, num_threads=1))]
-        else:
-            same = [None] * len(rows)
+        found, decoded, same = zip(*pieces.encode_batch(texts, check))
         ends = np.concatenate(([0], np.cumsum([len(raw) // 4 for raw in found]))).astype(np.int32)
         ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")))
         yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(decoded, pa.string()), pa.array(same, pa.bool_())], ["doc_id", "ids", "decoded", "agrees"])

@@ -155,6 +155,17 @@ def test_chunks_do_not_change_the_ids(model):
     assert whole == np.frombuffer(model.encode(text), "<i4").tolist()[:-1] == model.library.encode(text)
 
 
+def test_chunks_are_checked_and_forgotten(monkeypatch):
+    model = pieces.MergePieces(pieces.model_path(), most=50)
+    texts = [" ".join(f"w{i * j}" for j in range(30)) for i in range(40)]
+    for at in range(0, 40, 8):
+        for text, (raw, back, agrees) in zip(texts[at:], model.encode_batch(texts[at : at + 8], True)):
+            assert agrees and back == text and np.frombuffer(raw, "<i4").tolist()[:-1] == model.library.encode(text)
+        assert len(model.known) <= 50 + 8 * 30 * 6
+    monkeypatch.setattr(model, "merge", lambda chunk: [5])
+    assert [agrees for *_, agrees in model.encode_batch(["unseenword here", ""], True)] == [False, True]
+
+
 def test_piece_rows(spark, model):
     rows = [(i if i else None, t, "q") for i, t in enumerate(ODD + ["long words " * 20000, "y" * 30000])]
     docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, ids string").repartition(3)

@@ -1,4 +1,4 @@
-"""Company graph: co-mention edges, hop distances, personalised ranking. All relational.
+"""Company graph: co-mention edges, hop distances, personalised ranking.
 
 Loops write each round to the shared folder and read it back, so a lost executor costs one round and plans stay
 short. The driver sees one number per round.
@@ -8,15 +8,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import partial
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch
 
 BLOCK = 512  # organisations per block when one article's pairs are spread over tasks
 HUB_EDGES = 100_000  # edges of one vertex per task
+BLOCK_EDGES = 200_000  # edges one task pushes residuals through
 
 
 def co_mentions(mentions: DataFrame, min_weight: int, blocked: Sequence = (), url: str = "url", organisation: str = "organisation") -> DataFrame:
@@ -74,28 +78,53 @@ def landmarks_in(nodes: DataFrame, names: Sequence) -> DataFrame:
     return nodes.where(F.col("id").isin(list(names))).select("id")
 
 
+def _split_hubs(links: DataFrame, key: str, other: str) -> tuple[DataFrame, DataFrame]:
+    """Links with a `part` for each HUB_EDGES rows of a key, and the keys that have several parts (at most links / HUB_EDGES)."""
+    sizes = links.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HUB_EDGES)
+    hubs = materialize(sizes.select(F.col(key).alias("_hub"), F.ceil(F.col("_n") / HUB_EDGES).cast("int").alias("parts")), "hubs")
+    part = F.pmod(F.xxhash64(other), F.coalesce("parts", F.lit(1))).cast("int")
+    return links.join(hubs, F.col(key) == F.col("_hub"), "left").withColumn("part", part).drop("_hub", "parts"), hubs
+
+
+def _to_parts(rows: DataFrame, hubs: DataFrame, key: str) -> DataFrame:
+    """Each row once for every part of its key."""
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
+    return rows.join(hubs, F.col(key) == F.col("_hub"), "left").withColumn("part", parts).drop("_hub", "parts")
+
+
 def hop_distances(edges: DataFrame, landmarks: DataFrame, max_hops: int | None = None) -> DataFrame:
     """(id, landmark, distance): fewest edges from a vertex to each landmark it can reach.
 
-    Level by level; each level is one folder of a table partitioned by distance. Stops when a level is empty.
+    Level by level for 64 landmarks at a time: a vertex has one row per group of 64, with a bit for each landmark that has
+    reached it and the bits set at this level. Rows with fresh bits move along the edges, an edge of a hub in the part that
+    holds it; what arrives and what is known meet in one aggregate. Each level is one folder of a table partitioned by
+    distance. Stops when a level sets no bit.
     """
     spark = edges.sparkSession
     out = scratch(spark, "hops")
     kind = landmarks.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, landmark {kind}, distance INT"
-    links = materialize(edges.select("src", F.col("dst").alias("_to")).distinct(), "links")
-    landmarks.select("id", F.col("id").alias("landmark")).distinct().write.parquet(f"{out}/distance=0")
+    state = f"id {kind}, grp LONG, known LONG, fresh LONG"
+    links = edges.select("src", F.col("dst").alias("_to")).distinct()
+    links, hubs = _split_hubs(materialize(links, "links"), "_to", "src")
+    links = links.repartition("_to", "part").persist(StorageLevel.MEMORY_AND_DISK)
+    # 64 consecutive numbers are one group; numbers of different tasks never share one
+    numbered = materialize(landmarks.select(F.col("id").alias("landmark")).distinct().withColumn("n", F.monotonically_increasing_id()), "landmarks")
+    numbered = numbered.select("landmark", F.shiftright("n", 6).alias("grp"), F.expr("shiftleft(1L, int(n & 63))").alias("bit"))
+    numbered.groupBy(F.col("landmark").alias("id"), "grp").agg(F.bit_or("bit").alias("fresh")).select("id", "grp", F.col("fresh").alias("known"), "fresh").write.parquet(f"{out}/distance=0")
     level = 0
     while max_hops is None or level < max_hops:
-        seen = spark.read.schema(schema).parquet(out)
-        frontier = spark.read.schema(f"id {kind}, landmark {kind}").parquet(f"{out}/distance={level}")
-        reached = links.join(frontier.withColumnRenamed("id", "_to"), "_to").select(F.col("src").alias("id"), "landmark").distinct()
+        before = spark.read.schema(state).parquet(f"{out}/distance={level}")
+        moving = _to_parts(before.where("fresh <> 0").select(F.col("id").alias("_to"), "grp", "fresh"), hubs, "_to")
+        arrived = links.join(moving, ["_to", "part"]).select(F.col("src").alias("id"), "grp", F.lit(0).cast("long").alias("known"), "fresh")
+        both = arrived.unionByName(before.select("id", "grp", "known", F.lit(0).cast("long").alias("fresh")))
         level += 1
-        path = f"{out}/distance={level}"
-        reached.join(seen.select("id", "landmark"), ["id", "landmark"], "left_anti").write.parquet(path)
-        if spark.read.schema(f"id {kind}, landmark {kind}").parquet(path).isEmpty():
+        met = both.groupBy("id", "grp").agg(F.bit_or("known").alias("old"), F.bit_or("fresh").alias("new"))
+        met.selectExpr("id", "grp", "old | new AS known", "new & ~old AS fresh").write.parquet(f"{out}/distance={level}")
+        if spark.read.schema(state).parquet(f"{out}/distance={level}").where("fresh <> 0").isEmpty():
             break
-    return spark.read.schema(schema).parquet(out)
+    links.unpersist()
+    levels = spark.read.schema(f"{state}, distance INT").parquet(out).where("fresh <> 0")
+    return levels.join(numbered, "grp").where("fresh & bit <> 0").select("id", "landmark", "distance")
 
 
 def within_hops(edges: DataFrame, landmarks: DataFrame, hops: int = 4) -> tuple[DataFrame, DataFrame]:
@@ -151,6 +180,106 @@ def personalised_ranks(
     return ranks.select(F.col("landmark").alias("organisation"), F.col("id").alias("connection"), F.col("rank").alias("importance"))
 
 
+def push_ranks(edges: DataFrame, landmarks: DataFrame, reset: float = 0.15, tolerance: float = 1e-10, block_edges: int = BLOCK_EDGES, max_rounds: int = 1000, normalise: bool = True) -> DataFrame:
+    """(organisation, connection, importance): PageRank of every vertex seen from each landmark, to a total error of ``tolerance``.
+
+    Residual forward push: a vertex keeps the rank it has settled and a residual. Only residuals above a bound move: they are
+    settled, and all but ``reset`` of them goes to the neighbours' residuals in equal parts. With every residual below
+    tolerance * reset / vertices, all that is unsettled adds up to less than the tolerance.
+
+    Edges are dealt to blocks by their source (by part of it, if it is a hub). A task holds one block, pushes inside it until
+    nothing there can move, and hands on what leaves the block; a round is one shuffle of those residuals. Landmarks are
+    independent: a graph of few blocks is copied to as many lanes of landmarks as there are cores. Settled rank is written
+    round by round and summed once. Raises when residuals still move after ``max_rounds``.
+    """
+    spark = edges.sparkSession
+    id_kind = edges.schema["src"].dataType.simpleString()
+    links = materialize(edges.select("src", "dst"), "links")
+    start = materialize(landmarks.select(F.col("id").cast(id_kind).alias("id")).distinct(), "landmarks")
+    degree = links.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
+    edge_count, marks = links.count(), start.count()
+    vertex_count = links.select("src").union(links.select("dst")).union(start.select("id")).distinct().count()
+    blocks = max(1, -(-edge_count // block_edges))
+    lanes = max(1, min(marks, spark.sparkContext.defaultParallelism // blocks))
+    bound = tolerance * reset / max(vertex_count, 1)
+
+    split, hubs = _split_hubs(links, "src", "dst")
+
+    def block_of(vertex: str, part: Column) -> Column:
+        return F.pmod(F.xxhash64(vertex, part), F.lit(blocks)).cast("int")
+
+    # a hub is in several blocks, so what goes to it always leaves the block
+    ends = split.join(degree, "src").join(hubs, F.col("dst") == F.col("_hub"), "left")
+    dealt = ends.select("src", "part", "dst", "degree", block_of("src", F.col("part")).alias("block"), F.when(F.col("_hub").isNull(), block_of("dst", F.lit(0))).alias("to"))
+    in_lanes = dealt.select("src", "part", "dst", "degree", "block", "to", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
+    cells = in_lanes.withColumn("cell", F.col("block") * lanes + F.col("lane")).drop("lane")
+    cells = materialize(cells, "cells").repartition("cell").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def to_cells(rows: DataFrame) -> DataFrame:
+        """Residuals (id, landmark, amount) at every part of their vertex."""
+        placed = _to_parts(rows, hubs, "id")
+        lane = F.pmod(F.xxhash64("landmark"), F.lit(lanes)).cast("int")
+        return placed.withColumn("cell", block_of("id", F.col("part")) * lanes + lane)
+
+    schema = f"settled BOOLEAN, id {id_kind}, landmark {id_kind}, amount DOUBLE"
+    out = scratch(spark, "push")
+    waiting = start.select("id", F.col("id").alias("landmark"), F.lit(float(reset)).alias("amount"))
+    top, done = reset, 0
+    while top is not None and top > bound:
+        if done == max_rounds:
+            raise RuntimeError(f"residuals above {bound} still move after {max_rounds} rounds")
+        push = partial(_push_block, lanes=lanes, keep=1 - reset, bound=max(bound, top / 100))
+        moved = cells.groupBy("cell").cogroup(to_cells(waiting).groupBy("cell")).applyInPandas(lambda key, e, r: push(key, e, r), schema)
+        moved.write.parquet(f"{out}/round={done}")
+        rows = spark.read.schema(schema).parquet(f"{out}/round={done}")
+        done += 1
+        waiting = rows.where("NOT settled").groupBy("id", "landmark").agg(F.sum("amount").alias("amount"))
+        top = waiting.agg(F.max("amount")).first()[0]  # one number per round
+    cells.unpersist()
+    if not done:
+        return spark.createDataFrame([], f"organisation {id_kind}, connection {id_kind}, importance DOUBLE")
+    # the last residuals are part of the rank too, if only a lower bound of it
+    last = F.col("settled") | (F.col("round") == done - 1)
+    ranks = spark.read.schema(f"{schema}, round INT").parquet(out).where(last).groupBy("id", "landmark").agg(F.sum("amount").alias("rank"))
+    if normalise:
+        totals = ranks.groupBy("landmark").agg(F.sum("rank").alias("_sum"))
+        ranks = ranks.join(totals, "landmark").withColumn("rank", F.col("rank") / F.col("_sum"))
+    return ranks.select(F.col("landmark").alias("organisation"), F.col("id").alias("connection"), F.col("rank").alias("importance"))
+
+
+def _push_block(key: tuple, edges: pd.DataFrame, residuals: pd.DataFrame, lanes: int, keep: float, bound: float) -> pd.DataFrame:
+    """Push all landmarks of one lane through one block: settled rank, and residuals that stayed below the bound or left."""
+    columns = ["settled", "id", "landmark", "amount"]
+    rows: dict[str, list] = {c: [] for c in columns}
+    if not len(residuals):
+        return pd.DataFrame(rows, dtype=object)
+    inside = (edges["to"] == key[0] // lanes).to_numpy()
+    inner, outer = edges[inside], edges[~inside]
+    whole = pd.concat([edges[["src", "part"]].set_axis(["id", "part"], axis=1), inner[["dst"]].set_axis(["id"], axis=1).assign(part=0), residuals[["id", "part"]]])
+    units = whole.groupby(["id", "part"], sort=False).ngroup().to_numpy()
+    first = np.flatnonzero(~pd.Series(units).duplicated().to_numpy())
+    names, home = whole["id"].to_numpy()[first], whole["part"].to_numpy()[first] == 0
+    source, sink, at = units[: len(edges)], units[len(edges) : len(edges) + len(inner)], units[len(edges) + len(inner) :]
+    share = keep / edges["degree"].to_numpy(float)
+    away, far = pd.factorize(outer["dst"])
+    for landmark, places in residuals.groupby("landmark", sort=False).indices.items():
+        left = np.bincount(at[places], residuals["amount"].to_numpy()[places], len(names))
+        settled, gone = np.zeros(len(names)), np.zeros(len(far))
+        while (hot := left > bound).any():
+            moved = np.where(hot, left, 0.0)
+            settled += moved
+            sent = moved[source] * share
+            left = np.where(hot, 0.0, left) + np.bincount(sink, sent[inside], len(names))
+            if len(far):
+                gone += np.bincount(away, sent[~inside], len(far))
+        # every part of a hub has settled the same; its first part speaks for it
+        for flag, ids, amounts in ((True, names[home], settled[home]), (False, names[home], left[home]), (False, np.asarray(far), gone)):
+            some = amounts > 0
+            for column, values in zip(columns, ([flag] * int(some.sum()), ids[some].tolist(), [landmark] * int(some.sum()), amounts[some].tolist())):
+                rows[column] += values
+    return pd.DataFrame(rows, dtype=object)
+
+
 def size_report(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     n = nodes.agg(F.count(F.lit(1)).alias("vertices"))
     return n.withColumn("edges", edges.agg(F.count(F.lit(1))).scalar())

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,30 +81,88 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep").transform(df)
 
 
+def _learning_rows(df: DataFrame, features: Sequence[str], label: str, validation: Column) -> DataFrame:
+    return assemble(df, features).withColumn("_held_out", validation).select("features", F.col(label).cast("double").alias("label"), "_held_out")
+
+
 def fit_trees(df: DataFrame, features: Sequence[str], label: str, validation: Column, seed: int = 42, **params) -> GBTRegressionModel:
-    """Boosted trees; rows with ``validation`` true are held out and stop the boosting."""
-    options = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.2, "subsamplingRate": 1.0, **params}
-    data = assemble(df, features).withColumn("_held_out", validation).select("features", F.col(label).cast("double").alias("label"), "_held_out")
-    return GBTRegressor(featuresCol="features", labelCol="label", validationIndicatorCol="_held_out", seed=seed, **options).fit(data)
+    """Boosted trees; rows with ``validation`` true are held out and stop the boosting.
+
+    Up to 1000 trees, as many as still lower the held-out error by ``validationTol`` of it. A fit that is still gaining at
+    ``maxIter`` is an error, so the number of trees is always the data's choice.
+    """
+    options = {"maxIter": 1000, "maxDepth": 4, "stepSize": 0.2, "subsamplingRate": 1.0, "validationTol": 0.002, "cacheNodeIds": False, **params}
+    data = _learning_rows(df, features, label, validation).persist()
+    try:
+        model = GBTRegressor(featuresCol="features", labelCol="label", validationIndicatorCol="_held_out", seed=seed, **options).fit(data)
+    finally:
+        data.unpersist()
+    if model.getNumTrees >= options["maxIter"]:
+        raise RuntimeError(f"the held-out error still falls after {options['maxIter']} trees")
+    return model
+
 
+SEARCHED = ["maxDepth", "maxBins", "stepSize", "subsamplingRate", "minInstancesPerNode", "minInfoGain"]
 
-def search_trees(df: DataFrame, features: Sequence[str], label: str, trials: int = 96, parallelism: int = 12, seed: int = 42):
-    """Random search over six parameters; Spark fits ``parallelism`` of them side by side."""
+
+def tree_trials(trials: int = 96, seed: int = 42) -> list[dict[str, float]]:
+    """Random settings of the six searched parameters."""
     rng = np.random.default_rng(seed)
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", seed=seed)
-    grid = [
+    return [
         {
-            gbt.maxDepth: int(rng.integers(2, 6)), gbt.maxIter: int(rng.integers(5, 15)), gbt.stepSize: float(np.exp(rng.uniform(-3, -0.7))),
-            gbt.subsamplingRate: float(rng.uniform(0.5, 1.0)), gbt.minInstancesPerNode: int(rng.integers(1, 20)), gbt.minInfoGain: float(rng.uniform(0, 0.01)),
+            "maxDepth": int(rng.integers(2, 7)), "maxBins": int(rng.choice([16, 32, 64])), "stepSize": float(np.exp(rng.uniform(-3, -0.7))),
+            "subsamplingRate": float(rng.uniform(0.5, 1.0)), "minInstancesPerNode": int(rng.integers(1, 20)), "minInfoGain": float(rng.uniform(0, 0.01)),
         }
         for _ in range(trials)
     ]
-    data = assemble(df, features).select("features", F.col(label).cast("double").alias("label")).persist()
-    search = TrainValidationSplit(estimator=gbt, estimatorParamMaps=grid, evaluator=RegressionEvaluator(metricName="rmse"), trainRatio=0.8, parallelism=parallelism, seed=seed)
+
+
+def search_trees(
+    df: DataFrame, features: Sequence[str], label: str, validation: Column, trials: int = 96, first: int = 2, keep: int = 4, last: int = 3, parallelism: int = 12, seed: int = 42
+) -> tuple[GBTRegressionModel, DataFrame]:
+    """Successive halving over random settings: the model of the best one, and one row per trial and rung.
+
+    All trials grow ``first`` trees; the best of every ``keep`` go on with ``keep`` times as many, until ``last`` or fewer are
+    left. These grow until the held-out rows stop them, and the least held-out error wins. ``validation`` marks the held-out
+    rows; they are the same for all trials. ``parallelism`` fits run side by side as Spark jobs over the same cached rows.
+    """
+    data = materialize(_learning_rows(df, features, label, validation), "learning").persist()
+    train, held = data.where("NOT _held_out"), data.where("_held_out").persist()
+    settings = tree_trials(trials, seed)
+    evaluator = RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="rmse")
+
+    def grow(trial: int, rounds: int | None) -> tuple[GBTRegressionModel, float]:
+        gbt = GBTRegressor(featuresCol="features", labelCol="label", seed=seed + trial, **settings[trial])
+        if rounds is None:
+            model = gbt.setParams(maxIter=1000, validationIndicatorCol="_held_out", validationTol=0.002).fit(data)
+        else:
+            model = gbt.setParams(maxIter=rounds).fit(train)
+        return model, float(evaluator.evaluate(model.transform(held)))
+
+    rows, alive, rung, rounds = [], list(range(trials)), 0, first
+    models: dict[int, GBTRegressionModel] = {}
+    pool = ThreadPool(parallelism)
     try:
-        return search.fit(data), [{p.name: v for p, v in g.items()} for g in grid]
+        while True:
+            final = len(alive) <= last
+            done = pool.map(inheritable_thread_target(df.sparkSession)(lambda t: grow(t, None if final else rounds)), alive)
+            errors = {t: error for t, (_, error) in zip(alive, done)}
+            models = {t: model for t, (model, _) in zip(alive, done)}
+            rows += [(t, rung, models[t].getNumTrees, errors[t], final, json.dumps(settings[t], sort_keys=True)) for t in alive]
+            best = sorted(alive, key=lambda t: (errors[t], t))
+            if final:
+                break
+            alive, rung, rounds = sorted(best[: max(1, len(alive) // keep)]), rung + 1, rounds * keep
     finally:
+        pool.close()
+        held.unpersist()
         data.unpersist()
+    return models[best[0]], df.sparkSession.createDataFrame(rows, "trial INT, rung INT, trees INT, rmse DOUBLE, finished BOOLEAN, parameters STRING")
+
+
+def best_tree_trial(search: DataFrame) -> DataFrame:
+    """The finished trial with the least held-out error."""
+    return search.where("finished").agg(F.min_by(F.struct(*search.columns), F.struct("rmse", "trial")).alias("b")).select("b.*")
 
 
 def permutation_importance(model, df: DataFrame, features: Sequence[str], label: str, seed: int = 7) -> DataFrame:

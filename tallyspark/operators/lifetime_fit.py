@@ -1,13 +1,15 @@
 """Maximum likelihood fits of the lifetime models as Spark jobs.
 
-The data stay on the cluster: each job evaluates a batch of candidate parameters on every partition and returns
-one number per candidate. The driver holds only parameters. All trials of a search share their jobs.
+The data stay on the cluster: each job evaluates likelihoods and their analytic gradients for a batch of candidate parameters
+on every partition and returns a handful of sums per candidate. The driver holds only parameters. All trials of a search share
+their jobs. A fit ends when its gradient vanishes, never at a number of rounds, and says so.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Generator, Iterator, Sequence
+from dataclasses import dataclass, replace
 from math import log
 
 import numpy as np
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lifetime import hyp2f1
+from ..session import materialize
 
 PARAMETERS = {"bgnbd": ("r", "alpha", "a", "b"), "pareto": ("r", "alpha", "s", "beta"), "gammagamma": ("p", "q", "v")}
 INPUTS = {"bgnbd": ("x", "tx", "t"), "pareto": ("x", "tx", "t"), "gammagamma": ("x", "m")}
@@ -32,6 +35,16 @@ def lgamma(z: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * log(2 * np.pi) + series - shift
 
 
+def digamma(z: np.ndarray) -> np.ndarray:
+    """Derivative of ln Γ for positive z, by the same shift and series."""
+    z = np.asarray(z, dtype=float)
+    shift = np.zeros_like(z)
+    for k in range(8):
+        shift += 1 / (z + k)
+    y = z + 8
+    return np.log(y) - 1 / (2 * y) - 1 / (12 * y**2) + 1 / (120 * y**4) - 1 / (252 * y**6) + 1 / (240 * y**8) - shift
+
+
 def bgnbd_loglik(theta: Sequence[float], d: dict[str, np.ndarray]) -> np.ndarray:
     r, alpha, a, b = theta
     x, tx, t = d["x"], d["tx"], d["t"]
@@ -46,7 +59,12 @@ NODES, WEIGHTS = np.polynomial.legendre.leggauss(40)
 
 
 def _pareto_terms(theta: Sequence[float], d: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """ln of the alive part and of the dropped-out part of the likelihood, without the common factor.
+    """ln of the alive part and of the dropped-out part of the likelihood, without the common factor."""
+    return _pareto_integral(theta, d)[:2]
+
+
+def _pareto_integral(theta: Sequence[float], d: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Both parts, the nodes y of each row and their shares of its integral.
 
     The second is s times the integral of (alpha+y)^-(r+x) (beta+y)^-(s+1) over y from tx to T (Schmittlein et al.
     1987, before it is written with a hypergeometric function). Integrating over ln((alpha+y)/(alpha+tx)), cut where
@@ -64,8 +82,10 @@ def _pareto_terms(theta: Sequence[float], d: dict[str, np.ndarray]) -> tuple[np.
     y = np.exp(u) - base
     logs = -(r + x)[:, None] * np.log(alpha + y) - (s + 1) * np.log(beta + y) + u
     top = logs.max(axis=1, keepdims=True)
-    integral = top[:, 0] + np.log(np.maximum((np.exp(logs - top) * WEIGHTS).sum(axis=1), 1e-300) * np.maximum(width[:, 0], 1e-300) / 2)
-    return alive, np.log(s) + integral
+    parts = np.exp(logs - top) * WEIGHTS
+    whole = np.maximum(parts.sum(axis=1), 1e-300)
+    integral = top[:, 0] + np.log(whole * np.maximum(width[:, 0], 1e-300) / 2)
+    return alive, np.log(s) + integral, y, parts / whole[:, None]
 
 
 def pareto_loglik(theta: Sequence[float], d: dict[str, np.ndarray]) -> np.ndarray:
@@ -81,7 +101,55 @@ def gammagamma_loglik(theta: Sequence[float], d: dict[str, np.ndarray]) -> np.nd
     return lgamma(px + q) - lgamma(px) - lgamma(np.array(q)) + q * np.log(v) + (px - 1) * np.log(m) + px * np.log(x) - (px + q) * np.log(x * m + v)
 
 
+def bgnbd_slopes(theta: Sequence[float], d: dict[str, np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Log-likelihood of each row and its derivatives by r, alpha, a and b."""
+    r, alpha, a, b = theta
+    x, tx, t = d["x"], d["tx"], d["t"]
+    alive = -(r + x) * np.log(alpha + t)
+    left = np.where(x > 0, np.log(a / np.maximum(b + x - 1, 1e-12)) - (r + x) * np.log(alpha + tx), -np.inf)
+    both = np.logaddexp(alive, left)
+    stay, gone = np.exp(alive - both), np.exp(left - both)
+    value = lgamma(b + x) - lgamma(np.array(b)) + lgamma(np.array(a + b)) - lgamma(a + b + x) + lgamma(r + x) - lgamma(np.array(r)) + r * np.log(alpha) + both
+    total = digamma(np.array(a + b)) - digamma(a + b + x)
+    return value, [
+        digamma(r + x) - digamma(np.array(r)) + np.log(alpha) - stay * np.log(alpha + t) - gone * np.log(alpha + tx),
+        r / alpha - (r + x) * (stay / (alpha + t) + gone / (alpha + tx)),
+        total + gone / a,
+        total + digamma(b + x) - digamma(np.array(b)) - np.where(x > 0, gone / np.maximum(b + x - 1, 1e-12), 0.0),
+    ]
+
+
+def pareto_slopes(theta: Sequence[float], d: dict[str, np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Log-likelihood of each row and its derivatives by r, alpha, s and beta; the limits of the integral depend on none."""
+    r, alpha, s, beta = theta
+    x, t = d["x"], d["t"]
+    alive, left, y, shares = _pareto_integral(theta, d)
+    both = np.logaddexp(alive, left)
+    stay, gone = np.exp(alive - both), np.exp(left - both)
+    value = lgamma(r + x) - lgamma(np.array(r)) + r * np.log(alpha) + s * np.log(beta) + both
+    return value, [
+        digamma(r + x) - digamma(np.array(r)) + np.log(alpha) - stay * np.log(alpha + t) - gone * (shares * np.log(alpha + y)).sum(axis=1),
+        r / alpha - (r + x) * (stay / (alpha + t) + gone * (shares / (alpha + y)).sum(axis=1)),
+        np.log(beta) - stay * np.log(beta + t) + gone * (1 / s - (shares * np.log(beta + y)).sum(axis=1)),
+        s / beta - stay * s / (beta + t) - gone * (s + 1) * (shares / (beta + y)).sum(axis=1),
+    ]
+
+
+def gammagamma_slopes(theta: Sequence[float], d: dict[str, np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Log-likelihood of each row and its derivatives by p, q and v."""
+    p, q, v = theta
+    x, m = d["x"], d["m"]
+    px, scale = p * x, x * m + v
+    top = digamma(px + q)
+    return gammagamma_loglik(theta, d), [
+        x * (top - digamma(px) + np.log(m) + np.log(x) - np.log(scale)),
+        top - digamma(np.array(q)) + np.log(v) - np.log(scale),
+        q / v - (px + q) / scale,
+    ]
+
+
 LOGLIK = {"bgnbd": bgnbd_loglik, "pareto": pareto_loglik, "gammagamma": gammagamma_loglik}
+SLOPES = {"bgnbd": bgnbd_slopes, "pareto": pareto_slopes, "gammagamma": gammagamma_slopes}
 
 
 def bgnbd_expected(theta: Sequence[float], d: dict[str, np.ndarray], days: float) -> np.ndarray:
@@ -121,140 +189,199 @@ def spend_cells(metrics: DataFrame, x: str = "frequency", m: str = "monetary_val
     return kept.groupBy(F.col(x).cast("double").alias("x"), F.col(m).cast("double").alias("m")).agg(F.count(F.lit(1)).cast("double").alias("n"))
 
 
-def log_likelihoods(cells: DataFrame, candidates: Sequence[tuple[str, Sequence[float]]]) -> np.ndarray:
-    """Mean log-likelihood of each (model, parameters) over the whole of ``cells``, in one job."""
+def likelihood_sums(cells: DataFrame, candidates: Sequence[tuple[str, Sequence[float]]], slopes: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Mean log-likelihood of each (model, parameters) over the whole of ``cells``, and its gradient, in one job.
+
+    Cells may come in copies, numbered by ``lane`` of ``lanes``: each copy then serves its share of the candidates.
+    """
     task = json.dumps([(m, [float(v) for v in p]) for m, p in candidates])
     columns = sorted({c for m, _ in candidates for c in INPUTS[m]})
+    kept = cells if "lane" in cells.columns else cells.withColumns({"lane": F.lit(0), "lanes": F.lit(1)})
 
     def partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         todo = json.loads(task)
-        sums, weight = np.zeros(len(todo)), 0.0
+        found: dict[int, np.ndarray] = {}
         with np.errstate(all="ignore"):
-            for pdf in batches:
-                d = {c: pdf[c].to_numpy() for c in columns}
-                n = pdf["n"].to_numpy()
-                weight += n.sum()
-                for i, (model, theta) in enumerate(todo):
-                    sums[i] += float(np.dot(n, LOGLIK[model](theta, d)))
-        yield pd.DataFrame({"candidate": np.arange(len(todo)), "ll": sums, "n": weight})
+            for whole in batches:
+                for (lane, lanes), pdf in whole.groupby(["lane", "lanes"]):
+                    d = {c: pdf[c].to_numpy() for c in columns}
+                    n = pdf["n"].to_numpy()
+                    for i in range(int(lane), len(todo), int(lanes)):
+                        model, theta = todo[i]
+                        value, by = SLOPES[model](theta, d) if slopes else (LOGLIK[model](theta, d), [])
+                        found[i] = found.get(i, 0.0) + np.array([n.sum(), *(np.dot(n, v) for v in (value, *by))])
+        yield pd.DataFrame([(i, k, v) for i, sums in found.items() for k, v in enumerate(sums)], columns=["candidate", "item", "total"])
 
     rows = (
-        cells.select(*columns, "n").mapInPandas(partial_sums, "candidate INT, ll DOUBLE, n DOUBLE")
-        .groupBy("candidate").agg(F.sum("ll").alias("ll"), F.sum("n").alias("n")).collect()  # one row per candidate
+        kept.select(*columns, "n", "lane", "lanes").mapInPandas(partial_sums, "candidate INT, item INT, total DOUBLE")
+        .groupBy("candidate", "item").agg(F.sum("total").alias("total")).collect()  # a few rows per candidate
     )
-    out = np.full(len(candidates), -np.inf)
+    sums = np.full((len(candidates), 2 + max(len(p) for _, p in candidates)), np.nan)
     for row in rows:
-        value = row["ll"] / row["n"] if row["n"] else -np.inf
-        out[row["candidate"]] = value if np.isfinite(value) else -np.inf
-    return out
+        sums[row["candidate"], row["item"]] = row["total"]
+    return sums[:, 1] / sums[:, 0], sums[:, 2:] / sums[:, :1]
 
 
-def _newton(model: str, start: Sequence[float], l2: float, steps: int, tol: float = 1e-8) -> Generator[list[tuple[str, list[float]]], np.ndarray, list[float]]:
-    """Damped Newton ascent on log parameters. Yields batches of candidates, receives their log-likelihoods.
+def log_likelihoods(cells: DataFrame, candidates: Sequence[tuple[str, Sequence[float]]]) -> np.ndarray:
+    """Mean log-likelihood of each (model, parameters) over the whole of ``cells``."""
+    values = likelihood_sums(cells, candidates, slopes=False)[0]
+    return np.where(np.isfinite(values), values, -np.inf)
 
-    Each batch holds the difference stencils around several damped steps at once, so a step costs one job.
+
+@dataclass(frozen=True)
+class Fit:
+    """Parameters, and what certifies them: the largest slope of the penalised mean log-likelihood by a log parameter.
+
+    The log-likelihood is the plain mean in the units the fit runs in.
     """
-    at, k, h = np.log(np.asarray(start, dtype=float)), len(start), 1e-3
-    eye, pairs = np.eye(k), [(i, j) for i in range(k) for j in range(i + 1, k)]
-    offsets = np.array([0 * eye[0]] + [s * h * eye[i] for i in range(k) for s in (1, -1)] + [s * h * (eye[i] + eye[j]) for s in (1, -1) for i, j in pairs])
-
-    def objective(values: np.ndarray, logs: np.ndarray) -> np.ndarray:
-        return values - l2 * np.sum(np.exp(logs) ** 2, axis=1)
-
-    def model_at(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        up, down, both = f[1 : 2 * k + 1 : 2], f[2 : 2 * k + 1 : 2], f[2 * k + 1 :]
-        hessian = np.diag((up - 2 * f[0] + down) / h**2)
-        for n, (i, j) in enumerate(pairs):
-            mixed = both[n] + both[n + len(pairs)] - up[i] - down[i] - up[j] - down[j] + 2 * f[0]
-            hessian[i, j] = hessian[j, i] = mixed / (2 * h**2)
-        return (up - down) / (2 * h), hessian
-
-    centers, best, gradient, hessian, damping = [at], -np.inf, np.zeros(k), -eye, 1e-3
-    for _ in range(steps):
-        logs = np.clip(np.concatenate([c + offsets for c in centers]), -12, 18)
-        f = objective((yield [(model, p) for p in np.exp(logs).tolist()]), logs).reshape(len(centers), -1)
-        win = int(np.argmax(f[:, 0]))
-        gain = f[win, 0] - best
-        if gain > 0 and np.all(np.isfinite(f[win])):
-            at, best = centers[win], f[win, 0]
-            gradient, hessian = model_at(f[win])
-            damping = max(damping * (1e-2, 1.0, 1e2)[win] if len(centers) > 1 else damping, 1e-9)
-            if gain < tol * max(1.0, abs(best)):
-                break
-        elif damping > 1e5:
+
+    parameters: list[float]
+    rounds: int
+    gradient: float
+    log_likelihood: float
+    converged: bool
+
+
+TOLERANCE = 1e-8
+MAX_ROUNDS = 300
+
+
+def _newton(model: str, start: Sequence[float], l2: float, tolerance: float = TOLERANCE) -> Generator[list[tuple[str, list[float]]], tuple[np.ndarray, np.ndarray], Fit]:
+    """Damped Newton ascent on log parameters until the gradient vanishes. Yields candidates, receives values and gradients.
+
+    Each batch holds several damped steps at once, and around each a small move along every axis, whose gradients give
+    the second derivatives: a step costs one job. Raises if no step gains although the gradient is not zero.
+    """
+    at, k, h = np.log(np.asarray(start, dtype=float)), len(start), 1e-4
+    offsets = np.concatenate([np.zeros((1, k)), h * np.eye(k)])
+    centers, best, norm, damping = [at], -np.inf, np.inf, 1e-3
+    plain, gradient, hessian = -np.inf, np.zeros(k), -np.eye(k)
+    for rounds in range(1, MAX_ROUNDS + 1):
+        logs = np.concatenate([c + offsets for c in centers])
+        theta = np.exp(logs)
+        values, slopes = yield [(model, p) for p in theta.tolist()]
+        f = (values - l2 * np.sum(theta**2, axis=1)).reshape(len(centers), -1)
+        g = (slopes[:, :k] * theta - 2 * l2 * theta**2).reshape(len(centers), -1, k)
+        sound = np.isfinite(f).all(axis=1) & np.isfinite(g).all(axis=(1, 2))
+        tops = np.where(sound, f[:, 0], -np.inf)
+        # values equal to rounding are told apart by their gradients
+        norms = np.where(sound & (tops >= tops.max() - 1e-11 * max(1.0, abs(tops.max()))), np.abs(g[:, 0]).max(axis=1), np.inf)
+        win = int(np.argmin(norms))
+        noise = 1e-11 * max(1.0, abs(best)) if np.isfinite(best) else 0.0
+        if sound[win] and (tops[win] > best + noise or tops[win] >= best - noise and norms[win] < norm):
+            at, best, norm, plain = centers[win], tops[win], norms[win], float(values[win * (k + 1)])
+            gradient, hessian = g[win, 0], (g[win, 1:] - g[win, :1]) / h
+            hessian = (hessian + hessian.T) / 2
+            if norm <= tolerance:
+                return Fit(np.exp(at).tolist(), rounds, float(norm), plain, True)
+            if len(centers) > 1:
+                damping = max(damping * (1e-2, 1.0, 1e2)[win], 1e-12)
+        elif damping > 1e9:
             break
         else:
-            damping *= 1e4
-        values, vectors = np.linalg.eigh(-hessian)
-        moves = [vectors @ ((vectors.T @ gradient) / (np.abs(values) + damping * d)) for d in (1e-2, 1.0, 1e2)]
+            damping *= 1e3
+        curves, vectors = np.linalg.eigh(-hessian)
+        moves = [vectors @ ((vectors.T @ gradient) / (np.abs(curves) + damping * d)) for d in (1e-2, 1.0, 1e2)]
         centers = [at + m * min(1.0, 3.0 / max(np.max(np.abs(m)), 1e-12)) for m in moves]
-    return np.exp(at).tolist()
+    raise RuntimeError(f"{model} with l2 {l2}: gradient {norm} after {rounds} rounds at {np.exp(at).tolist()}")
 
 
-def fit_all(cells: DataFrame, starts: Sequence[tuple[str, Sequence[float], float]], steps: int = 25) -> list[list[float]]:
+def fit_all(cells: DataFrame, starts: Sequence[tuple[str, Sequence[float], float]], tolerance: float = TOLERANCE) -> list[Fit]:
     """Fit several (model, start, l2) side by side; every round of all of them is one job."""
-    runs = [_newton(m, s, l2, steps) for m, s, l2 in starts]
-    results: list[list[float] | None] = [None] * len(runs)
+    runs = [_newton(m, s, l2, tolerance) for m, s, l2 in starts]
+    results: list[Fit | None] = [None] * len(runs)
     pending = {i: next(run) for i, run in enumerate(runs)}
     while pending:
         order = list(pending)
-        values = log_likelihoods(cells, [c for i in order for c in pending[i]])
+        values, slopes = likelihood_sums(cells, [c for i in order for c in pending[i]])
         following, offset = {}, 0
         for i in order:
-            size = len(pending[i])
+            mine = slice(offset, offset + len(pending[i]))
+            offset = mine.stop
             try:
-                following[i] = runs[i].send(values[offset : offset + size])
+                following[i] = runs[i].send((values[mine], slopes[mine]))
             except StopIteration as done:
                 results[i] = done.value
-            offset += size
         pending = following
     return results
 
 
-# Starting points, and the parameters that carry the unit of time. Fits run with the longest age scaled to ten,
-# so that one L2 weight means the same on any data.
-STARTS = {"bgnbd": (1.0, 1.0, 0.5, 2.0), "pareto": (1.0, 1.0, 0.5, 2.0)}
+def fit_path(cells: DataFrame, plan: Sequence[tuple[str, float]], starts: dict[str, Sequence[float]], tolerance: float = TOLERANCE) -> list[Fit]:
+    """Fit each (model, l2) of a plan, starting at the nearest weight of its model that is already fitted.
+
+    The middle weight of every model comes first, then every eighth, then the rest: three waves, each side by side, the
+    last ones a few Newton steps from their start.
+    """
+    found: dict[int, Fit] = {}
+    lines = {m: sorted((i for i, (name, _) in enumerate(plan) if name == m), key=lambda i: plan[i][1]) for m, _ in plan}
+    for stride in (len(plan) + 1, 8, 1):
+        wave = []
+        for model, line in lines.items():
+            done = [i for i in line if i in found]
+            chosen = [i for place, i in enumerate(line) if i not in found and place % stride == min(stride, len(line)) // 2]
+            for i in chosen:
+                nearest = min(done, key=lambda j: abs(plan[j][1] - plan[i][1]), default=None)
+                wave.append((i, (model, starts[model] if nearest is None else found[nearest].parameters, plan[i][1])))
+        for (i, _), fitted in zip(wave, fit_all(cells, [w for _, w in wave], tolerance) if wave else []):
+            found[i] = fitted
+    return [found[i] for i in range(len(plan))]
+
+
+# Starting points, and the parameters that carry the unit of time. Fits run with the longest age scaled to ten and the mean
+# spend to one, so that one L2 weight means the same on any data.
+STARTS = {"bgnbd": (1.0, 1.0, 0.5, 2.0), "pareto": (1.0, 1.0, 0.5, 2.0), "gammagamma": (2.0, 3.0, 1.0)}
 TIME_UNITS = {"bgnbd": (False, True, False, False), "pareto": (False, True, False, True)}
 
 
 CELLS_PER_TASK = 4000
 
 
-def _kept(cells: DataFrame, top: str) -> tuple[DataFrame, DataFrame, float]:
-    """Cache the cells; give (cache, the same in as many partitions as their number is worth, mean or maximum)."""
-    cache = cells.persist()
+def _kept(cells: DataFrame, top: str) -> tuple[DataFrame, float]:
+    """Keep the cells in as many partitions as their number is worth; few cells in copies, so that all cores share the candidates.
+
+    Also gives the maximum (mean spend) of a column.
+    """
+    spark = cells.sparkSession
+    plain = materialize(cells, "cells")
     value = F.max("t") if top == "t" else F.sum(F.col("m") * F.col("n")) / F.sum("n")
-    size, found = cache.agg(F.count(F.lit(1)), value).first()
-    return cache, cache.coalesce(max(1, -(-size // CELLS_PER_TASK))), float(found or 1.0)
+    size, found = plain.agg(F.count(F.lit(1)), value).first()
+    parts = max(1, -(-size // CELLS_PER_TASK))
+    lanes = max(1, spark.sparkContext.defaultParallelism // parts)
+    copies = plain.withColumns({"lane": F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))), "lanes": F.lit(lanes)})
+    return copies.repartitionByRange(parts * lanes, "lane", "x", "n").persist(), float(found or 1.0)
 
 
-def fit_lifetime(cells: DataFrame, plan: Sequence[tuple[str, float]], steps: int = 25) -> list[list[float]]:
-    """Parameters for each (model, l2) in ``plan``, in days."""
-    cache, kept, top = _kept(cells, "t")
+def fit_lifetimes(cells: DataFrame, plan: Sequence[tuple[str, float]]) -> list[Fit]:
+    """A fit in days for each (model, l2) in ``plan``."""
+    kept, top = _kept(cells, "t")
     scale = 10.0 / top
     try:
-        scaled = kept.withColumns({"tx": F.col("tx") * scale, "t": F.col("t") * scale})
-        fitted = fit_all(scaled, [(m, STARTS[m], l2) for m, l2 in plan], steps)
+        fitted = fit_path(kept.withColumns({"tx": F.col("tx") * scale, "t": F.col("t") * scale}), plan, STARTS)
     finally:
-        cache.unpersist()
-    return [[v / scale if timed else v for v, timed in zip(p, TIME_UNITS[m])] for (m, _), p in zip(plan, fitted)]
+        kept.unpersist()
+    return [replace(f, parameters=[v / scale if timed else v for v, timed in zip(f.parameters, TIME_UNITS[m])]) for (m, _), f in zip(plan, fitted)]
+
+
+def fit_spends(cells: DataFrame, weights: Sequence[float]) -> list[Fit]:
+    """A fit of the spend model for each L2 weight, with money scaled to a mean spend of one while it runs."""
+    kept, mean = _kept(cells, "m")
+    try:
+        fitted = fit_path(kept.withColumn("m", F.col("m") / mean), [("gammagamma", l2) for l2 in weights], STARTS)
+    finally:
+        kept.unpersist()
+    return [replace(f, parameters=[*f.parameters[:2], f.parameters[2] * mean]) for f in fitted]
 
 
 def fit_bgnbd(cells: DataFrame, l2: float = 0.0) -> dict[str, float]:
-    return dict(zip(PARAMETERS["bgnbd"], fit_lifetime(cells, [("bgnbd", l2)])[0]))
+    return dict(zip(PARAMETERS["bgnbd"], fit_lifetimes(cells, [("bgnbd", l2)])[0].parameters))
 
 
 def fit_pareto(cells: DataFrame, l2: float = 0.0) -> dict[str, float]:
-    return dict(zip(PARAMETERS["pareto"], fit_lifetime(cells, [("pareto", l2)])[0]))
+    return dict(zip(PARAMETERS["pareto"], fit_lifetimes(cells, [("pareto", l2)])[0].parameters))
 
 
 def fit_gammagamma(cells: DataFrame, l2: float = 0.0) -> dict[str, float]:
-    """The scale v starts at the mean spend, which only the data know."""
-    cache, kept, mean = _kept(cells, "m")
-    try:
-        return dict(zip(PARAMETERS["gammagamma"], fit_all(kept, [("gammagamma", (2.0, 3.0, mean), l2)])[0]))
-    finally:
-        cache.unpersist()
+    return dict(zip(PARAMETERS["gammagamma"], fit_spends(cells, [l2])[0].parameters))
 
 
 def holdout_losses(holdout: DataFrame, fitted: Sequence[tuple[str, Sequence[float]]], days: float) -> DataFrame:
@@ -281,17 +408,37 @@ def holdout_losses(holdout: DataFrame, fitted: Sequence[tuple[str, Sequence[floa
     return cells.mapInPandas(squared_errors, "trial INT, se DOUBLE, n DOUBLE").groupBy("trial").agg((F.sum("se") / F.sum("n")).alias("mse"))
 
 
+def spend_losses(holdout: DataFrame, fitted: Sequence[Sequence[float]]) -> DataFrame:
+    """(trial, mse) of the spend that calibration rows predict against the holdout's, for every fitted spend model, in one pass."""
+    rows = holdout.where("frequency_cal > 0 AND monetary_value_cal > 0").select(*[F.col(c).cast("double").alias(a) for c, a in (("frequency_cal", "x"), ("monetary_value_cal", "m"), ("monetary_value_holdout", "y"))])
+    trials = F.array(*[F.struct(F.lit(i).alias("trial"), *[F.lit(float(v)).alias(n) for n, v in zip("pqv", p)]) for i, p in enumerate(fitted)])
+    each = rows.withColumn("f", F.explode(trials)).select("x", "m", "y", "f.*")
+    predicted = F.col("p") * (F.col("v") + F.col("x") * F.col("m")) / (F.col("p") * F.col("x") + F.col("q") - 1)
+    return each.groupBy("trial").agg(F.avg(F.pow(predicted - F.col("y"), 2)).alias("mse"))
+
+
+def _trial_table(losses: DataFrame, plan: Sequence[tuple[str, float]], fitted: Sequence[Fit]) -> DataFrame:
+    rows = [(i, m, l2, f.parameters, f.log_likelihood, f.rounds, f.gradient, f.converged) for i, ((m, l2), f) in enumerate(zip(plan, fitted))]
+    schema = "trial INT, model STRING, l2 DOUBLE, parameters ARRAY<DOUBLE>, log_likelihood DOUBLE, rounds INT, gradient DOUBLE, converged BOOLEAN"
+    return losses.sparkSession.createDataFrame(rows, schema).join(losses, "trial")
+
+
 def search_lifetime_model(holdout: DataFrame, days: float, trials: int = 100, seed: int = 42) -> DataFrame:
-    """Random search over model type and L2 weight; one row per trial with its parameters and holdout MSE."""
-    spark = holdout.sparkSession
+    """Random search over model type and L2 weight; one row per trial with its parameters, certificate and holdout MSE."""
     rng = np.random.default_rng(seed)
     plan = [(("bgnbd", "pareto")[int(rng.integers(2))], float(rng.uniform(0.0, 1.0))) for _ in range(trials)]
-    fitted = fit_lifetime(lifetime_cells(holdout, "frequency_cal", "recency_cal", "T_cal"), plan, steps=12)
-    losses = holdout_losses(holdout, [(m, p) for (m, _), p in zip(plan, fitted)], days)
-    rows = [(i, m, l2, [float(v) for v in p]) for i, ((m, l2), p) in enumerate(zip(plan, fitted))]
-    table = spark.createDataFrame(rows, "trial INT, model STRING, l2 DOUBLE, parameters ARRAY<DOUBLE>")
-    return table.join(losses, "trial")
+    fitted = fit_lifetimes(lifetime_cells(holdout, "frequency_cal", "recency_cal", "T_cal"), plan)
+    return _trial_table(holdout_losses(holdout, [(m, f.parameters) for (m, _), f in zip(plan, fitted)], days), plan, fitted)
+
+
+def search_spend_model(holdout: DataFrame, trials: int = 100, seed: int = 42) -> DataFrame:
+    """Random search over the L2 weight of the spend model; one row per trial, as for the lifetime models."""
+    rng = np.random.default_rng(seed)
+    plan = [("gammagamma", float(rng.uniform(0.0, 1.0))) for _ in range(trials)]
+    fitted = fit_spends(spend_cells(holdout, "frequency_cal", "monetary_value_cal"), [l2 for _, l2 in plan])
+    return _trial_table(spend_losses(holdout, [f.parameters for f in fitted]), plan, fitted)
 
 
 def best_trial(search: DataFrame) -> DataFrame:
-    return search.where(~F.isnan("mse")).agg(F.min_by(F.struct(*search.columns), "mse").alias("b")).select("b.*")
+    """The trial with the least loss; of equal ones the first."""
+    return search.where(~F.isnan("mse")).agg(F.min_by(F.struct(*search.columns), F.struct("mse", "trial")).alias("b")).select("b.*")

@@ -88,18 +88,62 @@ def m7(spark, sf):
     return C.repeat_buyers(rft(spark, sf), "frequency", "monetary_value").agg(rnd(F.corr(F.col("frequency").cast("double"), "monetary_value"), 6).alias("r"))
 
 
-def _fit_frame(spark, model, values):
-    return spark.createDataFrame([(model, name, float(v)) for name, v in values.items()], "model STRING, parameter STRING, value DOUBLE")
+def _fit_frame(spark, model, fitted):
+    rows = [(model, name, float(v), fitted.log_likelihood, fitted.rounds, fitted.gradient, fitted.converged) for name, v in zip(fit.PARAMETERS[model], fitted.parameters)]
+    return spark.createDataFrame(rows, "model STRING, parameter STRING, value DOUBLE, log_likelihood DOUBLE, rounds INT, gradient DOUBLE, converged BOOLEAN")
 
 
 @query("m8_fit_bgnbd")
 def m8(spark, sf):
-    return _fit_frame(spark, "bgnbd", fit.fit_bgnbd(fit.lifetime_cells(rft(spark, sf, None)), l2=0.001))
+    return _fit_frame(spark, "bgnbd", fit.fit_lifetimes(fit.lifetime_cells(rft(spark, sf, None)), [("bgnbd", 0.001)])[0])
 
 
 @query("m9_fit_pareto")
 def m9(spark, sf):
-    return _fit_frame(spark, "pareto", fit.fit_pareto(fit.lifetime_cells(rft(spark, sf, None)), l2=0.001))
+    return _fit_frame(spark, "pareto", fit.fit_lifetimes(fit.lifetime_cells(rft(spark, sf, None)), [("pareto", 0.001)])[0])
+
+
+def _mean_frame(spark, cells, model, theta):
+    values, slopes = fit.likelihood_sums(cells, [(model, theta)])
+    names = ["log_likelihood", *[f"by_{p}" for p in fit.PARAMETERS[model]]]
+    return spark.createDataFrame([tuple(float(v) for v in (values[0], *slopes[0]))], ", ".join(f"{n} DOUBLE" for n in names)).select(*[rnd(n, 7).alias(n) for n in names])
+
+
+def _mean_sql(value, theta, source, step=1e-4):
+    """Mean of a log-likelihood in SQL, and its slopes by central differences."""
+    def at(**moved):
+        return "avg(" + value({**theta, **moved}) + ")"
+
+    slopes = [f"round(({at(**{p: v * (1 + step)})} - {at(**{p: v * (1 - step)})}) / {2 * v * step!r}, 7) + 0.0 AS by_{p}" for p, v in theta.items()]
+    return f"SELECT round({at()}, 7) + 0.0 AS log_likelihood, {', '.join(slopes)} FROM {source}"
+
+
+def _bgnbd_sql(p):
+    r, alpha, a, b, x = (f"{v!r}::DOUBLE" for v in (p["r"], p["alpha"], p["a"], p["b"], 0.0))
+    x, tx, t = "frequency::DOUBLE", "recency::DOUBLE", '"T"::DOUBLE'
+    alive, left = f"(-({r} + {x}) * ln({alpha} + {t}))", f"(ln({a} / ({b} + greatest({x}, 1) - 1)) - ({r} + {x}) * ln({alpha} + {tx}))"
+    both = f"CASE WHEN {x} > 0 THEN greatest({alive}, {left}) + ln(1 + exp(-abs({alive} - {left}))) ELSE {alive} END"
+    return f"lgamma({b} + {x}) - lgamma({b}) + lgamma({a} + {b}) - lgamma({a} + {b} + {x}) + lgamma({r} + {x}) - lgamma({r}) + {r} * ln({alpha}) + ({both})"
+
+
+def _gammagamma_sql(p):
+    p_, q, v = (f"{p[k]!r}::DOUBLE" for k in "pqv")
+    x, m = "frequency::DOUBLE", "monetary_value"
+    return f"lgamma({p_} * {x} + {q}) - lgamma({p_} * {x}) - lgamma({q}) + {q} * ln({v}) + ({p_} * {x} - 1) * ln({m}) + {p_} * {x} * ln({x}) - ({p_} * {x} + {q}) * ln({x} * {m} + {v})"
+
+
+# fixed parameters at which likelihoods and slopes are compared; time in days
+BGNBD_AT, SPEND_AT = {"r": 2.0, "alpha": 400.0, "a": 0.8, "b": 2.5}, {"p": 6.25, "q": 3.74, "v": 15000.0}
+
+
+@query("m8_likelihood_and_slopes", _mean_sql(_bgnbd_sql, BGNBD_AT, RFT))
+def m8_likelihood(spark, sf):
+    return _mean_frame(spark, fit.lifetime_cells(rft(spark, sf, None)), "bgnbd", list(BGNBD_AT.values()))
+
+
+@query("m12_likelihood_and_slopes", _mean_sql(_gammagamma_sql, SPEND_AT, f"{RFT} WHERE frequency > 0 AND monetary_value > 0"))
+def m12_likelihood(spark, sf):
+    return _mean_frame(spark, fit.spend_cells(rft(spark, sf)), "gammagamma", list(SPEND_AT.values()))
 
 
 ALIVE = f"""CASE WHEN frequency > 0 THEN 1 / (1 + {MODEL.a} / ({MODEL.b} + frequency::DOUBLE - 1)
@@ -132,7 +176,7 @@ def m11(spark, sf):
 @query("m12_fit_gammagamma")
 def m12(spark, sf):
     metrics = C.repeat_buyers(rft(spark, sf), "frequency", "monetary_value")
-    return _fit_frame(spark, "gammagamma", fit.fit_gammagamma(fit.spend_cells(metrics)))
+    return _fit_frame(spark, "gammagamma", fit.fit_spends(fit.spend_cells(metrics), [0.001])[0])
 
 
 SPEND_SQL = f"({SPEND.p} * ({SPEND.v} + frequency::DOUBLE * monetary_value) / ({SPEND.p} * frequency::DOUBLE + {SPEND.q} - 1))"
@@ -159,8 +203,22 @@ def m14(spark, sf):
 
 @query("m15_model_search")
 def m15(spark, sf):
-    search = fit.search_lifetime_model(holdout(spark, sf, None), 90.0, trials=8)
-    return search.select("trial", "model", "l2", "mse")
+    return fit.search_lifetime_model(holdout(spark, sf, None), 90.0)
+
+
+@query("m15_best_lifetime_model")
+def m15_best(spark, sf):
+    return fit.best_trial(fit.search_lifetime_model(holdout(spark, sf, None), 90.0))
+
+
+@query("m15_spend_search")
+def m15_spend(spark, sf):
+    return fit.search_spend_model(holdout(spark, sf))
+
+
+@query("m15_best_spend_model")
+def m15_best_spend(spark, sf):
+    return fit.best_trial(fit.search_spend_model(holdout(spark, sf)))
 
 
 def _evaluation_sql(by):

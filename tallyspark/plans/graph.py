@@ -69,66 +69,62 @@ def o8(spark, sf):
     return G.hop_distances(e, landmarks(spark, e))
 
 
-@query("o9_within_two_hops", f"{HOPS}, k AS (SELECT DISTINCT id FROM d WHERE distance <= 2) SELECT src, dst FROM e WHERE src IN (SELECT id FROM k) AND dst IN (SELECT id FROM k)")
+@query("o9_within_four_hops", f"{HOPS}, k AS (SELECT DISTINCT id FROM d WHERE distance <= 4) SELECT src, dst FROM e WHERE src IN (SELECT id FROM k) AND dst IN (SELECT id FROM k)")
 def o9(spark, sf):
     e = edges(spark, sf)
-    return G.within_hops(e, landmarks(spark, e), 2)[1].select("src", "dst")
+    return G.within_hops(e, landmarks(spark, e), 4)[1].select("src", "dst")
 
 
-def _rank_sql(rounds):
-    steps = [f"r0 AS (SELECT DISTINCT src AS id, src AS landmark, 1.0::DOUBLE AS rank FROM e WHERE src IN (1, 7, 12))", "g AS (SELECT src, count(*) AS n FROM e GROUP BY 1)"]
-    for i in range(1, rounds + 1):
-        steps.append(f"""r{i} AS (SELECT id, landmark, sum(rank) AS rank FROM (SELECT e.dst AS id, r.landmark, 0.85 * r.rank / g.n AS rank FROM r{i - 1} r JOIN e ON e.src = r.id JOIN g ON g.src = r.id
-        UNION ALL SELECT id, landmark, 0.15 FROM r0) GROUP BY 1, 2)""")
-    return f"WITH e AS MATERIALIZED (SELECT src, dst FROM {EDGES}), " + ", ".join(steps) + f", i AS (SELECT landmark AS organisation, id AS connection, rank / sum(rank) OVER (PARTITION BY landmark) AS importance FROM r{rounds})"
-
-
-ROUNDS = 4
+# rank = 0.15 * sum of 0.85^k * (walks of k steps); what comes after 200 steps is below 1e-14
+RANKS = f"""WITH RECURSIVE e AS MATERIALIZED (SELECT src, dst FROM {EDGES}), g AS MATERIALIZED (SELECT src, count(*) AS n FROM e GROUP BY 1),
+      w AS (SELECT DISTINCT 0 AS k, src AS id, src AS landmark, 0.15::DOUBLE AS m FROM e WHERE src IN (1, 7, 12)
+        UNION ALL SELECT w.k + 1, e.dst, w.landmark, sum(0.85 * w.m / g.n) FROM w JOIN e ON e.src = w.id JOIN g ON g.src = w.id WHERE w.k < 200 GROUP BY w.k, e.dst, w.landmark),
+      s AS (SELECT landmark, id, sum(m) AS m FROM w GROUP BY 1, 2),
+      i AS (SELECT landmark AS organisation, id AS connection, m / sum(m) OVER (PARTITION BY landmark) AS importance FROM s)"""
 
 
 def importance(spark, e):
-    return G.personalised_ranks(e, landmarks(spark, e), iterations=ROUNDS)
+    return G.push_ranks(e, landmarks(spark, e))
 
 
-@query("o10_personalised_ranks", f"{_rank_sql(ROUNDS)} SELECT organisation, connection, round(importance, 9) + 0.0 AS importance FROM i")
+@query("o10_personalised_ranks", f"{RANKS} SELECT organisation, connection, round(importance, 8) + 0.0 AS importance FROM i")
 def o10(spark, sf):
-    return importance(spark, edges(spark, sf)).withColumn("importance", rnd("importance", 9))
+    return importance(spark, edges(spark, sf)).withColumn("importance", rnd("importance", 8))
 
 
-@query("o10_converged_ranks", f"""{_rank_sql(40)} SELECT organisation, CAST(count(*) AS BIGINT) AS connections, round(max(importance), 4) + 0.0 AS top, round(sum(importance), 6) + 0.0 AS total FROM i GROUP BY 1""")
+@query("o10_converged_ranks", f"""{RANKS} SELECT organisation, CAST(count(*) AS BIGINT) AS connections, round(max(importance), 7) + 0.0 AS top, round(sum(importance), 6) + 0.0 AS total FROM i GROUP BY 1""")
 def o10_converged(spark, sf):
-    e = edges(spark, sf)
-    r = G.personalised_ranks(e, landmarks(spark, e), iterations=100, tolerance=1e-7, cut_every=8)
-    return r.groupBy("organisation").agg(F.count("*").alias("connections"), rnd(F.max("importance"), 4).alias("top"), rnd(F.sum("importance"), 6).alias("total"))
+    r = importance(spark, edges(spark, sf))
+    return r.groupBy("organisation").agg(F.count("*").alias("connections"), rnd(F.max("importance"), 7).alias("top"), rnd(F.sum("importance"), 6).alias("total"))
 
 
-@query("o11_landmark_importance", f"{_rank_sql(ROUNDS)} SELECT connection, round(importance, 9) + 0.0 AS importance FROM i WHERE organisation = 7 AND connection <> 7 ORDER BY i.importance DESC, connection LIMIT 20")
+@query("o11_landmark_importance", f"{RANKS} SELECT connection, round(importance, 8) + 0.0 AS importance FROM i WHERE organisation = 7 AND connection <> 7 ORDER BY round(i.importance, 9) DESC, connection LIMIT 20")
 def o11(spark, sf):
     i = importance(spark, edges(spark, sf)).where("organisation = 7 AND connection <> 7")
-    return i.orderBy(F.desc(F.round("importance", 12)), "connection").limit(20).select("connection", rnd("importance", 9).alias("importance"))
+    return i.orderBy(F.desc(F.round("importance", 9)), "connection").limit(20).select("connection", rnd("importance", 8).alias("importance"))
 
 
-CONTRIB = f"{_rank_sql(ROUNDS)}, c AS (SELECT i.organisation, i.connection, s.theme, s.esg, i.importance FROM i JOIN {SCORES} s ON s.organisation = i.connection)"
+CONTRIB = f"{RANKS}, c AS (SELECT i.organisation, i.connection, s.theme, s.esg, i.importance FROM i JOIN {SCORES} s ON s.organisation = i.connection)"
 
 
 def contributions(spark, sf):
     return N.contributions(scores(spark, sf), importance(spark, edges(spark, sf)))
 
 
-@query("o12_contributions", f"{CONTRIB} SELECT organisation, connection, theme, round(esg, 9) + 0.0 AS esg, round(importance, 9) + 0.0 AS importance FROM c")
+@query("o12_contributions", f"{CONTRIB} SELECT organisation, connection, theme, round(esg, 8) + 0.0 AS esg, round(importance, 8) + 0.0 AS importance FROM c")
 def o12(spark, sf):
-    return contributions(spark, sf).withColumns({c: rnd(c, 9) for c in ("esg", "importance")})
+    return contributions(spark, sf).withColumns({c: rnd(c, 8) for c in ("esg", "importance")})
 
 
-@query("o13_propagated_scores", f"{CONTRIB} SELECT organisation, theme, round(sum(esg * importance) / sum(importance), 9) + 0.0 AS esg FROM c GROUP BY 1, 2")
+@query("o13_propagated_scores", f"{CONTRIB} SELECT organisation, theme, round(sum(esg * importance) / sum(importance), 8) + 0.0 AS esg FROM c GROUP BY 1, 2")
 def o13(spark, sf):
-    return N.propagated_scores(contributions(spark, sf)).withColumn("esg", rnd("esg", 9))
+    return N.propagated_scores(contributions(spark, sf)).withColumn("esg", rnd("esg", 8))
 
 
-@query("o14_detractors", f"{CONTRIB} SELECT connection, round(importance, 9) + 0.0 AS importance, round(esg, 9) + 0.0 AS esg FROM c WHERE organisation = 7 AND theme = 'R' AND esg < (SELECT esg FROM c WHERE organisation = 7 AND connection = 7 AND theme = 'R')")
+@query("o14_detractors", f"{CONTRIB} SELECT connection, round(importance, 8) + 0.0 AS importance, round(esg, 8) + 0.0 AS esg FROM c WHERE organisation = 7 AND theme = 'R' AND esg < (SELECT esg FROM c WHERE organisation = 7 AND connection = 7 AND theme = 'R')")
 def o14(spark, sf):
     contrib = materialize(contributions(spark, sf), "contributions")
-    return N.detractors(contrib, 7, "R").withColumns({c: rnd(c, 9) for c in ("esg", "importance")})
+    return N.detractors(contrib, 7, "R").withColumns({c: rnd(c, 8) for c in ("esg", "importance")})
 
 
 @query("o15_graph_size", f"SELECT CAST(count(DISTINCT src) AS BIGINT) AS vertices, CAST(count(*) AS BIGINT) AS edges FROM {EDGES}")

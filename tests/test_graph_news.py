@@ -1,7 +1,9 @@
 import datetime as dt
+import random
 from collections import Counter
 from itertools import product
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +46,61 @@ def test_hops_and_depth_filter(spark):
     assert {r[0] for r in near.collect()} == {1, 2, 3, 4, 5} and edges.count() == 8
 
 
+@pytest.mark.parametrize("hub_edges", [2, 100_000])
+def test_hops_of_many_landmarks(spark, monkeypatch, hub_edges):
+    monkeypatch.setattr(G, "HUB_EDGES", hub_edges)
+    rng = random.Random(5)
+    links = {(rng.randrange(140), rng.randrange(140)) for _ in range(230)} | {(0, v) for v in range(1, 40)}
+    marks = list(range(150))  # more than two groups of 64; some have no edge at all
+    near = {m: {m: 0} for m in marks}
+    for m in marks:
+        todo = [m]
+        while todo:
+            following = [a for b in todo for a, c in links if c == b and a not in near[m]]
+            for a in following:
+                near[m].setdefault(a, near[m][todo[0]] + 1)
+            todo = list(dict.fromkeys(following))
+    edges = spark.createDataFrame(list(links), "src LONG, dst LONG")
+    got = G.hop_distances(edges, spark.createDataFrame([(m,) for m in marks], "id LONG").repartition(3))
+    assert {(r["id"], r["landmark"]): r["distance"] for r in got.collect()} == {(v, m): d for m in marks for v, d in near[m].items()}
+    assert G.hop_distances(edges.limit(0), spark.createDataFrame([(1,)], "id LONG")).collect() == [(1, 1, 0)]
+
+
+def _exact_ranks(links, marks, vertices):
+    at = {v: i for i, v in enumerate(vertices)}
+    out = Counter(a for a, _ in links)
+    step = np.zeros((len(at), len(at)))
+    for a, b in links:
+        step[at[b], at[a]] += 0.85 / out[a]
+    solved = np.linalg.inv(np.eye(len(at)) - step)
+    return {m: dict(zip(vertices, 0.15 * solved[:, at[m]])) for m in marks}
+
+
+@pytest.mark.parametrize("hub_edges,block_edges,kind,tolerance", [(100_000, 200_000, "LONG", 1e-10), (5, 60, "STRING", 1e-3)])
+def test_pushed_ranks_are_exact(spark, monkeypatch, hub_edges, block_edges, kind, tolerance):
+    monkeypatch.setattr(G, "HUB_EDGES", hub_edges)
+    rng = random.Random(hub_edges + block_edges)
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(260)] + [(0, v) for v in range(1, 30)] + [(v, 77) for v in range(5)]  # 77 is a sink
+    links += links[:9]  # repeated edges count
+    marks, vertices = [0, 3, 77, 99], sorted({v for e in links for v in e} | {99})
+    name = (lambda v: f"v{v}") if kind == "STRING" else (lambda v: v)
+    edges = spark.createDataFrame([(name(a), name(b)) for a, b in links], f"src {kind}, dst {kind}")
+    got = {(r[0], r[1]): r[2] for r in G.push_ranks(edges, spark.createDataFrame([(name(m),) for m in marks], f"id {kind}"), block_edges=block_edges, tolerance=tolerance, normalise=False).collect()}
+    want = _exact_ranks(links, marks, vertices)
+    for m in marks:
+        assert sum(abs(got.get((name(m), name(v)), 0.0) - r) for v, r in want[m].items()) < tolerance
+    assert {k for k in got if k[0] == name(99)} == {(name(99), name(99))}
+
+
+def test_pushed_ranks_edges(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 1)], "src LONG, dst LONG")
+    none = spark.createDataFrame([], "id LONG")
+    assert G.push_ranks(edges, none).count() == 0 and G.push_ranks(edges.limit(0), none).count() == 0
+    assert [tuple(r) for r in G.push_ranks(edges.limit(0), spark.createDataFrame([(1,)], "id LONG")).collect()] == [(1, 1, 1.0)]
+    with pytest.raises(RuntimeError):
+        G.push_ranks(edges, spark.createDataFrame([(1,)], "id LONG"), block_edges=1, max_rounds=2)
+
+
 def test_ranks_sum_to_one_and_match_dense_iteration(spark, monkeypatch):
     monkeypatch.setattr(G, "HUB_EDGES", 2)  # every vertex with more than two edges counts as a hub
     links = [(1, 2), (1, 3), (1, 4), (1, 5), (2, 1), (3, 1), (4, 1), (5, 6)]  # 6 is a sink

@@ -20,6 +20,7 @@ from __future__ import annotations
 import codecs
 import heapq
 import re
+import struct
 from collections.abc import Iterator
 from functools import partial
 
@@ -33,6 +34,7 @@ from .registry import query
 
 SPACE = "▁"
 LONE = "\n"
+SHORT = 7
 
 codecs.register_error("each_byte", lambda error: ("�", error.start + 1))
 
@@ -55,22 +57,26 @@ class MergePieces:
             raise ValueError("user-defined and unused pieces are not supported")
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.end, self.unknown = model.trainer_spec.eos_id, model.trainer_spec.unk_id
-        self.ids, self.order = {}, {}
+        self.ids: dict[str, int] = {}
         self.byte_ids, self.surface = [0] * 256, [""] * len(model.pieces)
         self.byte_of: dict[int, int] = {}
         for i, piece in enumerate(model.pieces):
             if piece.type == kinds.NORMAL:
-                self.ids[piece.piece], self.order[piece.piece] = i, -piece.score
+                self.ids[piece.piece] = i
                 self.surface[i] = piece.piece.replace(SPACE, " ")
             elif piece.type == kinds.BYTE:
                 value = int(piece.piece[3:5], 16)
                 self.byte_ids[value], self.byte_of[i] = i, value
             elif piece.type == kinds.UNKNOWN:
                 self.surface[i] = model.trainer_spec.unk_surface
+        # pieces of equal score have one turn
+        places = {score: place for place, score in enumerate(sorted({p.score for p in model.pieces}, reverse=True))}
+        self.turn = {piece: places[model.pieces[i].score] << 48 for piece, i in self.ids.items()}
         self.chunk = re.compile(self._chunks([p for p in self.ids if len(p) > 1]))
         if not self.chunk.fullmatch(LONE):
             raise ValueError("the character that sets chunks apart must not occur in longer pieces")
         self.most, self.known, self.wrong = most, {}, set()
+        self.packed = [struct.Struct(f"<{n}i").pack for n in range(40)]
 
     @staticmethod
     def _chunks(longer: list[str]) -> str:
@@ -79,22 +85,26 @@ class MergePieces:
             raise ValueError("a piece holds a space mark after another character, so no text can be cut into chunks")
         joined = set("".join(longer))
         lone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined and c != 32)
-        return rf" *[^ {lone}]+| +|[{lone}]" if lone else r" *[^ ]+| +"
+        # Latin letters that stand in pieces only beside one another or behind the mark
+        letters = {c for c in joined if c.isalpha() and ord(c) < 0x250}
+        pairs = {pair for p in longer for pair in zip(p.lstrip(SPACE), p.lstrip(SPACE)[1:])}
+        while mixed := {x for a, b in pairs for x, y in ((a, b), (b, a)) if x in letters and y not in letters}:
+            letters -= mixed
+        letter = "".join(sorted(letters))
+        return "|".join([*([f" *[{letter}]+"] if letter else []), rf" *[^ {lone}{letter}]+", " +", *([rf"[{lone}]"] if lone else [])])
 
     def merge(self, chunk: str) -> list[int]:
         """Ids of one chunk, by the agenda."""
         symbols = list(chunk.replace(" ", SPACE))
-        size, cost_of, push, pop = len(symbols), self.order.get, heapq.heappush, heapq.heappop
-        agenda = []  # cost of the piece, place of its left symbol, length of the piece
-        for i in range(size - 1):
-            cost = cost_of(symbols[i] + symbols[i + 1])
-            if cost is not None:
-                agenda.append((cost, i, 2))
+        size, turn_of, push, pop = len(symbols), self.turn.get, heapq.heappush, heapq.heappop
+        # one number per entry: turn of the piece, place of its left symbol, length of the piece
+        agenda = [turn + (i << 16) + 2 for i, turn in enumerate(map(turn_of, map(str.__add__, symbols, symbols[1:]))) if turn is not None]
         if agenda:
             heapq.heapify(agenda)
             before, after = list(range(-1, size - 1)), list(range(1, size + 1))
             while agenda:
-                _, left, length = pop(agenda)
+                entry = pop(agenda)
+                left, length = entry >> 16 & 0xFFFFFFFF, entry & 0xFFFF
                 own, right = symbols[left], after[left]
                 # symbols only grow: with one of them merged meanwhile, the pair is longer or gone
                 if not own or right >= size or len(own) + len(symbols[right]) != length:
@@ -104,22 +114,21 @@ class MergePieces:
                 following = after[left] = after[right]
                 if following < size:
                     before[following] = left
-                    cost = cost_of(own + symbols[following])
-                    if cost is not None:
-                        push(agenda, (cost, left, length + len(symbols[following])))
+                    turn = turn_of(own + symbols[following])
+                    if turn is not None:
+                        push(agenda, turn + (left << 16) + length + len(symbols[following]))
                 first = before[left]
                 if first >= 0:
-                    cost = cost_of(symbols[first] + own)
-                    if cost is not None:
-                        push(agenda, (cost, first, length + len(symbols[first])))
-        out: list[int] = []
-        for symbol in symbols:
-            if symbol:
-                known = self.ids.get(symbol)
-                if known is not None:
-                    out.append(known)
-                else:
-                    out += [self.byte_ids[b] for b in symbol.encode("utf-8", "replace")]
+                    turn = turn_of(symbols[first] + own)
+                    if turn is not None:
+                        push(agenda, turn + (first << 16) + length + len(symbols[first]))
+        out = [self.ids.get(symbol) for symbol in symbols if symbol]
+        if None not in out:
+            return out
+        out = []
+        for symbol in filter(None, symbols):
+            known = self.ids.get(symbol)
+            out += [known] if known is not None else [self.byte_ids[b] for b in symbol.encode("utf-8", "replace")]
         return out
 
     def encode(self, text: str) -> bytes:
@@ -132,7 +141,7 @@ class MergePieces:
         known = self.known
         unknown = {c for chunks in split for c in chunks if c not in known}
         if unknown:
-            self._learn(sorted(unknown), check)
+            self._learn(list(unknown), check)
         end = self.end.to_bytes(4, "little")
         out = []
         for text, chunks in zip(texts, split):
@@ -140,15 +149,17 @@ class MergePieces:
             back = "".join([f[1] for f in found])[1:]
             agrees = (back == text.replace(SPACE, " ") and (not self.wrong or self.wrong.isdisjoint(chunks))) if check else None
             out.append((b"".join([f[0] for f in found]) + end, back, agrees))
-        if len(known) > self.most:  # only the chunks of the latest batch stay
-            self.known = {c: known[c] for chunks in split for c in chunks} if len(unknown) < self.most // 2 else {}
+        if len(known) > self.most:  # short chunks are the ones that come again
+            self.known = {c: f for c, f in known.items() if len(c) <= SHORT}
+            if len(self.known) > self.most // 2:
+                self.known = {}
         return out
 
     def _learn(self, chunks: list[str], check: bool) -> None:
         """Ids and text of new chunks; the library encodes each behind a character that merges with nothing."""
         rows = [self.merge(c) for c in chunks]
         for chunk, ids in zip(chunks, rows):
-            self.known[chunk] = (np.array(ids, "<i4").tobytes(), self._surface(ids))
+            self.known[chunk] = (self.packed[len(ids)](*ids) if len(ids) < len(self.packed) else np.array(ids, "<i4").tobytes(), self._surface(ids))
         if check:
             head = self.library.encode(LONE)
             self.wrong.update(c for c, ids, theirs in zip(chunks, rows, self.library.encode([LONE + c for c in chunks], num_threads=1)) if theirs != head + ids)

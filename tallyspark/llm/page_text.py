@@ -2,9 +2,10 @@
 
 Every page is cut into text lines, one per block. Pages of a host are put in order of their URL path and each is paired with
 the neighbour of another article that shares the longer path prefix. The lines of both are aligned by a longest common
-subsequence, and lines they share are deleted, inside a marked article too: what sites repeat from page to page is no main
-text. A neighbour that shares most of a page is a copy of it (print or feed address, repeated page) and is passed over; a page
-that has only copies keeps all its lines. Markup that says what a block is comes first: navigation, adverts, forms, comments
+subsequence, and lines they share are deleted: what sites repeat from page to page is no main text. Inside a marked article one
+neighbour is too little evidence, so a shared line goes there only if it also stands in more than half of the different
+articles of its host, at least three. A neighbour that shares most of a page is a copy of it (print or feed address, repeated
+page) and is passed over; a page that has only copies keeps all its lines. Markup that says what a block is comes first: navigation, adverts, forms, comments
 and the like are never main text, and where a page marks its article or main part, only that part can be.
 
 Neighbours are found from light rows in even ranges of one global order, so a host of any size is spread over tasks.
@@ -78,8 +79,16 @@ def _by_markup(name: str, attributes: str) -> bool:
     return name in PARTS or bool(attributes and _HIDDEN.search(attributes))
 
 
+ARTICLES = 3  # a line inside articles is a template from so many different ones on
+
+
 def lines_of(page: str) -> tuple[list[str], list[bool]]:
-    """Text of each block in page order, and whether it can be main text; blocks without text are left out.
+    """Text of each block in page order, and whether it can be main text; blocks without text are left out."""
+    return marked_lines(page)[:2]
+
+
+def marked_lines(page: str) -> tuple[list[str], list[bool], bool]:
+    """The same and whether the page marks its article or main part.
 
     An element that only a role word drops is spared if it holds the main part, or if no article would be left.
     """
@@ -87,8 +96,8 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
     texts, able, marked, holds_main, holds_article = _cut(page, frozenset())
     spared = holds_main if marked else holds_main | holds_article
     if spared:
-        texts, able, *_ = _cut(page, frozenset(spared))
-    return texts, able
+        texts, able, marked, *_ = _cut(page, frozenset(spared))
+    return texts, able, marked
 
 
 def _cut(page: str, spared: frozenset[int]) -> tuple[list[str], list[bool], bool, set[int], set[int]]:
@@ -180,26 +189,30 @@ def shared_lines(own: list[int], other: list[int]) -> list[int]:
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digest and length of each line of a page, and whether it can be main text."""
+    """Digest and length of each line of a page, whether it can be main text, and whether the page marks it."""
     for batch in cut(batches, "html"):
-        rows = [lines_of(page or "") for page in batch.column(1).to_pylist()]
-        hashes = [[xxhash.xxh64_intdigest(x) >> 1 for x in texts] for texts, _ in rows]
-        columns = [_doc_digests(hashes, [able for _, able in rows]), pa.array(hashes, pa.list_(pa.int64())), pa.array([a for _, a in rows], pa.list_(pa.bool_()))]
-        columns += [pa.array([[len(x) for x in texts] for texts, _ in rows], pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["url", "page", "hashes", "able", "sizes"])
+        rows = [marked_lines(page or "") for page in batch.column(1).to_pylist()]
+        hashes, able, marked = [_hashes(r[0]) for r in rows], [r[1] for r in rows], [r[2] for r in rows]
+        columns = [_doc_digests(hashes, able, marked), pa.array(hashes, pa.list_(pa.int64())), pa.array(able, pa.list_(pa.bool_()))]
+        columns += [pa.array([[len(x) for x in r[0]] for r in rows], pa.list_(pa.int32())), pa.array(marked, pa.bool_())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["url", "page", "hashes", "able", "sizes", "marked"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines themselves, with the digest that `_lines` gives the page."""
     for batch in cut(batches, "html"):
-        rows = [lines_of(page or "") for page in batch.column(2).to_pylist()]
-        digests = _doc_digests([[xxhash.xxh64_intdigest(x) >> 1 for x in texts] for texts, _ in rows], [able for _, able in rows])
-        kept = pa.array([[x if a else None for x, a in zip(*row)] for row in rows], pa.list_(pa.string()))
+        rows = [marked_lines(page or "") for page in batch.column(2).to_pylist()]
+        digests = _doc_digests([_hashes(r[0]) for r in rows], [r[1] for r in rows], [r[2] for r in rows])
+        kept = pa.array([[x if a else None for x, a in zip(*row[:2])] for row in rows], pa.list_(pa.string()))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), digests, kept], ["page_id", "url", "page", "texts"])
 
 
-def _doc_digests(hashes: list[list[int]], able: list[list[bool]]) -> pa.Array:
-    return pa.array([xxhash.xxh64_intdigest(np.array(h, np.int64).tobytes() + np.array(a, np.bool_).tobytes()) >> 1 for h, a in zip(hashes, able)], pa.int64())
+def _hashes(texts: list[str]) -> list[int]:
+    return [xxhash.xxh64_intdigest(x) >> 1 for x in texts]
+
+
+def _doc_digests(hashes: list[list[int]], able: list[list[bool]], marked: list[bool]) -> pa.Array:
+    return pa.array([xxhash.xxh64_intdigest(np.array(h, np.int64).tobytes() + np.array([*a, m], np.bool_).tobytes()) >> 1 for h, a, m in zip(hashes, able, marked)], pa.int64())
 
 
 def deleted_lines(own: list[int], able: list[bool], sizes: list[int], others: list[list[int]]) -> list[int]:
@@ -227,9 +240,24 @@ def deleted_lines(own: list[int], able: list[bool], sizes: list[int], others: li
 
 def _deleted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        own, able, sizes, others = (batch.column(i).to_pylist() for i in range(1, 5))
+        own, able, sizes, others = (batch.column(i).to_pylist() for i in range(3, 7))
         gone = [deleted_lines(o, a, s, [x["hashes"] for x in sorted(near, key=lambda x: (-x["prefix"], x["turn"]))]) for o, a, s, near in zip(own, able, sizes, others)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], ["doc", "shared"])
+        digests = [[o[i] for i in g] for o, g in zip(own, gone)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(gone, pa.list_(pa.int32())), pa.array(digests, pa.list_(pa.int64()))], ["doc", "host", "marked", "shared", "digests"])
+
+
+def template_lines(lines: DataFrame, shared: DataFrame) -> DataFrame:
+    """(host, digest) of those shared lines that stand in more than half of the different articles of their host, `ARTICLES` at least.
+
+    `lines` has host, longest, least and the digests of each page; near copies agree in one of these keys, so a line must pass
+    by the number of either.
+    """
+    numbers = [F.count_distinct("longest").alias("by_longest"), F.count_distinct("least").alias("by_least")]
+    stands = lines.select("host", "longest", "least", F.explode(F.array_distinct("hashes")).alias("digest"))
+    counts = stands.join(shared.select("host", "digest").distinct(), ["host", "digest"]).groupBy("host", "digest").agg(*numbers)
+    whole = lines.groupBy("host").agg(numbers[0].alias("all_longest"), numbers[1].alias("all_least"))
+    able = (F.least("by_longest", "by_least") >= ARTICLES) & (2 * F.col("by_longest") > F.col("all_longest")) & (2 * F.col("by_least") > F.col("all_least"))
+    return counts.join(whole, "host").where(able).select("host", "digest")
 
 
 def nearest_pages(pages: DataFrame, keys: Sequence[str] = ("doc",)) -> DataFrame:
@@ -293,18 +321,24 @@ def _address(rows: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    schema = "url string, page long, hashes array<bigint>, able array<boolean>, sizes array<int>"
+    schema = "url string, page long, hashes array<bigint>, able array<boolean>, sizes array<int>, marked boolean"
     # pages of a host with the same lines are one; texts are cut again at the end and not written
-    parsed = materialize(_address(rows.select("url", "html").mapInArrow(_lines, schema)).where(F.array_contains("able", True)), "pages-lines")
-    lines = parsed.select("doc", "hashes", "able", "sizes").dropDuplicates(["doc"])
+    parsed = _address(rows.select("url", "html").mapInArrow(_lines, schema)).where(F.array_contains("able", True))
     # near copies differ in a line or two: they mostly agree in their longest line or in their least digest
     main = F.filter(F.arrays_zip("hashes", "sizes", "able"), lambda x: x["able"])
     longest = F.xxhash64("host", F.array_max(F.transform(main, lambda x: F.struct(x["sizes"].alias("n"), x["hashes"].alias("h"))))["h"])
     least = F.xxhash64("host", F.array_min(F.transform(main, lambda x: x["hashes"])))
-    near = nearest_pages(parsed.select("host", "path", "doc", longest.alias("longest"), least.alias("least")).distinct(), ("doc", "longest", "least"))
+    parsed = materialize(parsed.withColumns({"longest": longest, "least": least}), "pages-lines")
+    lines = parsed.select("doc", "host", "marked", "hashes", "able", "sizes").dropDuplicates(["doc"])
+    near = nearest_pages(parsed.select("host", "path", "doc", "longest", "least").distinct(), ("doc", "longest", "least"))
     others = near.join(lines.select(F.col("doc").alias("near"), "hashes"), "near").groupBy("doc").agg(F.collect_list(F.struct("prefix", "turn", "hashes")).alias("others"))
-    both = lines.join(others, "doc").select("doc", "hashes", "able", "sizes", "others")
-    gone = materialize(both.mapInArrow(_deleted, "doc long, shared array<int>").where(F.size("shared") > 0), "pages-shared")
+    both = lines.join(others, "doc").select("doc", "host", "marked", "hashes", "able", "sizes", "others")
+    aligned = both.mapInArrow(_deleted, "doc long, host string, marked boolean, shared array<int>, digests array<bigint>").where(F.size("shared") > 0)
+    aligned = materialize(aligned, "pages-shared")
+    inside = aligned.where("marked").select("doc", "host", F.explode(F.arrays_zip(F.col("shared").alias("at"), F.col("digests").alias("digest"))).alias("x")).select("doc", "host", "x.*")
+    articles = parsed.where("marked").select("host", "longest", "least", F.transform(main, lambda x: x["hashes"]).alias("hashes"))
+    certain = inside.join(template_lines(articles, inside), ["host", "digest"]).groupBy("doc").agg(F.collect_list("at").alias("shared"))
+    gone = aligned.where("NOT marked").select("doc", "shared").unionByName(certain)
     texts = _address(rows.mapInArrow(_texts, "page_id long, url string, page long, texts array<string>"))
     joined = texts.join(gone, "doc", "left")
     shared = F.coalesce("shared", F.array().cast("array<int>"))

@@ -1,6 +1,12 @@
 """Nulls, empty texts, repeated rows, empty tables and clashing column names."""
 
+import html
+import os
+import random
+import re
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.llm import decontam, fixity, langid, line_dedup, neighbours, page_text, toxicity
@@ -8,11 +14,57 @@ from tallyspark.llm import decontam, fixity, langid, line_dedup, neighbours, pag
 
 def test_lines(spark):
     docs = spark.createDataFrame([(1, "a b\nc\n\nA  b"), (2, "c\nd"), (2, "c\nd"), (None, "d"), (3, None)], "doc_id long, text string")
-    got = sorted((str(r["doc_id"]), r["text"], r["n_removed"], [tuple(s) for s in r["removed_spans"]]) for r in line_dedup.dedup_lines(docs).collect())
-    assert got == sorted([("1", "a b\nc\n", 1, [(7, 11)]), ("2", "", 2, [(0, 1), (2, 3)]), ("2", "", 2, [(0, 1), (2, 3)]), ("None", "d", 0, []), ("3", "", 0, [])])
+    got = sorted((str(r["doc_id"]), r["text"], r["n_removed"], [tuple(s) for s in r["removed_spans"]]) for r in line_dedup.dedup_lines(docs, marks="", min_words=1).collect())
+    assert got == sorted([("1", "a b\nc\n\n", 1, [(7, 11)]), ("2", "", 2, [(0, 3)]), ("2", "", 2, [(0, 3)]), ("None", "d", 0, []), ("3", "", 0, [])])
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def _removed_by_hand(rows, min_words):
+    """(id, text) -> kept text, over distinct rows in the order of their ids."""
+    first, covered, split = {}, {}, {}
+    for doc_id, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
+        split[doc_id] = [m.span() for m in re.finditer(r"([^.!?,;:|\n]+)[.!?,;:|]*", text) if m[1].split()]
+        words = [re.sub(r"[.!?,;:|]+$", "", text[a:b]).lower().split() for a, b in split[doc_id]]
+        covered[doc_id] = set()
+        for a in range(len(words)):
+            b = next((b for b in range(a, len(words)) if sum(map(len, words[a : b + 1])) >= min_words), None)
+            if b is not None:
+                d, _, e = first.setdefault(" ".join(w for c in words[a : b + 1] for w in c), (doc_id, a, b))
+                if (d, first[" ".join(w for c in words[a : b + 1] for w in c)][1]) != (doc_id, a) and not (d == doc_id and a <= e):
+                    covered[doc_id] |= set(range(a, b + 1))
+    out = {}
+    for doc_id, text in set(rows):
+        kept, done = [], 0
+        for i, (a, b) in enumerate(split[doc_id]):
+            if i in covered[doc_id]:
+                kept.append(text[done:a] if i - 1 not in covered[doc_id] else "")
+                done = b
+        out[doc_id] = "".join(kept) + text[done:]
+    return out
+
+
+def test_runs_of_clauses(spark, monkeypatch):
+    rng = random.Random(8)
+    passages = [" ".join(rng.choice(["Ein", "é", "cat.", "dog,", "runs", "far\n", "x;"]) for _ in range(25)) for _ in range(6)]
+    texts = []
+    for _ in range(150):
+        parts = [" ".join(rng.choice("abcdefgh") + rng.choice(["", "", ".", ",", "\n"]) for _ in range(rng.randint(0, 30))) for _ in range(3)]
+        texts.append(parts[0] + " " + rng.choice(passages) + " " + parts[1] + rng.choice(["", passages[0]]) + parts[2])
+    texts += ["go on, " * 400, "go on, " * 30, "", "..,,", passages[2] * 300]
+    rows = [(i or None, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([(*r, "q", 1) for r in rows + rows[5:9]], "doc_id long, text string, digest string, position int").repartition(5)
+    want = _removed_by_hand(rows, 6)
+    got = line_dedup.dedup_lines(docs, min_words=6).collect()
+    assert len(got) == len(rows) + 4
+    for r in got:
+        assert r["text"] == want[r["doc_id"]]
+        raw = dict(rows)[r["doc_id"]].encode()
+        for span in sorted(map(tuple, r["removed_spans"]), reverse=True):
+            raw = raw[: span[0]] + raw[span[1] :]
+        assert raw.decode() == r["text"]
+    assert sum(r["n_removed"] > 0 for r in got) > 100
+
+
 def test_contamination(spark):
     item = "one two three four five six seven eight"
     docs = spark.createDataFrame([(1, "x " * 300 + item + " y" * 300), (None, item.upper()), (2, None), (3, ""), (4, "one two three")], "doc_id long, text string")
@@ -145,3 +197,14 @@ def test_fixity_defined_cases(spark):
     got = sorted((str(r["archive"]), r["record_id"], r["n_bytes"], r["status"]) for r in fixity.audit(ours, theirs, **small).collect())
     # the two empty records share an offset and an id
     assert got == sorted([("a", 3, 30, "changed"), ("a", 6, 60, "missing"), ("b", 1, 1, "missing"), ("b", 1, 1, "missing"), ("None", 2, 0, "missing"), ("new", 1, 1, "extra"), ("new", 1, 1, "extra")])
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the given tables")
+def test_articles_of_the_given_pages_stay_whole(spark):
+    """Without its heading an article is one of the documents."""
+    texts = {" ".join(r["text"].split()) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()}
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    heads = {r["page_id"]: r["html"] for r in pages.collect()}
+    for r in page_text.main_text(pages).collect():
+        head = " ".join(html.unescape(re.search(r"<h1[^>]*>(.*?)</h1>", heads[r["page_id"]], re.S)[1]).split())
+        assert r["text"].startswith(head) and r["text"][len(head) :].strip() in texts, r["page_id"]

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from tallyspark.llm import packing, simhash, suffix_dedup
+from tallyspark.llm import neighbours, packing, simhash, suffix_dedup
 
 
 def test_pack_keeps_each_id_once_without_padding():
@@ -208,3 +208,62 @@ def test_cut_text_keeps_whole_characters():
     assert suffix_dedup.cut_text(text, [(2, 4)]) == "aé".encode()
     assert suffix_dedup.cut_text(text, [(1, 3)]) == b"ab"
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def _link_counts(ids, vectors, labels, threshold=0.98):
+    unit = np.array(vectors, np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = (unit @ unit.T >= threshold) & (np.array(labels)[:, None] == np.array(labels))
+    np.fill_diagonal(near, False)
+    root = list(range(len(ids)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in zip(*np.nonzero(near)):
+        root[find(i)] = find(j)
+    least = {}
+    for i, v in enumerate(ids):
+        least[find(i)] = min(least.get(find(i), v), v)
+    return {v: (int(near[i].sum()), least[find(i)]) for i, v in enumerate(ids)}
+
+
+@pytest.mark.parametrize("block,heads", [(1024, 64), (32, 3)])
+def test_links_of_groups(spark, monkeypatch, block, heads):
+    monkeypatch.setattr(neighbours.group_links, "__defaults__", (block,))
+    monkeypatch.setattr(neighbours, "HEADS", heads)
+    rng = np.random.default_rng(block)
+    vectors, labels = [], []
+
+    def around(middle, number, noise, label):
+        for _ in range(number):
+            vectors.append((middle + noise * rng.normal(size=16)).astype(np.float32))
+            labels.append(label)
+
+    for label in range(3):
+        around(rng.normal(size=16) * 3, 300, 0.02, label)  # every pair is a link
+        around(rng.normal(size=16) * 3, 250, 0.45, label)  # some pairs are
+        for _ in range(60):
+            around(rng.normal(size=16) * 3, 4, 0.2, label)
+        around(np.zeros(16), 200, 1.0, label)
+    vectors += vectors[:40] + [vectors[7]] * 50
+    labels += labels[:40] + [labels[7]] * 50
+    ids = rng.permutation(len(vectors)).tolist()
+    rows = spark.createDataFrame([(i, [float(x) for x in v], label) for i, v, label in zip(ids, vectors, labels)], "vec_id long, embedding array<float>, label int").repartition(5)
+    got = neighbours.near_duplicates(rows).collect()
+    want = _link_counts(ids, vectors, labels)
+    wrong = [r["vec_id"] for r in got if (r["n_links"], r["component_id"]) != want[r["vec_id"]]]
+    assert len(got) == len(ids) and not wrong, (len(wrong), len(ids))
+    assert all(r["audited_recall"] >= 0.99 and r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
+
+
+def test_short_recall_is_an_error(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=8)], 0) for i in range(40)]
+    rows += [(100 + i, rows[i][1][:7] + [rows[i][1][7] + 1e-3], 0) for i in range(40)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    with pytest.raises(RuntimeError):
+        neighbours.links(neighbours.classes(vectors), recall=1.1, passes=2)

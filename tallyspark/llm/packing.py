@@ -1,9 +1,11 @@
 """Hierarchical multi-length packing of tokenised documents.
 
 Each document's ids (and the closing id) are cut into full windows of the longest tier first. What is left of it is routed
-to the smallest tier that holds it. Tiers are packed from the longest down: a window opens with a remainder of its own tier,
-its gap takes the largest remainders of shorter tiers that still fit, and the last gap is closed by cutting one more.
-Sequences are dealt to step groups so that each group gets about as many ids.
+to the smallest tier that holds it, and every tier is packed in windows of its own length, from the longest tier down: a window
+opens with the largest remainder of its tier, its gap takes the largest remainders of shorter tiers that still fit, and the last
+gap is closed by cutting one more. Short documents that no long window needed fill short windows. All windows are powers of two,
+so none is padded. Sequences are dealt to step groups, the largest first and always to the group with the fewest ids, so groups
+hold nearly as many ids each, in mixed tiers.
 
 Every partition packs its own rows in stretches of `pool_ids` ids, so nothing is shuffled and memory is bounded; the
 remainder of a stretch that fills no window is cut at powers of two, so no sequence has padding. Which documents share a
@@ -15,6 +17,7 @@ like other rows; empty tables return no rows.
 
 from __future__ import annotations
 
+import heapq
 import os
 import zlib
 from collections.abc import Iterator
@@ -32,6 +35,7 @@ TIERS = (512, 1024, 2048, 4096)
 CLOSING_ID = 2
 POOL_IDS = 1 << 21
 STEP_IDS = 1 << 17
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks but the apostrophe, which starts tokens of its own
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step_group long"
 
 
@@ -62,27 +66,51 @@ class PieceIds:
                 self.new[chunk] = raw[4 * at[i] : 4 * at[i + 1]]
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        missing = {c for words in split for c in words if c not in self.new}
-        fresh = []
-        for chunk in missing:
-            known = self.old.get(chunk)
-            if known is None:
-                fresh.append(chunk)
-            else:
-                self.new[chunk] = known
-        self.learn(sorted(fresh))
-        out = [b"".join(map(self.new.__getitem__, words)) for words in split]
+        # the tokenizer lowers all letters; only the names of its special ids keep their case
+        split = [t.split() if b"<|" in t else t.lower().split() for t in texts]
+        found = [list(map(self.new.get, words)) for words in split]
+        missing = {c for words, ids in zip(split, found) if None in ids for c, raw in zip(words, ids) if raw is None}
+        if missing:
+            self.fetch(missing)
+            new = self.new
+            found = [[new[c] if raw is None else raw for c, raw in zip(words, ids)] if None in ids else ids for words, ids in zip(split, found)]
+        out = list(map(b"".join, found))
         if len(self.new) > self.most:
             self.old, self.new = self.new, {}
         return out
 
+    def fetch(self, chunks: set[bytes]) -> None:
+        """Ids of new chunks: known before, or made of a word and the marks behind it, or learnt."""
+        fresh, composed = set(), []
+        for chunk in chunks:
+            known = self.old.get(chunk)
+            if known is not None:
+                self.new[chunk] = known
+                continue
+            stem = chunk.rstrip(MARKS)
+            # letters and marks never share a token, so a word's ids do not depend on the marks behind it
+            if stem != chunk and stem and (stem.isalpha() or stem.decode("utf-8", "replace")[-1].isalpha()) and b"<|" not in chunk:
+                tail = chunk[len(stem) :]
+                composed.append((chunk, stem, tail))
+                fresh.update(part for part in (stem, tail) if part not in self.new)
+            else:
+                fresh.add(chunk)
+        for part in [c for c in fresh if c in self.old]:
+            self.new[part] = self.old[part]
+            fresh.discard(part)
+        self.learn(list(fresh))
+        for chunk, stem, tail in composed:
+            self.new[chunk] = self.new[stem] + self.new[tail]
+
 
 _KNOWN: dict[str, PieceIds] = {}
 
 
 def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[list[tuple[int, int, int]]]:
-    """Sequences as lists of (document, start, length) over documents of the given lengths; all but the last few are full."""
+    """Sequences as lists of (document, start, length) over documents of the given lengths.
+
+    All but the last few are full windows of a tier; what fills none at the end is cut at powers of two.
+    """
     most = tiers[-1]
     sequences = []
     shelves: dict[int, list[tuple[int, int, int]]] = {t: [] for t in tiers}
@@ -95,7 +123,7 @@ def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[list[tuple[
         shelf.sort(key=lambda piece: (piece[2], -piece[0]))  # the longest at the end
     order = tiers[::-1]
     while (tier := next((t for t in order if shelves[t]), None)) is not None:
-        window, gap = [shelves[tier].pop()], most
+        window, gap = [shelves[tier].pop()], tier
         gap -= window[0][2]
         for shorter in order:
             shelf = shelves[shorter]
@@ -120,7 +148,7 @@ def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[list[tuple[
             sequences.append(window)
             continue
         queue = window[::-1]
-        held = most - gap
+        held = tier - gap
         while held:  # nothing is left to fill with: powers of two need no padding
             size = 1 << (held.bit_length() - 1)
             taken, want = [], size
@@ -136,6 +164,17 @@ def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[list[tuple[
     return sequences
 
 
+def step_groups(sizes: list[int], groups: int) -> list[int]:
+    """A group for each sequence: the largest first, always to the group with the fewest ids."""
+    loads = [(0, g) for g in range(groups)]
+    out = [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        load, group = loads[0]
+        out[i] = group
+        heapq.heapreplace(loads, (load + sizes[i], group))
+    return out
+
+
 def _pack_rows(batches: Iterator[pa.RecordBatch], tokenizer: str, tiers: tuple[int, ...], closing: int, pool_ids: int, step_ids: int) -> Iterator[pa.RecordBatch]:
     ids_of = _KNOWN.get(tokenizer) or _KNOWN.setdefault(tokenizer, PieceIds(tokenizer))
     end = np.array([closing], "<u4").tobytes()
@@ -148,14 +187,9 @@ def _pack_rows(batches: Iterator[pa.RecordBatch], tokenizer: str, tiers: tuple[i
     def flush() -> pa.RecordBatch:
         nonlocal number, groups
         sequences = pack([len(raw) // 4 for _, raw in pool], tiers)
-        # the largest sequence goes to the step group with the fewest ids so far
         sizes = [sum(p[2] for p in s) for s in sequences]
-        steps = max(1, -(-sum(sizes) // step_ids))
-        order = sorted(range(len(sequences)), key=lambda i: -sizes[i])
-        group_of = [0] * len(sequences)
-        for place, i in enumerate(order):
-            turn, spot = divmod(place, steps)
-            group_of[i] = spot if turn % 2 == 0 else steps - 1 - spot
+        group_of = step_groups(sizes, max(1, -(-sum(sizes) // step_ids)))
+        steps = max(group_of, default=0) + 1
         columns = [[] for _ in names]
         for i, sequence in enumerate(sequences):
             offset = 0

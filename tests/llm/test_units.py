@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -25,7 +26,7 @@ def test_pack_keeps_each_id_once_without_padding():
             assert start == at
             at += n
         assert at == length
-    assert sum(sum(p[2] for p in s) < 4096 for s in sequences) <= 13
+    assert sum(sum(p[2] for p in s) not in packing.TIERS for s in sequences) <= 9
     assert packing.pack([]) == []
 
 
@@ -267,3 +268,60 @@ def test_short_recall_is_an_error(spark):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     with pytest.raises(RuntimeError):
         neighbours.links(neighbours.classes(vectors), recall=1.1, passes=2)
+
+
+TEXTS = ["", None, "Don't 'stop' it's 5.6%…", "caf\u00e9. CAF\u00c9 cafe\u0301, \u212a.", "<|endoftext|> a <|EndOfText|>. <|endoftext|>.", "x" * 9000, "one, two; three! " * 6000, "\u65e5\u672c\u8a9e, \u00a0 \u2028 z\u200b.", "a=\u0338b <.'s", "\x00 \x1f."]
+
+
+def test_ids_of_chunks_are_ids_of_texts():
+    from tokenizers import Tokenizer
+
+    plain, ours = Tokenizer.from_file(packing.tokenizer_path()), packing.PieceIds(packing.tokenizer_path(), most=40)
+    rng = random.Random(2)
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choice("abcDE '.,-%5\u00e9\u00df\n\t\u2026") for _ in range(60)) for _ in range(300)]
+    for at in range(0, len(texts), 7):
+        part = texts[at : at + 7]
+        for text, raw in zip(part, ours.texts([t.encode() for t in part])):
+            assert np.frombuffer(raw, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_packed_tables(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.tokenizer_path())
+    rng = random.Random(6)
+    texts = TEXTS + ["word " * rng.choice([3, 40, 300, 600, 1500, 3000, 4100]) for _ in range(120)]
+    rows = [(i or None, t, 0, "y") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows + rows[3:5], "doc_id long, text string, offset int, sequence_id string").repartition(3)
+    got = packing.pack_documents(docs, packing.tokenizer_path(), step_ids=1 << 14).collect()
+    ids = {i: plain.encode(t or "", add_special_tokens=False).ids + [2] for i, t, *_ in rows}
+    pieces, sequences, loads = {}, {}, {}
+    for r in got:
+        own = ids[r["doc_id"]]
+        assert r["doc_tokens"] == len(own) and r["ids_crc32"] == zlib.crc32(np.array(own[r["start"] : r["start"] + r["length"]], "<u4").tobytes())
+        pieces.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"], r["tier"], r["step_group"]))
+    for doc_id, own in ids.items():
+        copies = 2 if doc_id in (3, 4) else 1
+        covered = np.zeros(len(own), int)
+        for start, length in pieces[doc_id]:
+            covered[start : start + length] += 1
+        assert (covered == copies).all()
+    for parts in sequences.values():
+        at = 0
+        for offset, length, tier, group in sorted(parts):
+            assert offset == at
+            at += length
+        assert at & (at - 1) == 0 and at <= tier <= 4096 and (at == tier or tier == 512)
+        loads[group] = loads.get(group, 0) + at
+    tiers = [parts[0][2] for parts in sequences.values()]
+    assert {512, 1024, 2048, 4096} <= set(tiers)
+    assert packing.pack_documents(docs.limit(0), packing.tokenizer_path()).count() == 0
+
+
+def test_step_groups_are_even():
+    rng = random.Random(4)
+    sizes = [rng.choice([512, 1024, 2048, 4096]) for _ in range(500)]
+    groups = packing.step_groups(sizes, 9)
+    loads = [sum(s for s, g in zip(sizes, groups) if g == k) for k in range(9)]
+    assert max(loads) - min(loads) <= 512 and packing.step_groups([], 1) == []

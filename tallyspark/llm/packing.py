@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -50,6 +51,8 @@ class PieceIds:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.new, self.old = Tokenizer.from_file(path), most, {}, {}
+        self.merges = self.tokenizer.model
+        self.packed = [struct.Struct(f"<{n}I").pack for n in range(64)]
 
     def learn(self, chunks: list[bytes], at_once: int = 2000) -> None:
         for k in range(0, len(chunks), at_once):
@@ -98,7 +101,16 @@ class PieceIds:
         for part in [c for c in fresh if c in self.old]:
             self.new[part] = self.old[part]
             fresh.discard(part)
-        self.learn(list(fresh))
+        new, packed, tokens_of = self.new, self.packed, self.merges.tokenize
+        others = []
+        for part in fresh:
+            # small ASCII letters are one word as they stand: nothing to normalise, nothing to split
+            if len(part) < len(packed) and part.isalpha() and part.islower():
+                ids = [token.id for token in tokens_of(part.decode())]
+                new[part] = packed[len(ids)](*ids)
+            else:
+                others.append(part)
+        self.learn(others)
         for chunk, stem, tail in composed:
             self.new[chunk] = self.new[stem] + self.new[tail]
 

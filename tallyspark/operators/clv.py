@@ -113,11 +113,15 @@ def score_matrices(metrics: DataFrame, m: L.BgNbd, horizon: int = 30) -> DataFra
     )
 
 
-def alive_history(df: DataFrame, customer: str, at: str, m: L.BgNbd) -> DataFrame:
-    """P(alive) per customer and day, from the first purchase to the end of the data set."""
+def alive_history(df: DataFrame, customer: str, at: str, m: L.BgNbd, only: Column | None = None) -> DataFrame:
+    """P(alive) per customer and day, from the first purchase to the end of the data set.
+
+    ``only`` selects customers; it reaches the scan of their rows, while the end still comes from all rows.
+    """
     from pyspark.sql import Window as W
 
-    days = df.where(F.col(customer).isNotNull()).select(customer, F.to_date(at).alias("day")).distinct()
+    chosen = df.where(F.col(customer).isNotNull()) if only is None else df.where(only)
+    days = chosen.select(customer, F.to_date(at).alias("day")).distinct()
     w = W.partitionBy(customer).orderBy("day")
     seen = days.select(
         customer, "day", (F.row_number().over(w) - 1).alias("x"), F.min("day").over(w).alias("first"), F.lead("day").over(w).alias("next")

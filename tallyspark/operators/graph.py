@@ -31,17 +31,19 @@ def co_mentions(mentions: DataFrame, min_weight: int, blocked: Sequence = (), ur
     others together, and those who cannot pass the threshold leave before pairs are built. A pair is built once,
     left side split in blocks for long articles, and mirrored after the filter. NULL articles form one group.
     """
-    counts = mentions.select(F.col(url).alias("url"), F.col(organisation).alias("org")).where(F.col("org").isNotNull())
+    named = mentions.select(F.col(url).alias("url"), F.col(organisation).alias("org")).where(F.col("org").isNotNull())
     if blocked:
-        counts = counts.where(~F.col("org").isin(list(blocked)))
-    counts = counts.groupBy("url", "org").agg(F.count(F.lit(1)).alias("c"))
-    totals = counts.groupBy(F.col("url").alias("_u")).agg(F.sum("c").alias("all"), F.count(F.lit(1)).alias("orgs")).where("orgs > 1")
-    shared = counts.join(totals, F.col("url").eqNullSafe(F.col("_u"))).drop("_u")
+        named = named.where(~F.col("org").isin(list(blocked)))
+    # read by three consumers, so it is written once; a struct around the article is never NULL, so keys are plain
+    counts = materialize(named.groupBy("url", "org").agg(F.count(F.lit(1)).alias("c")), "mentions")
+    article = F.struct("url")
+    totals = counts.groupBy(article.alias("article")).agg(F.sum("c").alias("all"), F.count(F.lit(1)).alias("orgs")).where("orgs > 1")
+    shared = counts.withColumn("article", article).join(totals, "article").drop("url")
     able = shared.groupBy("org").agg(F.sum(F.col("c") * (F.col("all") - F.col("c"))).alias("bound")).where(F.col("bound") > min_weight).select("org")
     kept = shared.join(able, "org", "left_semi").withColumn("blocks", F.ceil(F.col("orgs") / BLOCK).cast("int"))
-    left = kept.select("url", F.col("org").alias("a"), F.col("c").alias("ca"), F.pmod(F.xxhash64("org"), F.col("blocks")).cast("int").alias("block"))
-    right = kept.select(F.col("url").alias("_u"), F.col("org").alias("b"), F.col("c").alias("cb"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_block"))
-    same = F.col("url").eqNullSafe(F.col("_u")) & (F.col("block") == F.col("_block")) & (F.col("a") < F.col("b"))
+    left = kept.select("article", F.col("org").alias("a"), F.col("c").alias("ca"), F.pmod(F.xxhash64("org"), F.col("blocks")).cast("int").alias("block"))
+    right = kept.select(F.col("article").alias("_a"), F.col("org").alias("b"), F.col("c").alias("cb"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_block"))
+    same = (F.col("article") == F.col("_a")) & (F.col("block") == F.col("_block")) & (F.col("a") < F.col("b"))
     pairs = left.join(right, same).groupBy("a", "b").agg(F.sum(F.col("ca") * F.col("cb")).alias("relationship")).where(F.col("relationship") > min_weight)
     both = F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")), F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))
     return pairs.select(F.explode(both).alias("e"), "relationship").select("e.src", "e.dst", "relationship")

@@ -42,7 +42,7 @@ def digamma(z: np.ndarray) -> np.ndarray:
     for k in range(8):
         shift += 1 / (z + k)
     y = z + 8
-    return np.log(y) - 1 / (2 * y) - 1 / (12 * y**2) + 1 / (120 * y**4) - 1 / (252 * y**6) + 1 / (240 * y**8) - shift
+    return np.log(y) - 1 / (2 * y) - 1 / (12 * y**2) + 1 / (120 * y**4) - 1 / (252 * y**6) + 1 / (240 * y**8) - 1 / (132 * y**10) - shift
 
 
 def bgnbd_loglik(theta: Sequence[float], d: dict[str, np.ndarray]) -> np.ndarray:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,24 +150,79 @@ def append_evolving(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(T.StructType([*table, *(f for f in df.schema if f.name not in have)])).parquet(path)
 
 
-def compact(spark, path: str, out: str, target_bytes: int = 256 * 1024 * 1024) -> DataFrame:
-    """Rewrite many small files as few of about the target size; the content does not change."""
+def bins_by_size(sizes: Sequence[int], capacity: int) -> list[list[int]]:
+    """Positions of the sizes in bins of a capacity, first fit decreasing; what is larger has a bin of its own."""
+    bins: list[list[int]] = []
+    room: list[int] = []
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        at = next((b for b, left in enumerate(room) if left >= sizes[i]), None)
+        if at is None:
+            bins.append([])
+            room.append(capacity)
+            at = len(bins) - 1
+        bins[at].append(i)
+        room[at] -= sizes[i]
+    return bins
+
+
+def compact(spark: SparkSession, path: str, out: str, target_bytes: int = 256 * 1024 * 1024) -> DataFrame:
+    """The rows of a table with its small files rewritten as few of about the target size."""
+    return read_files(compacted_files(spark, path, out, target_bytes))
+
+
+def compacted_files(spark: SparkSession, path: str, out: str, target_bytes: int = 256 * 1024 * 1024, full: float = 0.75) -> DataFrame:
+    """The same table in few files of about the target size: (file_path) of all files that now make it up.
+
+    Files of at least ``full`` of the target stay as they are, under their names. The small ones are packed into bins by first
+    fit decreasing; bins of several files are read and written to ``out``, one file per bin, in one job. Sizes come from the
+    file listing, which Spark holds on the driver anyway. Read the result with ``read_files``; no old file is deleted.
+    """
     from ..sources.files import manifest
 
-    size = manifest(spark, path).agg(F.sum("file_size").alias("s")).first()["s"] or 0
-    spark.read.parquet(path).repartition(max(1, -(-size // target_bytes))).write.parquet(out)
-    return spark.read.parquet(out)
+    files = [(r["file_path"], r["file_size"]) for r in manifest(spark, path).select("file_path", "file_size").collect()]
+    small = sorted(f for f in files if f[1] < full * target_bytes)
+    several = [b for b in bins_by_size([size for _, size in small], target_bytes) if len(b) > 1]
+    moved = [(small[i][0], number) for number, members in enumerate(several) for i in members]
+    kept = sorted({f for f, _ in files} - {f for f, _ in moved})
+    if moved:
+        dealt = spark.createDataFrame(moved, "file_path STRING, _bin INT")
+        rows = spark.read.parquet(*[f for f, _ in moved]).withColumn("file_path", F.col("_metadata.file_path"))
+        columns = [c for c in rows.columns if c != "file_path"]
+        rows = rows.join(F.broadcast(dealt), "file_path")  # one row per small file of the listing
+        # a partition per bin: ranges of the bin number are cut between bins
+        rows.repartitionByRange(len(several), "_bin").select(*columns).write.parquet(out)
+        kept += [r["file_path"] for r in manifest(spark, out).select("file_path").collect()]
+    return spark.createDataFrame([(f,) for f in kept], "file_path STRING")
 
 
-def cluster_key(df: DataFrame, columns: Sequence[str], bits: int = 8) -> DataFrame:
-    """Add _z: the interleaved bits of each column's rank among 2**bits quantile ranges."""
-    cuts = [i / 2**bits for i in range(1, 2**bits)]
-    edges = df.agg(F.struct(*[F.array_distinct(F.percentile_approx(F.col(c).cast("double"), cuts, 1000)).alias(f"e{i}") for i, c in enumerate(columns)]).alias("e"))
+def read_files(files: DataFrame) -> DataFrame:
+    """The rows of a list of Parquet files, as ``compacted_files`` returns it."""
+    return files.sparkSession.read.parquet(*[r["file_path"] for r in files.collect()])
+
+
+CLUSTER_SAMPLE = 20_000
+
+
+def cluster_key(df: DataFrame, columns: Sequence[str], bits: int = 8, sample: int = CLUSTER_SAMPLE) -> DataFrame:
+    """Add _z: the interleaved bits of each column's place among 2**bits ranges of its own order.
+
+    Columns may have any type that can be ordered. The range boundaries come from ``sample`` rows drawn over the whole table;
+    they decide which rows share a file, never which rows there are. NULL comes first.
+    """
+    drawn = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]).orderBy(F.rand(7)).limit(sample)
+    step = F.sequence(F.lit(1), F.lit(2**bits - 1))
+    arrays = []
+    for i in range(len(columns)):
+        values = F.array_sort(F.collect_list(f"c{i}"))  # at most ``sample`` values
+        arrays.append(F.struct(values.alias("v")).alias(f"s{i}"))
+    spread = drawn.agg(*arrays).select(F.struct(*[
+        F.array_distinct(F.filter(F.transform(step, lambda k: F.get(F.col(f"s{i}.v"), (k * F.size(f"s{i}.v") / 2**bits).cast("int"))), lambda x: x.isNotNull())).alias(f"e{i}") for i in range(len(columns))
+    ]).alias("e"))
     z = F.lit(0).cast("long")
-    ranked = df.withColumn("_e", edges.scalar())
+    ranked = df.withColumn("_e", spread.scalar())
     for i, c in enumerate(columns):
-        ranked = ranked.withColumns({f"_x{i}": F.col(c).cast("double"), f"_e{i}": F.col(f"_e.e{i}")})
-        ranked = ranked.withColumn(f"_r{i}", F.coalesce(_edges_below(f"_e{i}", f"_x{i}", bits), F.lit(0)).cast("long"))
+        ranked = ranked.withColumns({f"_x{i}": F.col(c), f"_e{i}": F.col(f"_e.e{i}")})
+        ranked = ranked.withColumn(f"_r{i}", F.when(F.col(c).isNull(), 0).otherwise(_edges_below(f"_e{i}", f"_x{i}", bits)).cast("long"))
         for b in range(bits):
             z = z + F.shiftleft(F.shiftright(F.col(f"_r{i}"), b).bitwiseAND(F.lit(1)), b * len(columns) + i)
     helpers = ["_e", *[f"_{p}{i}" for i in range(len(columns)) for p in ("x", "e", "r")]]

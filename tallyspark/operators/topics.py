@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
+import math
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import materialize
+from .lifetime_fit import digamma
 from .quantiles import exact_quantiles, min_max_scale
 from .relational import distinct_values
 
@@ -46,31 +51,180 @@ def term_counts(docs: DataFrame, tokens: str, keys: Sequence[str] = (), stops: D
     return counts if stops is None else counts.join(stops.select(F.col("word").alias("term")), "term", "left_anti")
 
 
-def vectorise(docs: DataFrame, tokens: str, stops: DataFrame | None = None, largest: int = 1 << 22) -> tuple[CountVectorizerModel, DataFrame]:
-    """Term count vectors over every term that is not in ``stops``; terms are ordered by count.
+@dataclass(frozen=True)
+class Corpus:
+    """Rows of text as blocks of term numbers, and the terms with their numbers and counts. Both are tables in the shared folder."""
 
-    The model keeps its vocabulary on the driver, so more than ``largest`` terms are an error; none is cut. Vectors
-    of rows without any term are empty.
-    """
-    terms = term_counts(docs, tokens, stops=stops).orderBy(F.desc("n"), "term").select("term").limit(largest + 1).toPandas()["term"]
-    if len(terms) > largest:
-        raise ValueError(f"more than {largest} distinct terms")
-    model = CountVectorizerModel.from_vocabulary(list(terms) or [""], inputCol=tokens, outputCol="features")
-    return model, model.transform(docs)
+    blocks: DataFrame
+    vocabulary: DataFrame
+    rows: int
+
+
+BLOCK = "block LONG, rows ARRAY<LONG>, ends ARRAY<INT>, places ARRAY<INT>, counts ARRAY<DOUBLE>, terms ARRAY<LONG>"
+BLOCK_ENTRIES = 200_000
 
 
-def fit_topics(vectors: DataFrame, k: int = 9, seed: int = 42, decay: float = 0.3, share: float = 0.5, iterations: int = 20):
-    """Online LDA; ``share`` of the rows per step times ``iterations`` is the number of passes over the data, ten by default."""
-    lda = LDA(k=k, optimizer="online", seed=seed, learningDecay=decay, subsamplingRate=share, maxIter=iterations, featuresCol="features")
-    return lda.fit(vectors)
+def corpus(docs: DataFrame, row: str, tokens: str, stops: DataFrame | None = None, entries: int = BLOCK_ENTRIES) -> Corpus:
+    """Count vectors over every term that is not in ``stops``, dealt to blocks of about so many ``entries``.
+
+    Terms get their numbers where they are counted, so there is no list of them on the driver and no limit to their number.
+    A block names each of its terms once; its entries point into that list.
+    """
+    counts = materialize(term_counts(docs, tokens, [row], stops).withColumnRenamed(row, "row"), "term-counts")
+    vocabulary = materialize(counts.groupBy("term").agg(F.sum("n").alias("n")).withColumn("id", F.monotonically_increasing_id()), "vocabulary")
+    coded = counts.join(vocabulary.select("term", "id"), "term").select(F.col("row").cast("long").alias("row"), "id", F.col("n").cast("double").alias("n"))
+    blocks = materialize(coded.repartition("row").sortWithinPartitions("row", "id").mapInArrow(partial(_cut_blocks, entries=entries), BLOCK), "blocks")
+    return Corpus(blocks, vocabulary, blocks.agg(F.sum(F.size("rows"))).first()[0] or 0)
+
+
+def _cut_blocks(batches: Iterator[pa.RecordBatch], entries: int) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+    names = [c.split()[0] for c in BLOCK.split(", ")]
+    part, number = TaskContext.get().partitionId(), 0
+
+    def block(whole: pa.RecordBatch) -> pa.RecordBatch:
+        nonlocal number
+        row, term, n = (whole.column(i).to_numpy() for i in range(3))
+        starts = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+        terms, places = np.unique(term, return_inverse=True)
+        values = ((part << 32) + number, row[starts], np.append(starts, len(row)).astype(np.int32), places.astype(np.int32), n, terms)
+        number += 1
+        types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
+
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size < entries:
+            continue
+        whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        row = whole.column(0).to_numpy()
+        first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+        done = 0
+        for stop in first[1:]:  # the last row may go on
+            if stop - done >= entries:
+                yield block(whole.slice(done, int(stop) - done))
+                done = int(stop)
+        held, size = [whole.slice(done)], whole.num_rows - done
+    if size:
+        yield block(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+
+def expected_logs(weights: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """exp E[log p] of Dirichlet weights whose sum over the other axis is given."""
+    return np.exp(digamma(weights) - digamma(totals))
+
+
+def row_topics(ends: np.ndarray, places: np.ndarray, counts: np.ndarray, words: np.ndarray, alpha: float, tolerance: float = 1e-3, most: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """Variational weights of every row's topics, and of every entry the expected count over the sum of its topics.
+
+    All rows of a block move together; those whose mean change falls below ``tolerance`` stop.
+    """
+    number, k = len(ends) - 1, words.shape[1]
+    gamma = np.ones((number, k))
+    share = np.zeros(len(places))
+    active = np.arange(number)
+    for _ in range(most):
+        sizes = ends[active + 1] - ends[active]
+        first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        entry = np.arange(int(sizes.sum())) - np.repeat(first - ends[active], sizes)
+        own = np.repeat(np.arange(len(active)), sizes)
+        b, n = words[places[entry]], counts[entry]
+        settled = np.zeros(len(active), bool)
+        for _ in range(8):  # the entries of the moving rows are gathered anew from time to time
+            theta = expected_logs(gamma[active], gamma[active].sum(axis=1, keepdims=True))
+            ratio = n / np.maximum(np.einsum("ij,ij->i", theta[own], b), 1e-300)
+            after = alpha + theta * np.add.reduceat(ratio[:, None] * b, first)
+            settled = np.abs(after - gamma[active]).mean(axis=1) < tolerance
+            gamma[active], share[entry] = after, ratio
+        active = active[~settled]
+        if not len(active):
+            break
+    return gamma, share
+
+
+def _block_parts(block: pa.Table, weights: pa.Table) -> tuple[np.ndarray, ...]:
+    rows, ends, places, counts, terms = (block.column(c)[0].values.to_numpy() for c in ("rows", "ends", "places", "counts", "terms"))
+    order = np.argsort(weights.column("id").to_numpy())
+    flat = weights.column("w").combine_chunks().flatten().to_numpy().reshape(len(order), -1)[order]
+    return rows, ends, places, counts, terms, flat
+
+
+def _term_statistics(block: pa.Table, weights: pa.Table, totals: list[float], alpha: float) -> pa.Table:
+    """(id, s): expected counts of each term of a block in each topic."""
+    if not block.num_rows or not weights.num_rows:
+        return pa.table({"id": pa.array([], pa.int64()), "s": pa.array([], pa.list_(pa.float64()))})
+    _, ends, places, counts, terms, flat = _block_parts(block, weights)
+    words = expected_logs(flat, np.array(totals))
+    gamma, share = row_topics(ends, places, counts, words, alpha)
+    theta = expected_logs(gamma, gamma.sum(axis=1, keepdims=True))[np.repeat(np.arange(len(ends) - 1), np.diff(ends))]
+    sums = np.stack([np.bincount(places, share * theta[:, j], len(terms)) for j in range(words.shape[1])], axis=1) * words
+    return pa.table({"id": terms, "s": pa.FixedSizeListArray.from_arrays(sums.ravel(), words.shape[1]).cast(pa.list_(pa.float64()))})
+
+
+def _distributions(block: pa.Table, weights: pa.Table, totals: list[float], alpha: float) -> pa.Table:
+    if not block.num_rows or not weights.num_rows:
+        return pa.table({"row": pa.array([], pa.int64()), "topicDistribution": pa.array([], pa.list_(pa.float64()))})
+    rows, ends, places, counts, _, flat = _block_parts(block, weights)
+    gamma, _ = row_topics(ends, places, counts, expected_logs(flat, np.array(totals)), alpha)
+    share = gamma / gamma.sum(axis=1, keepdims=True)
+    return pa.table({"row": rows, "topicDistribution": pa.FixedSizeListArray.from_arrays(share.ravel(), share.shape[1]).cast(pa.list_(pa.float64()))})
+
+
+def _beside(blocks: DataFrame, weights: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """Run ``work`` on each block and the weights of its own terms."""
+    wanted = blocks.select(F.col("block").alias("to"), F.explode("terms").alias("id")).join(weights.select("id", "w"), "id")
+    return blocks.groupBy("block").cogroup(wanted.groupBy("to")).applyInArrow(lambda block, own: work(block, own), schema)
+
+
+def _topic_totals(weights: DataFrame, k: int) -> list[float]:
+    return [float(v or 0.0) for v in weights.agg(*[F.sum(F.col("w")[j]).alias(f"t{j}") for j in range(k)]).first()]  # one number per topic
+
+
+def fit_topics(texts: Corpus, k: int = 9, seed: int = 42, decay: float = 0.3, parts: int = 2, passes: int = 5) -> DataFrame:
+    """Online variational topic model: (term, id, w: weight of the term in each topic).
+
+    The topic weights are a table with one row per term and never leave the executors. Each step takes one of ``parts`` equal
+    shares of the blocks, brings every block the weights of its own terms, and sums the expected counts by term; a step of
+    number t moves the weights by (1 + t) ** -decay towards what its share asks for. ``passes`` times all rows take part.
+    """
+    alpha = eta = 1.0 / k
+    noise = [F.sqrt(-2 * F.log(_uniform("id", seed, 2 * j))) * F.cos(2 * math.pi * _uniform("id", seed, 2 * j + 1)) for j in range(k)]
+    weights = materialize(texts.vocabulary.select("term", "id", F.array(*[F.greatest(F.lit(0.01), 1 + 0.1 * x) for x in noise]).alias("w")), "topic-weights")
+    dealt = materialize(texts.blocks.withColumn("turn", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int")), "dealt-blocks") if parts > 1 else texts.blocks.withColumn("turn", F.lit(0))
+    sizes = {r["turn"]: r["n"] for r in dealt.groupBy("turn").agg(F.sum(F.size("rows")).alias("n")).collect()}  # one row per part
+    step = 0
+    for _ in range(passes):
+        for turn, size in sorted(sizes.items()):
+            totals = _topic_totals(weights, k)
+            work = partial(_term_statistics, totals=totals, alpha=alpha)
+            found = _beside(dealt.where(F.col("turn") == turn).drop("turn"), weights, work, "id LONG, s ARRAY<DOUBLE>")
+            sums = found.groupBy("id").agg(F.array(*[F.sum(F.col("s")[j]) for j in range(k)]).alias("s"))
+            rate = (1 + step) ** -decay if len(sizes) > 1 else 1.0
+            asked = lambda w, s: (1 - rate) * w + rate * (eta + texts.rows / size * F.coalesce(s, F.lit(0.0)))
+            moved = weights.join(sums, "id", "left")
+            weights = materialize(moved.select("term", "id", F.array(*[asked(F.col("w")[j], F.col("s")[j]) for j in range(k)]).alias("w")), "topic-weights")
+            step += 1
+    return weights
+
+
+def _uniform(key: str, seed: int, number: int) -> Column:
+    """A number between 0 and 1, both excluded, that the key, the seed and a number decide."""
+    return (F.pmod(F.xxhash64(F.col(key), F.lit(seed), F.lit(number)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
+
+
+def topic_distributions(texts: Corpus, weights: DataFrame, k: int = 9) -> DataFrame:
+    """(row, topicDistribution) of every row that has terms."""
+    work = partial(_distributions, totals=_topic_totals(weights, k), alpha=1.0 / k)
+    return _beside(texts.blocks, weights, work, "row LONG, topicDistribution ARRAY<DOUBLE>")
 
 
 def principal_topic(distributed: DataFrame, column: str = "topicDistribution") -> DataFrame:
     """Most likely topic of each row (0-based) and its probability."""
-    p = vector_to_array(column)
-    return distributed.withColumn("_p", p).withColumns({
-        "probability": F.array_max("_p"), "topic": (F.array_position("_p", F.array_max("_p")) - 1).cast("int"),
-    }).drop("_p", column)
+    return distributed.withColumns({
+        "probability": F.array_max(column), "topic": (F.array_position(column, F.array_max(column)) - 1).cast("int"),
+    }).drop(column)
 
 
 def focus_counts(rows: DataFrame, company: str, topic: str, topics: Sequence | None = None, probability: str | None = None, threshold: float = 0.5) -> DataFrame:
@@ -100,11 +254,11 @@ def focus_score(company_counts: DataFrame, deciles: DataFrame, topic: str = "top
     return joined.withColumn("score", F.floor(F.round(100 * F.coalesce(last, F.lit(0.1)), 6)).cast("int")).drop("_steps")
 
 
-def topic_terms(model, vectoriser: CountVectorizerModel, n: int = 200) -> DataFrame:
-    """(topic, term, weight) of the n heaviest terms per topic."""
-    described = model.describeTopics(n).select("topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("t"))
-    table = described.sparkSession.createDataFrame(list(enumerate(vectoriser.vocabulary)), "termIndices INT, term STRING")
-    return described.select("topic", "t.*").join(table, "termIndices").select("topic", "term", F.col("termWeights").alias("weight"))
+def topic_terms(weights: DataFrame, n: int = 200) -> DataFrame:
+    """(topic, term, weight) of the n heaviest terms per topic; the weights of a topic sum to 1 over all terms."""
+    tall = weights.select("term", F.posexplode("w").alias("topic", "w"))
+    totals = tall.groupBy("topic").agg(F.sum("w").alias("_sum"))
+    return top_n_per_group(tall, ["topic"], [F.desc("w"), F.asc("term")], n).join(totals, "topic").select("topic", "term", (F.col("w") / F.col("_sum")).alias("weight"))
 
 
 def topic_distances(weights: DataFrame, topic: str, term: str, weight: str, topics: Sequence) -> DataFrame:

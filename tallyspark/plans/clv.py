@@ -250,9 +250,8 @@ def m17(spark, sf):
       s AS (SELECT "on", count(*) - 1 AS frequency, (max(day) - min(day))::DOUBLE AS recency, ("on" - min(day))::DOUBLE AS "T" FROM c JOIN d ON d.day <= c."on" GROUP BY 1)
     SELECT CAST(100 AS BIGINT) AS customer, "on" AS day, CAST(frequency AS INTEGER) AS frequency, round({ALIVE}, 8) + 0.0 AS prob_alive FROM s""")
 def m18(spark, sf):
-    # the end of the data set comes from all rows, the history from one customer's rows
-    rows = invoices(spark, sf).select(F.when(F.col("CustomerID") == 100, F.col("CustomerID")).alias("customer"), "InvoiceDate")
-    return C.alive_history(rows, "customer", "InvoiceDate", MODEL).withColumn("prob_alive", rnd("prob_alive", 8))
+    rows = invoices(spark, sf).select(F.col("CustomerID").alias("customer"), "InvoiceDate")
+    return C.alive_history(rows, "customer", "InvoiceDate", MODEL, F.col("customer") == 100).withColumn("prob_alive", rnd("prob_alive", 8))
 
 
 @query("m19_engagement_scores", "SELECT customer, round(" + ALIVE + ", 7) + 0.0 AS alive, " + ", ".join(f"round({expected_sql(float(t))}, 7) + 0.0 AS next_{t}" for t in (15, 30, 45)) + f" FROM {RFT}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -24,16 +25,18 @@ HISTORY = "(SELECT l_suppkey AS store, l_linenumber AS item, CAST(l_shipdate AS
 
 
 @query("j3_grouped_map", f"""
-    SELECT store, item, CAST(count(*) AS BIGINT) AS days, round(regr_slope(y, ds - DATE '1995-01-01'), 8) + 0.0 AS slope FROM {HISTORY} GROUP BY 1, 2 HAVING count(*) > 1""")
+    WITH h AS {HISTORY}
+    SELECT a.store, a.item, round(median((b.y - a.y) / (b.ds - a.ds)), 8) + 0.0 AS slope FROM h a JOIN h b ON a.store = b.store AND a.item = b.item AND a.ds < b.ds GROUP BY 1, 2""")
 def j3(spark, sf):
+    """Theil-Sen slope of each series: the median over all pairs of days, which a series has at most one row for."""
     def slope(series: pd.DataFrame) -> pd.DataFrame:
-        if len(series) < 2:
-            return pd.DataFrame({"store": [], "item": [], "days": [], "slope": []}).astype({"store": "int64", "item": "int32", "days": "int64"})
         x = (pd.to_datetime(series["ds"]) - pd.Timestamp("1995-01-01")).dt.days.to_numpy(dtype=float)
-        y, x = series["y"].to_numpy(), x - x.mean()
-        return pd.DataFrame({"store": [series["store"].iloc[0]], "item": [series["item"].iloc[0]], "days": [len(series)], "slope": [float(x @ y / (x @ x))]})
+        i, j = np.triu_indices(len(series), 1)
+        one = pd.DataFrame({"store": series["store"].iloc[:1], "item": series["item"].iloc[:1]})
+        y = series["y"].to_numpy()
+        return one.assign(slope=float(np.median((y[j] - y[i]) / (x[j] - x[i])))) if len(i) else one.iloc[:0].assign(slope=0.0)
 
-    fits = history(spark, sf).groupBy(*KEYS).applyInPandas(slope, "store BIGINT, item INT, days BIGINT, slope DOUBLE")
+    fits = history(spark, sf).groupBy(*KEYS).applyInPandas(slope, "store BIGINT, item INT, slope DOUBLE")
     return fits.withColumn("slope", rnd("slope", 8))
 
 

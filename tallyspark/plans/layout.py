@@ -106,12 +106,19 @@ def l8(spark, sf):
     return M.history(change_log(spark, sf))
 
 
-@query("l9_schema_enforcement")
+@query("l9_schema_enforcement", """
+    SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS "rows", difference FROM orders, (VALUES ('missing column o_custkey'), ('extra column credit_score'), ('column o_totalprice is string, not double')) t(difference) GROUP BY ALL""")
 def l9(spark, sf):
-    old = loans(spark, sf)
-    new = old.withColumn("credit_score", F.col("o_custkey").cast("int")).withColumn("o_totalprice", F.col("o_totalprice").cast("string")).drop("o_custkey")
-    differences = M.schema_differences(old.schema, new.schema)
-    return old.groupBy("o_orderstatus").agg(F.count("*").alias("rows")).withColumn("difference", F.explode(F.array(*[F.lit(d) for d in differences])))
+    path = scratch(spark, "enforced")
+    old = files.write_table(loans(spark, sf).where("o_orderstatus <> 'F'"), path)
+    M.append_enforced(old, loans(spark, sf).where("o_orderstatus = 'F'"), path)
+    new = loans(spark, sf).withColumn("credit_score", F.col("o_custkey").cast("int")).withColumn("o_totalprice", F.col("o_totalprice").cast("string")).drop("o_custkey")
+    try:
+        M.append_enforced(old, new, path)
+    except M.SchemaMismatch as refused:
+        differences = refused.differences
+    # what was refused left nothing in the table
+    return spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("rows")).withColumn("difference", F.explode(F.array(*[F.lit(d) for d in differences])))
 
 
 @query("l10_schema_evolution", """
@@ -138,9 +145,23 @@ def l11(spark, sf):
 def l12(spark, sf):
     path = scratch(spark, "scattered")
     loans(spark, sf).repartition(12).write.parquet(path)
-    out = scratch(spark, "compacted")
-    compacted = M.compact(spark, path, out)
-    return R.with_scalars(compacted, files=files.manifest(spark, out).agg(F.count("*")))
+    compacted = M.compacted_files(spark, path, scratch(spark, "compacted"))
+    return R.with_scalars(M.read_files(compacted), files=compacted.agg(F.count("*")))
+
+
+@query("l12_compaction_keeps_large_files", f"SELECT *, CAST(3 AS BIGINT) AS files, CAST(2 AS BIGINT) AS untouched FROM {LOANS}")
+def l12_mixed(spark, sf):
+    path = scratch(spark, "mixed")
+    rows, share = loans(spark, sf), F.pmod(F.xxhash64("o_orderkey"), F.lit(100))
+    for low, high in ((0, 40), (40, 80)):
+        rows.where((share >= low) & (share < high)).coalesce(1).write.mode("append").parquet(path)
+    large = files.manifest(spark, path)
+    most = large.agg(F.min("file_size")).first()[0]
+    rows.where(share >= 80).repartition(9).write.mode("append").parquet(path)
+    before = files.manifest(spark, path).select("file_path")
+    compacted = M.compacted_files(spark, path, scratch(spark, "compacted"), target_bytes=most)
+    untouched = compacted.join(before, "file_path", "left_semi").agg(F.count("*"))
+    return R.with_scalars(M.read_files(compacted), files=compacted.agg(F.count("*")), untouched=untouched)
 
 
 @query("l13_cluster_by_two_columns", f"SELECT * FROM {LOANS}")
@@ -148,6 +169,12 @@ def l13(spark, sf):
     return M.write_clustered(loans(spark, sf), scratch(spark, "clustered"), ["o_custkey", "o_totalprice"], 4)
 
 
+@query("l13_cluster_by_text_and_date", "SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS day FROM orders")
+def l13_text(spark, sf):
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("day"))
+    return M.write_clustered(rows, scratch(spark, "clustered"), ["o_orderpriority", "day"], 8)
+
+
 @query("l14_drop_superseded_versions", f"SELECT 3 AS version, * FROM {V3} UNION ALL SELECT 2, * FROM {V1} WHERE o_orderstatus <> 'F'")
 def l14(spark, sf):
     log = M.drop_superseded(change_log(spark, sf), ["o_orderkey"], 2)

@@ -98,6 +98,21 @@ def i8(spark, sf):
     return M.current_rows(spark, log, ["user_id", "event_type"]).drop("ts")
 
 
+@query("i8_folded_upserts", """
+    SELECT user_id, event_type, arg_max(event_id, ts) AS event_id, arg_max(value, ts) AS value FROM events GROUP BY 1, 2""")
+def i8_folded(spark, sf):
+    source, log = scratch(spark, "landing"), scratch(spark, "log")
+    rows = table(spark, sf, "events").select("user_id", "event_type", "event_id", "value", "ts")
+    span = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    width = (span["hi"] - span["lo"]) / 12
+    for i in range(12):  # later files hold later events
+        part = rows.where(F.col("ts") >= F.lit(span["lo"] + i * width)) if i else rows
+        (part.where(F.col("ts") < F.lit(span["lo"] + (i + 1) * width)) if i < 11 else part).coalesce(1).write.mode("append").parquet(source)
+    stream = file_stream(spark, source, "parquet", rows.schema, files_per_trigger=1)
+    M.drain(M.upsert_sink(stream, log, scratch(spark, "progress"), ["user_id", "event_type"], [F.col("ts")], fold_every=5))
+    return M.current_rows(spark, log, ["user_id", "event_type"]).drop("ts")
+
+
 @query("i9_stream_enrichment", ORACLES.get("o1_enriched_mentions"))
 def i9(spark, sf):
     path = scratch(spark, "silver")

@@ -76,36 +76,65 @@ def n5(spark, sf):
 LEMMA_CHARS = 100
 
 
-def _vectors(spark, sf):
+def _lemmas(spark, sf):
     lemmas = statements(spark, sf).select("doc_id", "source", X.lemma("statement").alias("lemma")).where(F.length("lemma") > LEMMA_CHARS)
-    stops = Z.stop_words(table(spark, sf, "documents"), "source")
     # training goes over these rows many times, so they are written once
-    rows = materialize(lemmas.select("doc_id", "source", F.split("lemma", " ").alias("tokens")), "lemmas")
-    return Z.vectorise(rows, "tokens", stops.select(X.stem(F.col("word")).alias("word")))
+    return materialize(lemmas.select("doc_id", "source", F.split("lemma", " ").alias("tokens")).withColumn("row", F.monotonically_increasing_id()), "lemmas")
 
 
-#: Models of this session by application and data folder: the topic queries share one fit.
-_FITTED: dict[tuple[str, str], tuple] = {}
+#: Topic models of this session by application, data folder and state of its files: the topic queries share one fit.
+_FITTED: dict[tuple, tuple] = {}
+
+
+def _state(spark, sf):
+    """A number that changes with the name, size or time of any file."""
+    file = F.struct("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    return table(spark, sf, "documents").select(F.xxhash64(file).alias("h")).distinct().agg(F.bit_xor("h"), F.count("*")).first()
 
 
 def _topics(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
+    """Weights of the terms, and the topics of every statement; one without any term has all topics alike."""
+    key = (spark.sparkContext.applicationId, sf, *_state(spark, sf))
     if key not in _FITTED:
-        vectoriser, vectors = _vectors(spark, sf)
-        model = Z.fit_topics(vectors)
-        _FITTED[key] = vectoriser, model, materialize(model.transform(vectors).select("doc_id", "source", "topicDistribution"), "topics")
+        rows = _lemmas(spark, sf)
+        stops = Z.stop_words(table(spark, sf, "documents"), "source")
+        texts = Z.corpus(rows, "row", "tokens", stops.select(X.stem(F.col("word")).alias("word")))
+        weights = Z.fit_topics(texts)
+        shares = rows.select("row", "doc_id", "source").join(Z.topic_distributions(texts, weights), "row", "left")
+        even = F.array_repeat(F.lit(1 / 9), 9)
+        _FITTED[key] = weights, materialize(shares.select("doc_id", "source", F.coalesce("topicDistribution", even).alias("topicDistribution")), "topics")
     return _FITTED[key]
 
 
+def principal(spark, sf):
+    return Z.principal_topic(_topics(spark, sf)[1])
+
+
 @query("n6_topic_model")
 def n6(spark, sf):
-    _, model, rows = _topics(spark, sf)
-    return Z.principal_topic(rows.select("doc_id", "source", "topicDistribution")).groupBy("topic").agg(F.count("*").alias("statements"))
+    return principal(spark, sf).groupBy("topic").agg(F.count("*").alias("statements"))
 
 
 @query("n7_principal_topic")
 def n7(spark, sf):
-    return Z.principal_topic(_topics(spark, sf)[2].select("doc_id", "source", "topicDistribution"))
+    return principal(spark, sf)
+
+
+TOPICS = list(range(9))
+
+
+@query("n8_topic_focus")
+def n8_topics(spark, sf):
+    counts = Z.focus_counts(principal(spark, sf), "source", "topic", TOPICS, "probability")
+    return Z.focus_scaled(counts, "source")
+
+
+@query("n9_topic_focus_score")
+def n9_topics(spark, sf):
+    counts = Z.focus_counts(principal(spark, sf), "source", "topic", TOPICS, "probability")
+    names = [str(t) for t in TOPICS]
+    tall = counts.unpivot("source", names, "topic", "n")
+    return Z.focus_score(tall, Z.industry_deciles(counts, names)).select("source", "topic", "n", "score")
 
 
 FOCUS_SQL = "(SELECT source, " + ", ".join(f"CAST(count(*) FILTER (lang = '{t}') AS BIGINT) AS {t}" for t in LANGS) + " FROM documents GROUP BY source)"
@@ -138,8 +167,7 @@ def n9(spark, sf):
 
 @query("n10_topic_terms")
 def n10(spark, sf):
-    vectoriser, model, _ = _topics(spark, sf)
-    return Z.topic_terms(model, vectoriser, 200)
+    return Z.topic_terms(_topics(spark, sf)[0], 200)
 
 
 DIST = f"(SELECT lang, term, count(*) AS n FROM (SELECT lang, unnest({WORDS_SQL.format('text')}) AS term FROM documents) GROUP BY 1, 2)"

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +112,50 @@ def test_error_if_exists_and_empty(spark):
         files.write_table(target(spark), path)
     empty = files.write_empty_like(target(spark), scratch(spark, "none"))
     assert empty.count() == 0 and empty.schema == target(spark).schema
+
+
+def test_bins_are_first_fit_decreasing():
+    rng = random.Random(3)
+    for _ in range(50):
+        sizes = [rng.randint(1, 60) for _ in range(rng.randint(0, 40))]
+        bins = M.bins_by_size(sizes, 50)
+        assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
+        assert all(sum(sizes[i] for i in b) <= 50 or len(b) == 1 for b in bins)
+        loads = [sum(sizes[i] for i in b) for b in bins]
+        assert sum(load <= 25 for load in loads) <= 1  # two bins at most half full would be one
+
+
+def test_compaction_reads_only_small_files(spark):
+    path, out = scratch(spark, "files"), scratch(spark, "compacted")
+    spark.range(200_000).selectExpr("id", "uuid() AS u").coalesce(1).write.parquet(path)
+    large = {r["file_path"] for r in files.manifest(spark, path).collect()}
+    limit = files.manifest(spark, path).first()["file_size"]
+    spark.range(200_000, 230_000).selectExpr("id", "uuid() AS u").repartition(7).write.mode("append").parquet(path)
+    before = {r["id"]: r["u"] for r in spark.read.parquet(path).collect()}
+    made = M.compacted_files(spark, path, out, target_bytes=limit)
+    names = {r["file_path"] for r in made.collect()}
+    assert large < names and len(names) == 2 and {r["id"]: r["u"] for r in M.read_files(made).collect()} == before
+    again = M.compacted_files(spark, out, scratch(spark, "compacted"), target_bytes=limit)  # one small file alone stays
+    assert {r["file_path"] for r in again.collect()} == names - large
+
+
+def test_clusters_of_text_and_dates_prune_files(spark):
+    rows_in = spark.range(8000).selectExpr("id", "concat('n', lpad(pmod(xxhash64(id), 5000), 4, '0')) AS name", "date_add(DATE '2020-01-01', cast(pmod(xxhash64(id, 1), 900) AS int)) AS day", "if(id % 50 = 0, NULL, 'x') AS gap")
+    path = scratch(spark, "clustered")
+    back = M.write_clustered(rows_in, path, ["name", "day"], 16)
+    assert rows(back) == rows(rows_in)
+    spans = back.withColumn("f", F.input_file_name()).groupBy("f").agg(F.min("name").alias("a"), F.max("name").alias("b"), F.min("day").alias("c"), F.max("day").alias("d"))
+    hits = [spans.where("a <= 'n0999' AND b >= 'n0990'").count(), spans.where("c <= DATE '2020-02-10' AND d >= DATE '2020-02-01'").count()]
+    assert spans.count() == 16 and max(hits) <= 10, hits
+    keyed = M.cluster_key(rows_in, ["gap", "name"])
+    assert keyed.where("gap IS NULL").count() == 160 and keyed.select("_z").distinct().count() > 100
+    order = M.cluster_key(rows_in, ["name"]).orderBy("name").select("_z").collect()
+    assert [r[0] for r in order] == sorted(r[0] for r in order)
+
+
+def test_many_batches_count_every_row(spark):
+    source = scratch(spark, "src")
+    spark.range(260).repartition(130).write.parquet(source)
+    n = len([1 for _ in files.manifest(spark, source).collect()])
+    loaded = incremental.copy_into(spark, source, scratch(spark, "to"), scratch(spark, "ledger"), "parquet", "id LONG", files_per_trigger=1)
+    assert n > 100 and loaded == 260

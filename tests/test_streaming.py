@@ -66,3 +66,34 @@ def test_bronze_to_silver(spark):
     raw = spark.createDataFrame([(bytearray(b'{"browser": "Firefox", "k": 3}'), dt.datetime(2024, 1, 2, 3))], "data BINARY, at TIMESTAMP")
     silver = S.bronze_to_silver(S.raw_to_bronze(raw, "data", "at"), "browser STRING, k INT", ["browser"]).first()
     assert silver["browserCleaned"] == "firefox" and silver["k"] == 3 and silver["arrivalDate"] == dt.date(2024, 1, 2)
+
+
+def test_folds_leave_few_versions_to_read(spark):
+    log = scratch(spark, "log")
+    truth = {}
+    for version in range(24):
+        changed = [(k, version * 100 + k, "D" if (k + version) % 11 == 0 else "U") for k in range(version % 5, 40, 5)]
+        spark.createDataFrame([(k, None if op == "D" else v, op) for k, v, op in changed], "k INT, v INT, op STRING").coalesce(1).write.parquet(f"{log}/version={version}")
+        for k, v, op in changed:
+            truth[k] = None if op == "D" else v
+        if version in (6, 7, 19):
+            S.fold_log(spark, log, ["k"], version)
+            S.fold_log(spark, log, ["k"], version)  # a repeated fold changes nothing
+    want = sorted(((k, v) for k, v in truth.items() if v is not None), key=repr)
+    assert rows(S.current_rows(spark, log, ["k"])) == want == rows(M.as_of(S.read_log(spark, log), ["k"]))
+    assert S.latest_fold(spark, log) == 19 and S.latest_fold(spark, log, 18) == 7 and S.latest_fold(spark, log, 5) is None
+    for version in (3, 7, 12, 19, 22):
+        assert rows(S.current_rows(spark, log, ["k"], version)) == rows(M.as_of(S.read_log(spark, log), ["k"], version))
+    read = {f.rsplit("/", 2)[1] for f in S.folded_log(spark, log).inputFiles()}
+    plan = S.folded_log(spark, log)._jdf.queryExecution().executedPlan().toString()
+    assert "upto=19" in read and "version" in plan and "19" in plan
+
+
+def test_upsert_sink_folds(spark):
+    source, log, progress = (scratch(spark, x) for x in ("src", "log", "progress"))
+    for hour in range(9):
+        put(spark, source, [("a", f"2024-01-01T{hour:02}:00", float(hour)), (f"d{hour}", f"2024-01-01T{hour:02}:30", 1.0)])
+        S.drain(S.upsert_sink(file_stream(spark, source, "parquet", SCHEMA, 1), log, progress, ["device"], [F.col("ts")], fold_every=4))
+    assert S.latest_fold(spark, log) == 7
+    got = {r["device"]: r["v"] for r in S.current_rows(spark, log, ["device"]).collect()}
+    assert got == {"a": 8.0, **{f"d{h}": 1.0 for h in range(9)}}

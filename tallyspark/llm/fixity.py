@@ -39,8 +39,18 @@ def lay_out(records: DataFrame) -> DataFrame:
     """Adds n_bytes, digest and offset to (archive, record_id, bytes); records of an archive stand in order of id and digest."""
     body = F.coalesce("bytes", F.lit(b""))
     light = records.select("archive", "record_id", F.octet_length(body).cast("long").alias("n_bytes"), F.sha2(body, 256).alias("digest"))
-    before = Window.partitionBy("archive").orderBy("record_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return light.withColumn("offset", F.coalesce(F.sum("n_bytes").over(before), F.lit(0)))
+    order = ["archive", "record_id", "digest"]
+    # an archive of any size is spread over even ranges of one order: a record's offset is the bytes before it in its range, and
+    # the bytes of its archive in the ranges before
+    placed = light.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    placed = materialize(placed.withColumn("part", F.shiftright("at", 33)).withColumn("archive", F.struct("archive")), "fixity-order")
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.sum("n_bytes").over(before.partitionBy("archive", "part").orderBy("at"))
+    sums = placed.groupBy("archive", "part").agg(F.sum("n_bytes").alias("whole"))
+    sums = sums.select("archive", "part", F.sum("whole").over(before.partitionBy("archive").orderBy("part")).alias("earlier"))
+    laid = placed.withColumn("inside", inside).join(sums, ["archive", "part"])
+    offset = F.coalesce("inside", F.lit(0)) + F.coalesce("earlier", F.lit(0))
+    return laid.select("archive.archive", "record_id", "n_bytes", "digest", offset.alias("offset"))
 
 
 def ranges(placed: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:

@@ -30,6 +30,18 @@ def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where the input has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_digest(text: Column) -> Column:
     """With the id it names a row: rows that repeat both are one document given twice."""
     return F.xxhash64(F.coalesce(text, F.lit("")))

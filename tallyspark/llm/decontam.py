@@ -3,7 +3,8 @@
 Test items are partitioned by their number of shingles: class U holds items with U/2 < n <= U. A long document is searched per
 class in windows of three blocks of U/2 shingles, so every stretch as long as an item lies in one window and the share of an
 item in a window is never tiny, however long the document. Each of `hashes` MinHash values is a band of its own: an item of
-which 0.8 stands in a window shares a value with a chance of 0.25 or more each, so 32 miss it once in 10,000 cases.
+which 0.8 stands in a window shares a value with a chance of 0.25 or more each, so 32 miss it once in 10,000 cases. Items of one
+or two shingles would be a small share of their windows: their shingles themselves are looked up among all of a document.
 
 Window values first pass a Bloom filter of fixed size over the items' values; documents with a value that passes send those
 values and their distinct shingles on, all others nothing, so texts are read once and never shuffled. The values meet the
@@ -27,19 +28,19 @@ from pyspark.sql import functions as F
 
 from tallyspark.session import materialize
 
-from .common import byte_view, cut, short_batches, table, text_digest
+from .common import byte_view, cut, free_names, short_batches, table, text_digest
 from .registry import query
 from .words import mix, shingle_hashes, word_hashes
 
 SHINGLE, THRESHOLD, HASHES = 5, 0.8, 32
-SMALLEST_CLASS = 8
+SMALLEST_CLASS, EXACT_SHINGLES, EXACT_CLASS = 8, 2, 1
 FILTER_BITS, PROBES = 1 << 25, 2
 SLICE_BYTES = 1 << 20
 
 
 def size_class(counts: np.ndarray) -> np.ndarray:
-    """The class of items with so many shingles: the power of two that is not less, SMALLEST_CLASS at least."""
-    return np.maximum(SMALLEST_CLASS, 1 << np.ceil(np.log2(np.maximum(counts, 1))).astype(np.int64))
+    """The class of items with so many shingles: the power of two that is not less, SMALLEST_CLASS at least, or the exact one."""
+    return np.where(counts <= EXACT_SHINGLES, EXACT_CLASS, np.maximum(SMALLEST_CLASS, 1 << np.ceil(np.log2(np.maximum(counts, 1))).astype(np.int64)))
 
 
 def _factors(number: int) -> np.ndarray:
@@ -69,7 +70,8 @@ def _item_rows(batches: Iterator[pa.RecordBatch], shingle: int, hashes: int) ->
                 digests.append(digest)
                 own.append(mine.view(np.int64))
                 sizes.append(size)
-                keys.append(np.concatenate([band_key(np.array([(mine * f).min()]), k, size) for k, f in enumerate(factors)]))
+                exact = size == EXACT_CLASS
+                keys.append(band_key(mine, 0, size) if exact else np.concatenate([band_key(np.array([(mine * f).min()]), k, size) for k, f in enumerate(factors)]))
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(digests, pa.int64()), pa.array(own, pa.list_(pa.int64())), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
             ["item_id", "item_digest", "shingles", "size", "keys"],
@@ -84,18 +86,30 @@ def _window_keys(batches: Iterator[pa.RecordBatch], shingle: int, hashes: int, c
         if not len(values):
             continue
         counts = np.diff(ends)
-        block = classes[0] // 2
+        out_row, out_key = [], []
+
+        def probe_filter(key: np.ndarray, owner: np.ndarray) -> None:
+            hit = np.arange(len(key))
+            for probe in range(PROBES):
+                spot = key[hit] >> (25 * probe) & (FILTER_BITS - 1)
+                hit = hit[np.flatnonzero(words[spot >> 3] >> (spot & 7).astype(np.uint8) & 1)]
+            out_row.append(owner[hit])
+            out_key.append(key[hit])
+
+        if EXACT_CLASS in classes:
+            probe_filter(band_key(values, 0, EXACT_CLASS), np.repeat(np.arange(batch.num_rows), counts))
+        windowed = [c for c in classes if c != EXACT_CLASS]
+        block = (windowed or [SMALLEST_CLASS])[0] // 2
         # texts are laid out in whole blocks of the smallest class; the fill never is a least value of a real block
         doc_of, layout = [], []
         blocks = -(-counts // block)
         starts = np.concatenate(([0], np.cumsum(blocks)))
         edges = np.repeat(ends[:-1], blocks) + (np.arange(starts[-1]) - np.repeat(starts[:-1], blocks)) * block
-        out_row, out_key = [], []
-        for band, factor in enumerate(factors):
+        for band, factor in enumerate(factors if windowed else ()):
             least = np.minimum.reduceat(values * factor, edges)
-            at, size, first = least, classes[0], starts
+            at, size, first = least, windowed[0], starts
             while True:
-                if size in classes:
+                if size in windowed:
                     number = np.diff(first)
                     owner = np.repeat(np.arange(len(number)), number)
                     left = np.repeat(first[1:], number) - np.arange(first[-1])
@@ -103,14 +117,8 @@ def _window_keys(batches: Iterator[pa.RecordBatch], shingle: int, hashes: int, c
                     for step in (1, 2):
                         has = np.flatnonzero(left > step)
                         window[has] = np.minimum(window[has], at[has + step])
-                    key = band_key(window, band, size)
-                    hit = np.arange(len(key))
-                    for probe in range(PROBES):
-                        spot = key[hit] >> (25 * probe) & (FILTER_BITS - 1)
-                        hit = hit[np.flatnonzero(words[spot >> 3] >> (spot & 7).astype(np.uint8) & 1)]
-                    out_row.append(owner[hit])
-                    out_key.append(key[hit])
-                if size >= classes[-1]:
+                    probe_filter(band_key(window, band, size), owner)
+                if size >= windowed[-1]:
                     break
                 size *= 2  # two neighbouring blocks of a text make one of the next class
                 number = np.diff(first)
@@ -158,8 +166,9 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents in which no item is found, all columns kept."""
-    hits = materialize(contaminated(docs, items, threshold).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct(), "decontam-hits")
-    return docs.join(hits, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (text_digest(docs["text"]) == F.col("__digest")), "left_anti")
+    id_, digest = free_names(docs, "__id", "__digest")
+    hits = materialize(contaminated(docs, items, threshold).select(F.col("doc_id").alias(id_), F.col("digest").alias(digest)).distinct(), "decontam-hits")
+    return docs.join(hits, docs["doc_id"].cast("long").eqNullSafe(F.col(id_)) & (text_digest(docs["text"]) == F.col(digest)), "left_anti")
 
 
 CONTAINED_SQL = r"""

@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 
 from tallyspark.session import materialize
 
-from .common import byte_view, components, documents, table, text_digest
+from .common import byte_view, components, documents, free_names, table, text_digest
 from .registry import query
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
+TASK_VARIANTS = 1 << 20
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -68,7 +69,9 @@ def ball_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     half = (radius + 1) // 2
     masks = [sum(1 << bit for bit in bits) for k in range(half + 1) for bits in combinations(range(64), k)]
     signed = F.array(*(F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in masks))
-    variants = prints.select("fp", F.explode(F.transform(signed, lambda m: F.col("fp").bitwiseXOR(m))).alias("variant"))
+    # a small table blows up to a row per variant, so it is dealt to as many tasks as those rows are worth
+    tasks = max(1, -(-prints.count() * len(masks) // TASK_VARIANTS))
+    variants = prints.repartition(tasks, "fp").select("fp", F.explode(F.transform(signed, lambda m: F.col("fp").bitwiseXOR(m))).alias("variant"))
     met = variants.groupBy("variant").agg(F.collect_list("fp").alias("met")).where(F.size("met") > 1)
     if radius % 2 == 0:
         found = met.select(F.array_min("met").alias("a"), F.explode("met").alias("b"))
@@ -97,12 +100,13 @@ def keep_representatives(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     rows = simhash_groups(docs, radius)
     first = rows.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone"))
     chosen = first.agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("row"), F.count(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), 1)).alias("copies"))
-    chosen = materialize(chosen.select(F.col("row.doc_id").alias("__id"), F.col("row.digest").alias("__digest"), (F.col("copies") > 1).alias("__repeated")), "simhash-chosen")
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__digest": text_digest(F.col("text"))})
-    on = keyed["__id"].eqNullSafe(chosen["__id"]) & (keyed["__digest"] == chosen["__digest"])
-    once = keyed.join(chosen.where("NOT __repeated"), on, "left_semi").drop("__id", "__digest")
-    if chosen.where("__repeated").limit(1).count():
-        again = keyed.join(chosen.where("__repeated"), on, "left_semi").dropDuplicates(["__id", "__digest"]).drop("__id", "__digest")
+    id_, digest = free_names(docs, "__id", "__digest")
+    chosen = materialize(chosen.select(F.col("row.doc_id").alias("id"), F.col("row.digest").alias("of"), (F.col("copies") > 1).alias("repeated")), "simhash-chosen")
+    keyed = docs.withColumns({id_: F.col("doc_id").cast("long"), digest: text_digest(F.col("text"))})
+    on = keyed[id_].eqNullSafe(chosen["id"]) & (keyed[digest] == chosen["of"])
+    once = keyed.join(chosen.where("NOT repeated"), on, "left_semi").drop(id_, digest)
+    if chosen.where("repeated").limit(1).count():
+        again = keyed.join(chosen.where("repeated"), on, "left_semi").dropDuplicates([id_, digest]).drop(id_, digest)
         return once.unionByName(again)
     return once
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.session import materialize
 
-from .common import byte_view, cut, ranges, short_batches, table, text_digest
+from .common import byte_view, cut, free_names, ranges, short_batches, table, text_digest
 from .registry import query
 
 WINDOW, GRAM = 100, 32
@@ -40,6 +40,7 @@ TASK_FRAGMENTS = 300_000
 HOT_FRAGMENTS = 1024
 SPLITS = (16, 4, 1)
 CHUNK_BYTES = 1 << 20
+EXPAND_BYTES = 2 << 20  # bytes one task of the expansion takes, about
 NULL_ID = -(1 << 63)
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -378,7 +379,9 @@ def removed_windows(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, hot
         hot = counts.where(F.col("count") > (hot_fragments if block > 1 else (1 << 62))).select("anchor")
         calm = calm.unionByName(pieces.join(counts.join(hot, "anchor", "left_anti"), "anchor", "left_semi"))
         some_hot = hot.limit(1).count()
-    expanded = calm.repartition("anchor").sortWithinPartitions("anchor", "doc", "digest", "start").mapInArrow(partial(_expand, window=window, most=CHUNK_BYTES), runs_schema)
+    # expansion is bound by CPU, so tasks are dealt by bytes and not merged again
+    size = calm.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    expanded = calm.repartition(max(1, -(-size // EXPAND_BYTES)), "anchor").sortWithinPartitions("anchor", "doc", "digest", "start").mapInArrow(partial(_expand, window=window, most=CHUNK_BYTES), runs_schema)
     return removed.unionByName(expanded)
 
 
@@ -451,10 +454,11 @@ def _texts(batches: Iterator[pa.RecordBatch], window: int, names: list[str]) ->
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without their repeated bytes; whole characters only, all columns kept."""
     removed = removed_windows(keyed(docs), window)
-    runs_of = removed.groupBy(F.col("doc").alias("__doc"), F.col("digest").alias("__digest")).agg(F.collect_list("start").alias("__starts"), F.collect_list("number").alias("__numbers"))
+    of, own, starts, numbers = free_names(docs, "__doc", "__digest", "__starts", "__numbers")
+    runs_of = removed.groupBy(F.col("doc").alias(of), F.col("digest").alias(own)).agg(F.collect_list("start").alias(starts), F.collect_list("number").alias(numbers))
     doc = F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID))
-    digest = F.when(F.col("__digest") == 0, F.lit(0).cast("long")).otherwise(text_digest(docs["text"]))
-    joined = docs.join(runs_of, (doc == F.col("__doc")) & (digest == F.col("__digest")), "left").select(*(docs[c] for c in docs.columns), "__starts", "__numbers")
+    digest = F.when(F.col(own) == 0, F.lit(0).cast("long")).otherwise(text_digest(docs["text"]))
+    joined = docs.join(runs_of, (doc == F.col(of)) & (digest == F.col(own)), "left").select(*(docs[c] for c in docs.columns), starts, numbers)
     return joined.mapInArrow(partial(_texts, window=window, names=docs.columns), docs.schema)
 
 

@@ -325,3 +325,22 @@ def test_step_groups_are_even():
     groups = packing.step_groups(sizes, 9)
     loads = [sum(s for s, g in zip(sizes, groups) if g == k) for k in range(9)]
     assert max(loads) - min(loads) <= 512 and packing.step_groups([], 1) == []
+
+
+def test_offsets_in_archives_of_any_size(spark):
+    from tallyspark.llm import fixity
+
+    rng = random.Random(11)
+    rows = [(rng.choice([0, 0, 0, 1, 2, None]), rng.choice([None, *range(300)]), bytes(rng.randrange(0, 40))) for _ in range(2000)]
+    records = spark.createDataFrame([(a, i, bytearray(b)) for a, i, b in rows], "archive long, record_id long, bytes binary").repartition(7)
+    got = [tuple(r) for r in fixity.lay_out(records).select("archive", "record_id", "digest", "n_bytes", "offset").collect()]
+    assert len(got) == 2000
+    for archive in (0, 1, 2, None):
+        own = sorted((r for r in got if r[0] == archive), key=lambda r: (r[4], r[3] > 0))
+        at = 0
+        for r in own:
+            assert r[4] == at
+            at += r[3]
+        order = sorted(own, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        assert [r[4] for r in order] == sorted(r[4] for r in own)
+    assert fixity.lay_out(records.limit(0)).count() == 0

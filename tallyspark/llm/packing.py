@@ -29,14 +29,17 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import byte_view, cut, documents, table
+from .common import byte_view, cut, documents, ranges, table
 from .registry import query
 
 TIERS = (512, 1024, 2048, 4096)
 CLOSING_ID = 2
 POOL_IDS = 1 << 21
 STEP_IDS = 1 << 17
+WHITE = b" \t\n\r\x0b\x0c"
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks but the apostrophe, which starts tokens of its own
+#: White space 1, marks 20, ASCII letters 30, all else 0: only a letter beside a mark adds up to 50.
+KINDS = np.array([1 if b in WHITE else 20 if b in MARKS else 30 if chr(b).isalpha() and b < 128 else 0 for b in range(256)], np.int8)
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step_group long"
 
 
@@ -69,50 +72,66 @@ class PieceIds:
                 self.new[chunk] = raw[4 * at[i] : 4 * at[i + 1]]
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
+        ends = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+        return self.slice(b"".join(texts), ends)
+
+    def slice(self, raw: bytes, ends: np.ndarray) -> list[bytes]:
+        """Ids of each text; a chunk is looked up once, however often it stands in the slice."""
         # the tokenizer lowers all letters; only the names of its special ids keep their case
-        split = [t.split() if b"<|" in t else t.lower().split() for t in texts]
-        found = [list(map(self.new.get, words)) for words in split]
-        missing = {c for words, ids in zip(split, found) if None in ids for c, raw in zip(words, ids) if raw is None}
+        special = b"<|" in raw
+        if special:
+            at = ends.tolist()
+            raw = b"".join([t if b"<|" in t else t.lower() for t in (raw[i:j] for i, j in zip(at, at[1:]))])
+        else:
+            raw = raw.lower()
+        kind = KINDS[np.frombuffer(raw, np.uint8)]
+        blank = kind == 1
+        first = ~blank
+        first[1:] &= blank[:-1]
+        if not special:  # letters and marks never share a token
+            first[1:] |= kind[1:] + kind[:-1] == 50
+        heads = ends[:-1][ends[:-1] < len(raw)]
+        first[heads] = ~blank[heads]  # chunks never cross texts
+        starts = np.flatnonzero(first)
+        if not len(starts):
+            return [b""] * (len(ends) - 1)
+        # a value is a chunk with the white space behind it
+        offsets = np.append(starts, len(raw)).astype(np.int32)
+        column = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
+        coded = column.dictionary_encode()
+        chunks = [c.rstrip(WHITE) for c in coded.dictionary.to_pylist()]
+        found = list(map(self.new.get, chunks))
+        missing = {c for c, ids in zip(chunks, found) if ids is None}
         if missing:
             self.fetch(missing)
-            new = self.new
-            found = [[new[c] if raw is None else raw for c, raw in zip(words, ids)] if None in ids else ids for words, ids in zip(split, found)]
-        out = list(map(b"".join, found))
+            found = list(map(self.new.__getitem__, chunks))
+        sizes = np.array(list(map(len, found)), np.int64) // 4
+        stops = np.cumsum(sizes)
+        which = coded.indices.to_numpy()
+        ids = np.frombuffer(b"".join(found), "<u4")[ranges((stops - sizes)[which], stops[which])]
+        # places of the texts' first chunks, and of their first ids
+        cuts = np.concatenate(([0], np.cumsum(sizes[which])))[np.searchsorted(starts, ends)].tolist()
         if len(self.new) > self.most:
             self.old, self.new = self.new, {}
-        return out
+        return [ids[i:j].tobytes() for i, j in zip(cuts, cuts[1:])]
 
     def fetch(self, chunks: set[bytes]) -> None:
-        """Ids of new chunks: known before, or made of a word and the marks behind it, or learnt."""
-        fresh, composed = set(), []
+        """Ids of new chunks: known before, one word, or learnt."""
+        new, others = self.new, []
         for chunk in chunks:
-            known = self.old.get(chunk)
-            if known is not None:
-                self.new[chunk] = known
-                continue
-            stem = chunk.rstrip(MARKS)
-            # letters and marks never share a token, so a word's ids do not depend on the marks behind it
-            if stem != chunk and stem and (stem.isalpha() or stem.decode("utf-8", "replace")[-1].isalpha()) and b"<|" not in chunk:
-                tail = chunk[len(stem) :]
-                composed.append((chunk, stem, tail))
-                fresh.update(part for part in (stem, tail) if part not in self.new)
-            else:
-                fresh.add(chunk)
-        for part in [c for c in fresh if c in self.old]:
-            self.new[part] = self.old[part]
-            fresh.discard(part)
-        new, packed, tokens_of = self.new, self.packed, self.merges.tokenize
-        others = []
-        for part in fresh:
-            # small ASCII letters are one word as they stand: nothing to normalise, nothing to split
-            if len(part) < len(packed) and part.isalpha() and part.islower():
-                ids = [token.id for token in tokens_of(part.decode())]
-                new[part] = packed[len(ids)](*ids)
+            known = self.old.get(chunk) or self.word(chunk)
+            if known is None:
+                others.append(chunk)
             else:
-                others.append(part)
+                new[chunk] = known
         self.learn(others)
-        for chunk, stem, tail in composed:
-            self.new[chunk] = self.new[stem] + self.new[tail]
+
+    def word(self, chunk: bytes) -> bytes | None:
+        """Ids of a chunk of small ASCII letters, which is one word as it stands: nothing to normalise, nothing to split."""
+        if len(chunk) < len(self.packed) and chunk.isalpha() and chunk.islower():
+            ids = [token.id for token in self.merges.tokenize(chunk.decode())]
+            return self.packed[len(ids)](*ids)
+        return None
 
 
 _KNOWN: dict[str, PieceIds] = {}
@@ -217,10 +236,9 @@ def _pack_rows(batches: Iterator[pa.RecordBatch], tokenizer: str, tiers: tuple[i
         pool.clear()
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    for batch in cut(batches, "text"):
+    for batch in cut(batches, "text", 1 << 23):
         raw, ends = byte_view(batch.column(1))
-        raw, ends = raw.tobytes(), ends.tolist()
-        rows = ids_of.texts([raw[a:b] for a, b in zip(ends, ends[1:])])
+        rows = ids_of.slice(raw.tobytes(), ends)
         for doc_id, ids in zip(batch.column(0).to_pylist(), rows):
             pool.append((doc_id, ids + end))
             held += len(ids) // 4 + 1

@@ -17,11 +17,6 @@ def histogram_of_counts(df: DataFrame, key: Sequence[str], item: Column | str |
     return df.groupBy(*key).agg(size.alias("per_key")).groupBy("per_key").agg(F.count(F.lit(1)).alias("keys"))
 
 
-def mean_excluding_first(amount: Column, is_first: Column, days: Column) -> Column:
-    """Mean over all days but the first; 0 when there is only one."""
-    return F.when(F.max(days) <= 1, F.lit(0.0)).otherwise(F.sum(F.when(is_first, 0.0).otherwise(amount)) / F.nullif(F.max(days) - 1, F.lit(0)))
-
-
 def weighted_average(value: Column | str, weight: Column | str) -> Column:
     """Σ(w·x) / Σw over rows where both are known."""
     value, weight = (F.col(x) if isinstance(x, str) else x for x in (value, weight))

@@ -157,11 +157,14 @@ def h15(spark, sf):
     return table(spark, sf, "documents").select("doc_id", S.abbreviate("text").alias("short"))
 
 
-@query("h16_random_choice", "SELECT o_orderkey, true AS is_option FROM orders")
+@query("h16_random_choice", "SELECT DISTINCT c_mktsegment AS option, true AS about_even FROM customer")
 def h16(spark, sf):
+    """Every option is chosen about equally often: within five standard deviations of its share."""
     segments = [r[0] for r in table(spark, sf, "customer").select("c_mktsegment").distinct().orderBy("c_mktsegment").collect()]  # a handful
-    chosen = S.random_choice(segments, 11)
-    return table(spark, sf, "orders").select("o_orderkey", chosen.isin(segments).alias("is_option"))
+    chosen = table(spark, sf, "orders").select(S.random_choice(segments, 11).alias("option"))
+    counts = chosen.groupBy("option").agg(F.count("*").alias("n"))
+    total, share = chosen.agg(F.count("*")).scalar(), 1 / len(segments)
+    return counts.select("option", (F.abs(F.col("n") - total * share) <= 5 * F.sqrt(total * share * (1 - share))).alias("about_even"))
 
 
 @query("j1_row_functions_as_expressions", """

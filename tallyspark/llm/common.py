@@ -15,7 +15,7 @@ BATCH_BYTES = 1 << 20
 
 
 def short_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Texts are long: fewer rows in an Arrow batch keep tasks small. Changes no result."""
+    """Texts are long: fewer rows in an Arrow batch keep tasks small. Stays set in the session, which changes no result."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 

@@ -10,6 +10,9 @@ number of toxic and clean training documents it occurs in. A token's weight is i
 Search. Every other token costs `drift`. A linear scan finds all maximal-scoring segments of a text: only tokens with a
 positive score open or join one, so the scan visits those and reads the rest from a running sum.
 
+Settings. `SHRINK` is the best of 2, 3 and 4 by the order of scores on training fold 1 after learning from folds 2 to 4 (area under
+the curve 0.950, 0.963, 0.947 on 795 rows of the 0.1 scale); the held-out fold took no part.
+
 Calibration. Best segment scores of texts without toxic passages follow an extreme-value law whose rate solves
 sum p * exp(rate * score) = 1 over the corpus. A text's features are the excess of its best segment, the sum of the
 excesses of all significant segments (E-value below 1) and their number; a logistic fit on one in `CALIBRATION` of the

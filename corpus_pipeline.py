@@ -5,6 +5,11 @@ every stage as Parquet below the shared folder and reads it again as the next on
 
 Toxic documents go; one document of each SimHash group stays; bytes that repeat earlier text are cut out of the rest, whole
 characters at a time; documents that hold a benchmark item go; what is left is packed into sequences.
+
+Defined cases: a null text counts as empty in every stage and stays null until it is packed as its closing id alone; a null id is
+a document like others, ranks first among repeated bytes and last in a SimHash group; rows that repeat id and text are one
+document for the SimHash and byte stages; labels without a document are not used; empty tables give no rows. Further columns are
+kept by the first four stages, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from tallyspark.llm.suffix_dedup import remove_repeats
 from tallyspark.llm.toxicity import drop_toxic
 from tallyspark.session import materialize
 
-#: Segment scores, logistic fits, tokenizers and packing have no SQL; tests compare the stages with brute force.
+#: Segment scores, logistic fits, tokenizers and packing have no SQL; tests/llm/test_pipeline.py compares the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -182,7 +182,7 @@ def personalised_ranks(
     return ranks.select(F.col("landmark").alias("organisation"), F.col("id").alias("connection"), F.col("rank").alias("importance"))
 
 
-def push_ranks(edges: DataFrame, landmarks: DataFrame, reset: float = 0.15, tolerance: float = 1e-10, block_edges: int = BLOCK_EDGES, max_rounds: int = 1000, normalise: bool = True) -> DataFrame:
+def push_ranks(edges: DataFrame, landmarks: DataFrame, reset: float = 0.15, tolerance: float = 1e-12, block_edges: int = BLOCK_EDGES, max_rounds: int = 1000, normalise: bool = True) -> DataFrame:
     """(organisation, connection, importance): PageRank of every vertex seen from each landmark, to a total error of ``tolerance``.
 
     Residual forward push: a vertex keeps the rank it has settled and a residual. Only residuals above a bound move: they are

@@ -106,7 +106,7 @@ def m9(spark, sf):
 def _mean_frame(spark, cells, model, theta):
     values, slopes = fit.likelihood_sums(cells, [(model, theta)])
     names = ["log_likelihood", *[f"by_{p}" for p in fit.PARAMETERS[model]]]
-    return spark.createDataFrame([tuple(float(v) for v in (values[0], *slopes[0]))], ", ".join(f"{n} DOUBLE" for n in names)).select(*[rnd(n, 7).alias(n) for n in names])
+    return spark.createDataFrame([tuple(float(v) for v in (values[0], *slopes[0]))], ", ".join(f"{n} DOUBLE" for n in names)).select(*[rnd(n, 6).alias(n) for n in names])
 
 
 def _mean_sql(value, theta, source, step=1e-4):
@@ -114,8 +114,8 @@ def _mean_sql(value, theta, source, step=1e-4):
     def at(**moved):
         return "avg(" + value({**theta, **moved}) + ")"
 
-    slopes = [f"round(({at(**{p: v * (1 + step)})} - {at(**{p: v * (1 - step)})}) / {2 * v * step!r}, 7) + 0.0 AS by_{p}" for p, v in theta.items()]
-    return f"SELECT round({at()}, 7) + 0.0 AS log_likelihood, {', '.join(slopes)} FROM {source}"
+    slopes = [f"round(({at(**{p: v * (1 + step)})} - {at(**{p: v * (1 - step)})}) / {2 * v * step!r}, 6) + 0.0 AS by_{p}" for p, v in theta.items()]
+    return f"SELECT round({at()}, 6) + 0.0 AS log_likelihood, {', '.join(slopes)} FROM {source}"
 
 
 def _bgnbd_sql(p):

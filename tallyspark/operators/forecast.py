@@ -99,11 +99,16 @@ def fit_series(days: np.ndarray, y: np.ndarray, future: np.ndarray, yearly: bool
         parts.append(_fourier(days, 365.25, YEARLY_TERMS))
         widths.append(2 * YEARLY_TERMS)
     season = np.hstack(parts)
-    fitted = fit_trend(t, y, season)
+    # under two years a yearly wave and a trend cannot be told apart, so only the weekly one takes part in finding the trend
+    waves = season if days[-1] - days[0] >= 730 else parts[0]
     level = max(abs(y).mean() * 0.05, 1e-9)
-    trend, trend_f = trend_at(t, *fitted), trend_at(tf, *fitted)
-    scale, scale_f = (np.where(x < 0, -1, 1) * np.maximum(np.abs(x), level) for x in (trend, trend_f))
-    beta = _ridge(season, (y - trend) / scale)
+    plain = y
+    for _ in range(3):  # shares of a growing trend grow with it: the trend is found again without them
+        fitted = fit_trend(t, plain, waves)
+        trend, trend_f = trend_at(t, *fitted), trend_at(tf, *fitted)
+        scale, scale_f = (np.where(x < 0, -1, 1) * np.maximum(np.abs(x), level) for x in (trend, trend_f))
+        beta = _ridge(season, (y - trend) / scale)
+        plain = y - scale * (season @ beta)
     weekly = _fourier(future, 7.0, WEEKLY_TERMS) @ beta[: widths[0]]
     annual = _fourier(future, 365.25, YEARLY_TERMS) @ beta[widths[0] :] if len(widths) > 1 else np.zeros(len(future))
     spread = float(np.std((y - trend) / scale - season @ beta))

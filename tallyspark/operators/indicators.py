@@ -85,20 +85,23 @@ def _learning_rows(df: DataFrame, features: Sequence[str], label: str, validatio
     return assemble(df, features).withColumn("_held_out", validation).select("features", F.col(label).cast("double").alias("label"), "_held_out")
 
 
+MAX_TREES = 1000
+
+
 def fit_trees(df: DataFrame, features: Sequence[str], label: str, validation: Column, seed: int = 42, **params) -> GBTRegressionModel:
     """Boosted trees; rows with ``validation`` true are held out and stop the boosting.
 
-    Up to 1000 trees, as many as still lower the held-out error by ``validationTol`` of it. A fit that is still gaining at
-    ``maxIter`` is an error, so the number of trees is always the data's choice.
+    As many trees as still lower the held-out error by ``validationTol`` of it. A fit that is still gaining at ``MAX_TREES`` is an
+    error, so the number of trees is the data's choice unless the caller gives ``maxIter``.
     """
-    options = {"maxIter": 1000, "maxDepth": 4, "stepSize": 0.2, "subsamplingRate": 1.0, "validationTol": 0.002, "cacheNodeIds": False, **params}
+    options = {"maxIter": MAX_TREES, "maxDepth": 4, "stepSize": 0.2, "subsamplingRate": 1.0, "validationTol": 0.002, "cacheNodeIds": False, **params}
     data = _learning_rows(df, features, label, validation).persist()
     try:
         model = GBTRegressor(featuresCol="features", labelCol="label", validationIndicatorCol="_held_out", seed=seed, **options).fit(data)
     finally:
         data.unpersist()
-    if model.getNumTrees >= options["maxIter"]:
-        raise RuntimeError(f"the held-out error still falls after {options['maxIter']} trees")
+    if "maxIter" not in params and model.getNumTrees >= MAX_TREES:
+        raise RuntimeError(f"the held-out error still falls after {MAX_TREES} trees")
     return model
 
 
@@ -134,7 +137,7 @@ def search_trees(
     def grow(trial: int, rounds: int | None) -> tuple[GBTRegressionModel, float]:
         gbt = GBTRegressor(featuresCol="features", labelCol="label", seed=seed + trial, **settings[trial])
         if rounds is None:
-            model = gbt.setParams(maxIter=1000, validationIndicatorCol="_held_out", validationTol=0.002).fit(data)
+            model = gbt.setParams(maxIter=MAX_TREES, validationIndicatorCol="_held_out", validationTol=0.002).fit(data)
         else:
             model = gbt.setParams(maxIter=rounds).fit(train)
         return model, float(evaluator.evaluate(model.transform(held)))

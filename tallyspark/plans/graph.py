@@ -69,10 +69,15 @@ def o8(spark, sf):
     return G.hop_distances(e, landmarks(spark, e))
 
 
-@query("o9_within_four_hops", f"{HOPS}, k AS (SELECT DISTINCT id FROM d WHERE distance <= 4) SELECT src, dst FROM e WHERE src IN (SELECT id FROM k) AND dst IN (SELECT id FROM k)")
-def o9(spark, sf):
+for _name, _hops in (("o9_within_two_hops", 2), ("o9_within_four_hops", 4)):
+    query(_name, f"{HOPS}, k AS (SELECT DISTINCT id FROM d WHERE distance <= {_hops}) SELECT src, dst FROM e WHERE src IN (SELECT id FROM k) AND dst IN (SELECT id FROM k)")(
+        lambda spark, sf, hops=_hops: within(spark, sf, hops).select("src", "dst")
+    )
+
+
+def within(spark, sf, hops):
     e = edges(spark, sf)
-    return G.within_hops(e, landmarks(spark, e), 4)[1].select("src", "dst")
+    return G.within_hops(e, landmarks(spark, e), hops)[1]
 
 
 # rank = 0.15 * sum of 0.85^k * (walks of k steps); what comes after 200 steps is below 1e-14

@@ -330,3 +330,14 @@ def test_blocks_do_not_change_the_topics(spark):
     for row, share in found[0].items():
         assert share == pytest.approx(found[1][row], abs=0.02)
     assert cut.blocks.count() > 5 * whole.blocks.count()
+
+
+def test_a_path_evaluates_few_candidates(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(float(x), float(rng.uniform(1, 60)) if x else 0.0, float(rng.uniform(60, 90)), float(rng.integers(1, 5))) for x in rng.integers(0, 6, 300)]
+    cells = spark.createDataFrame(rows, "x DOUBLE, tx DOUBLE, t DOUBLE, n DOUBLE")
+    asked, sums = [], fit.likelihood_sums
+    monkeypatch.setattr(fit, "likelihood_sums", lambda c, candidates, **k: asked.append(len(candidates)) or sums(c, candidates, **k))
+    fitted = fit.fit_lifetimes(cells, [("bgnbd", 0.02 + 0.02 * i) for i in range(24)])
+    assert all(f.converged and f.gradient <= fit.TOLERANCE for f in fitted)
+    assert sum(asked) < 24 * 15  # one round of three steps and their slopes for every trial alone would be that

@@ -8,19 +8,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import partial
 
 import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch
+from ..session import materialize, scratch, shuffled_into, tasks_for
 
 BLOCK = 512  # organisations per block when one article's pairs are spread over tasks
 HUB_EDGES = 100_000  # edges of one vertex per task
-BLOCK_EDGES = 200_000  # edges one task pushes residuals through
+BLOCK_EDGES = 1_000_000  # edges one task sends ranks along
+LANE = 4  # landmarks in one row
+MEMORY = 6  # rounds whose ranks are combined
 
 
 def co_mentions(mentions: DataFrame, min_weight: int, blocked: Sequence = (), url: str = "url", organisation: str = "organisation") -> DataFrame:
@@ -34,8 +34,9 @@ def co_mentions(mentions: DataFrame, min_weight: int, blocked: Sequence = (), ur
     named = mentions.select(F.col(url).alias("url"), F.col(organisation).alias("org")).where(F.col("org").isNotNull())
     if blocked:
         named = named.where(~F.col("org").isin(list(blocked)))
-    # read by three consumers, so it is written once; a struct around the article is never NULL, so keys are plain
-    counts = materialize(named.groupBy("url", "org").agg(F.count(F.lit(1)).alias("c")), "mentions")
+    # read by four consumers, so it is written once; a struct around the article is never NULL, so keys are plain
+    counts = materialize(named.groupBy("url", "org").agg(F.count(F.lit(1)).alias("c")), "mentions", named.count())
+    most = _pair_rows(counts)
     article = F.struct("url")
     totals = counts.groupBy(article.alias("article")).agg(F.sum("c").alias("all"), F.count(F.lit(1)).alias("orgs")).where("orgs > 1")
     shared = counts.withColumn("article", article).join(totals, "article").drop("url")
@@ -45,10 +46,17 @@ def co_mentions(mentions: DataFrame, min_weight: int, blocked: Sequence = (), ur
     right = kept.select(F.col("article").alias("_a"), F.col("org").alias("b"), F.col("c").alias("cb"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_block"))
     same = (F.col("article") == F.col("_a")) & (F.col("block") == F.col("_block")) & (F.col("a") < F.col("b"))
     pairs = left.join(right, same).groupBy("a", "b").agg(F.sum(F.col("ca") * F.col("cb")).alias("relationship")).where(F.col("relationship") > min_weight)
+    pairs = materialize(pairs, "pairs", most)
     both = F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")), F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))
     return pairs.select(F.explode(both).alias("e"), "relationship").select("e.src", "e.dst", "relationship")
 
 
+def _pair_rows(counts: DataFrame) -> int:
+    """Pairs of organisations over all articles, the same pair once per article: what a shuffle of pairs may move."""
+    sizes = counts.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+    return int(sizes.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0)  # one number
+
+
 def usual_weight(mentions: DataFrame, blocked: Sequence = (), deviations: float = 1.4, url: str = "url", organisation: str = "organisation") -> int:
     """Whole part of the mean weight over all pairs of organisations plus so many of its square roots.
 
@@ -60,7 +68,8 @@ def usual_weight(mentions: DataFrame, blocked: Sequence = (), deviations: float
         named = named.where(~F.col("org").isin(list(blocked)))
     counts = named.groupBy("url", "org").agg(F.count(F.lit(1)).alias("c"))
     articles = counts.groupBy("url").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("w"))
-    total = articles.agg(F.sum("w")).first()[0] or 0
+    with shuffled_into(mentions.sparkSession, tasks_for(mentions.sparkSession, named.count())):
+        total = articles.agg(F.sum("w")).first()[0] or 0
     n = named.agg(F.countDistinct("org")).first()[0]
     mean = total / (n * (n - 1)) if n > 1 else 0.0
     return math.floor(mean + deviations * math.sqrt(mean))
@@ -185,101 +194,86 @@ def personalised_ranks(
 def push_ranks(edges: DataFrame, landmarks: DataFrame, reset: float = 0.15, tolerance: float = 1e-12, block_edges: int = BLOCK_EDGES, max_rounds: int = 1000, normalise: bool = True) -> DataFrame:
     """(organisation, connection, importance): PageRank of every vertex seen from each landmark, to a total error of ``tolerance``.
 
-    Residual forward push: a vertex keeps the rank it has settled and a residual. Only residuals above a bound move: they are
-    settled, and all but ``reset`` of them goes to the neighbours' residuals in equal parts. With every residual below
-    tolerance * reset / vertices, all that is unsettled adds up to less than the tolerance.
+    A round sends ranks x along all edges once, which yields g = reset at the landmark + what arrives, and the residual g - x. The
+    next x is the combination of the last ``MEMORY`` g whose residuals, combined in the same way, are least (Anderson's method); the
+    driver sees the products of residuals, some numbers a round. The loop ends when the residual of every landmark sums to less than
+    tolerance * reset, which bounds the error, or raises after ``max_rounds``.
 
-    Edges are dealt to blocks by their source (by part of it, if it is a hub). A task holds one block, pushes inside it until
-    nothing there can move, and hands on what leaves the block; a round is one shuffle of those residuals. Landmarks are
-    independent: a graph of few blocks is copied to as many lanes of landmarks as there are cores. Settled rank is written
-    round by round and summed once. Raises when residuals still move after ``max_rounds``.
+    A vertex has one row for ``LANE`` landmarks, from the round on in which it is reached. Edges stay where they are, dealt by source
+    (a hub's by part) to tasks of about ``block_edges``; only ranks, summed by task and vertex, are shuffled.
     """
     spark = edges.sparkSession
     id_kind = edges.schema["src"].dataType.simpleString()
-    links = materialize(edges.select("src", "dst"), "links")
-    start = materialize(landmarks.select(F.col("id").cast(id_kind).alias("id")).distinct(), "landmarks")
-    degree = links.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
-    edge_count, marks = links.count(), start.count()
-    vertex_count = links.select("src").union(links.select("dst")).union(start.select("id")).distinct().count()
-    blocks = max(1, -(-edge_count // block_edges))
-    lanes = max(1, min(marks, spark.sparkContext.defaultParallelism // blocks))
-    bound = tolerance * reset / max(vertex_count, 1)
-
-    split, hubs = _split_hubs(links, "src", "dst")
-
-    def block_of(vertex: str, part: Column) -> Column:
-        return F.pmod(F.xxhash64(vertex, part), F.lit(blocks)).cast("int")
-
-    # a hub is in several blocks, so what goes to it always leaves the block
-    ends = split.join(degree, "src").join(hubs, F.col("dst") == F.col("_hub"), "left")
-    dealt = ends.select("src", "part", "dst", "degree", block_of("src", F.col("part")).alias("block"), F.when(F.col("_hub").isNull(), block_of("dst", F.lit(0))).alias("to"))
-    in_lanes = dealt.select("src", "part", "dst", "degree", "block", "to", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
-    cells = in_lanes.withColumn("cell", F.col("block") * lanes + F.col("lane")).drop("lane")
-    cells = materialize(cells, "cells").repartition("cell").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def to_cells(rows: DataFrame) -> DataFrame:
-        """Residuals (id, landmark, amount) at every part of their vertex."""
-        placed = _to_parts(rows, hubs, "id")
-        lane = F.pmod(F.xxhash64("landmark"), F.lit(lanes)).cast("int")
-        return placed.withColumn("cell", block_of("id", F.col("part")) * lanes + lane)
-
-    schema = f"settled BOOLEAN, id {id_kind}, landmark {id_kind}, amount DOUBLE"
-    out = scratch(spark, "push")
-    waiting = start.select("id", F.col("id").alias("landmark"), F.lit(float(reset)).alias("amount"))
-    top, done = reset, 0
-    while top is not None and top > bound:
+    start = materialize(landmarks.select(F.col("id").cast(id_kind).alias("id")).where("id IS NOT NULL").distinct(), "landmarks")
+    numbered = materialize(start.withColumn("n", F.monotonically_increasing_id()), "numbers")
+    numbered = numbered.select(F.col("id").alias("landmark"), F.floor(F.col("n") / LANE).alias("lane"), F.pmod("n", F.lit(LANE)).cast("int").alias("place"))
+    if numbered.isEmpty():
+        return spark.createDataFrame([], f"organisation {id_kind}, connection {id_kind}, importance DOUBLE")
+    degree = edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
+    split, hubs = _split_hubs(edges.select("src", "dst").where("src IS NOT NULL"), "src", "dst")
+    dealt = split.join(degree, "src").select("src", "part", "dst", (F.lit(1 - reset) / F.col("degree")).alias("share"))
+    tasks = max(tasks_for(spark, 0), -(-edges.count() // block_edges))
+    links = dealt.repartition(tasks, "src", "part").persist(StorageLevel.MEMORY_AND_DISK)
+    whole = hubs.isEmpty()
+
+    # past: of each remembered round, the latest first, g and the residual in LANE numbers each; zero before a row was reached
+    places, kept = range(LANE), 2 * LANE * (MEMORY - 1)
+    reach = ", ".join(f"IF(place = {c}, {float(reset)!r}D, 0D)" for c in places)
+    state = materialize(numbered.selectExpr("landmark AS id", "lane", "place", f"concat(array({reach}, {reach}), array_repeat(0D, {kept})) AS past"), "ranks")
+    rank = "+".join(f"mix[{k}] * past[{2 * LANE * k} + c]" for k in range(MEMORY))
+    arrived = ", ".join(f"IF(place <=> {c}, {float(reset)!r}D, 0D) + coalesce(s[{c}], 0D)" for c in places)
+    products, done = np.zeros((MEMORY, MEMORY)), 0
+    while True:
+        left, row = _residuals(state)
+        products[1:, 1:] = products[:-1, :-1].copy()
+        products[0, :] = products[:, 0] = row
+        if left <= tolerance * reset:
+            break
         if done == max_rounds:
-            raise RuntimeError(f"residuals above {bound} still move after {max_rounds} rounds")
-        push = partial(_push_block, lanes=lanes, keep=1 - reset, bound=max(bound, top / 100))
-        moved = cells.groupBy("cell").cogroup(to_cells(waiting).groupBy("cell")).applyInPandas(lambda key, e, r: push(key, e, r), schema)
-        moved.write.parquet(f"{out}/round={done}")
-        rows = spark.read.schema(schema).parquet(f"{out}/round={done}")
+            links.unpersist()
+            raise RuntimeError(f"residuals still sum to {left} after {max_rounds} rounds")
+        mix = np.zeros(MEMORY)
+        mix[: done + 1] = _least_mix(products[: done + 1, : done + 1])
+        mixed = state.withColumn("mix", F.lit(mix.tolist()))
+        now = mixed.select("id", "lane", "place", "past", F.expr(f"transform(sequence(0, {LANE - 1}), c -> {rank})").alias("x"))
+        moving = now.select(F.col("id").alias("src"), "lane", "x")
+        moving = moving.withColumn("part", F.lit(0)) if whole else _to_parts(moving, hubs, "src")
+        # the ranks of a task's own sources are few beside its edges, so they are hashed and the edges are never sorted
+        sent = links.join(moving.hint("shuffle_hash"), ["src", "part"]).groupBy(F.col("dst").alias("id"), "lane").agg(F.array(*[F.sum(F.col("x")[c] * F.col("share")) for c in places]).alias("s"))
+        met = now.join(sent.where("id IS NOT NULL"), ["id", "lane"], "full").withColumn("g", F.expr(f"array({arrived})"))
+        fresh = f"zip_with(g, coalesce(x, array_repeat(0D, {LANE})), (a, b) -> a - b)"
+        earlier = f"coalesce(slice(past, 1, {kept}), array_repeat(0D, {kept}))"
+        state = materialize(met.selectExpr("id", "lane", "place", f"concat(g, {fresh}, {earlier}) AS past"), "ranks")
         done += 1
-        waiting = rows.where("NOT settled").groupBy("id", "landmark").agg(F.sum("amount").alias("amount"))
-        top = waiting.agg(F.max("amount")).first()[0]  # one number per round
-    cells.unpersist()
-    if not done:
-        return spark.createDataFrame([], f"organisation {id_kind}, connection {id_kind}, importance DOUBLE")
-    # the last residuals are part of the rank too, if only a lower bound of it
-    last = F.col("settled") | (F.col("round") == done - 1)
-    ranks = spark.read.schema(f"{schema}, round INT").parquet(out).where(last).groupBy("id", "landmark").agg(F.sum("amount").alias("rank"))
+    links.unpersist()
+    tall = state.select("id", "lane", F.posexplode(F.slice("past", 1, LANE)).alias("place", "rank")).where("rank <> 0")
+    ranks = tall.withColumn("rank", F.greatest("rank", F.lit(0.0))).join(numbered, ["lane", "place"])
     if normalise:
         totals = ranks.groupBy("landmark").agg(F.sum("rank").alias("_sum"))
         ranks = ranks.join(totals, "landmark").withColumn("rank", F.col("rank") / F.col("_sum"))
     return ranks.select(F.col("landmark").alias("organisation"), F.col("id").alias("connection"), F.col("rank").alias("importance"))
 
 
-def _push_block(key: tuple, edges: pd.DataFrame, residuals: pd.DataFrame, lanes: int, keep: float, bound: float) -> pd.DataFrame:
-    """Push all landmarks of one lane through one block: settled rank, and residuals that stayed below the bound or left."""
-    columns = ["settled", "id", "landmark", "amount"]
-    rows: dict[str, list] = {c: [] for c in columns}
-    if not len(residuals):
-        return pd.DataFrame(rows, dtype=object)
-    inside = (edges["to"] == key[0] // lanes).to_numpy()
-    inner, outer = edges[inside], edges[~inside]
-    whole = pd.concat([edges[["src", "part"]].set_axis(["id", "part"], axis=1), inner[["dst"]].set_axis(["id"], axis=1).assign(part=0), residuals[["id", "part"]]])
-    units = whole.groupby(["id", "part"], sort=False).ngroup().to_numpy()
-    first = np.flatnonzero(~pd.Series(units).duplicated().to_numpy())
-    names, home = whole["id"].to_numpy()[first], whole["part"].to_numpy()[first] == 0
-    source, sink, at = units[: len(edges)], units[len(edges) : len(edges) + len(inner)], units[len(edges) + len(inner) :]
-    share = keep / edges["degree"].to_numpy(float)
-    away, far = pd.factorize(outer["dst"])
-    for landmark, places in residuals.groupby("landmark", sort=False).indices.items():
-        left = np.bincount(at[places], residuals["amount"].to_numpy()[places], len(names))
-        settled, gone = np.zeros(len(names)), np.zeros(len(far))
-        while (hot := left > bound).any():
-            moved = np.where(hot, left, 0.0)
-            settled += moved
-            sent = moved[source] * share
-            left = np.where(hot, 0.0, left) + np.bincount(sink, sent[inside], len(names))
-            if len(far):
-                gone += np.bincount(away, sent[~inside], len(far))
-        # every part of a hub has settled the same; its first part speaks for it
-        for flag, ids, amounts in ((True, names[home], settled[home]), (False, names[home], left[home]), (False, np.asarray(far), gone)):
-            some = amounts > 0
-            for column, values in zip(columns, ([flag] * int(some.sum()), ids[some].tolist(), [landmark] * int(some.sum()), amounts[some].tolist())):
-                rows[column] += values
-    return pd.DataFrame(rows, dtype=object)
+def _residuals(state: DataFrame) -> tuple[float, list[float]]:
+    """Largest sum of a landmark's latest residuals, and the product of the latest residuals with each remembered round's."""
+    at = lambda k, c: f"past[{2 * LANE * k + LANE + c}]"
+    sums = [F.expr(f"sum(abs({at(0, c)}))").alias(f"l{c}") for c in range(LANE)]
+    dots = [F.expr("sum(" + "+".join(f"{at(0, c)} * {at(k, c)}" for c in range(LANE)) + ")").alias(f"d{k}") for k in range(MEMORY)]
+    top = F.max(F.greatest(*[f"l{c}" for c in range(LANE)]))
+    row = state.groupBy("lane").agg(*sums, *dots).agg(top, *[F.sum(f"d{k}") for k in range(MEMORY)]).first()
+    return row[0], list(row)[1:]
+
+
+def _least_mix(products: np.ndarray) -> np.ndarray:
+    """Weights that sum to one and make the weighted sum of residuals least, from their products."""
+    plain = np.eye(len(products))[0]
+    sizes = np.sqrt(np.diag(products))
+    if not (sizes > 0).all():
+        return plain
+    values, vectors = np.linalg.eigh(products / np.outer(sizes, sizes))
+    keep = values > 1e-13 * values[-1]
+    weights = (vectors[:, keep] / values[keep]) @ (vectors[:, keep].T @ (1 / sizes)) / sizes
+    return weights / weights.sum() if np.isfinite(weights).all() and weights.sum() > 0 else plain
 
 
 def size_report(nodes: DataFrame, edges: DataFrame) -> DataFrame:

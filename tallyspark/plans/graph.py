@@ -30,7 +30,7 @@ def co_mentions(spark, sf):
 
 
 def edges(spark, sf):
-    return materialize(co_mentions(spark, sf), "edges")
+    return co_mentions(spark, sf)  # its pairs are a written table
 
 
 def landmarks(spark, e):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,12 +50,45 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tallyspark/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, rows: int = 0) -> DataFrame:
     """Cut the lineage: write to the shared folder and read back.
 
-    Survives executor loss, stays columnar, and gives the optimizer true sizes for its broadcast choice.
+    Survives executor loss, stays columnar, and gives the optimizer true sizes for its broadcast choice. With ``rows``, the
+    most that a shuffle of it moves, the job shuffles into as many partitions as those are worth.
     """
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    with shuffled_into(spark, tasks_for(spark, rows)):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+ROWS_PER_TASK = 1_000_000  # rows of a shuffle that one task sorts or aggregates
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Shuffle partitions for so many rows: the session's number, more where its tasks would grow too large."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+
+
+@contextmanager
+def shuffled_into(spark: SparkSession, tasks: int) -> Iterator[None]:
+    """Jobs started inside shuffle into so many partitions; more than the session's are not merged to one per core again."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    if tasks <= int(before[0]):
+        yield
+        return
+    for name, value in zip(names, (str(tasks), "false")):
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Rows dealt by their keys to more tasks than the session has shuffle partitions, if there are too many rows for those."""
+    tasks = tasks_for(df.sparkSession, rows)
+    return df if tasks == tasks_for(df.sparkSession, 0) else df.repartition(tasks, *keys)

@@ -146,3 +146,23 @@ def test_portfolio_fan_out_and_value_at_risk(spark):
     assert K.portfolio_scores(portfolio, scores).count() == 3
     days = spark.range(101).select(F.lit("AAA").alias("rating"), F.col("id").alias("date"), (F.col("id") / 100).alias("return"))
     assert K.value_at_risk(days).first()["var"] == pytest.approx(0.05)
+
+
+def test_ranks_of_a_dense_graph_take_few_rounds(spark):
+    rng = random.Random(8)
+    links = {(rng.randrange(40), rng.randrange(40)) for _ in range(400)}
+    links |= {(b, a) for a, b in links}
+    edges = spark.createDataFrame(list(links), "src LONG, dst LONG")
+    got = {r[1]: r[2] for r in G.push_ranks(edges, spark.createDataFrame([(3,)], "id LONG"), block_edges=20, max_rounds=24, normalise=False).collect()}
+    want = _exact_ranks(list(links), [3], sorted({a for a, _ in links} | {3}))[3]
+    assert sum(abs(got.get(v, 0.0) - r) for v, r in want.items()) < 1e-11
+
+
+def test_shuffles_grow_in_number_not_in_size(spark, monkeypatch):
+    from tallyspark import session
+
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 10)
+    mentions = spark.createDataFrame([(i % 30, f"o{i % 13}") for i in range(200)], "url INT, organisation STRING")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    pairs = G.co_mentions(mentions, 0)
+    assert len(pairs.inputFiles()) > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import news as N
 from ..operators import relational as R
+from ..session import materialize
 from ..sources.tables import news, table
 from .registry import query, rnd
 
@@ -74,7 +75,9 @@ SCORES = f"""(SELECT o.organisation, o.theme, CAST(sum(o.total) AS BIGINT) AS to
 
 
 def scores(spark, sf):
-    return N.internal_scores(N.gold_rollup(news(spark, sf)), MIN_DAYS, MIN_TOTAL)
+    """Few rows out of a rollup nearly as long as its input, so they are written by a job of sized shuffles."""
+    mentions = news(spark, sf)
+    return materialize(N.internal_scores(N.gold_rollup(mentions), MIN_DAYS, MIN_TOTAL), "scores", mentions.count())
 
 
 @query("o4_internal_scores", f"SELECT organisation, theme, total, days, round(esg, 9) + 0.0 AS esg FROM {SCORES}")

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..operators import risk as K
 from ..operators import news as N
-from ..session import materialize
 from ..sources.tables import news, prices, table
 from .news import GOLD, SCORES, scores
 from .registry import query, rnd
@@ -31,8 +30,8 @@ RATED = f"""m AS (SELECT symbol, organisation, esg FROM (SELECT organisation, av
 
 
 def rated(spark, sf):
-    # the label edges and the rows labelled must agree to the last bit, so both read one written table
-    return K.rate(portfolio(spark, sf), materialize(scores(spark, sf), "scores"))
+    # the label edges and the rows labelled must agree to the last bit, so both read the one written table of scores
+    return K.rate(portfolio(spark, sf), scores(spark, sf))
 
 
 @query("p2_ratings", f"WITH {RATED} SELECT symbol, organisation, round(esg, 9) + 0.0 AS esg FROM rated")

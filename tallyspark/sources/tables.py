@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -41,8 +43,5 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Average line price per supplier and day as a close price: symbol, date, close."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_suppkey").alias("symbol"), F.to_date("l_shipdate").alias("date"))
-        .agg(F.avg("l_extendedprice").alias("close"))
-    )
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("symbol"), F.to_date("l_shipdate").alias("date"), "l_extendedprice")
+    return spread(lines, lines.count(), "symbol", "date").groupBy("symbol", "date").agg(F.avg("l_extendedprice").alias("close"))

@@ -9,14 +9,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..session import materialize
-from .lifetime_fit import digamma
+from ..session import materialize, tasks_for
 from .quantiles import exact_quantiles, min_max_scale
 from .relational import distinct_values
 
@@ -61,16 +60,20 @@ class Corpus:
 
 
 BLOCK = "block LONG, rows ARRAY<LONG>, ends ARRAY<INT>, places ARRAY<INT>, counts ARRAY<DOUBLE>, terms ARRAY<LONG>"
-BLOCK_ENTRIES = 200_000
+BLOCK_ENTRIES = (200_000, 2_000_000)  # least and most entries of a block
+BLOCKS = 48  # blocks of a corpus whose blocks are between these sizes
 
 
-def corpus(docs: DataFrame, row: str, tokens: str, stops: DataFrame | None = None, entries: int = BLOCK_ENTRIES) -> Corpus:
+def corpus(docs: DataFrame, row: str, tokens: str, stops: DataFrame | None = None, entries: int | None = None) -> Corpus:
     """Count vectors over every term that is not in ``stops``, dealt to blocks of about so many ``entries``.
 
     Terms get their numbers where they are counted, so there is no list of them on the driver and no limit to their number.
-    A block names each of its terms once; its entries point into that list.
+    A block names each of its terms once; its entries point into that list. Without ``entries`` blocks grow with the corpus:
+    each step of a fit moves a term once for every block it is in.
     """
     counts = materialize(term_counts(docs, tokens, [row], stops).withColumnRenamed(row, "row"), "term-counts")
+    if entries is None:
+        entries = min(max(BLOCK_ENTRIES[0], counts.count() // BLOCKS), BLOCK_ENTRIES[1])
     vocabulary = materialize(counts.groupBy("term").agg(F.sum("n").alias("n")).withColumn("id", F.monotonically_increasing_id()), "vocabulary")
     coded = counts.join(vocabulary.select("term", "id"), "term").select(F.col("row").cast("long").alias("row"), "id", F.col("n").cast("double").alias("n"))
     blocks = materialize(coded.repartition("row").sortWithinPartitions("row", "id").mapInArrow(partial(_cut_blocks, entries=entries), BLOCK), "blocks")
@@ -111,36 +114,56 @@ def _cut_blocks(batches: Iterator[pa.RecordBatch], entries: int) -> Iterator[pa.
         yield block(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
 
+def _digamma(z: np.ndarray) -> np.ndarray:
+    """Derivative of ln Γ for positive z: a shift by eight, its terms taken in pairs, and a series. Called for every row and round."""
+    y, q = z + 8, z * (z + 7)
+    v = 1 / (y * y)
+    series = v * (1 / 12 - v * (1 / 120 - v * (1 / 252 - v * (1 / 240 - v / 132))))
+    return np.log(y) - 0.5 / y - series - (2 * z + 7) * (1 / q + 1 / (q + 6) + 1 / (q + 10) + 1 / (q + 12))
+
+
 def expected_logs(weights: np.ndarray, totals: np.ndarray) -> np.ndarray:
     """exp E[log p] of Dirichlet weights whose sum over the other axis is given."""
-    return np.exp(digamma(weights) - digamma(totals))
+    return np.exp(_digamma(weights) - _digamma(totals))
+
+
+CHUNK = 1 << 17  # entries, with padding, whose rows move together
 
 
 def row_topics(ends: np.ndarray, places: np.ndarray, counts: np.ndarray, words: np.ndarray, alpha: float, tolerance: float = 1e-3, most: int = 200) -> tuple[np.ndarray, np.ndarray]:
     """Variational weights of every row's topics, and of every entry the expected count over the sum of its topics.
 
-    All rows of a block move together; those whose mean change falls below ``tolerance`` stop.
+    Rows of about the same length, padded to the longest, move together; those whose mean change falls below ``tolerance`` stop.
     """
     number, k = len(ends) - 1, words.shape[1]
-    gamma = np.ones((number, k))
-    share = np.zeros(len(places))
-    active = np.arange(number)
-    for _ in range(most):
-        sizes = ends[active + 1] - ends[active]
-        first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        entry = np.arange(int(sizes.sum())) - np.repeat(first - ends[active], sizes)
-        own = np.repeat(np.arange(len(active)), sizes)
-        b, n = words[places[entry]], counts[entry]
-        settled = np.zeros(len(active), bool)
-        for _ in range(8):  # the entries of the moving rows are gathered anew from time to time
-            theta = expected_logs(gamma[active], gamma[active].sum(axis=1, keepdims=True))
-            ratio = n / np.maximum(np.einsum("ij,ij->i", theta[own], b), 1e-300)
-            after = alpha + theta * np.add.reduceat(ratio[:, None] * b, first)
-            settled = np.abs(after - gamma[active]).mean(axis=1) < tolerance
-            gamma[active], share[entry] = after, ratio
-        active = active[~settled]
-        if not len(active):
-            break
+    gamma, share = np.ones((number, k)), np.zeros(len(places))
+    sizes = np.diff(ends)
+    order = np.argsort(sizes, kind="stable")
+    first = 0
+    while first < number:
+        near = order[first : first + CHUNK]
+        rows = near[: max(1, np.count_nonzero(sizes[near] * np.arange(1, len(near) + 1) <= CHUNK))]
+        first += len(rows)
+        width = np.arange(sizes[rows[-1]])
+        real = width < sizes[rows][:, None]
+        entry = np.where(real, ends[rows][:, None] + width, 0)
+        b, n, g = words[places[entry]], np.where(real, counts[entry], 0.0), np.ones((len(rows), k))
+        for turn in range(most):
+            for _ in range(8):  # the rows that still move are gathered anew from time to time
+                before = g
+                theta = expected_logs(g, g.sum(axis=1, keepdims=True))
+                ratio = n / np.maximum((b @ theta[:, :, None])[:, :, 0], 1e-300)
+                g = alpha + theta * (ratio[:, None, :] @ b)[:, 0, :]
+            moving = np.abs(g - before).mean(axis=1) >= tolerance
+            if turn == most - 1:
+                moving[:] = False
+            if moving.all():
+                continue
+            still = ~moving
+            gamma[rows[still]], share[entry[still][real[still]]] = g[still], ratio[still][real[still]]
+            if not moving.any():
+                break
+            rows, real, entry, b, n, g = (x[moving] for x in (rows, real, entry, b, n, g))
     return gamma, share
 
 
@@ -175,6 +198,10 @@ def _distributions(block: pa.Table, weights: pa.Table, totals: list[float], alph
 def _beside(blocks: DataFrame, weights: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """Run ``work`` on each block and the weights of its own terms."""
     wanted = blocks.select(F.col("block").alias("to"), F.explode("terms").alias("id")).join(weights.select("id", "w"), "id")
+    return _paired(blocks, wanted, work, schema)
+
+
+def _paired(blocks: DataFrame, wanted: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     return blocks.groupBy("block").cogroup(wanted.groupBy("to")).applyInArrow(lambda block, own: work(block, own), schema)
 
 
@@ -182,31 +209,53 @@ def _topic_totals(weights: DataFrame, k: int) -> list[float]:
     return [float(v or 0.0) for v in weights.agg(*[F.sum(F.col("w")[j]).alias(f"t{j}") for j in range(k)]).first()]  # one number per topic
 
 
+CUT_EVERY = 5  # steps between two written tables of weights: a plan doubles with each step since the last one
+
+
 def fit_topics(texts: Corpus, k: int = 9, seed: int = 42, decay: float = 0.3, parts: int = 2, passes: int = 5) -> DataFrame:
     """Online variational topic model: (term, id, w: weight of the term in each topic).
 
     The topic weights are a table with one row per term and never leave the executors. Each step takes one of ``parts`` equal
     shares of the blocks, brings every block the weights of its own terms, and sums the expected counts by term; a step of
     number t moves the weights by (1 + t) ** -decay towards what its share asks for. ``passes`` times all rows take part.
+
+    Blocks stay where they are, and so do the weights, dealt by term and each with the numbers of its term's blocks: a step
+    shuffles only the weights that its blocks ask for and the counts that come back. Every fifth step the weights are written,
+    so a lost executor costs no more than five.
     """
+    spark = texts.blocks.sparkSession
     alpha = eta = 1.0 / k
+    turned = texts.blocks.withColumn("turn", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int") if parts > 1 else F.lit(0))
+    found = turned.groupBy("turn").agg(F.sum(F.size("rows")).alias("n"), F.count(F.lit(1)).alias("blocks"), F.sum(F.size("terms")).alias("pairs")).collect()  # one row per part
+    sizes = {r["turn"]: r["n"] for r in found}
+    dealt = turned.repartition(max(tasks_for(spark, 0), 2 * sum(r["blocks"] for r in found)), "block").persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = tasks_for(spark, sum(r["pairs"] for r in found))
     noise = [F.sqrt(-2 * F.log(_uniform("id", seed, 2 * j))) * F.cos(2 * math.pi * _uniform("id", seed, 2 * j + 1)) for j in range(k)]
-    weights = materialize(texts.vocabulary.select("term", "id", F.array(*[F.greatest(F.lit(0.01), 1 + 0.1 * x) for x in noise]).alias("w")), "topic-weights")
-    dealt = materialize(texts.blocks.withColumn("turn", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int")), "dealt-blocks") if parts > 1 else texts.blocks.withColumn("turn", F.lit(0))
-    sizes = {r["turn"]: r["n"] for r in dealt.groupBy("turn").agg(F.sum(F.size("rows")).alias("n")).collect()}  # one row per part
-    step = 0
+    start = texts.vocabulary.select("id", F.array(*[F.greatest(F.lit(0.01), 1 + 0.1 * x) for x in noise]).alias("w")).repartition(tasks, "id")
+    within = turned.select(F.explode("terms").alias("id"), F.struct("turn", "block").alias("p")).repartition(tasks, "id").groupBy("id").agg(F.collect_list("p").alias("within"))
+    weights = start.join(within.hint("merge"), "id", "left").persist(StorageLevel.MEMORY_AND_DISK)  # ``within`` is no longer than the list of blocks
+    totals, step = _topic_totals(weights, k), 0
     for _ in range(passes):
         for turn, size in sorted(sizes.items()):
-            totals = _topic_totals(weights, k)
             work = partial(_term_statistics, totals=totals, alpha=alpha)
-            found = _beside(dealt.where(F.col("turn") == turn).drop("turn"), weights, work, "id LONG, s ARRAY<DOUBLE>")
-            sums = found.groupBy("id").agg(F.array(*[F.sum(F.col("s")[j]) for j in range(k)]).alias("s"))
+            wanted = weights.select("id", "w", F.explode(F.filter("within", lambda p: p["turn"] == turn)).alias("p")).select(F.col("p.block").alias("to"), "id", "w")
+            asking = _paired(dealt.where(F.col("turn") == turn).drop("turn"), wanted, work, "id LONG, s ARRAY<DOUBLE>").repartition(tasks, "id")
+            sums = asking.groupBy("id").agg(F.array(*[F.sum(F.col("s")[j]) for j in range(k)]).alias("s"))
             rate = (1 + step) ** -decay if len(sizes) > 1 else 1.0
             asked = lambda w, s: (1 - rate) * w + rate * (eta + texts.rows / size * F.coalesce(s, F.lit(0.0)))
-            moved = weights.join(sums, "id", "left")
-            weights = materialize(moved.select("term", "id", F.array(*[asked(F.col("w")[j], F.col("s")[j]) for j in range(k)]).alias("w")), "topic-weights")
+            before, moved = weights, weights.join(sums.hint("merge"), "id", "left")
+            weights = moved.select("id", F.array(*[asked(F.col("w")[j], F.col("s")[j]) for j in range(k)]).alias("w"), "within").persist(StorageLevel.MEMORY_AND_DISK)
+            totals = _topic_totals(weights, k)  # fills the persisted rows
+            before.unpersist()
             step += 1
-    return weights
+            if step % CUT_EVERY == 0 and step < passes * len(sizes):
+                before, weights = weights, materialize(weights, "topic-weights").repartition(tasks, "id").persist(StorageLevel.MEMORY_AND_DISK)
+                weights.count()
+                before.unpersist()
+    out = materialize(texts.vocabulary.select("term", "id").join(weights.select("id", "w"), "id").select("term", "id", "w"), "topic-weights")
+    weights.unpersist()
+    dealt.unpersist()
+    return out
 
 
 def _uniform(key: str, seed: int, number: int) -> Column:

@@ -83,7 +83,7 @@ def _lemmas(spark, sf):
 
 
 #: Topic models of this session by application, data folder and state of its files: the topic queries share one fit.
-_FITTED: dict[tuple, tuple] = {}
+_FITTED: dict[tuple, dict] = {}
 
 
 def _state(spark, sf):
@@ -92,22 +92,29 @@ def _state(spark, sf):
     return table(spark, sf, "documents").select(F.xxhash64(file).alias("h")).distinct().agg(F.bit_xor("h"), F.count("*")).first()
 
 
-def _topics(spark, sf):
-    """Weights of the terms, and the topics of every statement; one without any term has all topics alike."""
+def _fitted(spark, sf):
+    """Statements, their corpus and the weights of the terms."""
     key = (spark.sparkContext.applicationId, sf, *_state(spark, sf))
     if key not in _FITTED:
         rows = _lemmas(spark, sf)
         stops = Z.stop_words(table(spark, sf, "documents"), "source")
         texts = Z.corpus(rows, "row", "tokens", stops.select(X.stem(F.col("word")).alias("word")))
-        weights = Z.fit_topics(texts)
-        shares = rows.select("row", "doc_id", "source").join(Z.topic_distributions(texts, weights), "row", "left")
-        even = F.array_repeat(F.lit(1 / 9), 9)
-        _FITTED[key] = weights, materialize(shares.select("doc_id", "source", F.coalesce("topicDistribution", even).alias("topicDistribution")), "topics")
+        _FITTED[key] = {"rows": rows, "texts": texts, "weights": Z.fit_topics(texts)}
     return _FITTED[key]
 
 
+def _shares(spark, sf):
+    """The topics of every statement; one without any term has all topics alike."""
+    fit = _fitted(spark, sf)
+    if "shares" not in fit:
+        shares = fit["rows"].select("row", "doc_id", "source").join(Z.topic_distributions(fit["texts"], fit["weights"]), "row", "left")
+        even = F.array_repeat(F.lit(1 / 9), 9)
+        fit["shares"] = materialize(shares.select("doc_id", "source", F.coalesce("topicDistribution", even).alias("topicDistribution")), "topics")
+    return fit["shares"]
+
+
 def principal(spark, sf):
-    return Z.principal_topic(_topics(spark, sf)[1])
+    return Z.principal_topic(_shares(spark, sf))
 
 
 @query("n6_topic_model")
@@ -167,7 +174,7 @@ def n9(spark, sf):
 
 @query("n10_topic_terms")
 def n10(spark, sf):
-    return Z.topic_terms(_topics(spark, sf)[0], 200)
+    return Z.topic_terms(_fitted(spark, sf)["weights"], 200)
 
 
 DIST = f"(SELECT lang, term, count(*) AS n FROM (SELECT lang, unnest({WORDS_SQL.format('text')}) AS term FROM documents) GROUP BY 1, 2)"

@@ -332,6 +332,49 @@ def test_blocks_do_not_change_the_topics(spark):
     assert cut.blocks.count() > 5 * whole.blocks.count()
 
 
+def test_blocks_grow_with_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(Z, "BLOCK_ENTRIES", (20, 100_000))
+    monkeypatch.setattr(Z, "BLOCKS", 4)
+    texts, _ = words_of(6, 3, 60, 30)
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "row LONG, tokens ARRAY<STRING>").repartition(3)
+    held = Z.corpus(rows, "row", "tokens")
+    assert held.rows == 60 and held.blocks.count() <= 4 + int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_rows_of_any_length_get_their_own_topics(monkeypatch):
+    from tallyspark.operators.lifetime_fit import digamma
+
+    rng = np.random.default_rng(8)
+    sizes = [1, 7, 40, 3, 3, 90, 1]
+    ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    places, counts = rng.integers(0, 50, ends[-1]).astype(np.int32), rng.integers(1, 4, ends[-1]).astype(float)
+    words = rng.dirichlet([0.1] * 50, 4).T + 1e-6
+    for chunk in (1, 64, 1 << 17):  # less than a row, a few rows, all
+        monkeypatch.setattr(Z, "CHUNK", chunk)
+        gamma, share = Z.row_topics(ends, places, counts, words, 0.25)
+        for i, size in enumerate(sizes):
+            at, g, moved, rounds = slice(ends[i], ends[i + 1]), np.ones(4), 1.0, 0
+            while moved >= 1e-3 or rounds % 8:
+                theta = np.exp(digamma(g) - digamma(g.sum()))
+                ratio = counts[at] / (words[places[at]] @ theta)
+                after = 0.25 + theta * (ratio @ words[places[at]])
+                moved, g, rounds = np.abs(after - g).mean(), after, rounds + 1
+            assert gamma[i] == pytest.approx(g, rel=1e-9) and share[at] == pytest.approx(ratio, rel=1e-9)
+
+
+def test_a_step_moves_only_what_its_blocks_ask_for(spark, monkeypatch):
+    """Weights stay dealt by term: they are written after every fifth step, and no step reads a table of them again."""
+    texts, _ = words_of(6, 3, 60, 30)
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "row LONG, tokens ARRAY<STRING>").repartition(3)
+    held = Z.corpus(rows, "row", "tokens", entries=50)
+    written, write = [], Z.materialize
+    monkeypatch.setattr(Z, "materialize", lambda df, label, *more: written.append(label) or write(df, label, *more))
+    weights = Z.fit_topics(held, k=3)
+    assert written == ["topic-weights"] * 2
+    terms = {t for text in texts for t in text}
+    assert {r["term"] for r in weights.collect()} == terms and weights.count() == len(terms)
+
+
 def test_a_path_evaluates_few_candidates(spark, monkeypatch):
     rng = np.random.default_rng(3)
     rows = [(float(x), float(rng.uniform(1, 60)) if x else 0.0, float(rng.uniform(60, 90)), float(rng.integers(1, 5))) for x in rng.integers(0, 6, 300)]

@@ -68,7 +68,7 @@ def usual_weight(mentions: DataFrame, blocked: Sequence = (), deviations: float
         named = named.where(~F.col("org").isin(list(blocked)))
     counts = named.groupBy("url", "org").agg(F.count(F.lit(1)).alias("c"))
     articles = counts.groupBy("url").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("w"))
-    with shuffled_into(mentions.sparkSession, tasks_for(mentions.sparkSession, named.count())):
+    with shuffled_into(mentions.sparkSession, named.count()):
         total = articles.agg(F.sum("w")).first()[0] or 0
     n = named.agg(F.countDistinct("org")).first()[0]
     mean = total / (n * (n - 1)) if n > 1 else 0.0

@@ -58,7 +58,7 @@ def materialize(df: DataFrame, label: str, rows: int = 0) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, label)
-    with shuffled_into(spark, tasks_for(spark, rows)):
+    with shuffled_into(spark, rows):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -72,14 +72,18 @@ def tasks_for(spark: SparkSession, rows: int) -> int:
 
 
 @contextmanager
-def shuffled_into(spark: SparkSession, tasks: int) -> Iterator[None]:
-    """Jobs started inside shuffle into so many partitions; more than the session's are not merged to one per core again."""
+def shuffled_into(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started inside shuffle into partitions for so many rows.
+
+    Adaptive merging would leave one partition per core or 64 MB, whatever the session's number; where that is more than
+    ``ROWS_PER_TASK`` rows a task it is off.
+    """
     names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
     before = [spark.conf.get(n) for n in names]
-    if tasks <= int(before[0]):
+    if _few(spark, rows):
         yield
         return
-    for name, value in zip(names, (str(tasks), "false")):
+    for name, value in zip(names, (str(tasks_for(spark, rows)), "false")):
         spark.conf.set(name, value)
     try:
         yield
@@ -89,6 +93,10 @@ def shuffled_into(spark: SparkSession, tasks: int) -> Iterator[None]:
 
 
 def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
-    """Rows dealt by their keys to more tasks than the session has shuffle partitions, if there are too many rows for those."""
-    tasks = tasks_for(df.sparkSession, rows)
-    return df if tasks == tasks_for(df.sparkSession, 0) else df.repartition(tasks, *keys)
+    """Rows dealt by their keys to tasks of ``ROWS_PER_TASK`` or less, if adaptive merging would leave too many in one."""
+    return df if _few(df.sparkSession, rows) else df.repartition(tasks_for(df.sparkSession, rows), *keys)
+
+
+def _few(spark: SparkSession, rows: int) -> bool:
+    """One partition per core and the session's number of partitions both do for so many rows."""
+    return rows <= ROWS_PER_TASK * min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -166,3 +166,21 @@ def test_shuffles_grow_in_number_not_in_size(spark, monkeypatch):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     pairs = G.co_mentions(mentions, 0)
     assert len(pairs.inputFiles()) > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_sized_shuffles_are_not_merged_to_one_task_per_core(spark, monkeypatch):
+    from tallyspark import session
+
+    name, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 50)
+    spark.conf.set(name, str(8 * cores))  # enough for the rows, so only the merging is in question
+    try:
+        rows = 50 * 6 * cores
+        keyed = spark.range(rows).selectExpr("id * 7 AS k")
+        counted = keyed.groupBy("k").count()
+        assert len(session.materialize(counted, "counted", rows).inputFiles()) > 4 * cores
+        assert session.spread(keyed, rows, "k").groupBy("k").count().rdd.getNumPartitions() == 8 * cores
+        assert spark.conf.get(name) == str(8 * cores) and spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+    finally:
+        spark.conf.set(name, before)

@@ -14,63 +14,94 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch, shuffled_into, tasks_for
+from ..session import materialize, partitions, scratch, tasks_for
 
 BLOCK = 512  # organisations per block when one article's pairs are spread over tasks
+LISTED = 64  # organisations of an article whose pairs are built in one row
 HUB_EDGES = 100_000  # edges of one vertex per task
 BLOCK_EDGES = 1_000_000  # edges one task sends ranks along
+LANE_ROWS = 50_000  # rows of ranks for one task
 LANE = 4  # landmarks in one row
 MEMORY = 6  # rounds whose ranks are combined
+REACH_STEPS, REACH_MOST = 8, 100_000  # steps, and vertices of one step, up to which edges out of reach are looked for
+
+
+def mention_counts(mentions: DataFrame, blocked: Sequence = (), url: str = "url", organisation: str = "organisation") -> tuple[DataFrame, DataFrame]:
+    """(url, org, c), the mentions per article and organisation, and (url, all, squares, orgs, some), one row per article; both are written once."""
+    named = mentions.select(F.col(url).alias("url"), F.col(organisation).alias("org")).where(F.col("org").isNotNull())
+    if blocked:
+        named = named.where(~F.col("org").isin(list(blocked)))
+    counts = materialize(named.groupBy("url", "org").agg(F.count(F.lit(1)).alias("c")), "mentions", mentions.count())
+    sums = [F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.count(F.lit(1)).alias("orgs"), F.max("org").alias("some")]
+    return counts, materialize(counts.groupBy("url").agg(*sums), "articles", counts.count())
 
 
 def co_mentions(mentions: DataFrame, min_weight: int, blocked: Sequence = (), url: str = "url", organisation: str = "organisation") -> DataFrame:
-    """(src, dst, relationship) for organisations sharing articles more than ``min_weight`` times, both directions.
+    """(src, dst, relationship) for organisations sharing articles more than ``min_weight`` times, both directions."""
+    return shared_mentions(*mention_counts(mentions, blocked, url, organisation), min_weight)
+
+
+def shared_mentions(counts: DataFrame, articles: DataFrame, min_weight: int) -> DataFrame:
+    """`co_mentions` of counted mentions.
 
     relationship = Σ over articles of mentions(src) · mentions(dst). Mentions are counted per (article, organisation)
     first, which also tames repeated rows. An organisation's possible weight is bounded by what it shares with all
-    others together, and those who cannot pass the threshold leave before pairs are built. A pair is built once,
-    left side split in blocks for long articles, and mirrored after the filter. NULL articles form one group.
+    others together, and those who cannot pass the threshold leave before pairs are built. A pair is built once and
+    mirrored after the filter: in the row of its article, or, where that has more than ``LISTED`` organisations, by a
+    join with the left side split in blocks. NULL articles form one group.
     """
-    named = mentions.select(F.col(url).alias("url"), F.col(organisation).alias("org")).where(F.col("org").isNotNull())
-    if blocked:
-        named = named.where(~F.col("org").isin(list(blocked)))
-    # read by four consumers, so it is written once; a struct around the article is never NULL, so keys are plain
-    counts = materialize(named.groupBy("url", "org").agg(F.count(F.lit(1)).alias("c")), "mentions", named.count())
-    most = _pair_rows(counts)
-    article = F.struct("url")
-    totals = counts.groupBy(article.alias("article")).agg(F.sum("c").alias("all"), F.count(F.lit(1)).alias("orgs")).where("orgs > 1")
-    shared = counts.withColumn("article", article).join(totals, "article").drop("url")
-    able = shared.groupBy("org").agg(F.sum(F.col("c") * (F.col("all") - F.col("c"))).alias("bound")).where(F.col("bound") > min_weight).select("org")
-    kept = shared.join(able, "org", "left_semi").withColumn("blocks", F.ceil(F.col("orgs") / BLOCK).cast("int"))
-    left = kept.select("article", F.col("org").alias("a"), F.col("c").alias("ca"), F.pmod(F.xxhash64("org"), F.col("blocks")).cast("int").alias("block"))
-    right = kept.select(F.col("article").alias("_a"), F.col("org").alias("b"), F.col("c").alias("cb"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_block"))
-    same = (F.col("article") == F.col("_a")) & (F.col("block") == F.col("_block")) & (F.col("a") < F.col("b"))
-    pairs = left.join(right, same).groupBy("a", "b").agg(F.sum(F.col("ca") * F.col("cb")).alias("relationship")).where(F.col("relationship") > min_weight)
+    pairs_built = F.sum(F.col("orgs") * (F.col("orgs") - 1) / 2)
+    most = int(articles.agg(pairs_built).first()[0] or 0)  # one number
+    counts = _without_weak(counts, articles, min_weight)
+    long = materialize(articles.where(F.col("orgs") > min(LISTED, BLOCK)).select(F.struct("url").alias("article"), F.ceil(F.col("orgs") / BLOCK).cast("int").alias("blocks")), "long")
+    counts = counts.withColumn("article", F.struct("url")).drop("url")  # a struct around the article is never NULL, so keys are plain
+    some_long = not long.isEmpty()
+    short = counts.join(long, "article", "left_anti") if some_long else counts
+    listed = short.groupBy("article").agg(F.array_sort(F.collect_list(F.struct("org", "c"))).alias("m")).where(F.size("m") > 1)
+    inner = "flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(x.org AS a, y.org AS b, x.c * y.c AS w))))"
+    pairs = listed.select(F.inline(F.expr(inner)))
+    if some_long:
+        kept = counts.join(long, "article")
+        left = kept.select("article", F.col("org").alias("a"), F.col("c").alias("ca"), F.pmod(F.xxhash64("org"), F.col("blocks")).cast("int").alias("block"))
+        right = kept.select(F.col("article").alias("_a"), F.col("org").alias("b"), F.col("c").alias("cb"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_block"))
+        same = (F.col("article") == F.col("_a")) & (F.col("block") == F.col("_block")) & (F.col("a") < F.col("b"))
+        pairs = pairs.unionByName(left.join(right, same).select("a", "b", (F.col("ca") * F.col("cb")).alias("w")))
+    pairs = pairs.groupBy("a", "b").agg(F.sum("w").alias("relationship")).where(F.col("relationship") > min_weight)
     pairs = materialize(pairs, "pairs", most)
     both = F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")), F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))
     return pairs.select(F.explode(both).alias("e"), "relationship").select("e.src", "e.dst", "relationship")
 
 
-def _pair_rows(counts: DataFrame) -> int:
-    """Pairs of organisations over all articles, the same pair once per article: what a shuffle of pairs may move."""
-    sizes = counts.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
-    return int(sizes.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0)  # one number
+def _without_weak(counts: DataFrame, articles: DataFrame, min_weight: int) -> DataFrame:
+    """Counts of the organisations that share more than ``min_weight`` with all others together.
+
+    Each article with others in it is worth one or more, so the exact sum is only needed for those with few such articles.
+    """
+    alone = articles.where("orgs = 1").groupBy(F.col("some").alias("org")).agg(F.count(F.lit(1)).alias("alone"))
+    each = counts.groupBy("org").agg(F.count(F.lit(1)).alias("n")).join(alone, "org", "left")
+    doubtful = materialize(each.where(F.col("n") - F.coalesce("alone", F.lit(0)) <= min_weight).select("org"), "doubtful")
+    if doubtful.isEmpty():
+        return counts
+    totals = articles.where("orgs > 1").select(F.struct("url").alias("article"), "all")
+    shared = counts.join(doubtful, "org", "left_semi").withColumn("article", F.struct("url")).join(totals, "article")
+    able = shared.groupBy("org").agg(F.sum(F.col("c") * (F.col("all") - F.col("c"))).alias("bound")).where(F.col("bound") > min_weight)
+    weak = materialize(doubtful.join(able, "org", "left_anti"), "weak")
+    return counts.join(weak, "org", "left_anti")
 
 
 def usual_weight(mentions: DataFrame, blocked: Sequence = (), deviations: float = 1.4, url: str = "url", organisation: str = "organisation") -> int:
-    """Whole part of the mean weight over all pairs of organisations plus so many of its square roots.
+    """Whole part of the mean weight over all pairs of organisations plus so many of its square roots."""
+    return usual_shared_weight(*mention_counts(mentions, blocked, url, organisation), deviations)
+
+
+def usual_shared_weight(counts: DataFrame, articles: DataFrame, deviations: float = 1.4) -> int:
+    """`usual_weight` of counted mentions.
 
     An edge threshold that follows the data. The sum over pairs is (all mentions)² less the squares of each
     organisation's own, article by article, so no pair is built.
     """
-    named = mentions.select(F.col(url).alias("url"), F.col(organisation).alias("org")).where(F.col("org").isNotNull())
-    if blocked:
-        named = named.where(~F.col("org").isin(list(blocked)))
-    counts = named.groupBy("url", "org").agg(F.count(F.lit(1)).alias("c"))
-    articles = counts.groupBy("url").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("w"))
-    with shuffled_into(mentions.sparkSession, named.count()):
-        total = articles.agg(F.sum("w")).first()[0] or 0
-    n = named.agg(F.countDistinct("org")).first()[0]
+    total = articles.agg(F.sum(F.col("all") * F.col("all") - F.col("squares"))).first()[0] or 0
+    n = counts.agg(F.countDistinct("org")).first()[0]
     mean = total / (n * (n - 1)) if n > 1 else 0.0
     return math.floor(mean + deviations * math.sqrt(mean))
 
@@ -199,7 +230,7 @@ def push_ranks(edges: DataFrame, landmarks: DataFrame, reset: float = 0.15, tole
     driver sees the products of residuals, some numbers a round. The loop ends when the residual of every landmark sums to less than
     tolerance * reset, which bounds the error, or raises after ``max_rounds``.
 
-    A vertex has one row for ``LANE`` landmarks, from the round on in which it is reached. Edges stay where they are, dealt by source
+    Edges that no landmark leads to leave first. A vertex has one row for ``LANE`` landmarks, from the round on in which it is reached. Edges stay where they are, dealt by source
     (a hub's by part) to tasks of about ``block_edges``; only ranks, summed by task and vertex, are shuffled.
     """
     spark = edges.sparkSession
@@ -209,10 +240,14 @@ def push_ranks(edges: DataFrame, landmarks: DataFrame, reset: float = 0.15, tole
     numbered = numbered.select(F.col("id").alias("landmark"), F.floor(F.col("n") / LANE).alias("lane"), F.pmod("n", F.lit(LANE)).cast("int").alias("place"))
     if numbered.isEmpty():
         return spark.createDataFrame([], f"organisation {id_kind}, connection {id_kind}, importance DOUBLE")
-    degree = edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
-    split, hubs = _split_hubs(edges.select("src", "dst").where("src IS NOT NULL"), "src", "dst")
-    dealt = split.join(degree, "src").select("src", "part", "dst", (F.lit(1 - reset) / F.col("degree")).alias("share"))
-    tasks = max(tasks_for(spark, 0), -(-edges.count() // block_edges))
+    edges = _within_reach(edges.select("src", "dst").where("src IS NOT NULL"), start)
+    degree = materialize(edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree")), "degree")
+    parts = F.ceil(F.col("degree") / HUB_EDGES).cast("int")
+    hubs = materialize(degree.where(F.col("degree") > HUB_EDGES).select(F.col("src").alias("_hub"), parts.alias("parts")), "hubs")
+    dealt = edges.join(degree, "src").select("src", F.pmod(F.xxhash64("dst"), parts).cast("int").alias("part"), "dst", (F.lit(1 - reset) / F.col("degree")).alias("share"))
+    lanes, usual = -(-start.count() // LANE), tasks_for(spark, 0)
+    few = max(spark.sparkContext.defaultParallelism, -(-lanes * degree.count() // LANE_ROWS))  # a round of a small graph is as long as its tasks are many
+    tasks = max(min(few, usual), -(-edges.count() // block_edges))
     links = dealt.repartition(tasks, "src", "part").persist(StorageLevel.MEMORY_AND_DISK)
     whole = hubs.isEmpty()
 
@@ -223,29 +258,31 @@ def push_ranks(edges: DataFrame, landmarks: DataFrame, reset: float = 0.15, tole
     rank = "+".join(f"mix[{k}] * past[{2 * LANE * k} + c]" for k in range(MEMORY))
     arrived = ", ".join(f"IF(place <=> {c}, {float(reset)!r}D, 0D) + coalesce(s[{c}], 0D)" for c in places)
     products, done = np.zeros((MEMORY, MEMORY)), 0
-    while True:
-        left, row = _residuals(state)
-        products[1:, 1:] = products[:-1, :-1].copy()
-        products[0, :] = products[:, 0] = row
-        if left <= tolerance * reset:
-            break
-        if done == max_rounds:
-            links.unpersist()
-            raise RuntimeError(f"residuals still sum to {left} after {max_rounds} rounds")
-        mix = np.zeros(MEMORY)
-        mix[: done + 1] = _least_mix(products[: done + 1, : done + 1])
-        mixed = state.withColumn("mix", F.lit(mix.tolist()))
-        now = mixed.select("id", "lane", "place", "past", F.expr(f"transform(sequence(0, {LANE - 1}), c -> {rank})").alias("x"))
-        moving = now.select(F.col("id").alias("src"), "lane", "x")
-        moving = moving.withColumn("part", F.lit(0)) if whole else _to_parts(moving, hubs, "src")
-        # the ranks of a task's own sources are few beside its edges, so they are hashed and the edges are never sorted
-        sent = links.join(moving.hint("shuffle_hash"), ["src", "part"]).groupBy(F.col("dst").alias("id"), "lane").agg(F.array(*[F.sum(F.col("x")[c] * F.col("share")) for c in places]).alias("s"))
-        met = now.join(sent.where("id IS NOT NULL"), ["id", "lane"], "full").withColumn("g", F.expr(f"array({arrived})"))
-        fresh = f"zip_with(g, coalesce(x, array_repeat(0D, {LANE})), (a, b) -> a - b)"
-        earlier = f"coalesce(slice(past, 1, {kept}), array_repeat(0D, {kept}))"
-        state = materialize(met.selectExpr("id", "lane", "place", f"concat(g, {fresh}, {earlier}) AS past"), "ranks")
-        done += 1
-    links.unpersist()
+    try:
+        with partitions(spark, tasks):
+            while True:
+                left, row = _residuals(state)
+                products[1:, 1:] = products[:-1, :-1].copy()
+                products[0, :] = products[:, 0] = row
+                if left <= tolerance * reset:
+                    break
+                if done == max_rounds:
+                    raise RuntimeError(f"residuals still sum to {left} after {max_rounds} rounds")
+                mix = np.zeros(MEMORY)
+                mix[: done + 1] = _least_mix(products[: done + 1, : done + 1])
+                mixed = state.withColumn("mix", F.lit(mix.tolist()))
+                now = mixed.select("id", "lane", "place", "past", F.expr(f"transform(sequence(0, {LANE - 1}), c -> {rank})").alias("x"))
+                moving = now.select(F.col("id").alias("src"), "lane", "x")
+                moving = moving.withColumn("part", F.lit(0)) if whole else _to_parts(moving, hubs, "src")
+                # the ranks of a task's own sources are few beside its edges, so they are hashed and the edges are never sorted
+                sent = links.join(moving.hint("shuffle_hash"), ["src", "part"]).groupBy(F.col("dst").alias("id"), "lane").agg(F.array(*[F.sum(F.col("x")[c] * F.col("share")) for c in places]).alias("s"))
+                met = now.join(sent.where("id IS NOT NULL"), ["id", "lane"], "full").withColumn("g", F.expr(f"array({arrived})"))
+                fresh = f"zip_with(g, coalesce(x, array_repeat(0D, {LANE})), (a, b) -> a - b)"
+                earlier = f"coalesce(slice(past, 1, {kept}), array_repeat(0D, {kept}))"
+                state = materialize(met.selectExpr("id", "lane", "place", f"concat(g, {fresh}, {earlier}) AS past"), "ranks")
+                done += 1
+    finally:
+        links.unpersist()
     tall = state.select("id", "lane", F.posexplode(F.slice("past", 1, LANE)).alias("place", "rank")).where("rank <> 0")
     ranks = tall.withColumn("rank", F.greatest("rank", F.lit(0.0))).join(numbered, ["lane", "place"])
     if normalise:
@@ -254,6 +291,21 @@ def push_ranks(edges: DataFrame, landmarks: DataFrame, reset: float = 0.15, tole
     return ranks.select(F.col("landmark").alias("organisation"), F.col("id").alias("connection"), F.col("rank").alias("importance"))
 
 
+def _within_reach(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """Edges that a path from ``start`` leads to, or all edges where that takes many steps or many vertices at a step."""
+    known = fresh = start
+    for _ in range(REACH_STEPS):
+        step = edges.join(fresh.select(F.col("id").alias("src")), "src", "left_semi").select(F.col("dst").alias("id")).where("id IS NOT NULL").distinct()
+        fresh = materialize(step.join(known, "id", "left_anti"), "reached")
+        found = fresh.count()
+        if not found:
+            return materialize(edges.join(known.select(F.col("id").alias("src")), "src", "left_semi"), "links")
+        if found > REACH_MOST:
+            break
+        known = known.unionByName(fresh)
+    return edges
+
+
 def _residuals(state: DataFrame) -> tuple[float, list[float]]:
     """Largest sum of a landmark's latest residuals, and the product of the latest residuals with each remembered round's."""
     at = lambda k, c: f"past[{2 * LANE * k + LANE + c}]"

@@ -25,8 +25,8 @@ EDGES = f"""(SELECT a.o AS src, b.o AS dst, CAST(sum(a.c * b.c) AS BIGINT) AS re
 
 
 def co_mentions(spark, sf):
-    mentions = news(spark, sf)
-    return G.co_mentions(mentions, G.usual_weight(mentions, BLOCKED), BLOCKED)
+    counts, articles = G.mention_counts(news(spark, sf), BLOCKED)
+    return G.shared_mentions(counts, articles, G.usual_shared_weight(counts, articles))
 
 
 def edges(spark, sf):

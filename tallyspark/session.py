@@ -92,6 +92,18 @@ def shuffled_into(spark: SparkSession, rows: int) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
+@contextmanager
+def partitions(spark: SparkSession, n: int) -> Iterator[None]:
+    """Jobs started inside shuffle into ``n`` partitions."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """Rows dealt by their keys to tasks of ``ROWS_PER_TASK`` or less, if adaptive merging would leave too many in one."""
     return df if _few(df.sparkSession, rows) else df.repartition(tasks_for(df.sparkSession, rows), *keys)

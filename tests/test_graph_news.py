@@ -184,3 +184,34 @@ def test_sized_shuffles_are_not_merged_to_one_task_per_core(spark, monkeypatch):
         assert spark.conf.get(name) == str(8 * cores) and spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
     finally:
         spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("steps,most", [(8, 100_000), (8, 3), (1, 100_000)])
+def test_edges_out_of_reach_are_not_sent_along(spark, monkeypatch, steps, most):
+    monkeypatch.setattr(G, "REACH_STEPS", steps)
+    monkeypatch.setattr(G, "REACH_MOST", most)
+    sizes, write = [], G.materialize
+    monkeypatch.setattr(G, "materialize", lambda df, label, rows=0: sizes.append((label, df.count())) or write(df, label, rows))
+    rng = random.Random(4)
+    near = [(rng.randrange(30), rng.randrange(30)) for _ in range(150)] + [(30, v) for v in range(3)]  # an edge into it is out of reach too
+    links = near + [(a + 100 * k, b + 100 * k) for k in range(1, 6) for a, b in near]
+    edges = spark.createDataFrame(links + [(None, 1), (1, None)], "src LONG, dst LONG")
+    got = {r[1]: r[2] for r in G.push_ranks(edges, spark.createDataFrame([(3,), (3,), (None,)], "id LONG"), normalise=False).collect()}
+    want = _exact_ranks(near + [(1, -1)], [3], sorted({v for e in near for v in e} | {-1}))[3]  # the edge to nowhere takes its part
+    assert sum(abs(got.get(v, 0.0) - r) for v, r in want.items() if v >= 0) < 1e-11 and all(0 <= v < 30 for v in got)
+    kept = [n for label, n in sizes if label == "links"]
+    assert kept == ([151] if (steps, most) == (8, 100_000) else [])
+
+
+@pytest.mark.parametrize("listed", [0, 3, 64])
+@pytest.mark.parametrize("limit", [0, 3, 11])
+def test_pairs_built_in_rows_and_by_join_are_the_same(spark, monkeypatch, listed, limit):
+    monkeypatch.setattr(G, "LISTED", listed)
+    rng = random.Random(limit)
+    mentions = [(rng.choice([None, *range(12)]), f"o{min(rng.randrange(9), rng.randrange(9))}") for _ in range(150)]
+    mentions += [(50 + k, f"alone{k % 2}") for k in range(30)] + [(50, "weak"), (99, "weak"), (99, "o1"), (5, None)]
+    df = spark.createDataFrame(mentions, "url INT, organisation STRING")
+    assert rows(G.co_mentions(df, limit)) == pairs_by_hand(mentions, set(), limit)
+    orgs = sorted({o for _, o in mentions if o})
+    mean = sum(n for _, _, n in pairs_by_hand(mentions, set(), -1)) / (len(orgs) * (len(orgs) - 1))
+    assert G.usual_weight(df) == int(mean + 1.4 * mean**0.5)

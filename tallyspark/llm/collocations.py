@@ -1,7 +1,7 @@
 """Phrase collocation mining by top-order marginalisation.
 
 Every word of a piece opens one window: the word and the words that lead it, padded at the end of the piece to the longest
-phrase. Only these longest windows are counted. ROLLUP then sums them over successively shorter prefixes, so the counts of
+phrase. Only these longest windows are counted. A rollup then sums them over successively shorter prefixes, so the counts of
 all shorter phrases, and of all words of a language, come from the counted windows and no text is cut into n-grams again.
 
 A phrase's parts occur at least as often as the phrase, so one threshold on the counts keeps all that scores and cover rules
@@ -77,17 +77,23 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, t
     names = _names(longest)
     pieces = piece_words(docs, text_col, lang_col)
     opened = end_at_rare_pairs(windows(pieces, longest), pieces, longest, least)
-    counted = materialize(opened.groupBy("lang", *names).agg(F.count(F.lit(1)).alias("f")), "windows")
-    full = counted.where(F.col(names[-1]).isNotNull() & (F.col("f") >= least)).select("lang", F.concat_ws(" ", *names).alias("phrase"), F.lit(longest).alias("size"), "f")
-    prefix = names[:-1]
-    held = " + ".join(f"int({w} IS NOT NULL)" for w in prefix)
-    # a prefix that ends in padding is no phrase: as many words as levels that are not summed over
-    sums = docs.sparkSession.sql(
-        f"SELECT lang, {', '.join(prefix)}, sum(f) AS f, {len(prefix)} - bit_count(grouping_id()) AS size FROM {{counted}} "
-        f"GROUP BY lang, ROLLUP({', '.join(prefix)}) HAVING {held} = size AND (size = 0 OR f >= {int(least)})",
-        counted=counted,
-    )
-    return sums.select("lang", F.concat_ws(" ", *prefix).alias("phrase"), F.col("size").cast("int").alias("size"), "f").unionByName(full)
+    # a window is counted as one string, which is what its rows are shuffled as; padding leaves no trace in it
+    counted = materialize(opened.groupBy("lang", F.concat_ws(" ", *names).alias("phrase")).agg(F.count(F.lit(1)).alias("f")), "windows")
+    full = counted.where((_prefix("phrase", longest - 1) != F.col("phrase")) & (F.col("f") >= least))
+    sums = counted.select("lang", F.explode(_prefixes("phrase", longest - 1)).alias("phrase"), "f").where("phrase IS NOT NULL")
+    sums = sums.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where((F.col("phrase") == "") | (F.col("f") >= least))
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return sums.unionByName(full).select("lang", "phrase", size.cast("int").alias("size"), "f")
+
+
+def _prefix(phrase: str, words: int) -> Column:
+    return F.substring_index(phrase, " ", words)
+
+
+def _prefixes(phrase: str, most: int) -> Column:
+    """The first 0 to `most` words of a phrase; null where it has fewer."""
+    longer = [F.when(_prefix(phrase, m) != _prefix(phrase, m - 1), _prefix(phrase, m)) for m in range(2, most + 1)]
+    return F.array(F.lit(""), *([_prefix(phrase, 1)] if most else []), *longer)
 
 
 def _exact(value: Column | int) -> Column:

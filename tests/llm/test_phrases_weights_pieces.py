@@ -61,6 +61,20 @@ def test_collocations(spark, longest, least, top):
     assert collocations.collocations(docs.limit(0), longest=longest).count() == 0
 
 
+def test_windows_are_shuffled_as_one_string(spark, monkeypatch):
+    written, write = {}, collocations.materialize
+    monkeypatch.setattr(collocations, "materialize", lambda df, label, *a: written.setdefault(label, write(df, label, *a)))
+    docs = spark.createDataFrame([(1, "a b c d. a b c x. a a. a", "en"), (2, "a b", None), (3, None, "fr")], "doc_id long, text string, lang string")
+    got = sorted(tuple(r) for r in collocations.phrase_counts(docs, longest=3, least=1).collect())
+    assert written["windows"].columns == ["lang", "phrase", "f"]
+    want = Counter()
+    for lang, words in [("en", "a b c d"), ("en", "a b c x"), ("en", "a a"), ("en", "a"), ("und", "a b")]:
+        words = words.split()
+        want[lang, "", 0] += len(words)
+        want.update((lang, " ".join(words[i : i + m]), m) for m in (1, 2, 3) for i in range(len(words) - m + 1))
+    assert got == sorted((*k, n) for k, n in want.items())
+
+
 def test_collocation_scores_are_exact(spark):
     big = 9_000_000_000_000_000_001
     phrases = spark.createDataFrame([("en", "a b", 2, big), ("en", "a", 1, big), ("en", "b", 1, big), ("en", "a b c", 3, big // 5 * 4)], "lang string, phrase string, size int, f long")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import value_or_display, year_range
 from ..session import materialize
 from .relational import sweep
+from .shared_trees import SharedTrees
 
 # Fixed values of the indicator rules
 EXCLUDED_INDICATOR = "WHOSIS_000015"
@@ -127,40 +128,46 @@ def search_trees(
 
     All trials grow ``first`` trees; the best of every ``keep`` go on with ``keep`` times as many, until ``last`` or fewer are
     left. These grow until the held-out rows stop them, and the least held-out error wins. ``validation`` marks the held-out
-    rows; they are the same for all trials. ``parallelism`` fits run side by side as Spark jobs over the same cached rows.
+    rows; they are the same for all trials. The trees of a rung grow side by side in shared passes and go on in the next;
+    ``parallelism`` of the last fits run side by side over the same cached rows.
     """
-    data = materialize(_learning_rows(df, features, label, validation), "learning").persist()
-    train, held = data.where("NOT _held_out"), data.where("_held_out").persist()
-    settings = tree_trials(trials, seed)
+    data = materialize(_learning_rows(df, features, label, validation), "learning")
+    settings, spark = tree_trials(trials, seed), df.sparkSession
+    rows, alive, rung, rounds = [], list(range(trials)), 0, first
+
+    def told(errors: dict[int, float], trees: dict[int, int], final: bool) -> list[int]:
+        """Notes a rung; its trials, best first."""
+        rows.extend((t, rung, trees[t], errors[t], final, json.dumps(settings[t], sort_keys=True)) for t in alive)
+        return sorted(alive, key=lambda t: (errors[t], t))
+
+    if len(alive) > last:
+        shared = SharedTrees(data, settings, seed, len(features))
+        try:
+            while len(alive) > last:
+                shared.grow(alive, rounds)
+                best = told(shared.errors(alive), dict.fromkeys(alive, rounds), False)
+                alive, rung, rounds = sorted(best[: max(1, len(alive) // keep)]), rung + 1, rounds * keep
+        finally:
+            shared.close()
+
+    data = data.persist()
+    held = data.where("_held_out").persist()
     evaluator = RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="rmse")
 
-    def grow(trial: int, rounds: int | None) -> tuple[GBTRegressionModel, float]:
-        gbt = GBTRegressor(featuresCol="features", labelCol="label", seed=seed + trial, **settings[trial])
-        if rounds is None:
-            model = gbt.setParams(maxIter=MAX_TREES, validationIndicatorCol="_held_out", validationTol=0.002).fit(data)
-        else:
-            model = gbt.setParams(maxIter=rounds).fit(train)
+    def finish(trial: int) -> tuple[GBTRegressionModel, float]:
+        gbt = GBTRegressor(featuresCol="features", labelCol="label", seed=seed + trial, maxIter=MAX_TREES, validationIndicatorCol="_held_out", validationTol=0.002, **settings[trial])
+        model = gbt.fit(data)
         return model, float(evaluator.evaluate(model.transform(held)))
 
-    rows, alive, rung, rounds = [], list(range(trials)), 0, first
-    models: dict[int, GBTRegressionModel] = {}
     pool = ThreadPool(parallelism)
     try:
-        while True:
-            final = len(alive) <= last
-            done = pool.map(inheritable_thread_target(df.sparkSession)(lambda t: grow(t, None if final else rounds)), alive)
-            errors = {t: error for t, (_, error) in zip(alive, done)}
-            models = {t: model for t, (model, _) in zip(alive, done)}
-            rows += [(t, rung, models[t].getNumTrees, errors[t], final, json.dumps(settings[t], sort_keys=True)) for t in alive]
-            best = sorted(alive, key=lambda t: (errors[t], t))
-            if final:
-                break
-            alive, rung, rounds = sorted(best[: max(1, len(alive) // keep)]), rung + 1, rounds * keep
+        done = dict(zip(alive, pool.map(inheritable_thread_target(spark)(finish), alive)))
     finally:
         pool.close()
         held.unpersist()
         data.unpersist()
-    return models[best[0]], df.sparkSession.createDataFrame(rows, "trial INT, rung INT, trees INT, rmse DOUBLE, finished BOOLEAN, parameters STRING")
+    best = told({t: error for t, (_, error) in done.items()}, {t: model.getNumTrees for t, (model, _) in done.items()}, True)
+    return done[best[0]][0], spark.createDataFrame(rows, "trial INT, rung INT, trees INT, rmse DOUBLE, finished BOOLEAN, parameters STRING")
 
 
 def best_tree_trial(search: DataFrame) -> DataFrame:

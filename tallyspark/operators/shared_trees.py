@@ -185,7 +185,11 @@ def nodes_of(tree: Tree, codes: np.ndarray, levels: int) -> np.ndarray:
     n = codes.shape[1]
     at, flat, rows, offsets = np.zeros(n, np.intp), codes.reshape(-1), np.arange(n), tree.feature * n
     for _ in range(levels):
-        at = tree.base[at] + (flat[offsets[at] + rows] > tree.cut[at])
+        place = offsets.take(at, mode="clip")
+        place += rows
+        right = flat.take(place, mode="clip") > tree.cut.take(at, mode="clip")
+        at = tree.base.take(at, mode="clip")
+        at += right
     return at
 
 
@@ -325,7 +329,7 @@ def _level(work: Sequence[Trial], level: int, code: str):
                 slots = np.full(len(w.tree.base), -1, np.intp)
                 slots[list(w.nodes)] = np.arange(len(w.nodes))
                 slot, wide = slots.take(nodes_of(w.tree, codes, level), mode="clip"), max(w.splits) + 1
-                chosen = np.flatnonzero(np.unpackbits(masks[w.mask], count=n) & (slot >= 0))
+                chosen = np.flatnonzero(np.unpackbits(masks[w.mask], count=n).view(bool) & (slot >= 0))
                 y, cell = target.take(chosen, mode="clip"), slot.take(chosen, mode="clip") * wide
                 squares = y * y
                 total = totals.setdefault(i, np.zeros((3, len(w.splits), len(w.nodes) * wide)))
@@ -379,7 +383,7 @@ class SharedTrees:
         with _passes(self.spark):
             self._candidates(raw)
             # the draws of a row belong to the part it was read in, so its block may lie anywhere
-            tasks = 2 * self.spark.sparkContext.defaultParallelism
+            tasks = self.spark.sparkContext.defaultParallelism
             dealt = raw.repartition(tasks) if raw.count() > tasks else raw
             self.blocks = dealt.mapInArrow(self._encode(), BLOCKS).persist(StorageLevel.MEMORY_AND_DISK)
             self.blocks.count()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import indicators as I
@@ -103,17 +104,38 @@ def r5(spark, sf):
 FEATURES = ["n", "urgent", "mean_price", "c_acctbal", "c_nationkey"]
 
 
-def customer_years(spark, sf):
-    """One row per customer and year: last year's behaviour next to this year's spend."""
+def _behaviour(spark, sf):
+    """One row per customer and year with orders: number, urgent ones, mean price and spend of that year."""
     orders = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("Year"), "o_orderpriority", "o_totalprice")
-    per = orders.groupBy("o_custkey", "Year").agg(
+    return orders.groupBy("o_custkey", "Year").agg(
         F.count("*").cast("double").alias("n"), F.count_if(F.col("o_orderpriority") == "1-URGENT").cast("double").alias("urgent"),
         F.avg("o_totalprice").alias("mean_price"), F.sum("o_totalprice").alias("spend"),
     )
+
+
+def _with_customers(per, spark, sf):
     customers = table(spark, sf, "customer").select("c_custkey", "c_acctbal", F.col("c_nationkey").cast("double").alias("c_nationkey"))
     return per.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
 
 
+def customer_years(spark, sf):
+    """One row per customer and year: this year's behaviour next to this year's spend."""
+    return _with_customers(_behaviour(spark, sf), spark, sf)
+
+
+def customer_years_ahead(spark, sf):
+    """One row per customer and year: last year's behaviour next to this year's spend.
+
+    A year without orders is behaviour too: no orders, none urgent, mean price 0. The first year of the table has no year
+    before it and only tells of the next.
+    """
+    per, before = _behaviour(spark, sf), Window.partitionBy("o_custkey").orderBy("Year")
+    first = table(spark, sf, "orders").agg(F.min(F.year("o_orderdate"))).scalar()
+    ordered = F.lag("Year").over(before) == F.col("Year") - 1
+    moved = per.select("o_custkey", "Year", *[F.when(ordered, F.lag(c).over(before)).otherwise(0.0).alias(c) for c in ("n", "urgent", "mean_price")], "spend")
+    return _with_customers(moved.where(F.col("Year") > first), spark, sf)
+
+
 def _model(spark, sf):
     rows = materialize(customer_years(spark, sf), "customer_years")
     train, unseen = rows.where("Year <= 1999"), rows.where("Year > 1999")
@@ -128,8 +150,8 @@ def r6(spark, sf):
 
 
 def _search(spark, sf):
-    """The last year before the unseen ones is held out; the unseen years take no part."""
-    train = materialize(customer_years(spark, sf), "customer_years").where("Year <= 1999")
+    """The last year before the unseen ones is held out; the unseen years take no part. Features are those of the year before."""
+    train = materialize(customer_years_ahead(spark, sf), "customer_years").where("Year <= 1999")
     return I.search_trees(train, FEATURES, "spend", F.col("Year") == 1999)
 
 

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -7,6 +9,7 @@ from tallyspark.functions import text as X
 from tallyspark.operators import forecast as P
 from tallyspark.operators import indicators as I
 from tallyspark.operators import topics as Z
+from tallyspark.plans import tabular
 
 
 def rows(df):
@@ -109,3 +112,21 @@ def test_falling_and_negative_series_keep_their_trend():
     for y in (50 - np.arange(100.0), -5 - 0.1 * np.arange(100.0)):
         got = P.fit_series(days, y, days)
         assert np.abs(got["yhat"] - y).max() < 1e-6
+
+
+def test_tree_search_reads_last_years_behaviour(spark, tmp_path, monkeypatch):
+    sf = str(tmp_path)
+    orders = [(1, dt.datetime(1996, 3, 1), "1-URGENT", 10.0), (1, dt.datetime(1996, 5, 1), "5-LOW", 30.0), (1, dt.datetime(1997, 2, 1), "5-LOW", 7.0),
+              (1, dt.datetime(1999, 2, 1), "1-URGENT", 5.0), (2, dt.datetime(1999, 4, 1), "5-LOW", 9.0), (None, dt.datetime(1997, 4, 1), "5-LOW", 9.0), (2, None, "5-LOW", 9.0)]
+    spark.createDataFrame(orders, "o_custkey LONG, o_orderdate TIMESTAMP, o_orderpriority STRING, o_totalprice DOUBLE").write.parquet(f"{sf}/orders.parquet")
+    spark.createDataFrame([(1, 100.0, 7), (2, 200.0, 8)], "c_custkey LONG, c_acctbal DOUBLE, c_nationkey INT").write.parquet(f"{sf}/customer.parquet")
+    seen = []
+
+    def search(df, features, *_):
+        seen.extend(tuple(r) for r in df.select("o_custkey", "Year", "spend", *features).collect())
+        return None, df
+
+    monkeypatch.setattr(tabular.I, "search_trees", search)
+    tabular.r7(spark, sf)
+    # the year before, without orders where there were none; 1996 is the first and has no year before it
+    assert sorted(seen) == [(1, 1997, 7.0, 2.0, 1.0, 20.0, 100.0, 7.0), (1, 1999, 5.0, 0.0, 0.0, 0.0, 100.0, 7.0), (2, 1999, 9.0, 0.0, 0.0, 0.0, 200.0, 8.0)]

@@ -56,6 +56,7 @@ def bgnbd_loglik(theta: Sequence[float], d: dict[str, np.ndarray]) -> np.ndarray
 
 
 NODES, WEIGHTS = np.polynomial.legendre.leggauss(40)
+PLACES = (NODES + 1) / 2
 
 
 def _pareto_terms(theta: Sequence[float], d: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -63,8 +64,11 @@ def _pareto_terms(theta: Sequence[float], d: dict[str, np.ndarray]) -> tuple[np.
     return _pareto_integral(theta, d)[:2]
 
 
-def _pareto_integral(theta: Sequence[float], d: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
-    """Both parts, the nodes y of each row, their shares of its integral, ln(alpha+y) and ln(beta+y).
+ROWS_AT_ONCE = 256  # rows whose nodes stay in a core's cache
+
+
+def _pareto_integral(theta: Sequence[float], d: dict[str, np.ndarray], slopes: bool = False) -> list[np.ndarray]:
+    """Both parts and, with ``slopes``, the means over the integral of ln(alpha+y), 1/(alpha+y), ln(beta+y) and 1/(beta+y).
 
     The second is s times the integral of (alpha+y)^-(r+x) (beta+y)^-(s+1) over y from tx to T (Schmittlein et al.
     1987, before it is written with a hypergeometric function). Integrating over ln((alpha+y)/(alpha+tx)), cut where
@@ -73,21 +77,35 @@ def _pareto_integral(theta: Sequence[float], d: dict[str, np.ndarray]) -> tuple[
     r, alpha, s, beta = theta
     x, tx, t = d["x"], d["tx"], d["t"]
     alive = -(r + x) * np.log(alpha + t) - s * np.log(beta + t)
-    base = min(alpha, beta)
+    base, far = min(alpha, beta), max(alpha, beta)
     start, span = np.log(base + tx), np.log((base + t) / (base + tx))
     # the integrand falls at least like exp(-rate·u) with the rate at the start; 40 e-foldings are enough
     rate = (r + x) * (base + tx) / (alpha + tx) + (s + 1) * (base + tx) / (beta + tx) - 1
-    width = np.where(rate > 0, np.minimum(span, 40.0 / np.maximum(rate, 1e-9)), span)[:, None]
-    u = start[:, None] + width * (NODES + 1) / 2
-    y = np.exp(u) - base
-    other = np.log(max(alpha, beta) + y)  # the log of the lesser of both is u itself
-    by_alpha, by_beta = (u, other) if alpha <= beta else (other, u)
-    logs = -(r + x)[:, None] * by_alpha - (s + 1) * by_beta + u
-    top = logs.max(axis=1, keepdims=True)
-    parts = np.exp(logs - top) * WEIGHTS
-    whole = np.maximum(parts.sum(axis=1), 1e-300)
-    integral = top[:, 0] + np.log(whole * np.maximum(width[:, 0], 1e-300) / 2)
-    return alive, np.log(s) + integral, y, parts / whole[:, None], by_alpha, by_beta
+    width = np.where(rate > 0, np.minimum(span, 40.0 / np.maximum(rate, 1e-9)), span)
+    powers = (r + x, np.full(len(x), s + 1.0))
+    by_u, by_other = powers if alpha <= beta else powers[::-1]
+    out = np.empty((6 if slopes else 2, len(x)))
+    for first in range(0, len(x), ROWS_AT_ONCE):
+        part = slice(first, first + ROWS_AT_ONCE)
+        u = width[part, None] * PLACES
+        u += start[part, None]
+        near = np.exp(u)  # base + y
+        distant = near + (far - base)  # the greater of both + y
+        other = np.log(distant)
+        logs = u * (1 - by_u[part, None])
+        logs -= by_other[part, None] * other
+        top = logs.max(axis=1)
+        logs -= top[:, None]
+        shares = np.exp(logs, out=logs)
+        shares *= WEIGHTS
+        whole = np.maximum(shares.sum(axis=1), 1e-300)
+        out[1, part] = top + np.log(whole * np.maximum(width[part], 1e-300) / 2)
+        if slopes:
+            means = [np.einsum("ij,ij->i", shares, u), (shares / near).sum(axis=1), np.einsum("ij,ij->i", shares, other), (shares / distant).sum(axis=1)]
+            out[2:, part] = np.array(means if alpha <= beta else means[2:] + means[:2]) / whole
+    out[0] = alive
+    out[1] += np.log(s)
+    return list(out)
 
 
 def pareto_loglik(theta: Sequence[float], d: dict[str, np.ndarray]) -> np.ndarray:
@@ -103,21 +121,31 @@ def gammagamma_loglik(theta: Sequence[float], d: dict[str, np.ndarray]) -> np.nd
     return lgamma(px + q) - lgamma(px) - lgamma(np.array(q)) + q * np.log(v) + (px - 1) * np.log(m) + px * np.log(x) - (px + q) * np.log(x * m + v)
 
 
+def _either(alive: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ln of the sum of two likelihoods, and the share of each, small ones to full accuracy."""
+    gap = left - alive
+    less = np.exp(-np.abs(gap))
+    more = 1 / (1 + less)
+    less *= more
+    ahead = gap > 0
+    return np.maximum(alive, left) - np.log(more), np.where(ahead, less, more), np.where(ahead, more, less)
+
+
 def bgnbd_slopes(theta: Sequence[float], d: dict[str, np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Log-likelihood of each row and its derivatives by r, alpha, a and b."""
+    """Log-likelihood of each row and its derivatives by r, alpha, a and b. What depends on the count alone is taken once for each count."""
     r, alpha, a, b = theta
     x, tx, t = d["x"], d["tx"], d["t"]
-    alive = -(r + x) * np.log(alpha + t)
-    left = np.where(x > 0, np.log(a / np.maximum(b + x - 1, 1e-12)) - (r + x) * np.log(alpha + tx), -np.inf)
-    both = np.logaddexp(alive, left)
-    stay, gone = np.exp(alive - both), np.exp(left - both)
-    value = lgamma(b + x) - lgamma(np.array(b)) + lgamma(np.array(a + b)) - lgamma(a + b + x) + lgamma(r + x) - lgamma(np.array(r)) + r * np.log(alpha) + both
-    total = digamma(np.array(a + b)) - digamma(a + b + x)
+    counts, at = np.unique(x, return_inverse=True)
+    often = np.maximum(b + counts - 1, 1e-12)
+    log_t, log_tx = np.log(alpha + t), np.log(alpha + tx)
+    both, stay, gone = _either(-(r + x) * log_t, np.where(counts > 0, np.log(a / often), -np.inf)[at] - (r + x) * log_tx)
+    value = (lgamma(b + counts) - lgamma(np.array(b)) + lgamma(np.array(a + b)) - lgamma(a + b + counts) + lgamma(r + counts) - lgamma(np.array(r)) + r * np.log(alpha))[at] + both
+    total = digamma(np.array(a + b)) - digamma(a + b + counts)
     return value, [
-        digamma(r + x) - digamma(np.array(r)) + np.log(alpha) - stay * np.log(alpha + t) - gone * np.log(alpha + tx),
+        (digamma(r + counts) - digamma(np.array(r)) + np.log(alpha))[at] - stay * log_t - gone * log_tx,
         r / alpha - (r + x) * (stay / (alpha + t) + gone / (alpha + tx)),
-        total + gone / a,
-        total + digamma(b + x) - digamma(np.array(b)) - np.where(x > 0, gone / np.maximum(b + x - 1, 1e-12), 0.0),
+        total[at] + gone / a,
+        (total + digamma(b + counts) - digamma(np.array(b)))[at] - gone * np.where(counts > 0, 1 / often, 0.0)[at],
     ]
 
 
@@ -125,15 +153,15 @@ def pareto_slopes(theta: Sequence[float], d: dict[str, np.ndarray]) -> tuple[np.
     """Log-likelihood of each row and its derivatives by r, alpha, s and beta; the limits of the integral depend on none."""
     r, alpha, s, beta = theta
     x, t = d["x"], d["t"]
-    alive, left, y, shares, by_alpha, by_beta = _pareto_integral(theta, d)
-    both = np.logaddexp(alive, left)
-    stay, gone = np.exp(alive - both), np.exp(left - both)
-    value = lgamma(r + x) - lgamma(np.array(r)) + r * np.log(alpha) + s * np.log(beta) + both
+    alive, left, log_alpha, over_alpha, log_beta, over_beta = _pareto_integral(theta, d, True)
+    both, stay, gone = _either(alive, left)
+    counts, at = np.unique(x, return_inverse=True)
+    value = (lgamma(r + counts) - lgamma(np.array(r)) + r * np.log(alpha) + s * np.log(beta))[at] + both
     return value, [
-        digamma(r + x) - digamma(np.array(r)) + np.log(alpha) - stay * np.log(alpha + t) - gone * (shares * by_alpha).sum(axis=1),
-        r / alpha - (r + x) * (stay / (alpha + t) + gone * (shares / (alpha + y)).sum(axis=1)),
-        np.log(beta) - stay * np.log(beta + t) + gone * (1 / s - (shares * by_beta).sum(axis=1)),
-        s / beta - stay * s / (beta + t) - gone * (s + 1) * (shares / (beta + y)).sum(axis=1),
+        (digamma(r + counts) - digamma(np.array(r)) + np.log(alpha))[at] - stay * np.log(alpha + t) - gone * log_alpha,
+        r / alpha - (r + x) * (stay / (alpha + t) + gone * over_alpha),
+        np.log(beta) - stay * np.log(beta + t) + gone * (1 / s - log_beta),
+        s / beta - stay * s / (beta + t) - gone * (s + 1) * over_beta,
     ]
 
 
@@ -249,87 +277,97 @@ TOLERANCE = 1e-8
 MAX_ROUNDS = 300
 
 
-QUICK_ROUNDS = 12
+QUICK_ROUNDS = 40
+ROUGH = 1e-3  # slope up to which a fit without a known curvature takes second derivatives each round
 
 
 def _quick(model: str, start: Sequence[float], l2: float, curvature: np.ndarray, tolerance: float) -> Generator[list[tuple[str, list[float]]], tuple[np.ndarray, np.ndarray], Fit | None]:
     """Newton ascent with one candidate a round, from a curvature known nearby that the gradients keep up to date.
 
-    The penalty's own curvature is exact. Goes on to a thousandth of ``tolerance`` while rounds shrink the gradient. Gives up as soon
-    as one does not before it is within ``tolerance``, or gains nothing.
+    The penalty's own curvature is exact. A round that is no better than the last is cut to a quarter. Where a parameter runs to
+    zero, slope and curvature vanish together: steps there are bounded by the tolerance, and longer where the last one went the same way. Ends within ``tolerance`` when a further step would move the plain
+    log-likelihood by less than a hundredth of it; gives up when cutting does not help either.
     """
-    at, curve, last, found = np.log(np.asarray(start, dtype=float)), curvature.copy(), None, None
+    at, curve, last, found, cuts = np.log(np.asarray(start, dtype=float)), curvature.copy(), None, None, 0
+    move, wanted = np.zeros(len(at)), np.zeros(len(at))
     for rounds in range(1, QUICK_ROUNDS + 1):
         theta = np.exp(at)
         values, slopes = yield [(model, theta.tolist())]
         plain, value = slopes[0, : len(at)] * theta, values[0] - l2 * np.sum(theta**2)
         gradient = plain - 2 * l2 * theta**2
         norm = float(np.abs(gradient).max())
-        if not (np.isfinite(norm) and np.isfinite(value)):
-            return found
-        if last is not None:
+        sound = bool(np.isfinite(norm) and np.isfinite(value))
+        if last is not None and sound:
             step, change = at - last[0], plain - last[1]
-            if norm > 0.7 * last[2] or value < last[3] - 1e-11 * max(1.0, abs(value)):
-                return found
             rest = change - curve @ step
             if abs(rest @ step) > 1e-8 * np.linalg.norm(rest) * np.linalg.norm(step):
                 curve = curve + np.outer(rest, rest) / (rest @ step)
+        if not sound or last is not None and (value < last[3] - 1e-11 * max(1.0, abs(value)) or norm > 10 * last[2]):
+            if last is None or found or cuts == 3:
+                return found
+            cuts, move = cuts + 1, move / 4
+            at = last[0] + move
+            continue
         curves, vectors = np.linalg.eigh(np.diag(4 * l2 * theta**2) - curve)
-        if curves[0] <= 0:
-            return found
+        slope = vectors.T @ gradient
+        move = vectors @ (slope / np.maximum(np.abs(curves), tolerance))
         if norm <= tolerance:
             found = Fit(theta.tolist(), rounds, norm, float(values[0]), True, curve)
-        if norm <= tolerance / 1000:
-            return found
-        last = at, plain, norm, value
-        move = vectors @ ((vectors.T @ gradient) / curves)
-        at = at + move * min(1.0, 3.0 / max(np.max(np.abs(move)), 1e-12))
+            if np.abs(plain) @ np.abs(move) <= tolerance / 100:
+                return found
+        last, cuts = (at, plain, norm, value), 0
+        again = wanted @ move > 0.9 * np.linalg.norm(wanted) * np.linalg.norm(move) and np.linalg.norm(move) > 0.1
+        wanted, move = move, move * (4.0 if again else 1.0)
+        move = move * min(1.0, 3.0 / max(np.max(np.abs(move)), 1e-12))
+        at = at + move
     return found
 
 
 def _near(model: str, start: Sequence[float], l2: float, curvature: np.ndarray | None, tolerance: float) -> Generator[list[tuple[str, list[float]]], tuple[np.ndarray, np.ndarray], Fit]:
-    """One candidate a round where a curvature is known and leads there, else the whole method."""
+    """One candidate a round from where a curvature is known, be it only roughly at the maximum; the whole method where that does not lead there."""
+    rounds = 0
+    if curvature is None and tolerance < ROUGH:
+        rough = yield from _newton(model, start, l2, ROUGH)
+        start, curvature, rounds = rough.parameters, rough.curvature, rough.rounds
     found = None if curvature is None else (yield from _quick(model, start, l2, curvature, tolerance))
-    return found or (yield from _newton(model, start, l2, tolerance))
+    found = found or (yield from _newton(model, start, l2, tolerance))
+    return replace(found, rounds=found.rounds + rounds)
 
 
 def _newton(model: str, start: Sequence[float], l2: float, tolerance: float = TOLERANCE) -> Generator[list[tuple[str, list[float]]], tuple[np.ndarray, np.ndarray], Fit]:
     """Damped Newton ascent on log parameters until the gradient vanishes. Yields candidates, receives values and gradients.
 
-    Each batch holds several damped steps at once, and around each a small move along every axis, whose gradients give
-    the second derivatives: a step costs one job. Raises if no step gains although the gradient is not zero.
+    Each batch holds a damped step, and around it a small move along every axis, whose gradients give the second
+    derivatives: a step costs one job. Raises if no step gains although the gradient is not zero.
     """
     at, k, h = np.log(np.asarray(start, dtype=float)), len(start), 1e-4
     offsets = np.concatenate([np.zeros((1, k)), h * np.eye(k)])
-    centers, best, norm, damping = [at], -np.inf, np.inf, 1e-3
-    plain, gradient, hessian = -np.inf, np.zeros(k), -np.eye(k)
+    center, best, norm, damping = at, -np.inf, np.inf, 1e-3
+    gradient, hessian = np.zeros(k), -np.eye(k)
     for rounds in range(1, MAX_ROUNDS + 1):
-        logs = np.concatenate([c + offsets for c in centers])
-        theta = np.exp(logs)
+        theta = np.exp(center + offsets)
         values, slopes = yield [(model, p) for p in theta.tolist()]
-        f = (values - l2 * np.sum(theta**2, axis=1)).reshape(len(centers), -1)
-        g = (slopes[:, :k] * theta - 2 * l2 * theta**2).reshape(len(centers), -1, k)
-        sound = np.isfinite(f).all(axis=1) & np.isfinite(g).all(axis=(1, 2))
-        tops = np.where(sound, f[:, 0], -np.inf)
+        f = values - l2 * np.sum(theta**2, axis=1)
+        g = slopes[:, :k] * theta - 2 * l2 * theta**2
+        sound = np.isfinite(f).all() and np.isfinite(g).all()
+        top, now = float(f[0]), float(np.abs(g[0]).max())
         # values equal to rounding are told apart by their gradients
-        norms = np.where(sound & (tops >= tops.max() - 1e-11 * max(1.0, abs(tops.max()))), np.abs(g[:, 0]).max(axis=1), np.inf)
-        win = int(np.argmin(norms))
         noise = 1e-11 * max(1.0, abs(best)) if np.isfinite(best) else 0.0
-        if sound[win] and (tops[win] > best + noise or tops[win] >= best - noise and norms[win] < norm):
-            at, best, norm, plain = centers[win], tops[win], norms[win], float(values[win * (k + 1)])
-            gradient, hessian = g[win, 0], (g[win, 1:] - g[win, :1]) / h
+        if sound and (top > best + noise or top >= best - noise and now < norm):
+            if np.isfinite(best):
+                damping = max(damping * 1e-2, 1e-12)
+            at, best, norm = center, top, now
+            gradient, hessian = g[0], (g[1:] - g[:1]) / h
             hessian = (hessian + hessian.T) / 2
             if norm <= tolerance:
-                return Fit(np.exp(at).tolist(), rounds, float(norm), plain, True, hessian + np.diag(4 * l2 * np.exp(2 * at)))
-            if len(centers) > 1:
-                damping = max(damping * (1e-2, 1.0, 1e2)[win], 1e-12)
+                return Fit(np.exp(at).tolist(), rounds, norm, float(values[0]), True, hessian + np.diag(4 * l2 * np.exp(2 * at)))
         elif damping > 1e9:
             break
         else:
-            damping *= 1e3
+            damping *= 1e2
         curves, vectors = np.linalg.eigh(-hessian)
-        moves = [vectors @ ((vectors.T @ gradient) / (np.abs(curves) + damping * d)) for d in (1e-2, 1.0, 1e2)]
-        centers = [at + m * min(1.0, 3.0 / max(np.max(np.abs(m)), 1e-12)) for m in moves]
+        move = vectors @ ((vectors.T @ gradient) / (np.abs(curves) + damping))
+        center = at + move * min(1.0, 3.0 / max(np.max(np.abs(move)), 1e-12))
     raise RuntimeError(f"{model} with l2 {l2}: gradient {norm} after {rounds} rounds at {np.exp(at).tolist()}")
 
 
@@ -353,6 +391,16 @@ def fit_all(cells: DataFrame, starts: Sequence[tuple], tolerance: float = TOLERA
     return results
 
 
+def _along(fitted: Fit, l2: float, to: float) -> list[float]:
+    """Where the maximum is at a weight near that of a fit, to first order in the logarithm of the weight."""
+    theta = np.asarray(fitted.parameters)
+    if fitted.curvature is None or min(l2, to) <= 0 or not 0.5 < to / l2 < 2:
+        return fitted.parameters
+    curves, vectors = np.linalg.eigh(np.diag(4 * l2 * theta**2) - fitted.curvature)
+    move = -2 * l2 * np.log(to / l2) * (vectors @ ((vectors.T @ theta**2) / np.maximum(np.abs(curves), TOLERANCE)))
+    return (theta * np.exp(np.clip(move, -1.0, 1.0))).tolist()
+
+
 def fit_path(cells: DataFrame, plan: Sequence[tuple[str, float]], starts: dict[str, Sequence[float]], tolerance: float = TOLERANCE) -> list[Fit]:
     """Fit each (model, l2) of a plan, starting at the nearest weight of its model that is already fitted.
 
@@ -368,7 +416,7 @@ def fit_path(cells: DataFrame, plan: Sequence[tuple[str, float]], starts: dict[s
             chosen = [i for place, i in enumerate(line) if i not in found and place % stride == min(stride, len(line)) // 2]
             for i in chosen:
                 nearest = min(done, key=lambda j: abs(plan[j][1] - plan[i][1]), default=None)
-                begin = (starts[model], None) if nearest is None else (found[nearest].parameters, found[nearest].curvature)
+                begin = (starts[model], None) if nearest is None else (_along(found[nearest], plan[nearest][1], plan[i][1]), found[nearest].curvature)
                 wave.append((i, (model, begin[0], plan[i][1], begin[1])))
         for (i, _), fitted in zip(wave, fit_all(cells, [w for _, w in wave], tolerance) if wave else []):
             found[i] = fitted

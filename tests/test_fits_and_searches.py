@@ -384,3 +384,27 @@ def test_a_path_evaluates_few_candidates(spark, monkeypatch):
     fitted = fit.fit_lifetimes(cells, [("bgnbd", 0.02 + 0.02 * i) for i in range(24)])
     assert all(f.converged and f.gradient <= fit.TOLERANCE for f in fitted)
     assert sum(asked) < 24 * 15  # one round of three steps and their slopes for every trial alone would be that
+
+
+def test_a_path_to_the_edge_evaluates_few_candidates(monkeypatch):
+    """Buyers who never leave: parameters of leaving run to zero, where slope and curvature vanish together."""
+    rng = np.random.default_rng(4)
+    t = rng.uniform(6, 10, 300)
+    times = [np.cumsum(rng.exponential(1 / rate, 200)) for rate in rng.gamma(2.0, 1.0, 300)]
+    x = np.array([float((s <= end).sum()) for s, end in zip(times, t)])
+    d = {"x": x, "tx": np.array([s[int(n) - 1] if n else 0.0 for s, n in zip(times, x)]), "t": t}
+    asked = []
+
+    def sums(cells, candidates, **_):
+        asked.append(len(candidates))
+        found = [fit.SLOPES[m](theta, cells) for m, theta in candidates]
+        return np.array([v.mean() for v, _ in found]), np.array([[b.mean() for b in by] for _, by in found])
+
+    monkeypatch.setattr(fit, "likelihood_sums", sums)
+    plan = [(m, l2) for l2 in np.linspace(0.05, 0.95, 12).tolist() for m in ("bgnbd", "pareto")]
+    with np.errstate(all="ignore"):
+        fitted = fit.fit_path(d, plan, fit.STARTS)
+    assert all(f.converged and f.gradient <= fit.TOLERANCE for f in fitted) and sum(asked) < 450
+    for model in ("bgnbd", "pareto"):
+        line = [f.log_likelihood for (m, _), f in zip(plan, fitted) if m == model]
+        assert all(b < a for a, b in zip(line, line[1:]))

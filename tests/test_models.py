@@ -10,6 +10,7 @@ from tallyspark.operators import forecast as P
 from tallyspark.operators import indicators as I
 from tallyspark.operators import topics as Z
 from tallyspark.plans import tabular
+from tallyspark.plans import topics as plans_topics
 
 
 def rows(df):
@@ -130,3 +131,18 @@ def test_tree_search_reads_last_years_behaviour(spark, tmp_path, monkeypatch):
     tabular.r7(spark, sf)
     # the year before, without orders where there were none; 1996 is the first and has no year before it
     assert sorted(seen) == [(1, 1997, 7.0, 2.0, 1.0, 20.0, 100.0, 7.0), (1, 1999, 5.0, 0.0, 0.0, 0.0, 100.0, 7.0), (2, 1999, 9.0, 0.0, 0.0, 0.0, 200.0, 8.0)]
+
+
+def test_lemmas_are_built_once_and_as_word_by_word(spark, tmp_path, monkeypatch):
+    ends = ["", "s", "es", "ed", "ings", "ational", "ation", "ations", "fulness", "ously", "ousness", "ies", "est", "ment", "ments", "ement", "ers", "ly", "ive", "iveness", "ization"]
+    words = [w + e for w in ("a", "no", "cat", "größ", "ärger", "relat", "\U0001d49cbc", "кот", "x1yz") for e in ends]
+    text = " ".join(words) + ". " + ", ".join(reversed(words)) + "-end's"
+    docs = spark.createDataFrame([(1, "s", text), (2, "s", None), (3, "s", "Short."), (3, "s", text)], "doc_id LONG, source STRING, text STRING").coalesce(1)
+    by_word = F.array_join(F.filter(F.transform(X.tokens("text"), X.stem), lambda w: F.length(w) >= 4), " ")
+    assert docs.where(~X.lemma("text").eqNullSafe(by_word)).count() == 0 and docs.where(X.lemma("text").contains("relat")).count() == 2
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    plans = []
+    monkeypatch.setattr(plans_topics, "materialize", lambda df, label: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    rows = plans_topics._lemmas(spark, str(tmp_path)).collect()
+    assert [r["doc_id"] for r in rows].count(1) == [r["doc_id"] for r in rows].count(3) > 0
+    assert plans[0].count("(?:ness)") == X._SUFFIX.count("(?:ness)") and "Repartition" in plans[0]

@@ -77,11 +77,8 @@ LEMMA_CHARS = 100
 
 
 def _lemmas(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
-    # texts are dealt to all cores, however few row groups they come in; equal rows too
-    dealt = docs.repartition(4 * spark.sparkContext.defaultParallelism, F.xxhash64("doc_id", F.monotonically_increasing_id()))
     # a filter does not pass an outer explode, so the lemma is built once
-    lemmas = Z.extract_statements(dealt, "text").select("doc_id", "source", F.explode_outer(F.array(X.lemma("statement"))).alias("lemma")).where(F.length("lemma") > LEMMA_CHARS)
+    lemmas = statements(spark, sf).select("doc_id", "source", F.explode_outer(F.array(X.lemma("statement"))).alias("lemma")).where(F.length("lemma") > LEMMA_CHARS)
     # training goes over these rows many times, so they are written once
     return materialize(lemmas.select("doc_id", "source", F.split("lemma", " ").alias("tokens")).withColumn("row", F.monotonically_increasing_id()), "lemmas")
 
